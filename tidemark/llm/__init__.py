@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import bpe, quality, urlfilter
+    from . import bpe, quality, simhash, urlfilter
 
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op4_bpe": bpe.op4_bpe,
         "op7_quality": quality.op7_quality,
         "op10_url_filter": urlfilter.op10_url_filter,

@@ -27,10 +27,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so a lost executor repeats nothing above."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage: write a table to the shared folder and read it back, so a lost executor repeats nothing above.
+
+    The table read back has no partitioning of its own, which leaves Spark free to split skewed keys of a later join.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
