@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import bpe, quality, simhash, urlfilter
+    from . import bpe, decontam, quality, simhash, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
         "op4_bpe": bpe.op4_bpe,
         "op7_quality": quality.op7_quality,
+        "op9_decontaminate": decontam.op9_decontaminate,
         "op10_url_filter": urlfilter.op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import urlfilter
+    from . import decontam, urlfilter
 
-    return {"op10_url_filter": urlfilter.ORACLE_SQL}
+    return {"op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}
