@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import bpe, decontam, quality, simhash, urlfilter
+    from . import bpe, decontam, linededup, quality, simhash, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
         "op4_bpe": bpe.op4_bpe,
         "op7_quality": quality.op7_quality,
+        "op8_line_dedup": linededup.op8_line_dedup,
         "op9_decontaminate": decontam.op9_decontaminate,
         "op10_url_filter": urlfilter.op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontam, urlfilter
+    from . import decontam, linededup, urlfilter
 
-    return {"op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}
+    return {"op8_line_dedup": linededup.ORACLE_SQL, "op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}

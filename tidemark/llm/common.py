@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,12 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the driver's cleaner drop shuffle files that nothing refers to any more, instead of when memory runs short."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
