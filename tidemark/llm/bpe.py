@@ -327,3 +327,9 @@ def default_path() -> str:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), default_path(), ids=False)
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's count and digest of ids, and the digest of the text that they decode to."""
+    out = encode(docs, default_path(), ids=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
