@@ -60,5 +60,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. lower() is the fast way and right unless a capital beyond ASCII occurs."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    plain = (F.length(text) == F.octet_length(text)) | ~text.rlike(r"[^\x00-\x7F&&[\p{Lu}\p{Lt}İⅠ-ⅯⒶ-Ⓩ]]")
+    plain = (F.length(text) == F.octet_length(text)) | ~text.rlike(r"[[^\x00-\x7F]&&[\p{Lu}\p{Lt}İⅠ-ⅯⒶ-Ⓩ]]")
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, lower))

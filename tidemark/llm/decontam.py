@@ -64,7 +64,7 @@ def prefix_table(docs: DataFrame, items: DataFrame, one: bool) -> DataFrame:
     placed = wins.select("item", "iw", "start", "per", F.posexplode(F.slice("tokens", F.col("start") + 1, F.col("per"))).alias("off", "token"))
     vocabulary = placed.select("token").distinct()
     near = F.broadcast(vocabulary) if vocabulary.count() <= MAX_BROADCAST_WORDS else vocabulary
-    counts = with_words(docs, "text").select(F.explode(tok("w")).alias("token")).join(near, "token").groupBy("token").agg(F.count("*").alias("n"))
+    counts = with_words(docs, "text").select(F.explode_outer(tok("w")).alias("token")).join(near, "token").groupBy("token").agg(F.count("*").alias("n"))
     ranked = placed.join(counts, "token", "left").groupBy("item", "iw", "start", "per").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "off")).alias("b"))
     # A shingle that no document has rules its window out.
     kept = ranked.where("b.n > 0").select("item", "iw", "b.token", (F.col("start") + F.col("b.off")).alias("p"), F.col("b.off").alias("off"), (F.col("per") - F.col("b.off")).alias("tail"))
@@ -77,7 +77,9 @@ def candidates(docs: DataFrame, items: DataFrame, one: bool) -> DataFrame:
     table = materialize(prefix_table(docs, items, one), "prefix")
     near = F.broadcast(table) if bounded(table, F.aggregate("cands", F.lit(0).cast("long"), lambda s, c: s + F.size(c["iw"]))) else table
     keyed = with_words(docs, "text").withColumn("t", (single if one else shingles)("w"))
-    found = keyed.select("_id", "_h", F.size("t").alias("n"), F.posexplode("t").alias("at", "token")).join(near, "token")
+    # The size is taken before the array is laid out, or every row would carry the array; and the outer form is used, as
+    # for the other one Spark adds a filter on the array's size that computes the words once more. The join drops nulls.
+    found = keyed.select("_id", "_h", F.size("t").alias("n"), "t").select("_id", "_h", "n", F.posexplode_outer("t").alias("at", "token")).join(near, "token")
     fits = F.filter("cands", lambda c: (F.col("at") >= c["off"]) & (F.col("n") - F.col("at") >= c["tail"]))
     aligned = F.transform(fits, lambda c: F.struct(c["item"].alias("item"), c["iw"].alias("iw"), (F.col("at") - c["p"]).alias("diag")))
     return found.select("_id", "_h", aligned.alias("c")).where(F.size("c") > 0).groupBy("_id", "_h").agg(F.array_distinct(F.flatten(F.collect_set("c"))).alias("cands"))
@@ -107,19 +109,24 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
             F.filter(F.sequence(first, F.greatest(first, last)), lambda s: F.slice(F.col("_w"), c["diag"] + s + 1, size) == F.slice(c["iw"], s + 1, size)),
         ).otherwise(F.array().cast("array<int>"))
 
-    hit = F.transform(
-        F.coalesce("cands", F.array().cast(found.schema["cands"].dataType)),
-        lambda c: F.struct(c["item"].alias("item"), F.transform(occurrences(c), lambda s: c["diag"] + s).alias("at"), F.least(F.size(c["iw"]), F.lit(WINDOW)).alias("size")),
-    )
-    out = joined.withColumn("_hit", F.filter(hit, lambda x: F.size(x["at"]) > 0))
-    places = F.flatten(F.transform("_hit", lambda x: F.flatten(F.transform(x["at"], lambda a: F.sequence(a, a + x["size"] - 1)))))
-    return out.select(
-        "_doc.*",
-        F.col("n_words").cast("long").alias("n_words"),
-        F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform("_hit", lambda x: x["item"]))).alias("items"),
+    none = F.array().cast(found.schema["cands"].dataType)
+    hits = F.filter(
+        F.transform(F.coalesce("cands", none), lambda c: F.struct(c["item"].alias("item"), F.transform(occurrences(c), lambda s: c["diag"] + s).alias("at"), F.least(F.size(c["iw"]), F.lit(WINDOW)).alias("size"))),
+        lambda x: F.size(x["at"]) > 0,
     )
 
+    def told(h: Column) -> Column:
+        places = F.flatten(F.transform(h, lambda x: F.flatten(F.transform(x["at"], lambda a: F.sequence(a, a + x["size"] - 1)))))
+        return F.struct(
+            F.col("n_words").cast("long").alias("n_words"),
+            F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
+            F.sort_array(F.array_distinct(F.transform(h, lambda x: x["item"]))).alias("items"),
+        )
+
+    # Told by a generator: a later filter on the figures is then not pushed below it, where it would compute all of them again.
+    out = joined.select("_doc", F.explode_outer(F.transform(F.array(hits), told)).alias("_told"))
+    return out.select("_doc.*", "_told.*")
+
 
 def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))

@@ -34,7 +34,7 @@ BAND = 2 * THRESHOLD + 1
 def line_rows(docs: DataFrame) -> DataFrame:
     """``pos`` (place in the corpus), ``h1``, ``h2`` (the line's identity), ``line``: every line with a letter or digit."""
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("n").alias("n"))
-    lines = docs.select("_id", "_h", F.posexplode(F.split("_text", "\n")).alias("n", "line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
+    lines = docs.select("_id", "_h", F.posexplode_outer(F.split("_text", "\n")).alias("n", "line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
     return lines.select(place.alias("pos"), F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
 
 
@@ -53,7 +53,7 @@ def segments(length: Column) -> list[tuple[Column, Column]]:
 def index_rows(lines: DataFrame) -> DataFrame:
     """``key`` of each segment: a hash of the line's length, the segment's number and its text."""
     parts = F.array(*[F.xxhash64("len", F.lit(i), F.substring("line", s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))])
-    return lines.select("h1", F.explode(parts).alias("key"))
+    return lines.select("h1", F.explode_outer(parts).alias("key"))
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def probe_rows(lines: DataFrame) -> DataFrame:
                 start = s + shift
                 ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
                 keys.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring("line", start + 1, n))))
-    return lines.select("h1", F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    return lines.select("h1", F.explode_outer(F.array_compact(F.array(*keys))).alias("key"))
 
 
 def within(a: Column, b: Column) -> Column:
@@ -123,9 +123,10 @@ def removed_or_kept(docs: DataFrame) -> DataFrame:
     text = lines.select("h1", "h2", "pos", "line", "len")
     other = lines.select(F.col("h1").alias("i1"), F.col("h2").alias("i2"), F.col("pos").alias("ipos"), F.col("line").alias("iline"), F.col("len").alias("ilen"))
     both = pairs.join(text, "h1").join(other, "i1").where(F.abs(F.col("len") - F.col("ilen")) <= THRESHOLD)
-    spelt = both.withColumn("a", F.split("line", "")).withColumn("b", F.split("iline", ""))
+    # The characters are bound by a lambda, so they are split once for a pair wherever Spark moves the condition.
+    near = F.exists(F.array(F.struct(F.split("line", "").alias("a"), F.split("iline", "").alias("b"))), lambda p: within(p["a"], p["b"]))
     later = F.when(F.col("pos") < F.col("ipos"), F.struct(F.col("i1").alias("h1"), F.col("i2").alias("h2"))).otherwise(F.struct("h1", "h2"))
-    late = spelt.where(within(F.col("a"), F.col("b"))).select(later.alias("l")).select("l.h1", "l.h2").distinct()
+    late = both.where(near).select(later.alias("l")).select("l.h1", "l.h2").distinct()
     late = materialize(late, "late")
     # The first place of a line stays unless an earlier line is linked to it; every other place goes.
     first = lines.select("h1", "h2", "pos").join(late, ["h1", "h2"], "left_anti")
@@ -146,13 +147,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     keep = removed_or_kept(base)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), doc_key(F.col(key)).alias("_i"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"))
     joined = own.join(keep, ["_i", "_h"], "left")
-    lines = F.split(F.col(f"_doc.{text}"), "\n")
-    kept = F.filter(lines, lambda x, i: ~x.rlike(r"[\p{L}\p{N}]") | F.array_contains(F.coalesce("keep", F.array().cast("array<int>")), i))
-    done = joined.withColumn("_kept", kept)
+    split = joined.withColumn("_lines", F.split(F.col(f"_doc.`{text}`"), "\n"))
+    plain = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: ~F.get("_lines", i).rlike(r"[\p{L}\p{N}]"))
+    kept = F.transform(F.sort_array(F.concat(F.coalesce("keep", F.array().cast("array<int>")), plain)), lambda i: F.get("_lines", i))
+    done = split.withColumn("_kept", F.when(F.col("_lines").isNotNull(), kept))
     return done.select(
         *[(F.array_join("_kept", "\n") if c == text else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.size("_lines"), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).alias("n_removed"),
     )
 
 
