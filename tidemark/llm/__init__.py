@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import audio, bpe, decontam, linededup, pii, quality, simhash, urlfilter
+    from . import audio, bpe, decontam, html, linededup, pii, quality, simhash, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
         "op3_audio": audio.op3_audio,
         "op4_bpe": bpe.op4_bpe,
+        "op5_html": html.op5_html,
         "op6_pii": pii.op6_pii,
         "op7_quality": quality.op7_quality,
         "op8_line_dedup": linededup.op8_line_dedup,
