@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import audio, bpe, decontam, html, linededup, pii, quality, simhash, urlfilter
+    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, simhash, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_lm_score": lm.op2_lm_score,
         "op3_audio": audio.op3_audio,
         "op4_bpe": bpe.op4_bpe,
         "op5_html": html.op5_html,
