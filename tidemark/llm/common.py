@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,8 +50,10 @@ def discard(df: DataFrame) -> None:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let the driver's cleaner drop shuffle files that nothing refers to any more, instead of when memory runs short."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first round frees on this side lets go of more on the other
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,12 +15,14 @@ Equal lines are one line before the join, counted with their first place, so a l
 share is joined once. Segments are compared by 64-bit hash; equality of lines is by 128 bits.
 
 Defined cases: a null text has no lines and stays null; an empty text is one empty line and stays; rows equal in id
-and text count as one document and get equal results; documents without an id come last; documents are never
+and text count as one document and get equal results; documents without an id come first; documents are never
 dropped, one that loses all its lines keeps an empty text; only the named columns are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ BAND = 2 * THRESHOLD + 1
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """``pos`` (place in the corpus), ``h1``, ``h2`` (the line's identity), ``line``: every line with a letter or digit."""
-    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("n").alias("n"))
+    place = F.struct(F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("n").alias("n"))
     lines = docs.select("_id", "_h", F.posexplode_outer(F.split("_text", "\n")).alias("n", "line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
     return lines.select(place.alias("pos"), F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
 
@@ -52,23 +54,34 @@ def segments(length: Column) -> list[tuple[Column, Column]]:
 
 def index_rows(lines: DataFrame) -> DataFrame:
     """``key`` of each segment: a hash of the line's length, the segment's number and its text."""
-    parts = F.array(*[F.xxhash64("len", F.lit(i), F.substring("line", s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))])
+    parts = by_width(lambda line: F.array(*[F.xxhash64("len", F.lit(i), F.substring(line, s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))]))
     return lines.select("h1", F.explode_outer(parts).alias("key"))
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:
     """``key`` of each substring that may be a segment of a line as long as this one or up to THRESHOLD shorter."""
-    keys = []
-    for shorter in range(THRESHOLD + 1):
-        length = F.col("len") - shorter
-        for i, (s, n) in enumerate(segments(length)):
-            # i edits may lie to the left of segment i (from 0), THRESHOLD - i to its right, and the lengths differ by `shorter`.
-            low, high = max(-i, shorter - (THRESHOLD - i)), min(i, shorter + (THRESHOLD - i))
-            for shift in range(low, high + 1):
-                start = s + shift
-                ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
-                keys.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring("line", start + 1, n))))
-    return lines.select("h1", F.explode_outer(F.array_compact(F.array(*keys))).alias("key"))
+    def keys(line: Column) -> Column:
+        out = []
+        for shorter in range(THRESHOLD + 1):
+            length = F.col("len") - shorter
+            for i, (s, n) in enumerate(segments(length)):
+                # i edits may lie to the left of segment i (from 0), THRESHOLD - i to its right, and the lengths differ by `shorter`.
+                low, high = max(-i, shorter - (THRESHOLD - i)), min(i, shorter + (THRESHOLD - i))
+                for shift in range(low, high + 1):
+                    start = s + shift
+                    ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
+                    out.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n))))
+        return F.array_compact(F.array(*out))
+
+    return lines.select("h1", F.explode_outer(by_width(keys)).alias("key"))
+
+
+def by_width(keys: Callable[[Column], Column]) -> Column:
+    """Keys of a line; where all its characters are single bytes they are cut out as bytes, without counting characters.
+
+    The hash of a string is that of its bytes, so both ways give the same keys.
+    """
+    return F.when(F.octet_length("line") == F.col("len"), keys(F.col("line").cast("binary"))).otherwise(keys(F.col("line")))
 
 
 def within(a: Column, b: Column) -> Column:
@@ -112,7 +125,7 @@ def within(a: Column, b: Column) -> Column:
 def removed_or_kept(docs: DataFrame) -> DataFrame:
     """``_i``, ``_h``, ``keep``: the numbers of the worded lines that each document keeps."""
     rows = line_rows(docs)
-    grouped = rows.groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.min("line").alias("line"))
+    grouped = rows.groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
     lines = materialize(grouped.withColumn("len", F.length("line")), "lines")
     release_shuffles(docs.sparkSession)
     long = lines.where(F.col("len") >= MIN_CHARS)
