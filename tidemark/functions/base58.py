@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: the usual alphabet without 0, O, I and l.
 ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -20,11 +21,11 @@ def encode(raw: bytes | None) -> str | None:
     return ALPHABET[0] * (len(raw) - len(raw.lstrip(b"\0"))) + "".join(reversed(out))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def base58(raw: pd.Series) -> pd.Series:
     return raw.map(encode, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def base58_array(raw: pd.Series) -> pd.Series:
     return raw.map(lambda xs: [encode(x) for x in xs], na_action="ignore")

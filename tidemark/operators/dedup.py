@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import MAX_LONG
 
@@ -36,9 +35,6 @@ def new_rows(rows: DataFrame, table: DataFrame, key: str = "event_id") -> DataFr
     return rows.join(table.select(key), key, "left_anti")
 
 
-WRITE_SUMMARY = T.StructType.fromDDL("attempted long, inserted long, deduplicated long, skipped long")
-
-
 def write_summary(rows: DataFrame, table: DataFrame | None = None, key: str = "event_id") -> DataFrame:
     """One row: attempted, inserted, deduplicated, skipped.
 

@@ -29,17 +29,25 @@ IDENTITY = T.StructType(
 )
 EVENT = T.StructType(IDENTITY.fields + [T.StructField("payload", T.StringType())])
 
-EVENTS = T.StructType.fromDDL(
+
+
+def _flat(fields: str) -> T.StructType:
+    """A schema of plain types; unlike a DDL parse it needs no session."""
+    kinds = {"string": T.StringType(), "long": T.LongType(), "short": T.ShortType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (f.split() for f in fields.split(", "))])
+
+
+EVENTS = _flat(
     "event_id string, identity_version short, identity string, slot long, signature string, program_id string, account string, event_type string, payload string, observed_at timestamp, inserted_at timestamp"
 )
-STREAM_CURSORS = T.StructType.fromDDL("stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long, updated_at timestamp, metadata string")
-INGESTION_RUNS = T.StructType.fromDDL("run_id string, started_at timestamp, stopped_at timestamp, status string, git_sha string, config_hash string")
-STREAM_SLOTS = T.StructType.fromDDL("stream_name string, slot long, parent_slot long, finalized boolean, dead boolean, first_seen_at timestamp")
-SWAPS = T.StructType.fromDDL("slot long, signature string, program_id string, token_in string, token_in_amount long, token_out string, token_out_amount long, inferred_at timestamp")
+STREAM_CURSORS = _flat("stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long, updated_at timestamp, metadata string")
+INGESTION_RUNS = _flat("run_id string, started_at timestamp, stopped_at timestamp, status string, git_sha string, config_hash string")
+STREAM_SLOTS = _flat("stream_name string, slot long, parent_slot long, finalized boolean, dead boolean, first_seen_at timestamp")
+SWAPS = _flat("slot long, signature string, program_id string, token_in string, token_in_amount long, token_out string, token_out_amount long, inferred_at timestamp")
 
-#: Nested source updates, as a provider's messages lay them out.
+#: Nested source updates, as a provider's messages lay them out (DDL).
 _INSTRUCTION = "struct<program_id_index: long, accounts: binary, data: binary>"
-UPDATE = T.StructType.fromDDL(
+UPDATE = (
     "filters array<string>, kind string,"
     " account struct<slot: decimal(20,0), is_startup: boolean, account: struct<pubkey: binary, lamports: decimal(20,0), owner: binary, executable: boolean, rent_epoch: decimal(20,0), data: binary, write_version: decimal(20,0), txn_signature: binary>>,"
     " slot struct<slot: decimal(20,0), parent: decimal(20,0), status: int, dead_error: string>,"

@@ -50,8 +50,8 @@ def synthetic_events(spark: SparkSession, count: int, events_per_slot: int = 100
     )
 
 
-def to_jsonl(events: DataFrame) -> DataFrame:
-    """One ``value`` column of replay lines."""
+def to_jsonl(events: DataFrame, *keep: str) -> DataFrame:
+    """A ``value`` column of replay lines, and the columns to keep."""
     from ..functions.identity import identity_json
 
-    return events.select(F.concat(F.lit('{"identity":'), identity_json(), F.lit(',"payload":'), F.col("payload"), F.lit("}")).alias("value"))
+    return events.select(*keep, F.concat(F.lit('{"identity":'), identity_json(), F.lit(',"payload":'), F.col("payload"), F.lit("}")).alias("value"))
