@@ -31,6 +31,9 @@ from .common import discard, materialize, read, release_shuffles
 THRESHOLD = 2
 MIN_CHARS = 30
 BAND = 2 * THRESHOLD + 1
+#: Letters whose counts (modulo 16) go along with each key; an edit changes two of the counts by one at most.
+LETTERS = "etaonihr"
+PREFIXES = 16
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def segments(length: Column) -> list[tuple[Column, Column]]:
 def index_rows(lines: DataFrame) -> DataFrame:
     """``key`` of each segment: a hash of the line's length, the segment's number and its text."""
     parts = by_width(lambda line: F.array(*[F.xxhash64("len", F.lit(i), F.substring(line, s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))]))
-    return lines.select("h1", F.explode_outer(parts).alias("key"))
+    return lines.select("h1", "sig", F.explode_outer(parts).alias("key"))
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:
@@ -73,7 +76,7 @@ def probe_rows(lines: DataFrame) -> DataFrame:
                     out.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n))))
         return F.array_compact(F.array(*out))
 
-    return lines.select("h1", F.explode_outer(by_width(keys)).alias("key"))
+    return lines.select("h1", "sig", F.explode_outer(by_width(keys)).alias("key"))
 
 
 def by_width(keys: Callable[[Column], Column]) -> Column:
@@ -84,9 +87,27 @@ def by_width(keys: Callable[[Column], Column]) -> Column:
     return F.when(F.octet_length("line") == F.col("len"), keys(F.col("line").cast("binary"))).otherwise(keys(F.col("line")))
 
 
-def within(a: Column, b: Column) -> Column:
+def letter_counts(line: Column) -> Column:
+    out = F.lit(0)
+    for i, c in enumerate(LETTERS):
+        out = out.bitwiseOR(F.shiftleft((F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c)))).bitwiseAND(F.lit(15)), 4 * i))
+    return out
+
+
+def counts_apart(a: Column, b: Column) -> Column:
+    """Sum of the differences of two lines' letter counts; over 2 * THRESHOLD the lines can't be within THRESHOLD edits."""
+    out = F.lit(0)
+    for i in range(len(LETTERS)):
+        d = (F.shiftrightunsigned(a, 4 * i) - F.shiftrightunsigned(b, 4 * i)).bitwiseAND(F.lit(15))
+        out = out + F.least(d, 16 - d)
+    return out
+
+
+def within(a: Column, b: Column, whole: bool = True) -> Column:
     """Whether the edit distance of two arrays of characters, whose sizes differ by THRESHOLD at most, is at most THRESHOLD.
 
+    With ``whole`` false: whether it can be, when a and b are only the beginnings of what is compared.
+
     The state is one word of THRESHOLD + 1 levels of BAND bits. Bit d of level e: diagonal d - THRESHOLD (place in a
     less place in b) can be reached with e edits. One step takes a character of b and moves all diagonals of all
     levels at once: along matches; to the next level by substitution, or by insertion one diagonal down; then by deletions,
@@ -118,6 +139,8 @@ def within(a: Column, b: Column) -> Column:
     # Deletions before the first character reach diagonal e with e edits, and all levels above keep what lower ones reach.
     start = sum(1 << (BAND * e + THRESHOLD + d) for e in range(levels) for d in range(e + 1))
     end = F.aggregate(F.transform(F.sequence(F.lit(0), F.size(b) - 1), matches), F.lit(start), step)
+    if not whole:
+        return end != 0
     goal = F.size(a) - F.size(b) + THRESHOLD + BAND * THRESHOLD
     return F.call_function("shiftrightunsigned", end, goal).bitwiseAND(F.lit(1)) == 1
 
@@ -126,18 +149,26 @@ def removed_or_kept(docs: DataFrame) -> DataFrame:
     """``_i``, ``_h``, ``keep``: the numbers of the worded lines that each document keeps."""
     rows = line_rows(docs)
     grouped = rows.groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
-    lines = materialize(grouped.withColumn("len", F.length("line")), "lines")
+    lines = materialize(grouped.withColumn("len", F.length("line")).withColumn("sig", letter_counts(F.col("line"))), "lines")
     release_shuffles(docs.sparkSession)
     long = lines.where(F.col("len") >= MIN_CHARS)
     # Only hashes are shuffled to find candidates; a line always meets itself, and that is dropped at once.
-    pairs = probe_rows(long).join(index_rows(long).withColumnRenamed("h1", "i1"), "key").where("h1 <> i1").select("h1", "i1").distinct()
+    index = index_rows(long).select("key", F.col("h1").alias("i1"), F.col("sig").alias("isig"))
+    met = probe_rows(long).join(index, "key").where((F.col("h1") != F.col("i1")) & (counts_apart(F.col("sig"), F.col("isig")) <= 2 * THRESHOLD))
+    pairs = met.select(F.least("h1", "i1").alias("h1"), F.greatest("h1", "i1").alias("i1")).distinct()
     pairs = materialize(pairs, "pairs")
     release_shuffles(docs.sparkSession)
     text = lines.select("h1", "h2", "pos", "line", "len")
     other = lines.select(F.col("h1").alias("i1"), F.col("h2").alias("i2"), F.col("pos").alias("ipos"), F.col("line").alias("iline"), F.col("len").alias("ilen"))
     both = pairs.join(text, "h1").join(other, "i1").where(F.abs(F.col("len") - F.col("ilen")) <= THRESHOLD)
+    # Lines that part early are told apart by the characters around the first difference; the others are compared whole.
+    shorter = F.least("len", "ilen")
+    prefix = lambda i: (shorter * i / PREFIXES).cast("int")
+    equal = F.size(F.filter(F.sequence(F.lit(1), F.lit(PREFIXES - 1)), lambda i: F.substring("line", F.lit(1), prefix(i)) == F.substring("iline", F.lit(1), prefix(i))))
+    reach = (shorter / PREFIXES).cast("int") + 24
     # The characters are bound by a lambda, so they are split once for a pair wherever Spark moves the condition.
-    near = F.exists(F.array(F.struct(F.split("line", "").alias("a"), F.split("iline", "").alias("b"))), lambda p: within(p["a"], p["b"]))
+    bound = F.array(F.struct(F.split("line", "").alias("a"), F.split("iline", "").alias("b"), prefix(equal).alias("p"), reach.alias("n")))
+    near = F.exists(bound, lambda x: within(F.slice(x["a"], x["p"] + 1, x["n"] + THRESHOLD), F.slice(x["b"], x["p"] + 1, x["n"]), whole=False) & within(x["a"], x["b"]))
     later = F.when(F.col("pos") < F.col("ipos"), F.struct(F.col("i1").alias("h1"), F.col("i2").alias("h2"))).otherwise(F.struct("h1", "h2"))
     late = both.where(near).select(later.alias("l")).select("l.h1", "l.h2").distinct()
     late = materialize(late, "late")
