@@ -98,7 +98,8 @@ def counts_apart(a: Column, b: Column) -> Column:
     """Sum of the differences of two lines' letter counts; over 2 * THRESHOLD the lines can't be within THRESHOLD edits."""
     out = F.lit(0)
     for i in range(len(LETTERS)):
-        d = (F.shiftrightunsigned(a, 4 * i) - F.shiftrightunsigned(b, 4 * i)).bitwiseAND(F.lit(15))
+        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
+        d = (x - y).bitwiseAND(F.lit(15))
         out = out + F.least(d, 16 - d)
     return out
 
