@@ -87,7 +87,7 @@ def _end(mixer, text):
     raw, start = lm.lay_out([text])
     at = int(start[0]) + len(text)
     spot = np.arange(mixer.code.at[lm.END], mixer.code.at[lm.END] + mixer.code.length[lm.END])
-    x = [mixer.table[c[at] + mixer.code.node[spot]] for c in lm.contexts(raw)]
+    x = [mixer.table[c[at] + mixer.code.node[spot]] * lm.GRAIN for c in lm.contexts(raw)]
     gate = (x[-2] != 0).astype(int) + (x[-1] != 0)
     w = np.array(lm.FIRST_WEIGHTS)[gate]
     logit = np.clip(sum(w[:, k] * x[k] for k in range(len(x))), -12, 12) * mixer.code.sign[spot]
@@ -101,7 +101,7 @@ def test_language_model_without_training(spark, documents):
 
 
 def test_audio_round_trip(spark, documents):
-    texts = ["abc", "", None, "é" * 1000, "loud" * 500 + "\x01" * 4000 + "loud" * 500, "abc"]
+    texts = ["abc", "", None, "é" * 1000, "loud" * 500 + "\x7f" * 4000 + "loud" * 500, "abc"]
     rows = {x["doc_id"]: x for x in audio.op3_audio(spark, documents(texts)).collect()}
     for i, t in enumerate(texts):
         raw = (t or "").encode()

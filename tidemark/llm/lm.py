@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, read
+from .common import LOWER, materialize, read, release_shuffles
 
 #: Bytes of context, and bits of the hash table of contexts.
 ORDERS = ((2, 12), (3, 14), (4, 15), (5, 16))
@@ -46,7 +48,9 @@ RATE, FINE_RATE, QUIET, EASE = 0.016, 0.0005, 0.02, 0.8
 FIRST_WEIGHTS = ((0.6, 0.6, 0.1, 0.0), (0.1, 0.4, 0.5, 0.2), (0.05, 0.3, 0.4, 0.4))
 END = 0xFF
 FOLDS, HELD = 7, 2
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20  # texts are mixed together up to so many bytes, which bounds a worker's memory
+GRAIN = np.float32(0.08)  # of the predictors, which are kept as 8-bit numbers
 
 
 def contexts(raw: np.ndarray) -> list[np.ndarray]:
@@ -101,17 +105,31 @@ class Code:
 @dataclass
 class Mixer:
     code: Code
-    table: np.ndarray  # stretched probabilities of a one; 0 where nothing is known
+    table: np.ndarray  # stretched probabilities of a one in GRAINs; 0 where nothing is known
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Mixer:
-        code, table = Code(counts[: SIZES[0]].reshape(-1, 256).sum(axis=0, dtype=np.float64)), np.zeros((SLOTS // 256, 256), np.float32)
+        code, table = Code(counts[: SIZES[0]].reshape(-1, 256).sum(axis=0, dtype=np.float64)), np.zeros((SLOTS // 256, 256), np.int8)
         for first in range(0, len(table), 4096):
             part = counts[first * 256 : (first + 4096) * 256].reshape(-1, 256).astype(np.float32, copy=False)
             zero, one = part @ code.sides[0], part @ code.sides[1]
             s = np.log((one + PRIOR) / (zero + PRIOR))
-            table[first : first + len(part)] = np.where(zero + one > 0, np.where(np.abs(s) < 0.004, 0.004, s), 0)
-        return cls(code, np.clip(table, -10, 10).ravel())
+            grains = np.clip(np.rint(s / GRAIN), -127, 127)
+            table[first : first + len(part)] = np.where(zero + one > 0, np.where(grains == 0, 1, grains), 0)
+        return cls(code, table.ravel())
+
+    def packed(self) -> bytes:
+        return zlib.compress(pickle.dumps(self), 1)
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Log10 probability of each text, taken in batches; a text's score does not depend on its batch."""
+        out, at, size = [], 0, 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size > BATCH_BYTES or i == len(texts) - 1:
+                out.append(self.log10(texts[at : i + 1]))
+                at, size = i + 1, 0
+        return np.concatenate(out) if out else np.zeros(0)
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
         """Log10 probability of each text."""
@@ -141,7 +159,7 @@ class Mixer:
             spot += np.arange(len(spot))
             node, sign = code.node[spot], code.sign[spot]
             rows = np.repeat(np.repeat(np.arange(n), live.sum(axis=1)), bits)
-            x = [self.table[np.repeat(c[place], bits) + node] for c in context]
+            x = [self.table[np.repeat(c[place], bits) + node] * GRAIN for c in context]
             cell = (x[-2] != 0).astype(np.int64)
             cell += x[-1] != 0
             cell *= DEPTHS
@@ -169,6 +187,18 @@ class Mixer:
         return total
 
 
+_UNPACKED: dict[int, Mixer] = {}
+
+
+def unpacked(raw: bytes) -> Mixer:
+    """One a worker process."""
+    key = zlib.crc32(raw)
+    if key not in _UNPACKED:
+        _UNPACKED.clear()
+        _UNPACKED[key] = pickle.loads(zlib.decompress(raw))
+    return _UNPACKED[key]
+
+
 def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
 
@@ -201,7 +231,7 @@ def _gather(batches):
         at, size = 0, 0
         for i, t in enumerate(training):
             size += len(t)
-            if size > BLOCK_BYTES or i == len(training) - 1:
+            if size > BATCH_BYTES * 4 or i == len(training) - 1:
                 for total, part in zip(table, byte_counts(training[at : i + 1]), strict=True):
                     total += part.astype(np.int32)
                 at, size = i + 1, 0
@@ -222,14 +252,16 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     blocks = max(1, (size["bytes"] or 0) // BLOCK_BYTES)
     dealt = base.withColumn("_block", F.pmod(F.xxhash64(F.col("_key").cast("string"), "_text"), F.lit(blocks)).cast("int"))
     gathered = materialize(dealt.select("_block", "_held", "_text").repartition("_block").mapInArrow(_gather, "block int, word binary, slot int, n long"), "gathered")
+    release_shuffles(spark)
     # The predictors: at most SLOTS rows whatever the corpus.
     slots = gathered.where("slot >= 0").groupBy("slot").agg(F.sum("n").alias("n"))
     counts = np.zeros(SLOTS, np.float32)
     table = slots.toArrow()
     counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    mixer = spark.sparkContext.broadcast(Mixer.from_counts(counts))
+    mixer = spark.sparkContext.broadcast(Mixer.from_counts(counts).packed())
     del counts, table
     words = materialize(gathered.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
+    release_shuffles(spark)
     ends = size["training"] or 0  # every training document ends once
     whole = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = (whole["n"] or 0) + ends, whole["v"] + (ends > 0)
@@ -247,7 +279,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             hits.append(sum(1 for w in own if c.get(w)) + (ends > 0))
             sums.append(math.fsum(map(logs.__getitem__, own)) + math.log10(ends + 1) - log_all)
         raw = [(t or "").encode() for t in texts]
-        scores = mixer.value.log10(raw)
+        scores = unpacked(mixer.value).scores(raw)
         bits = -scores * math.log2(10) / np.array([len(t) + 1 for t in raw])
         m = len(texts)
         return pa.table([docs_.column("_key"), docs_.column("_held"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array([n] * m, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores), pa.array(bits)], names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
