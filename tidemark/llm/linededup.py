@@ -34,6 +34,7 @@ BAND = 2 * THRESHOLD + 1
 #: Letters whose counts (modulo 16) go along with each key; an edit changes two of the counts by one at most.
 LETTERS = "etaonihr"
 PREFIXES = 16
+MAX_BROADCAST_PAIRS = 500_000  # 16 MB of hashes at most
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -159,8 +160,12 @@ def removed_or_kept(docs: DataFrame) -> DataFrame:
     pairs = met.select(F.least("h1", "i1").alias("h1"), F.greatest("h1", "i1").alias("i1")).distinct()
     pairs = materialize(pairs, "pairs")
     release_shuffles(docs.sparkSession)
-    text = lines.select("h1", "h2", "pos", "line", "len")
-    other = lines.select(F.col("h1").alias("i1"), F.col("h2").alias("i2"), F.col("pos").alias("ipos"), F.col("line").alias("iline"), F.col("len").alias("ilen"))
+    # The text is fetched only for lines of a pair: by their hashes where these are few, else by one shuffle of the lines.
+    ids = pairs.select("h1").union(pairs.select("i1")).distinct()
+    few = pairs.count() <= MAX_BROADCAST_PAIRS
+    text = lines.select("h1", "h2", "pos", "line", "len").join(F.broadcast(ids) if few else ids, "h1", "left_semi")
+    text = materialize(text, "texts")
+    other = text.select(F.col("h1").alias("i1"), F.col("h2").alias("i2"), F.col("pos").alias("ipos"), F.col("line").alias("iline"), F.col("len").alias("ilen"))
     both = pairs.join(text, "h1").join(other, "i1").where(F.abs(F.col("len") - F.col("ilen")) <= THRESHOLD)
     # Lines that part early are told apart by the characters around the first difference; the others are compared whole.
     shorter = F.least("len", "ilen")
@@ -177,7 +182,7 @@ def removed_or_kept(docs: DataFrame) -> DataFrame:
     first = lines.select("h1", "h2", "pos").join(late, ["h1", "h2"], "left_anti")
     keep = first.groupBy("pos.id", "pos.h").agg(F.collect_set("pos.n").alias("keep")).select(doc_key(F.col("id")).alias("_i"), F.col("h").alias("_h"), "keep")
     keep = materialize(keep, "keep")
-    for old in (pairs, late, lines):
+    for old in (pairs, text, late, lines):
         discard(old)
     return keep
 

@@ -28,6 +28,7 @@ from .common import read
 CHUNK, STRIDE, EMBED, FILTERS = 16, 8, 8, 16
 MAX_TRAIN_ROWS = 2500
 EPOCHS = 14
+LEAST_STEPS = 600  # of training; a small set is gone through more often
 THRESHOLD = 0.3
 HOLD_OUT = 5
 
@@ -91,6 +92,7 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: in
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     step = 0
+    epochs = max(epochs, min(200, LEAST_STEPS // max(1, len(texts) // 32)))
     for epoch in range(epochs):
         rate = 0.01 * (0.5 + 0.5 * np.cos(np.pi * epoch / epochs))
         for part in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // 32)):
