@@ -34,6 +34,7 @@ BAND = 2 * THRESHOLD + 1
 #: Letters whose counts (modulo 16) go along with each key; an edit changes two of the counts by one at most.
 LETTERS = "etaonihr"
 PREFIXES = 16
+SAME_LENGTH_KEYS = sum(2 * min(i, THRESHOLD - i) + 1 for i in range(THRESHOLD + 1))
 MAX_BROADCAST_PAIRS = 500_000  # 16 MB of hashes at most
 
 
@@ -75,9 +76,11 @@ def probe_rows(lines: DataFrame) -> DataFrame:
                     start = s + shift
                     ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
                     out.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n))))
-        return F.array_compact(F.array(*out))
+        return F.array(*out)
 
-    return lines.select("h1", "sig", F.explode_outer(by_width(keys)).alias("key"))
+    # The first keys look for lines of the same length: those pairs are met from both sides, and one will do.
+    rows = lines.select("h1", "sig", F.posexplode_outer(by_width(keys)).alias("at", "key")).where("key is not null")
+    return rows.select("h1", "sig", "key", (F.col("at") < SAME_LENGTH_KEYS).alias("same"))
 
 
 def by_width(keys: Callable[[Column], Column]) -> Column:
@@ -156,7 +159,7 @@ def removed_or_kept(docs: DataFrame) -> DataFrame:
     long = lines.where(F.col("len") >= MIN_CHARS)
     # Only hashes are shuffled to find candidates; a line always meets itself, and that is dropped at once.
     index = index_rows(long).select("key", F.col("h1").alias("i1"), F.col("sig").alias("isig"))
-    met = probe_rows(long).join(index, "key").where((F.col("h1") != F.col("i1")) & (counts_apart(F.col("sig"), F.col("isig")) <= 2 * THRESHOLD))
+    met = probe_rows(long).join(index, "key").where(F.when(F.col("same"), F.col("h1") < F.col("i1")).otherwise(F.col("h1") != F.col("i1")) & (counts_apart(F.col("sig"), F.col("isig")) <= 2 * THRESHOLD))
     pairs = met.select(F.least("h1", "i1").alias("h1"), F.greatest("h1", "i1").alias("i1")).distinct()
     pairs = materialize(pairs, "pairs")
     release_shuffles(docs.sparkSession)
