@@ -54,7 +54,9 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     # The payload of JSON null is present and written as null text.
     payload = F.when(J.is_null(F.col("_p")), F.lit("null")).otherwise(F.col("payload"))
-    return typed.select(*fields, payload.alias("payload"), error.alias("parse_error"), *keep)
+    # Through a generator, so that a filter on the error is not pushed below, where it would hold all of the parsing once more.
+    row = F.struct(*fields, payload.alias("payload"), error.alias("parse_error"))
+    return typed.select(*keep, F.explode(F.array(row)).alias("_r")).select("_r.*", *keep)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
