@@ -100,6 +100,36 @@ def test_language_model_without_training(spark, documents):
     assert all(x["train_tokens"] == 0 and x["n_known"] == 0 and x["base_score"] == 0 for x in rows)
 
 
+def test_language_model_keeps_every_context_apart():
+    """More contexts than any table of fixed size has room for; the predictor of each is that of its own counts."""
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200_000)).encode()
+    raw, _ = lm.lay_out([text])
+    for order, slots in zip((2, 3, 4, 5), lm.contexts(raw), strict=True):
+        whole = bytes(lm.LEAD) + text
+        assert len(np.unique(slots[lm.LEAD :])) == len({whole[i - order : i] for i in range(lm.LEAD, len(whole) + 1)})
+    mixer = lm.Mixer.from_counts(np.concatenate(lm.byte_counts([text])).astype(np.float32))
+    after = Counter(text[i : i + 6] for i in range(len(text) - 5))
+    for i in r.sample(range(10, len(text)), 50):
+        n = [after[text[i - 5 : i] + bytes([b])] for b in range(256)]
+        for at in range(mixer.code.at[text[i]], mixer.code.at[text[i]] + mixer.code.length[text[i]]):
+            node, sign = mixer.code.node[at], mixer.code.sign[at]
+            below = [(b, mixer.code.sign[k]) for b in range(256) for k in range(mixer.code.at[b], mixer.code.at[b] + mixer.code.length[b]) if mixer.code.node[k] == node]
+            one, zero = sum(n[b] for b, s in below if s > 0), sum(n[b] for b, s in below if s < 0)
+            want = round(math.log((one + lm.PRIOR) / (zero + lm.PRIOR)) / 0.08)
+            got = int(mixer.table[lm.contexts(raw)[-1][lm.LEAD + i : lm.LEAD + i + 1] + node][0])
+            assert abs(got - max(-127, min(127, want or 1))) <= 1 and (one + zero > 0)
+
+
+def test_language_model_is_the_same_over_many_blocks(spark, documents, monkeypatch):
+    r = random.Random(6)
+    path = documents([prose(r, r.randint(1, 60)) for _ in range(80)] + [None, "é"])
+    one = {x["doc_id"]: x["score"] for x in lm.op2_lm_score(spark, path).collect()}
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 1000)
+    many = {x["doc_id"]: x["score"] for x in lm.op2_lm_score(spark, path).collect()}
+    assert one.keys() == many.keys() and all(math.isclose(one[i], many[i], rel_tol=1e-6) for i in one)
+
+
 def test_audio_round_trip(spark, documents):
     texts = ["abc", "", None, "é" * 1000, "loud" * 500 + "\x7f" * 4000 + "loud" * 500, "abc"]
     rows = {x["doc_id"]: x for x in audio.op3_audio(spark, documents(texts)).collect()}

@@ -1,15 +1,16 @@
 """Language-model scoring: online logistic context mixing over bytes, next to an add-one unigram base.
 
 The model predicts a text bit by bit, a byte's bits being those of its prefix code (short for frequent bytes). Each
-order of ORDERS hashes the bytes before a byte into a table of bit predictors, one for each node of the code's tree,
+order of ORDERS has bit predictors for each context (the bytes before a byte), one for each node of the code's tree,
 whose counts are gathered from all training documents. A gate chosen by the bit's depth and by how many orders know the context selects the weights that mix the predictions in the
 logistic domain. While a text is read the weights follow its own error (a step for every STEP bytes), and a
 second adaptive stage, a scale and a shift of the text, refines the mixed prediction. A final byte that UTF-8 never
 uses ends a text, so the score is a proper log-probability of the text.
 
 Word counts of the base are exact: documents are dealt to blocks by a hash of the document, each block asks for the
-counts of its own distinct words, and the answers come back by block. Nothing grows on the driver: the predictor
-tables have a fixed size, and words stay in tables.
+counts of its own distinct words, and the answers come back by block. Counts of contexts are exact too, keyed by the
+context itself: each block sends what followed its contexts to buckets, whose number grows with the corpus, and a
+bucket answers each block for the contexts that it has. Nothing grows on the driver: words and contexts stay in tables.
 
 Defined cases: a null text is an empty one (a single end token); a null id is never held out; without training documents
 every count is zero and the predictors know nothing (every bit costs one bit at first); repeated rows train once each and
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import pickle
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -30,14 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, read, release_shuffles
+from .common import LOWER, discard, materialize, read, release_shuffles
 
-#: Bytes of context, and bits of the hash table of contexts.
-ORDERS = ((2, 12), (3, 14), (4, 15), (5, 16))
-LEAD = max(order for order, _ in ORDERS)
-SIZES = [256 << bits for _, bits in ORDERS]
-OFFSETS = [sum(SIZES[:k]) for k in range(len(SIZES))]
-SLOTS = sum(SIZES)
+#: Bytes of context.
+ORDERS = (2, 3, 4, 5)
+LEAD = max(ORDERS)
 PRIOR = 0.05  # of the counts
 STEP = 16  # bytes between two updates of the weights at first; further into a text, a STEP_SHARE-th of what was read
 STEP_SHARE = 16
@@ -49,19 +46,27 @@ FIRST_WEIGHTS = ((0.6, 0.6, 0.1, 0.0), (0.1, 0.4, 0.5, 0.2), (0.05, 0.3, 0.4, 0.
 END = 0xFF
 FOLDS, HELD = 7, 2
 BLOCK_BYTES = 8 << 20
+HOLD_BYTES = 16 << 20  # of texts that a task holds before it counts their contexts
 BATCH_BYTES = 1 << 20  # texts are mixed together up to so many bytes, which bounds a worker's memory
 GRAIN = np.float32(0.08)  # of the predictors, which are kept as 8-bit numbers
 
 
 def contexts(raw: np.ndarray) -> list[np.ndarray]:
-    """For each order the first slot of the context before every byte. Texts are set apart by LEAD zero bytes."""
-    n = len(raw)
-    hashes, h = {}, np.zeros(n, np.uint32)
+    """For each order the first slot of the context before every byte: order and bytes, then room for a byte or node.
+
+    Texts are set apart by LEAD zero bytes.
+    """
+    out, key = [], np.zeros(len(raw), np.int64)
     for back in range(1, LEAD + 1):
-        h[back:] = (h[back:] + raw[:-back]) * np.uint32(0x9E3779B1)
-        h ^= h >> np.uint32(15)
-        hashes[back] = h * np.uint32(0x85EBCA6B)
-    return [(hashes[order] >> np.uint32(32 - bits)).astype(np.int64) * 256 + first for (order, bits), first in zip(ORDERS, OFFSETS, strict=True)]
+        key[back:] += raw[:-back].astype(np.int64) << 8 * (back - 1)
+        if back in ORDERS:
+            out.append(key << 8 | back << 48)
+    return out
+
+
+def shorter(slots: np.ndarray, order: int) -> np.ndarray:
+    """The slots of an order from those of the longest."""
+    return slots & ((1 << 8 * (order + 1)) - 1) | order << 48
 
 
 def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,14 +75,33 @@ def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(bytes(LEAD) + t + bytes([END]) for t in texts), np.uint8), np.cumsum(length) - length + LEAD
 
 
-def byte_counts(texts: list[bytes]) -> list[np.ndarray]:
-    """For each order, how often each byte followed each context."""
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+def pair_counts(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order the slots of all contexts and bytes that follow them, and how often."""
     raw, begin = lay_out(texts)
     keep = np.ones(len(raw), bool)
     for k in range(1, LEAD + 1):
         keep[begin - k] = False
-    seen = raw[keep]
-    return [np.bincount(c[keep] + seen - first, minlength=size) for c, first, size in zip(contexts(raw), OFFSETS, SIZES, strict=True)]
+    keys, n = np.unique(contexts(raw)[-1][keep] + raw[keep], return_counts=True)
+    return [*(summed(shorter(keys, order), n) for order in ORDERS[:-1]), (keys, n)]
+
+
+def byte_counts(texts: list[bytes]) -> list[np.ndarray]:
+    """The same as one array for each order: eight bytes of the slot and the count in a row."""
+    return [np.column_stack([keys.view(np.uint8).reshape(-1, 8), n]) for keys, n in pair_counts(texts)]
+
+
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places in the ranges one after another, and the number of the range of each."""
+    n = ends - starts
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.repeat(np.arange(len(n)), n)
 
 
 class Code:
@@ -87,11 +111,9 @@ class Code:
         heap: list[tuple[int, int, tuple[int, ...]]] = [(int(n) + 1, b, (b,)) for b, n in enumerate(counts)]
         heapq.heapify(heap)
         paths: list[list[tuple[int, int]]] = [[] for _ in range(256)]
-        self.sides = np.zeros((2, 256, 256), np.float32)  # which bytes lie below each node, by side
         for k in range(255):  # the root is made last and has number 0, so that frequent nodes lie together
             (n, first, left), (m, _, right) = heapq.heappop(heap), heapq.heappop(heap)
             for side, part in enumerate((left, right)):
-                self.sides[side, list(part), 254 - k] = 1
                 for b in part:
                     paths[b].append((254 - k, 2 * side - 1))
             heapq.heappush(heap, (n + m, first, left + right))
@@ -102,24 +124,45 @@ class Code:
         self.depth = np.array([min(d, DEPTHS - 1) for p in paths for d in range(len(p))])
 
 
+@dataclass
+class Predictors:
+    """Stretched probabilities of a one in GRAINs, by context and node; 0 where nothing is known."""
+
+    code: Code
+    keys: np.ndarray  # slots of contexts and bytes, in order
+    n: np.ndarray
+
+    def dense(self, slots: np.ndarray) -> np.ndarray:
+        """256 predictors for each of the contexts."""
+        code, out = self.code, np.zeros(len(slots) * 256, np.int8)
+        starts, ends = np.searchsorted(self.keys, slots), np.searchsorted(self.keys, slots + 256)
+        for first in range(0, len(slots), 4096):
+            at, row = ranges(starts[first : first + 4096], ends[first : first + 4096])
+            byte = self.keys[at] & 255
+            spot, which = ranges(code.at[byte], code.at[byte] + code.length[byte])
+            cell, n = row[which] * 256 + code.node[spot], self.n[at][which].astype(np.float64)
+            both = np.bincount(cell, n)
+            hit = np.flatnonzero(both)
+            one = np.bincount(cell, n * (code.sign[spot] > 0))[hit]
+            grains = np.clip(np.rint(np.log((one + PRIOR) / (both[hit] - one + PRIOR)) / GRAIN), -127, 127)
+            out[first * 256 + hit] = np.where(grains == 0, 1, grains)
+        return out
+
+    def __getitem__(self, slots: np.ndarray) -> np.ndarray:
+        own, at = np.unique(slots >> 8, return_inverse=True)
+        return self.dense(own << 8)[at * 256 + (slots & 255)]
+
+
 @dataclass
 class Mixer:
     code: Code
-    table: np.ndarray  # stretched probabilities of a one in GRAINs; 0 where nothing is known
+    table: Predictors
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Mixer:
-        code, table = Code(counts[: SIZES[0]].reshape(-1, 256).sum(axis=0, dtype=np.float64)), np.zeros((SLOTS // 256, 256), np.int8)
-        for first in range(0, len(table), 4096):
-            part = counts[first * 256 : (first + 4096) * 256].reshape(-1, 256).astype(np.float32, copy=False)
-            zero, one = part @ code.sides[0], part @ code.sides[1]
-            s = np.log((one + PRIOR) / (zero + PRIOR))
-            grains = np.clip(np.rint(s / GRAIN), -127, 127)
-            table[first : first + len(part)] = np.where(zero + one > 0, np.where(grains == 0, 1, grains), 0)
-        return cls(code, table.ravel())
-
-    def packed(self) -> bytes:
-        return zlib.compress(pickle.dumps(self), 1)
+        keys, n = summed(np.ascontiguousarray(counts[:, :8].astype(np.uint8)).view(np.int64).ravel(), counts[:, 8])
+        code = Code(np.bincount(keys[keys >> 48 == ORDERS[0]] & 255, n[keys >> 48 == ORDERS[0]], 256))
+        return cls(code, Predictors(code, keys, n))
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Log10 probability of each text, taken in batches; a text's score does not depend on its batch."""
@@ -140,7 +183,17 @@ class Mixer:
         code = self.code
         length = np.array([len(texts[i]) + 1 for i in order])
         raw, start = lay_out([texts[i] for i in order])
-        context = contexts(raw)
+        # The contexts that occur get a row each; those of the longest order lead to the others.
+        slots = contexts(raw)[-1]
+        own = np.unique(slots)
+        at, rows_of, firsts, base = np.searchsorted(own, slots), [], [], 0
+        for order_ in ORDERS:
+            part, inverse = np.unique(shorter(own, order_), return_inverse=True)
+            rows_of.append(part)
+            firsts.append(((base + inverse) * 256).astype(np.int32 if len(own) < 1 << 20 else np.int64)[at])
+            base += len(part)
+        context, table = firsts, self.table.dense(np.concatenate(rows_of))
+        del slots, at
         # One array for each predictor: weights by text and gate, so that every operation runs over contiguous numbers.
         weight = [np.tile(np.repeat(np.array(w, np.float32), DEPTHS), len(texts)) for w in zip(*FIRST_WEIGHTS, strict=True)]
         scale, shift = np.ones(len(texts), np.float32), np.zeros(len(texts), np.float32)
@@ -159,7 +212,7 @@ class Mixer:
             spot += np.arange(len(spot))
             node, sign = code.node[spot], code.sign[spot]
             rows = np.repeat(np.repeat(np.arange(n), live.sum(axis=1)), bits)
-            x = [self.table[np.repeat(c[place], bits) + node] * GRAIN for c in context]
+            x = [table[np.repeat(c[place], bits) + node] * GRAIN for c in context]
             cell = (x[-2] != 0).astype(np.int64)
             cell += x[-1] != 0
             cell *= DEPTHS
@@ -187,16 +240,24 @@ class Mixer:
         return total
 
 
-_UNPACKED: dict[int, Mixer] = {}
+def packed(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """All first bytes of the numbers, then all second ones and so on, which compresses well."""
+    both = np.column_stack([keys, n.astype(np.int64)]).view(np.uint8)
+    return zlib.compress(both.T.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(16, -1).T).view(np.int64)
+    return both[:, 0], both[:, 1]
 
 
-def unpacked(raw: bytes) -> Mixer:
-    """One a worker process."""
-    key = zlib.crc32(raw)
-    if key not in _UNPACKED:
-        _UNPACKED.clear()
-        _UNPACKED[key] = pickle.loads(zlib.decompress(raw))
-    return _UNPACKED[key]
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    none = np.zeros(0, np.int64)
+    return summed(np.concatenate([none, *(k for k, _ in parts)]), np.concatenate([none, *(n for _, n in parts)]))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (((keys >> 8).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
 
 
 def held_out(key: str = "doc_id"):
@@ -207,41 +268,85 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(LOWER).split()
 
 
+_GATHERED = ["block", "word", "byte", "n", "bucket", "pairs"]
+
+
 def _flush(block: int, counter: Counter):
     words = list(counter)
     n = len(words)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(words, pa.binary()), pa.array(np.full(n, -1, np.int32)), pa.array([counter[w] for w in words], pa.int64())], ["block", "word", "slot", "n"])
-
-
-def _gather(batches):
-    """Each block's distinct words with their training counts, and the task's counts of the predictors' slots."""
-    table = [np.zeros(size, np.int32) for size in SIZES]
-    blocks: dict[int, Counter] = {}
-    for batch in batches:
-        training: list[bytes] = []
-        for block, held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            own = blocks.setdefault(block, Counter())
-            words = _words(text)
-            if held:
-                for w in set(words):
-                    own[w] += 0
-            else:
-                own.update(words)
-                training.append((text or "").encode())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(words, pa.binary()), pa.nulls(n, pa.int32()), pa.array([counter[w] for w in words], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _GATHERED)
+
+
+def _flush_pairs(block: int, training: list[bytes], held: list[bytes], buckets: int):
+    """What followed the contexts of a block's texts, by bucket; those of held-out texts are only asked for."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for texts, times in ((training, 1), (held, 0)):
         at, size = 0, 0
-        for i, t in enumerate(training):
+        for i, t in enumerate(texts):
             size += len(t)
-            if size > BATCH_BYTES * 4 or i == len(training) - 1:
-                for total, part in zip(table, byte_counts(training[at : i + 1]), strict=True):
-                    total += part.astype(np.int32)
+            if size > BATCH_BYTES or i == len(texts) - 1:
+                parts += [(keys, n * times) for keys, n in pair_counts(texts[at : i + 1])]
                 at, size = i + 1, 0
-    for block, counter in blocks.items():
-        yield _flush(block, counter)
-    for start, total in zip(OFFSETS, table, strict=True):
-        hit = np.flatnonzero(total)
-        for i in range(0, len(hit), 100_000):
-            own = hit[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), -1, np.int32)), pa.nulls(len(own), pa.binary()), pa.array((own + start).astype(np.int32)), pa.array(total[own], pa.int64())], ["block", "word", "slot", "n"])
+    keys, n = merged(parts)
+    shortest = keys >> 48 == ORDERS[0]
+    seen = np.bincount(keys[shortest] & 255, n[shortest], 256).astype(np.int64)
+    own = bucket_of(keys, buckets)
+    order = np.argsort(own, kind="stable")
+    keys, n, own = keys[order], n[order], own[order]
+    cut = np.searchsorted(own, np.arange(buckets + 1))
+    full = np.flatnonzero(np.diff(cut))
+    yield pa.RecordBatch.from_arrays([pa.nulls(256, pa.int32()), pa.nulls(256, pa.binary()), pa.array(np.arange(256, dtype=np.int32)), pa.array(seen), pa.nulls(256, pa.int32()), pa.nulls(256, pa.binary())], _GATHERED)
+    k = len(full)
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, block, np.int32)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(full.astype(np.int32)), pa.array([packed(keys[cut[b] : cut[b + 1]], n[cut[b] : cut[b + 1]]) for b in full], pa.binary())], _GATHERED)
+
+
+def _gather(buckets: int):
+    """Each block's distinct words with their training counts, its bytes' counts, and what followed its contexts."""
+
+    def run(batches):
+        blocks: dict[int, Counter] = {}
+        texts: dict[int, tuple[list[bytes], list[bytes]]] = {}
+        size = 0
+        for batch in batches:
+            for block, held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                own = blocks.setdefault(block, Counter())
+                words = _words(text)
+                if held:
+                    for w in set(words):
+                        own[w] += 0
+                else:
+                    own.update(words)
+                raw = (text or "").encode()
+                texts.setdefault(block, ([], []))[bool(held)].append(raw)
+                size += len(raw)
+                if size > HOLD_BYTES:
+                    for b, (training, rest) in texts.items():
+                        yield from _flush_pairs(b, training, rest, buckets)
+                    texts, size = {}, 0
+        for b, (training, rest) in texts.items():
+            yield from _flush_pairs(b, training, rest, buckets)
+        for block, counter in blocks.items():
+            yield _flush(block, counter)
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """A bucket's counts of all blocks, for each block those of the contexts that it has."""
+    asked: dict[int, list[np.ndarray]] = {}
+    parts = []
+    for block, raw in zip(table.column("block").to_pylist(), table.column("pairs").to_pylist(), strict=True):
+        keys, n = unpacked(raw)
+        parts.append((keys, n))
+        asked.setdefault(block, []).append(keys >> 8)
+    keys, n = merged(parts)
+    keys, n = keys[n > 0], n[n > 0]
+    out = []
+    for own in asked.values():
+        slots = np.unique(np.concatenate(own)) << 8
+        at, _ = ranges(np.searchsorted(keys, slots), np.searchsorted(keys, slots + 256))
+        out.append(packed(keys[at], n[at]))
+    return pa.table([pa.array(list(asked), pa.int32()), pa.array(out, pa.binary())], names=["_block", "pairs"])
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,35 +356,44 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     size = base.agg(F.sum(F.octet_length("_text")).alias("bytes"), F.sum((~F.col("_held")).cast("long")).alias("training")).first()
     blocks = max(1, (size["bytes"] or 0) // BLOCK_BYTES)
     dealt = base.withColumn("_block", F.pmod(F.xxhash64(F.col("_key").cast("string"), "_text"), F.lit(blocks)).cast("int"))
-    gathered = materialize(dealt.select("_block", "_held", "_text").repartition("_block").mapInArrow(_gather, "block int, word binary, slot int, n long"), "gathered")
+    buckets = max(8, -(-blocks // 2))
+    gathered = materialize(dealt.select("_block", "_held", "_text").repartition("_block").mapInArrow(_gather(buckets), "block int, word binary, byte int, n long, bucket int, pairs binary"), "gathered")
+    release_shuffles(spark)
+    seen = np.zeros(256)
+    for row in gathered.where("byte is not null").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+        seen[row["byte"]] = row["n"]
+    code = Code(seen)
+    pairs = materialize(gathered.where("bucket is not null").groupBy("bucket").applyInArrow(_answer, "_block int, pairs binary"), "pairs")
     release_shuffles(spark)
-    # The predictors: at most SLOTS rows whatever the corpus.
-    slots = gathered.where("slot >= 0").groupBy("slot").agg(F.sum("n").alias("n"))
-    counts = np.zeros(SLOTS, np.float32)
-    table = slots.toArrow()
-    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    mixer = spark.sparkContext.broadcast(Mixer.from_counts(counts).packed())
-    del counts, table
     words = materialize(gathered.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
     release_shuffles(spark)
     ends = size["training"] or 0  # every training document ends once
     whole = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = (whole["n"] or 0) + ends, whole["v"] + (ends > 0)
-    answers = gathered.where("word is not null").select(F.col("block").alias("_block"), "word").join(words, "word").select("_block", "word", "c")
+    asked = gathered.where("word is not null").select(F.col("block").alias("_block"), "word")
+    known = materialize(asked.join(words, "word").select("_block", "word", "c"), "answers")
+    for old in (gathered, words):
+        discard(old)
+    release_shuffles(spark)
+    answers = known.withColumn("pairs", F.lit(None).cast("binary")).unionByName(pairs, allowMissingColumns=True)
 
     def run(docs_: pa.Table, known: pa.Table) -> pa.Table:
-        c = dict(zip(known.column("word").to_pylist(), known.column("c").to_pylist(), strict=True))
+        is_word = known.column("word").is_valid()
+        own = known.filter(is_word)
+        mixer = Mixer(code, Predictors(code, *merged([unpacked(x) for x in known.column("pairs").drop_null().to_pylist()])))
         log_all = math.log10(n + v + 1)
-        logs = {w: math.log10(x + 1) - log_all for w, x in c.items()}
+        unseen = -log_all
+        logs = {w: math.log10(x + 1) - log_all for w, x in zip(own.column("word").to_pylist(), own.column("c").to_pylist(), strict=True)}
+        del own
         texts = docs_.column("_text").to_pylist()
         tokens, hits, sums = [], [], []
         for t in texts:
             own = _words(t)
             tokens.append(len(own) + 1)
-            hits.append(sum(1 for w in own if c.get(w)) + (ends > 0))
+            hits.append(sum(1 for w in own if logs[w] > unseen) + (ends > 0))
             sums.append(math.fsum(map(logs.__getitem__, own)) + math.log10(ends + 1) - log_all)
         raw = [(t or "").encode() for t in texts]
-        scores = unpacked(mixer.value).scores(raw)
+        scores = mixer.scores(raw)
         bits = -scores * math.log2(10) / np.array([len(t) + 1 for t in raw])
         m = len(texts)
         return pa.table([docs_.column("_key"), docs_.column("_held"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array([n] * m, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores), pa.array(bits)], names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
