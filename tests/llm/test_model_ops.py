@@ -209,6 +209,23 @@ def test_field_finds_what_the_base_misses(spark, documents):
     assert rows[1]["spans"] == rows[2]["spans"] == rows[3]["spans"] == ""
 
 
+def test_field_sees_whole_entities_in_long_stretches():
+    """Whatever separates the numbers of a long list, none is cut; nor is a secret that is longer than a stretch was."""
+    crf = pii.model()
+    for gap in (" ", "\n", "\t"):
+        text, want = "", set()
+        for i in range(120):
+            want.add((len(text), 3, len(text) + 14))
+            text += f"({200 + i}) 555-0{100 + i}" + gap
+        assert want <= set(pii.spans(text, crf)[1])
+    r = random.Random(1)
+    secret = "".join(r.choice("0123456789abcdef") for _ in range(320))
+    assert (8, 4, 328) in pii.spans("token = " + secret + " end", crf)[1]
+    for text in ("x" + "9" * 5000, "1 " * 3000):
+        regions = pii.regions(text, [])
+        assert regions[0][0] == 0 and len(regions) == 1
+
+
 URLS = [None, "", "nope", "http://A.Example.NET/en/1", "http://a.example.net/de", "https://x.org/fr/", "https://x.org/fr", "http://example.com/de/x?y", "http://net", "http://net/", "http://sub.net?q", "x://spam-farm.example.org/en/", "a://b://c", "http://notexample.com/de/", "http://u@net:80/"]
 
 

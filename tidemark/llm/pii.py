@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -149,10 +150,14 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
     return out
 
 
-def candidates(text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, list[str]]]]:
-    """First token and features of each segment that may end at each token."""
+def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[list[tuple[int, list[str]]]]:
+    """First token and features of each segment that may end at each token; none of several tokens holds a newline."""
     blank = [text[a].isspace() for a, _ in tokens]
-    return [[(i, segment_features(text, tokens, i, j)) for i in range(max(0, j - MAX_LEN), j) if i == j - 1 or not (blank[i] or blank[j - 1])] for j in range(1, len(tokens) + 1)]
+    first = 0
+    for j in range(1, len(tokens) + 1):
+        if text[tokens[j - 1][0]] == "\n":
+            first = j
+        yield [(i, segment_features(text, tokens, i, j)) for i in range(min(j - 1, max(first, j - MAX_LEN)), j) if i == j - 1 or not (blank[i] or blank[j - 1])]
 
 
 _DOTTED = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
@@ -168,9 +173,8 @@ class SemiCrf:
         w = self.weights
         return sum(w.get((y, f), 0.0) for f in feats)
 
-    def lattice(self, candidates: list[list[tuple[int, list[str]]]]):
+    def lattice(self, candidates: Iterable[list[tuple[int, list[str]]]]):
         """Scored segments that end at each token: (start, type, score, features)."""
-        out = []
         for j, own in enumerate(candidates, 1):
             here = []
             for i, feats in own:
@@ -178,8 +182,7 @@ class SemiCrf:
                     here.append((i, 0, self.score(0, feats), feats))
                 if "blankedge" not in feats and "newline" not in feats:
                     here += [(i, y, self.score(y, feats), feats) for y in range(1, len(TYPES))]
-            out.append(here)
-        return out
+            yield here
 
     def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """Best segmentation: (first token, end token, type) of the segments that are personal data."""
@@ -203,7 +206,7 @@ class SemiCrf:
 
     def gradient(self, own: list[list[tuple[int, list[str]]]], gold: list[tuple[int, int, int]]):
         """Observed less expected features, and the same for moves; the log-likelihood."""
-        lattice, n, k = self.lattice(own), len(own), len(TYPES)
+        lattice, n, k = list(self.lattice(own)), len(own), len(TYPES)
         fwd, bwd = np.full((n + 1, k), -1e18), np.full((n + 1, k), -1e18)
         fwd[0, 0] = 0
         for j, here in enumerate(lattice, 1):
@@ -289,7 +292,7 @@ def model(epochs: int = 4) -> SemiCrf:
         at, to = {a: i for i, (a, _) in enumerate(tokens)}, {b: i + 1 for i, (_, b) in enumerate(tokens)}
         gold = [(at[a], to[b], TYPES.index(k)) for a, b, k in spans if a in at and b in to and to[b] - at[a] <= MAX_LEN]
         if len(gold) == len(spans):
-            data.append((candidates(text, tokens), gold))
+            data.append((list(candidates(text, tokens)), gold))
     for _ in range(epochs):
         for own, gold in data:
             grad, moves, _ = crf.gradient(own, gold)
@@ -316,11 +319,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]], crf: SemiCrf) -> li
     return out
 
 
-REGION = 160  # code points of a region at most; a longer one is cut at white space
-
-
 def regions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Stretches around triggers that the base has not covered, merged where they touch, cut to REGION."""
+    """Stretches around triggers that the base has not covered, up to white space, merged where they touch."""
     covered, k, merged = base, 0, []
     for m in _TRIGGER.finditer(text):
         p = m.start()
@@ -328,15 +328,16 @@ def regions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]
             k += 1
         if k < len(covered) and covered[k][0] <= p:
             continue
-        a, b = max(0, p - 32), min(len(text), p + 48)
-        while a > 0 and p - a < 48 and not text[a - 1].isspace():
+        done = merged[-1][1] if merged else 0
+        a, b = max(0, p - 32), max(min(len(text), p + 48), done)
+        while a > done and not text[a - 1].isspace():
             a -= 1
-        while b < len(text) and b - p < 96 and not text[b].isspace():
+        while b < len(text) and not text[b - 1].isspace() and not text[b].isspace():
             b += 1
-        if merged and a <= merged[-1][1] and b - merged[-1][0] <= REGION:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        elif not merged or b > merged[-1][1]:
-            merged.append((a if not merged else max(a, merged[-1][1] if a < merged[-1][1] else a), b))
+        if merged and a <= done:
+            merged[-1] = (merged[-1][0], b)
+        else:
+            merged.append((a, b))
     return merged
 
 
