@@ -128,6 +128,30 @@ def test_simhash_stage_keeps_one_of_each_group(spark, documents):
     assert simhash.stage(spark, docs.where("doc_id = 99"), "").count() == 0
 
 
+def test_simhash_stage_against_brute_force(spark, documents):
+    """Groups by exact five-word Jaccard of 0.8, also where fingerprints differ in many bits."""
+    r = random.Random(14)
+    base, texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(r.randint(20, 200))) for _ in range(12)], []
+    passage = prose(r, 30)
+    for t in base:
+        for _ in range(8):
+            w = t.split()
+            for at in r.sample(range(len(w)), r.randint(0, max(1, len(w) // 20))):
+                w[at] = "changed" + str(r.randrange(9))
+            texts.append(" ".join(w) + (" " + passage if r.random() < 0.2 else ""))
+    texts += [texts[3], texts[3].upper(), "one two", "one two", None, ""]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in (lower(t).split() for t in texts)]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            low, high = sorted((root[i], root[j]))
+            root = [low if x == high else x for x in root]
+    docs = spark.read.parquet(documents(texts) + "/documents.parquet")
+    assert {x["doc_id"] for x in simhash.stage(spark, docs, "").collect()} == set(root)
+    fps = [brute_fingerprint(t) for t in texts]
+    assert any(root[i] == root[j] and (fps[i] ^ fps[j]).bit_count() > 3 for i, j in itertools.combinations(range(len(texts)), 2))
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

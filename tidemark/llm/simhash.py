@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, materialize, read
 from .components import connected_components
+from .similar import similar_components
 
 SHINGLE = 3
 SEED = 42
@@ -199,8 +200,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group, and any without an id; repeated rows of one id count once."""
-    found = materialize(components(docs), "components")
+    """The document of smallest id of each group of similar ones, and any without an id; repeated rows of one id count once."""
+    found = similar_components(docs)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
