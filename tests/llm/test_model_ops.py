@@ -226,6 +226,13 @@ def test_field_sees_whole_entities_in_long_stretches():
         assert regions[0][0] == 0 and len(regions) == 1
 
 
+def test_field_finds_long_spelled_addresses():
+    crf = pii.model()
+    for address in ("john.smith at mail.example dot com", "john at mail dot example dot com"):
+        text = "write to " + address + " now"
+        assert (9, 0, 9 + len(address)) in pii.spans(text, crf)[1], address
+
+
 URLS = [None, "", "nope", "http://A.Example.NET/en/1", "http://a.example.net/de", "https://x.org/fr/", "https://x.org/fr", "http://example.com/de/x?y", "http://net", "http://net/", "http://sub.net?q", "x://spam-farm.example.org/en/", "a://b://c", "http://notexample.com/de/", "http://u@net:80/"]
 
 

@@ -100,7 +100,7 @@ _DIGIT = re.compile(r"[0-9]")
 # ---- the field -------------------------------------------------------------------------------------------------
 
 TYPES = ("none", *KINDS)
-MAX_LEN = 9  # tokens of a segment of personal data; other segments are single tokens
+MAX_LEN = 20  # tokens of a segment of personal data; other segments are single tokens
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]|[^\S\n]+|\n")
 _TRIGGER = re.compile(r"[0-9@]|\b(?:dot|token|secret|password|passwd|api[_-]?key)\b", re.I)
 _WORD_NEAR = re.compile(r"[A-Za-z]+")
@@ -136,6 +136,8 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
     low = s.lower()
     if " at " in low and " dot " in low:
         out.append("spelled")
+        if text[b : b + 5].lower() == " dot ":
+            out.append("spelledon")
     if _DOTTED.fullmatch(s):
         out.append("dotted4")
     if _NATIONAL.fullmatch(s):
@@ -245,7 +247,7 @@ def tokenize(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text, start, end)]
 
 
-def examples(n: int = 170, seed: int = 11) -> list[tuple[str, list[tuple[int, int, str]]]]:
+def examples(n: int = 300, seed: int = 11) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """Sentences with labelled spans, made by rule: entities in all spellings, and numbers that are none."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice(["the", "on", "er", "in", "qu", "ation", "ei", "sch", "os", "en"]) for _ in range(r.randint(1, 3)))
@@ -257,7 +259,7 @@ def examples(n: int = 170, seed: int = 11) -> list[tuple[str, list[tuple[int, in
         return r.choice([body, f"{body[:4]} {body[4:8]} {body[8:12]} {body[12:]}", f"{body[:4]}-{body[4:8]}-{body[8:12]}-{body[12:]}"])
 
     make = {
-        "email": lambda: r.choice([f"{word()}.{num(2)}@{word()}{num(1)}.example.com", f"{word()}@{word()}.org", f"{word()} at {word()} dot com"]),
+        "email": lambda: r.choice([f"{word()}.{num(2)}@{word()}{num(1)}.example.com", f"{word()}@{word()}.org", f"{word()} at {word()} dot com", f"{word()}.{word()} at {word()}.example dot com", f"{word()} at {word()} dot example dot com"]),
         "ip": lambda: ".".join(str(r.randint(1, 255)) for _ in range(4)),
         "card": card,
         "phone": lambda: r.choice([f"+1 ({num(3)}) 555-{num(4)}", f"({num(3)}) 555-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"{num(3)}.{num(3)}.{num(4)}"]),
