@@ -319,3 +319,16 @@ def test_live_source(spark, tmp_path):
     reader.commit(end)
     again = LiveSource({"transport": "fixed", "max_per_batch": "3"}).streamReader(None)
     assert len(again.partitions({"position": 1}, {"position": 4})[0].lines) == 3
+
+
+def test_stream_lag_of_many_streams(spark, tmp_path):
+    import duckdb
+
+    from tidemark.plans import driver_queries
+
+    rows = [(i, f"stream-{i % 150}" if i % 151 else None, "F" if i % 3 else "O") for i in range(600)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    got = [tuple(x) for x in driver_queries.stream_lag(spark, str(tmp_path)).collect()]
+    assert len(got) == 152 and sorted(got, key=str) == sorted(con.execute(driver_queries.ORACLES["stream_lag"]).fetchall(), key=str)

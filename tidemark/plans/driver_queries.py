@@ -372,11 +372,8 @@ def stream_lag(spark: SparkSession, sf: str) -> DataFrame:
     o = _t(spark, sf, "orders")
     top = F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")))
     cursors = o.groupBy(F.col("o_orderpriority").alias("stream_name")).agg(F.max("o_orderkey").alias("last_persisted_slot"), (top - 1).alias("last_contiguous_finalized_slot"), top.alias("last_finalized_slot"))
-    names = [r[0] for r in o.select("o_orderpriority").distinct().limit(100).collect()]
-    out = api.stream_lag(cursors, "missing")
-    for n in names:
-        out = out.unionByName(api.stream_lag(cursors, n))
-    return out
+    names = o.select(F.col("o_orderpriority").alias("stream_name")).distinct().union(spark.createDataFrame([("missing",)], "stream_name string"))
+    return names.join(cursors, "stream_name", "left").select("stream_name", F.coalesce("last_persisted_slot", F.lit(0)).cast("long").alias("last_persisted_slot"), "last_contiguous_finalized_slot", "last_finalized_slot")
 
 
 @query("SELECT o_orderkey AS id, greatest(o_custkey - o_orderkey % 1000, 0)::BIGINT AS slot_lag FROM orders")
