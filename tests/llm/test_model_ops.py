@@ -252,6 +252,12 @@ def test_url_filter(spark, frame):
         assert got[i] == (host, path_, best[1], best[2] or ("block" if listed else "allow")), u
 
 
+def test_url_filter_with_many_path_lengths(spark):
+    listed = spark.range(4500).selectExpr("'a.org' AS host", "concat('/', repeat('x', cast(id AS int)), 'y') AS path", "'block' AS verdict", "false AS is_rule")
+    pages = spark.range(0, 4500, 100).selectExpr("id AS page_id", "concat('http://a.org/', repeat('x', cast(id AS int)), 'y/z') AS url")
+    assert {x["verdict"] for x in urlfilter.judge_urls(pages, listed).collect()} == {"block"}
+
+
 def test_bloom_has_no_false_negatives():
     keys = [f"host{i}.example/{i}" for i in range(2000)]
     bloom = urlfilter.BlockedBloom(len(keys))

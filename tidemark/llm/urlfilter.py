@@ -13,6 +13,8 @@ each; columns of the input other than the URL are passed through untouched by ``
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,10 +99,11 @@ def build_filter(listed: DataFrame) -> BlockedBloom:
 
 
 def expressions(host: str, path: str, prefix_lengths: list[int]) -> list[str]:
-    """Keys under which a URL can be listed: each host suffix with each prefix of the path of a listed length."""
+    """Keys under which a URL can be listed: each host suffix with each prefix of the path of a listed length (in order)."""
     labels = host.split(".")
     hosts = [".".join(labels[i:]) for i in range(len(labels))]
-    return [h + path[:n] for h in hosts for n in prefix_lengths if n <= len(path)]
+    fits = prefix_lengths[: bisect_right(prefix_lengths, len(path))]
+    return [h + path[:n] for h in hosts for n in fits]
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
@@ -111,7 +114,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", key: str =
     spark = pages.sparkSession
     # Rules and entries are matched alike; a rule's key may also be listed as an entry.
     listed = listed.select(F.concat("host", "path").alias("key"), F.length("path").alias("path_n"), "verdict", F.col("is_rule").cast("boolean").alias("is_rule")).where("key is not null").dropDuplicates(["key", "is_rule"])
-    lengths = sorted(r[0] for r in listed.select("path_n").distinct().limit(4096).collect())
+    lengths = sorted(r[0] for r in listed.select("path_n").distinct().collect())
     bloom = spark.sparkContext.broadcast(build_filter(listed))
     base = pages.select(F.col(key), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
 
