@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,41 +17,54 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share. A temporary one is made only for a single-machine session that names none."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+#: Spark's own removal of an execution's shuffle files as soon as it ends; its output is a table by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str = "step", batch_rows: int | None = None) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it back, so a lost executor repeats nothing above.
 
     The table read back has no partitioning of its own, which leaves Spark free to split skewed keys of a later join.
+    It is deleted by discard(), or when the application ends. ``batch_rows``: rows that Python workers get at a time.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    own = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    back = spark.read.schema(df.schema).parquet(path)
     back._scratch = path
     return back
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a materialized table that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._scratch)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop shuffle files that nothing refers to any more, instead of when memory runs short."""
-    for _ in range(2):  # what the first round frees on this side lets go of more on the other
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

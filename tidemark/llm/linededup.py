@@ -12,11 +12,17 @@ Candidate pairs are verified by a banded bit-parallel edit distance: one machine
 edits, the diagonals within the band that are reachable, and one step handles all of them for a character.
 
 Equal lines are one line before the join, counted with their first place, so a line that millions of documents
-share is joined once. Segments are compared by 64-bit hash; equality of lines is by 128 bits.
+share is joined once. A line needs one earlier linked line only, so families of near copies take two rounds. In the
+first, every line that shares a key meets that key's leader, its earliest indexed line: as many pairs as there are
+lines. In the second, lines that are still not removed meet the other lines of their keys; a key shared by many is split there
+by the letter counts of the lines, cut into so many parts that two linked lines agree in one of them. Nothing is capped.
+
+Equality of lines is by two hashes of 64 bits with different seeds; everything after that goes by the line's number.
 
 Defined cases: a null text has no lines and stays null; an empty text is one empty line and stays; rows equal in id
-and text count as one document and get equal results; documents without an id come first; documents are never
-dropped, one that loses all its lines keeps an empty text; only the named columns are read.
+and text count as one document and get equal results; documents without an id come first, and are told from those with an
+empty id; an empty table gives an empty one; documents are never dropped, one that loses all its lines keeps an empty
+text; other columns, whatever their names, pass through, but for those named like the two figures that are added.
 """
 
 from __future__ import annotations
@@ -26,23 +32,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, read, release_shuffles
+from .common import discard, materialize, read
 
 THRESHOLD = 2
 MIN_CHARS = 30
 BAND = 2 * THRESHOLD + 1
-#: Letters whose counts (modulo 16) go along with each key; an edit changes two of the counts by one at most.
-LETTERS = "etaonihr"
+#: Letters whose counts (modulo 16) tell most pairs apart: an edit changes two of the counts by one at most.
+LETTERS = "etaonihrsldcumgp"
+MAX_COUNTS_APART = 2 * THRESHOLD
+#: So many groups of letters that MAX_COUNTS_APART differences leave one without any.
+GROUPS = MAX_COUNTS_APART + 1
+#: An edit takes away two pairs of neighbouring characters and makes two at most, each of which flips one bit of a sketch.
+MAX_FLIPS = 4 * THRESHOLD
 PREFIXES = 16
-SAME_LENGTH_KEYS = sum(2 * min(i, THRESHOLD - i) + 1 for i in range(THRESHOLD + 1))
-MAX_BROADCAST_PAIRS = 500_000  # 16 MB of hashes at most
+MAX_BROADCAST_LINES = 500_000  # 8 MB of line numbers; more of them are joined by shuffle
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """``pos`` (place in the corpus), ``h1``, ``h2`` (the line's identity), ``line``: every line with a letter or digit."""
     place = F.struct(F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("n").alias("n"))
     lines = docs.select("_id", "_h", F.posexplode_outer(F.split("_text", "\n")).alias("n", "line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
-    return lines.select(place.alias("pos"), F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), "line")
+    return lines.select(place.alias("pos"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "line")
+
+
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """``lid`` (a number), ``pos`` (first place), ``line``, ``len``: every worded line once."""
+    grouped = line_rows(docs).groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
+    return materialize(grouped.select(F.monotonically_increasing_id().alias("lid"), "pos", "line", F.length("line").alias("len")), "lines")
 
 
 def segments(length: Column) -> list[tuple[Column, Column]]:
@@ -60,11 +76,14 @@ def segments(length: Column) -> list[tuple[Column, Column]]:
 def index_rows(lines: DataFrame) -> DataFrame:
     """``key`` of each segment: a hash of the line's length, the segment's number and its text."""
     parts = by_width(lambda line: F.array(*[F.xxhash64("len", F.lit(i), F.substring(line, s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))]))
-    return lines.select("h1", "sig", F.explode_outer(parts).alias("key"))
+    return lines.select("lid", F.col("pos.id").alias("id"), F.explode(parts).alias("key"))
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:
-    """``key`` of each substring that may be a segment of a line as long as this one or up to THRESHOLD shorter."""
+    """``key`` of each substring that may be a segment of a line as long as this one or up to THRESHOLD shorter.
+
+    ``who`` is the line's number, or its complement where the substring is the line's own segment.
+    """
     def keys(line: Column) -> Column:
         out = []
         for shorter in range(THRESHOLD + 1):
@@ -75,12 +94,12 @@ def probe_rows(lines: DataFrame) -> DataFrame:
                 for shift in range(low, high + 1):
                     start = s + shift
                     ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
-                    out.append(F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n))))
+                    key = F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n)))
+                    out.append(F.struct(F.lit(shorter == 0 == shift).alias("own"), key.alias("key")))
         return F.array(*out)
 
-    # The first keys look for lines of the same length: those pairs are met from both sides, and one will do.
-    rows = lines.select("h1", "sig", F.posexplode_outer(by_width(keys)).alias("at", "key")).where("key is not null")
-    return rows.select("h1", "sig", "key", (F.col("at") < SAME_LENGTH_KEYS).alias("same"))
+    rows = lines.select("lid", F.explode(by_width(keys)).alias("k")).where("k.key is not null")
+    return rows.select(F.when(F.col("k.own"), F.bitwise_not("lid")).otherwise(F.col("lid")).alias("who"), F.col("k.key").alias("key"))
 
 
 def by_width(keys: Callable[[Column], Column]) -> Column:
@@ -92,22 +111,40 @@ def by_width(keys: Callable[[Column], Column]) -> Column:
 
 
 def letter_counts(line: Column) -> Column:
-    out = F.lit(0)
+    out = F.lit(0).cast("long")
     for i, c in enumerate(LETTERS):
-        out = out.bitwiseOR(F.shiftleft((F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c)))).bitwiseAND(F.lit(15)), 4 * i))
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c)))).bitwiseAND(F.lit(15)).cast("long")
+        out = out.bitwiseOR(F.shiftleft(n, 4 * i))
     return out
 
 
 def counts_apart(a: Column, b: Column) -> Column:
-    """Sum of the differences of two lines' letter counts; over 2 * THRESHOLD the lines can't be within THRESHOLD edits."""
+    """Sum of the differences of two lines' letter counts; over MAX_COUNTS_APART the lines can't be within THRESHOLD edits."""
     out = F.lit(0)
     for i in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
+        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)).cast("int") for c in (a, b))
         d = (x - y).bitwiseAND(F.lit(15))
         out = out + F.least(d, 16 - d)
     return out
 
 
+def pair_sketch(line: Column) -> Column:
+    """64 bits, each the parity of the number of neighbouring pairs of characters that hash to it."""
+    # Bound by a lambda, so that the characters are split once.
+    pairs = F.transform(F.array(F.split(line, "")), lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda x, y: F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(x, y).bitwiseAND(F.lit(63)).cast("int"))))
+    return F.aggregate(F.get(pairs, F.lit(0)), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x))
+
+
+def may_link(a: str, b: str) -> Column:
+    """Whether the lines may be within THRESHOLD edits, by length, letter counts and sketch."""
+    col = lambda side, name: F.col(f"{side}.{name}")
+    return (
+        (F.abs(col(a, "len") - col(b, "len")) <= THRESHOLD)
+        & (F.bit_count(col(a, "sketch").bitwiseXOR(col(b, "sketch"))) <= MAX_FLIPS)
+        & (counts_apart(col(a, "sig"), col(b, "sig")) <= MAX_COUNTS_APART)
+    )
+
+
 def within(a: Column, b: Column, whole: bool = True) -> Column:
     """Whether the edit distance of two arrays of characters, whose sizes differ by THRESHOLD at most, is at most THRESHOLD.
 
@@ -150,65 +187,103 @@ def within(a: Column, b: Column, whole: bool = True) -> Column:
     return F.call_function("shiftrightunsigned", end, goal).bitwiseAND(F.lit(1)) == 1
 
 
-def removed_or_kept(docs: DataFrame) -> DataFrame:
-    """``_i``, ``_h``, ``keep``: the numbers of the worded lines that each document keeps."""
-    rows = line_rows(docs)
-    grouped = rows.groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
-    lines = materialize(grouped.withColumn("len", F.length("line")).withColumn("sig", letter_counts(F.col("line"))), "lines")
-    release_shuffles(docs.sparkSession)
-    long = lines.where(F.col("len") >= MIN_CHARS)
-    # Only hashes are shuffled to find candidates; a line always meets itself, and that is dropped at once.
-    index = index_rows(long).select("key", F.col("h1").alias("i1"), F.col("sig").alias("isig"))
-    met = probe_rows(long).join(index, "key").where(F.when(F.col("same"), F.col("h1") < F.col("i1")).otherwise(F.col("h1") != F.col("i1")) & (counts_apart(F.col("sig"), F.col("isig")) <= 2 * THRESHOLD))
-    pairs = met.select(F.least("h1", "i1").alias("h1"), F.greatest("h1", "i1").alias("i1")).distinct()
-    pairs = materialize(pairs, "pairs")
-    release_shuffles(docs.sparkSession)
-    # The text is fetched only for lines of a pair: by their hashes where these are few, else by one shuffle of the lines.
-    ids = pairs.select("h1").union(pairs.select("i1")).distinct()
-    few = pairs.count() <= MAX_BROADCAST_PAIRS
-    text = lines.select("h1", "h2", "pos", "line", "len").join(F.broadcast(ids) if few else ids, "h1", "left_semi")
-    text = materialize(text, "texts")
-    other = text.select(F.col("h1").alias("i1"), F.col("h2").alias("i2"), F.col("pos").alias("ipos"), F.col("line").alias("iline"), F.col("len").alias("ilen"))
-    both = pairs.join(text, "h1").join(other, "i1").where(F.abs(F.col("len") - F.col("ilen")) <= THRESHOLD)
-    # Lines that part early are told apart by the characters around the first difference; the others are compared whole.
-    shorter = F.least("len", "ilen")
+def near(line: Column, other: Column, length: Column, other_length: Column) -> Column:
+    """Whether two lines are within THRESHOLD edits.
+
+    Lines that part early are told apart by the characters around the first difference; the others are compared whole.
+    """
+    shorter = F.least(length, other_length)
     prefix = lambda i: (shorter * i / PREFIXES).cast("int")
-    equal = F.size(F.filter(F.sequence(F.lit(1), F.lit(PREFIXES - 1)), lambda i: F.substring("line", F.lit(1), prefix(i)) == F.substring("iline", F.lit(1), prefix(i))))
+    equal = F.size(F.filter(F.sequence(F.lit(1), F.lit(PREFIXES - 1)), lambda i: F.substring(line, F.lit(1), prefix(i)) == F.substring(other, F.lit(1), prefix(i))))
     reach = (shorter / PREFIXES).cast("int") + 24
     # The characters are bound by a lambda, so they are split once for a pair wherever Spark moves the condition.
-    bound = F.array(F.struct(F.split("line", "").alias("a"), F.split("iline", "").alias("b"), prefix(equal).alias("p"), reach.alias("n")))
-    near = F.exists(bound, lambda x: within(F.slice(x["a"], x["p"] + 1, x["n"] + THRESHOLD), F.slice(x["b"], x["p"] + 1, x["n"]), whole=False) & within(x["a"], x["b"]))
-    later = F.when(F.col("pos") < F.col("ipos"), F.struct(F.col("i1").alias("h1"), F.col("i2").alias("h2"))).otherwise(F.struct("h1", "h2"))
-    late = both.where(near).select(later.alias("l")).select("l.h1", "l.h2").distinct()
-    late = materialize(late, "late")
+    bound = F.array(F.struct(F.split(line, "").alias("a"), F.split(other, "").alias("b"), prefix(equal).alias("p"), reach.alias("n")))
+    return F.exists(bound, lambda x: within(F.slice(x["a"], x["p"] + 1, x["n"] + THRESHOLD), F.slice(x["b"], x["p"] + 1, x["n"]), whole=False) & within(x["a"], x["b"]))
+
+
+def later_of_linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``lid`` of the later line of each pair (``a``, ``b``) that is linked."""
+    both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.lid")).join(texts.alias("y"), F.col("b") == F.col("y.lid")).where(may_link("x", "y"))
+    late = F.when(F.col("x.pos") < F.col("y.pos"), F.col("b")).otherwise(F.col("a"))
+    return materialize(both.where(near(F.col("x.line"), F.col("y.line"), F.col("x.len"), F.col("y.len"))).select(late.alias("lid")).distinct(), "late")
+
+
+def sub_keys(rows: DataFrame, about: DataFrame) -> DataFrame:
+    """Rows of a key, once for each group of letters: ``sub`` also tells the counts of that group."""
+    cut = [round(i * len(LETTERS) / GROUPS) for i in range(GROUPS + 1)]
+    masks = [sum(15 << 4 * k for k in range(cut[g], cut[g + 1])) for g in range(GROUPS)]
+    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
+    subs = F.array(*[F.xxhash64("key", F.lit(g), F.col("sig").bitwiseAND(F.lit(m))) for g, m in enumerate(masks)])
+    return rows.join(about, "lid").select("*", F.explode(subs).alias("sub"))
+
+
+def later_lines(lines: DataFrame) -> DataFrame:
+    """``lid`` of the lines that are linked to an earlier one."""
+    long = lines.where(F.col("len") >= MIN_CHARS)
+    # Only hashes and numbers are shuffled to find candidates.
+    leaders = index_rows(long).groupBy("key").agg(F.min(F.struct("id", "lid")).alias("first"), F.count("*").alias("n"))
+    leaders = leaders.select("key", F.col("first.lid").alias("lead"), (F.col("n") > 1).alias("many"))
+    met = probe_rows(long).join(leaders, "key").where(F.col("many") | ((F.col("who") != F.col("lead")) & (F.col("who") != F.bitwise_not("lead"))))
+    met = materialize(met.select("key", F.greatest("who", F.bitwise_not("who")).alias("lid"), (F.col("who") < 0).alias("own"), "lead", "many"), "met")
+    pairs = materialize(met.where("lid <> lead").select(F.least("lid", "lead").alias("a"), F.greatest("lid", "lead").alias("b")).distinct(), "pairs")
+    # Texts are fetched only for lines that met one: by their numbers where these are few, else by one shuffle of the lines.
+    ids = materialize(met.select("lid").union(met.select("lead")).distinct(), "ids")
+    text = long.join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST_LINES else ids, "lid", "left_semi")
+    texts = materialize(text.select("lid", "pos", "line", "len", letter_counts(F.col("line")).alias("sig"), pair_sketch(F.col("line")).alias("sketch")), "texts")
+    late = later_of_linked(pairs, texts)
+    # Where a key has one indexed line, that is its leader, and all its pairs have been compared by now.
+    about = texts.select("lid", "pos", "len", "sig", "sketch")
+    probes = met.where("many").select("key", "lid", "lead").distinct()
+    indexed = met.where("many and own").select("key", "lid", "lead").distinct()
+    open_ = lambda rows: sub_keys(rows.join(late, "lid", "left_anti"), about)
+    earlier = (F.col("v.pos") < F.col("u.pos")) & may_link("u", "v")
+    found = []
+    for own, others in ((probes, indexed), (indexed, probes)):  # the leader has met every probe
+        left, right = (open_(own), sub_keys(others, about))
+        not_leaders = (F.col("v.lid") != F.col("v.lead")) & (F.col("u.lid") != F.col("v.lid")) & ((F.col("u.lid") != F.col("u.lead")) if own is indexed else F.lit(True))
+        found.append(left.alias("u").join(right.alias("v"), (F.col("u.sub") == F.col("v.sub")) & (F.col("u.key") == F.col("v.key")) & not_leaders & earlier).select(F.least("u.lid", "v.lid").alias("a"), F.greatest("u.lid", "v.lid").alias("b")))
+    more = materialize(found[0].union(found[1]).distinct(), "pairs")
+    out = materialize(late.union(later_of_linked(more, texts)).distinct(), "late")
+    discard(met, pairs, ids, texts, late, more)
+    return out
+
+
+def kept_lines(docs: DataFrame) -> DataFrame:
+    """``_i``, ``_h``, ``keep``: the numbers of the worded lines that each document keeps."""
+    lines = distinct_lines(docs)
+    late = later_lines(lines)
     # The first place of a line stays unless an earlier line is linked to it; every other place goes.
-    first = lines.select("h1", "h2", "pos").join(late, ["h1", "h2"], "left_anti")
+    first = lines.select("lid", "pos").join(late, "lid", "left_anti")
     keep = first.groupBy("pos.id", "pos.h").agg(F.collect_set("pos.n").alias("keep")).select(doc_key(F.col("id")).alias("_i"), F.col("h").alias("_h"), "keep")
     keep = materialize(keep, "keep")
-    for old in (pairs, text, late, lines):
-        discard(old)
+    discard(late, lines)
     return keep
 
 
 def doc_key(key: Column) -> Column:
-    return F.coalesce(key.cast("string"), F.lit(""))
+    """The id as text; none is told from an empty one."""
+    return F.when(key.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), key.cast("string")))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the text's repeated lines removed, and n_lines and n_removed; one row for each row."""
-    base = docs.select(F.col(key).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(text).alias("_text"))
-    keep = removed_or_kept(base)
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), doc_key(F.col(key)).alias("_i"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"))
+def _deduped(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``_doc`` (the row), ``_new`` (its text without repeated lines), ``_n``, ``_removed``; one row for each row of ``docs``."""
+    text_of = F.col(f"`{text}`")
+    known = [F.xxhash64(F.coalesce(text_of, F.lit(""))).alias("_h")]
+    keep = kept_lines(docs.select(F.col(f"`{key}`").alias("_id"), *known, text_of.alias("_text")))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), doc_key(F.col(f"`{key}`")).alias("_i"), *known)
     joined = own.join(keep, ["_i", "_h"], "left")
     split = joined.withColumn("_lines", F.split(F.col(f"_doc.`{text}`"), "\n"))
     plain = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: ~F.get("_lines", i).rlike(r"[\p{L}\p{N}]"))
     kept = F.transform(F.sort_array(F.concat(F.coalesce("keep", F.array().cast("array<int>")), plain)), lambda i: F.get("_lines", i))
     done = split.withColumn("_kept", F.when(F.col("_lines").isNotNull(), kept))
-    return done.select(
-        *[(F.array_join("_kept", "\n") if c == text else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns],
-        F.coalesce(F.size("_lines"), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).alias("n_removed"),
-    )
+    n = F.coalesce(F.size("_lines"), F.lit(0))
+    return done.select("_doc", F.array_join("_kept", "\n").alias("_new"), n.alias("_n"), F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).alias("_removed"))
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of ``docs`` with the text's repeated lines removed, and n_lines and n_removed (in place of columns of these names)."""
+    columns = [(F.col("_new") if c == text else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    return _deduped(docs, key, text).select(*columns, F.col("_n").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,9 +292,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that occur earlier; ``n_chars`` follows the text where there is one."""
-    out = dedup_lines(docs)
-    return out.select(*[F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """Every document with its own columns, without the lines that occur earlier; ``n_chars`` follows the text where there is one."""
+    new = {"text": F.col("_new"), "n_chars": F.length("_new")}
+    return _deduped(docs, "doc_id", "text").select(*[(new[f.name].cast(f.dataType) if f.name in new else F.col(f"_doc.`{f.name}`")).alias(f.name) for f in docs.schema.fields])
 
 
 ORACLE_SQL = f"""
