@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, fields
 
 from .sources.live import KINDS
 
-EXIT_CODES = {"config": 2, "telemetry": 2, "replay": 3, "storage": 4, "cursor": 5, "pipeline": 5, "slot_state": 5, "http": 6, "live_not_built": 7, "metrics": 8}
+EXIT_CODES = {"config": 2, "telemetry": 2, "replay": 3, "storage": 4, "cursor": 5, "pipeline": 5, "slot_state": 5, "http": 6, "live_not_built": 7, "metrics": 8, "live": 5}
 
 
 class ConfigError(ValueError):
@@ -70,6 +70,8 @@ class Config:
     reconnect_max_ms: int = 30_000
     reconnect_reset_ms: int = 30_000
     reconnect_max_attempts: int | None = None
+    exit_after_replay: bool = False
+    transport: str = "file"
 
     def __repr__(self) -> str:
         shown = {f.name: redact(v) if isinstance(v := getattr(self, f.name), str) else v for f in fields(self)}
@@ -114,7 +116,7 @@ class Config:
     def with_args(self, argv: list[str]) -> Config:
         """Arguments override the environment; ``--replay FILE`` sets replay mode."""
         p = argparse.ArgumentParser(add_help=False, exit_on_error=False)
-        for flag in ("--replay", "--stream-name", "--storage-root", "--http-addr", "--endpoint", "--cluster", "--subscriptions", "--batch-size", "--channel-capacity"):
+        for flag in ("--replay", "--stream-name", "--storage-root", "--http-addr", "--endpoint", "--cluster", "--subscriptions", "--batch-size", "--channel-capacity", "--account-include", "--account-exclude", "--account-required", "--reconnect-initial-ms", "--reconnect-max-ms", "--reconnect-max-attempts", "--transport"):
             p.add_argument(flag)
         p.add_argument("--exit-after-replay", action="store_true")
         p.add_argument("--live", action="store_true")
@@ -122,7 +124,7 @@ class Config:
             a = p.parse_args(argv)
         except argparse.ArgumentError as e:
             raise ConfigError(str(e)) from None
-        change = {k: v for k, v in (("replay_path", a.replay), ("stream_name", a.stream_name), ("storage_root", a.storage_root), ("http_addr", a.http_addr), ("endpoint", a.endpoint), ("cluster", a.cluster)) if v is not None}
+        change = {k: v for k, v in (("replay_path", a.replay), ("stream_name", a.stream_name), ("storage_root", a.storage_root), ("http_addr", a.http_addr), ("endpoint", a.endpoint), ("cluster", a.cluster), ("transport", a.transport)) if v is not None}
         change = {k: _text(k, v) for k, v in change.items()}
         if a.replay is not None:
             change["run_mode"] = "replay"
@@ -130,7 +132,18 @@ class Config:
             change["run_mode"] = "live"
         if a.subscriptions is not None:
             change["subscriptions"] = csv_list("--subscriptions", a.subscriptions)
-        for k, v in (("batch_size", a.batch_size), ("channel_capacity", a.channel_capacity)):
+            if not change["subscriptions"] or set(change["subscriptions"]) - set(KINDS):
+                raise ConfigError(f"--subscriptions must list some of {', '.join(KINDS)}")
+        for k in ("account_include", "account_exclude", "account_required"):
+            if (v := getattr(a, k)) is not None:
+                change[k] = csv_list(k, v)
+        if a.reconnect_max_attempts is not None:
+            if not a.reconnect_max_attempts.isdigit():
+                raise ConfigError("reconnect_max_attempts must be a whole number")
+            change["reconnect_max_attempts"] = int(a.reconnect_max_attempts) or None
+        if a.exit_after_replay:
+            change["exit_after_replay"] = True
+        for k, v in (("batch_size", a.batch_size), ("channel_capacity", a.channel_capacity), ("reconnect_initial_ms", a.reconnect_initial_ms), ("reconnect_max_ms", a.reconnect_max_ms)):
             if v is not None:
                 change[k] = _positive(k, v)
         return Config(**{f.name: getattr(self, f.name) for f in fields(self)} | change).checked()

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from .plans.pipeline import Summary
+
 #: Bounds of the latency histogram in seconds.
 LATENCY_BOUNDS = tuple(0.001 * 2**k for k in range(15))
 #: name, type, labels, help.
 FAMILIES = (
-    ("batch_write_latency_seconds", "histogram", ("writer",), "Batch write latency in seconds."),
+    ("batch_write_latency_seconds", "histogram", ("writer",), "How long the write of a batch took."),
     ("channel_depth", "gauge", ("stream_name",), "Events waiting to be written."),
     ("channel_capacity", "gauge", ("stream_name",), "Events that may wait."),
     ("channel_utilization_ratio", "gauge", ("stream_name",), "Share of the capacity in use."),
@@ -27,14 +32,27 @@ def _escape(value: str) -> str:
     return value.replace("\\", "\\\\").replace("\n", "\\n").replace('"', '\\"')
 
 
+class Histogram:
+    """Counts by bound, with total, largest and last; its size does not grow with what it has seen."""
+
+    def __init__(self) -> None:
+        self.counts = [0] * len(LATENCY_BOUNDS)
+        self.n, self.total, self.largest, self.last = 0, 0.0, 0.0, 0.0
+
+    def add(self, value: float) -> None:
+        for i, bound in enumerate(LATENCY_BOUNDS):
+            self.counts[i] += value <= bound
+        self.n, self.total, self.largest, self.last = self.n + 1, self.total + value, max(self.largest, value), value
+
+
 class Metrics:
     def __init__(self, prefix: str = "tidemark_"):
         self.prefix = prefix
         self.values: dict[str, dict[tuple[str, ...], float]] = {name: ({(): 0.0} if not labels else {}) for name, kind, labels, _ in FAMILIES if kind != "histogram"}
-        self.latency: dict[tuple[str, ...], list[float]] = {}
+        self.latency: dict[tuple[str, ...], Histogram] = {}
 
     def observe_latency(self, writer: str, seconds: float) -> None:
-        self.latency.setdefault((writer,), []).append(seconds)
+        self.latency.setdefault((writer,), Histogram()).add(seconds)
 
     def set(self, name: str, value: float, *labels: str) -> None:
         self.values[name][labels] = float(value)
@@ -47,6 +65,18 @@ class Metrics:
         self.set("channel_capacity", capacity, stream)
         self.set("channel_utilization_ratio", depth / capacity if capacity else 0.0, stream)
 
+    def progress(self, summary: Summary) -> None:
+        """Markers of the tables, as of a finished batch."""
+        if summary.last_persisted_slot is not None:
+            self.slots(int(self.values["last_observed_slot"].get((), 0)) or summary.last_persisted_slot, summary.last_persisted_slot)
+        if summary.last_finalized_slot is not None:
+            self.set("last_finalized_slot", summary.last_finalized_slot)
+
+    def observed(self, source: str, kind: str, slot: int, n: int = 1) -> None:
+        """Events as they come in, before any is left out."""
+        self.add("ingest_events_total", n, source, kind)
+        self.slots(slot, int(self.values["last_persisted_slot"][()]))
+
     def slots(self, observed: int, persisted: int) -> None:
         self.set("last_observed_slot", observed)
         self.set("last_persisted_slot", persisted)
@@ -64,8 +94,8 @@ class Metrics:
             out += [f"# HELP {full} {told}", f"# TYPE {full} {kind}"]
             for key, value in sorted(series.items()):
                 if kind == "histogram":
-                    out += [f"{full}_bucket{text(labels, key, f'le="{number(b)}"')} {sum(v <= b for v in value)}" for b in LATENCY_BOUNDS]
-                    out += [f"{full}_bucket{text(labels, key, 'le="+Inf"')} {len(value)}", f"{full}_sum{text(labels, key)} {number(sum(value))}", f"{full}_count{text(labels, key)} {len(value)}"]
+                    out += [f"{full}_bucket{text(labels, key, f'le="{number(b)}"')} {n}" for b, n in zip(LATENCY_BOUNDS, value.counts, strict=True)]
+                    out += [f"{full}_bucket{text(labels, key, 'le="+Inf"')} {value.n}", f"{full}_sum{text(labels, key)} {number(value.total)}", f"{full}_count{text(labels, key)} {value.n}"]
                 else:
                     out.append(f"{full}{text(labels, key)} {number(value)}")
         return "\n".join(out) + "\n"

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import MAX_LONG
-
-SLOTS_PER_BUCKET = 10_000
+from ..schema import MAX_LONG, SLOTS_PER_BUCKET
 
 
 def convertible(rows: DataFrame) -> DataFrame:

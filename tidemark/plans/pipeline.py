@@ -1,17 +1,24 @@
-"""Batch ingestion: rows to tables in the commit order events, cursor, slot states, frontier."""
+"""Batch ingestion: rows to tables in the commit order events, swaps, cursor, slot states, frontier."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, fields
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import event_rows
-from ..operators import dedup, slots
+from ..operators import decode, dedup, slots
+from ..schema import MAX_LONG, SLOTS_PER_BUCKET
 from .tables import Tables
 
 BATCH_SIZE = 500
+#: Rows of one commit of a replay. Logical batches of BATCH_SIZE only set the counters; a Spark job for each would be all overhead.
+COMMIT_ROWS = 1_000_000
 
 
 @dataclass
@@ -24,9 +31,28 @@ class Summary:
     events_attempted: int = 0
     events_inserted: int = 0
     events_deduplicated: int = 0
+    swaps_written: int = 0
     last_persisted_slot: int | None = None
     last_contiguous_finalized_slot: int | None = None
     last_finalized_slot: int | None = None
+    write_seconds_total: float = 0.0
+    write_seconds_max: float = 0.0
+    write_seconds_last: float = 0.0
+
+    def add(self, more: Summary) -> None:
+        """Counters add up, markers and the longest write grow, the last write is the newer one's."""
+        for f in fields(self):
+            old, new = getattr(self, f.name), getattr(more, f.name)
+            if f.name.startswith("last_") or f.name == "write_seconds_max":
+                new = old if new is None else new if old is None else max(old, new)
+            elif f.name == "write_seconds_last":
+                new = new or old
+            else:
+                new = old + new
+            setattr(self, f.name, new)
+
+
+Progress = Callable[[Summary], None]
 
 
 def resume(rows: DataFrame, after: int | None) -> DataFrame:
@@ -34,87 +60,131 @@ def resume(rows: DataFrame, after: int | None) -> DataFrame:
     return rows if after is None else rows.where(F.col("slot") > after)
 
 
-def logical_batches(rows: DataFrame, size: int = BATCH_SIZE, order: str = "ordinal") -> DataFrame:
-    """batch_no, n_events, max_slot, cursor: rows in arrival order cut by count, and the running maximum slot.
+def numbered(rows: DataFrame, size: int, order: str = "ordinal") -> DataFrame:
+    """All columns and ``batch_no``: rows in arrival order cut by count.
 
     Two passes instead of one global sort: ranges of the order are counted, then each row's number is its range's start
     plus its place in the range.
     """
     width = max(size * 64, 1)
-    ranged = rows.select(F.col(order).alias("_o"), "slot").withColumn("_r", F.floor(F.col("_o") / width))
+    ranged = rows.withColumn("_r", F.floor(F.col(order) / width))
     starts = ranged.groupBy("_r").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    place = F.row_number().over(Window.partitionBy("_r").orderBy("_o"))
-    numbered = ranged.withColumn("_p", place).join(starts, "_r").withColumn("batch_no", F.floor((F.col("before") + F.col("_p") - 1) / size).cast("long"))
-    batches = numbered.groupBy("batch_no").agg(F.count("*").alias("n_events"), F.max("slot").alias("max_slot"))
+    place = F.row_number().over(Window.partitionBy("_r").orderBy(order))
+    return ranged.withColumn("_p", place).join(starts, "_r").withColumn("batch_no", F.floor((F.col("before") + F.col("_p") - 1) / size).cast("long")).drop("_r", "_p", "before")
+
+
+def logical_batches(rows: DataFrame, size: int = BATCH_SIZE, order: str = "ordinal") -> DataFrame:
+    """batch_no, n_events, max_slot, cursor: rows in arrival order cut by count, and the running maximum slot."""
+    batches = numbered(rows.select(order, "slot"), size, order).groupBy("batch_no").agg(F.count("*").alias("n_events"), F.max("slot").alias("max_slot"))
     return batches.withColumn("cursor", F.max("max_slot").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int, advance_frontier: bool = False) -> Summary:
+def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int, advance_frontier: bool = False, batch_size: int = BATCH_SIZE) -> Summary:
     """Write one batch of envelope rows (with ``ordinal``). Running it again for the same batch changes nothing.
 
-    Order: events, cursor, slot states, frontier. A crash in between leaves earlier steps done, and each is idempotent.
+    Order: events, swaps, cursor, slot states, frontier. A crash in between leaves earlier steps done, and each is idempotent.
+    Stored events are only looked up in the buckets of the batch's own slots, so the work does not grow with the history.
     """
-    from pyspark import StorageLevel
-
-    spark = tables.spark
+    began = time.monotonic()
     rows = event_rows(rows, "ordinal", "kind", "status").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counted = dedup.write_summary(rows.select("event_id", "slot"), tables.read("events", but_batch=batch)).first()
-        top = rows.agg(F.max("slot").alias("m"), F.count("*").alias("n")).first()
-        if not top["n"]:
+        fits = F.col("slot") <= F.lit(MAX_LONG).cast("decimal(20,0)")
+        bucket = F.when(fits, F.floor(F.col("slot") / SLOTS_PER_BUCKET).cast("long"))
+        told = rows.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.collect_set(bucket).alias("buckets")).first()
+        if not told["n"]:
             return Summary()
         fresh = dedup.convertible(rows).withColumn("slot_bucket", dedup.slot_bucket())
         fresh = dedup.first_wins(fresh.select(*[c for c in fresh.columns if c not in ("kind", "status")]))
-        buckets = fresh.select("slot_bucket").distinct()
-        held = tables.read("events", but_batch=batch).join(F.broadcast(buckets) if counted["attempted"] < 100_000 else buckets, "slot_bucket", "left_semi")
         now = F.current_timestamp()
-        out = dedup.new_rows(fresh, held).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now)
+        out = dedup.new_rows(fresh, tables.read("events", told["buckets"], batch)).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now)
         tables.append("events", out, batch)
-        if top["m"] > 2**63 - 1:
+        inserted = tables.count("events", batch, told["buckets"])
+        swaps = write_swaps(tables, batch, told["buckets"]) if inserted else 0
+        if told["top"] > MAX_LONG:
             raise ValueError("cursor slot exceeds the signed 64-bit range")
-        cursor = spark.createDataFrame([(stream_name, int(top["m"]), None, None)], "stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long")
-        stamp = lambda df: df.withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}"))
-        tables.rewrite("stream_cursors", lambda old: stamp(slots.merge_cursor(old, cursor)))
+        save_cursor(tables, stream_name, int(told["top"]))
         frontier = (None, None)
-        if advance_frontier:
-            new = slots.merge_states(slots.slot_states(rows), order="ordinal").withColumn("stream_name", F.lit(stream_name)).withColumn("slot", F.col("slot").cast("long"))
-            flags = new.agg(F.count("*").alias("n"), F.count_if("finalized").alias("f")).first()
-            if flags["n"]:
-                tables.rewrite("stream_slots", lambda old: slots.upsert_states(old, new, "stream_name").join(old.select("stream_name", "slot", "first_seen_at"), ["stream_name", "slot"], "left").withColumn("first_seen_at", F.coalesce("first_seen_at", F.current_timestamp())))
-            if flags["f"]:
-                frontier = advance(tables, stream_name)
-        seen = top["n"]
-        return Summary(seen, counted["skipped"], 0, counted["skipped"], 1, counted["attempted"], counted["inserted"], counted["deduplicated"], int(top["m"]), *frontier)
+        if advance_frontier and write_states(tables, rows, stream_name, batch):
+            frontier = advance(tables, stream_name)
+        bad, took = told["n"] - told["ok"], time.monotonic() - began
+        return Summary(told["n"], bad, 0, bad, -(-told["n"] // batch_size), told["ok"] or bad, inserted, told["ok"] - inserted, swaps, int(told["top"]), *frontier, took, took, took)
     finally:
         rows.unpersist()
 
 
+def save_cursor(tables: Tables, stream_name: str, persisted: int | None, contiguous: int | None = None, finalized: int | None = None) -> None:
+    """Raise a stream's markers; none goes back."""
+    new = tables.spark.createDataFrame([(stream_name, persisted, contiguous, finalized)], "stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long")
+    tables.rewrite("stream_cursors", lambda old: slots.merge_cursor(old, new).withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}")))
+
+
+def write_swaps(tables: Tables, batch: int, buckets: list[int]) -> int:
+    """Swaps of the events that a batch inserted, in a folder of the same batch; how many."""
+    keys = ("event_id", "slot", "signature", "program_id")
+    new = tables.read("events", buckets).where((F.col("batch") == batch) & F.col("payload").contains("token_balances"))
+    found = decode.swap_rows(decode.infer_swaps(decode.balance_deltas(new, *keys), *keys), *keys).drop("event_id").withColumn("inferred_at", F.current_timestamp())
+    tables.append("swaps", found, batch)
+    return tables.count("swaps", batch, buckets)
+
+
+def write_states(tables: Tables, rows: DataFrame, stream_name: str, batch: int) -> bool:
+    """Append the slot states of a batch; whether any is finalized."""
+    new = slots.merge_states(slots.slot_states(rows), order="ordinal").withColumn("stream_name", F.lit(stream_name)).withColumn("slot", F.col("slot").cast("long"))
+    flags = new.agg(F.count("*").alias("n"), F.count_if("finalized").alias("f")).first()
+    if flags["n"]:
+        tables.append("stream_slots", new.withColumn("first_seen_at", F.current_timestamp()), batch)
+    return bool(flags["f"])
+
+
 def advance(tables: Tables, stream_name: str) -> tuple[int | None, int | None]:
-    """Walk the frontier on from its stored place and store it; it never goes back."""
+    """Walk the frontier on from its stored place and store it; it never goes back. Buckets below it are not read."""
     spark = tables.spark
-    cursors = tables.read("stream_cursors").where(F.col("stream_name") == stream_name)
-    anchors = cursors.where("last_contiguous_finalized_slot is not null").select("stream_name", F.col("last_contiguous_finalized_slot").alias("anchor"))
-    states = tables.read("stream_slots").where(F.col("stream_name") == stream_name)
-    row = slots.finalized_frontier(states, anchors).first()
-    if row is None:
+    row = tables.read("stream_cursors").where(F.col("stream_name") == stream_name).select("last_contiguous_finalized_slot", "last_finalized_slot").first()
+    anchor = row["last_contiguous_finalized_slot"] if row else None
+    low = None if anchor is None else anchor // SLOTS_PER_BUCKET
+    states = tables.read("stream_slots", None if low is None else [b for b in tables.buckets("stream_slots") if b >= low]).where(F.col("stream_name") == stream_name)
+    anchors = spark.createDataFrame([(stream_name, anchor)], "stream_name string, anchor long").where("anchor is not null")
+    found = slots.finalized_frontier(states, anchors).first()
+    if found is None:
         return None, None
-    found = spark.createDataFrame([(stream_name, None, row["contiguous"], row["head"])], "stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long")
-    tables.rewrite("stream_cursors", lambda old: slots.merge_cursor(old, found).withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}")))
-    return row["contiguous"], row["head"]
-
-
-def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_resume: bool = True, advance_frontier: bool = False) -> Summary:
-    """Ingest envelope rows as one commit, after dropping what the stream's cursor has passed."""
-    after = None
-    if use_resume:
-        found = tables.read("stream_cursors").where(F.col("stream_name") == stream_name).agg(F.max("last_persisted_slot")).first()[0]
-        after = found
-    total = rows.count() if after is not None else None
-    summary = commit(tables, resume(rows, after), stream_name, tables.next_batch("events"), advance_frontier)
-    if total is not None:
-        summary.resume_skipped = total - summary.events_seen
-        summary.events_seen = total
-        summary.events_skipped += summary.resume_skipped
-    if summary.last_persisted_slot is None:
-        summary.last_persisted_slot = after
-    return summary
+    head = max(x for x in (found["head"], row["last_finalized_slot"] if row else None, -1) if x is not None)
+    head = head if head >= 0 else None
+    save_cursor(tables, stream_name, None, found["contiguous"], head)
+    return found["contiguous"], head
+
+
+def cuts(tables: Tables, rows: DataFrame, n: int, size: int) -> Iterable[DataFrame]:
+    """The rows in arrival order, ``size`` at a time. More than one part is laid down first, so the source is read once."""
+    if n <= size:
+        yield rows
+        return
+    path = f"{tables.root}/_staged/{uuid.uuid4().hex}"
+    try:
+        numbered(rows, size).write.partitionBy("batch_no").parquet(path)
+        laid = tables.spark.read.schema(rows.schema.add("batch_no", "long")).parquet(path)
+        for k in range(-(-n // size)):
+            yield laid.where(F.col("batch_no") == k).drop("batch_no")
+    finally:
+        tables._fs.delete(tables._path(path), True)
+
+
+def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_resume: bool = True, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, commit_rows: int = COMMIT_ROWS, on_progress: Progress | None = None, stop: Callable[[], bool] | None = None) -> Summary:
+    """Ingest envelope rows after dropping what the stream's cursor has passed, in commits cut by count.
+
+    ``on_progress`` is called before, after each commit and at the end. ``stop`` is asked between commits.
+    """
+    after = tables.read("stream_cursors").where(F.col("stream_name") == stream_name).agg(F.max("last_persisted_slot")).first()[0] if use_resume else None
+    total = Summary(last_persisted_slot=after)
+    tell = on_progress or (lambda _: None)
+    tell(total)
+    left = resume(rows, after)
+    n = left.count()
+    if after is not None:
+        total.resume_skipped = total.events_skipped = total.events_seen = rows.count() - n
+    for part in cuts(tables, left, n, max(batch_size, commit_rows // batch_size * batch_size)) if n else ():
+        total.add(commit(tables, part, stream_name, tables.next_batch(), advance_frontier, batch_size))
+        tell(total)
+        if stop and stop():
+            break
+    tell(total)
+    return total

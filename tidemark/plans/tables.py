@@ -1,7 +1,11 @@
-"""Parquet tables: idempotent appends, upserts by snapshot, and the layout that dedup prunes by.
+"""Parquet tables: idempotent appends laid out by slot, small keyed tables by snapshot, and compaction.
 
-Appends go to a folder of their own batch (``batch=<id>``) that a retry overwrites. Small keyed tables are
-rewritten as a whole to a new snapshot folder; a pointer file names the current one and is replaced last.
+Rows that belong to a slot go to ``slot_bucket=<b>/batch=<id>``, so a batch looks at the buckets of its own slots only, however
+long the history is; a retry of a batch replaces its folders. Slot states are appended alike and merged when read.
+A compacted bucket has a folder of a negative number, -1 - n, that stands for all batches up to n.
+
+Cursors are few and rewritten as a whole to a new snapshot folder. A folder counts once Spark has marked it complete, so a crash
+at any place leaves the last complete snapshot in force.
 """
 
 from __future__ import annotations
@@ -13,8 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..operators import slots
 
-SCHEMAS = {"events": T.StructType([*S.EVENTS.fields, T.StructField("slot_bucket", T.LongType()), T.StructField("batch", T.LongType())]), "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": S.STREAM_SLOTS, "swaps": T.StructType([*S.SWAPS.fields, T.StructField("batch", T.LongType())])}
+_PLACE = [T.StructField("slot_bucket", T.LongType()), T.StructField("batch", T.LongType())]
+SCHEMAS = {"events": T.StructType([*S.EVENTS.fields, *_PLACE]), "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": T.StructType([*S.STREAM_SLOTS.fields, *_PLACE]), "swaps": T.StructType([*S.SWAPS.fields, *_PLACE])}
+APPENDED = ("events", "stream_slots", "swaps")
 
 
 class Tables:
@@ -29,53 +36,93 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
+    def _folders(self, path: str, prefix: str) -> list[int]:
+        """Numbers of the folders ``prefix=<number>``."""
+        if not self._fs.exists(self._path(path)):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(path)) if s.isDirectory()]
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}="))
 
-    def _current(self, name: str) -> int | None:
-        pointer = f"{self.path(name)}/_CURRENT"
-        if not self._exists(pointer):
-            return None
-        stream = self._fs.open(self._path(pointer))
-        try:
-            return int(stream.readUTF())
-        finally:
-            stream.close()
-
-    def read(self, name: str, but_batch: int | None = None) -> DataFrame:
-        schema = SCHEMAS[name]
-        if name in ("events", "swaps"):
-            statuses = self._fs.listStatus(self._path(self.path(name)))
-            folders = [s.getPath().getName() for s in statuses if s.isDirectory()]
-            if not folders:
-                return self.spark.createDataFrame([], schema)
-            df = self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*[f"{self.path(name)}/{f}" for f in folders])
-            return df if but_batch is None else df.where(F.col("batch") != but_batch)
-        n = self._current(name)
-        return self.spark.createDataFrame([], schema) if n is None else self.spark.read.schema(schema).parquet(f"{self.path(name)}/v={n}")
+    # ---- appended tables ----
+
+    def buckets(self, name: str) -> list[int]:
+        return self._folders(self.path(name), "slot_bucket")
+
+    def _batches(self, name: str, bucket: int) -> list[int]:
+        """The folders of a bucket that count: the latest compaction and what came after it."""
+        every = self._folders(f"{self.path(name)}/slot_bucket={bucket}", "batch")
+        done = [b for b in every if b < 0 and self._fs.exists(self._path(f"{self.path(name)}/slot_bucket={bucket}/batch={b}/_SUCCESS"))]
+        return every if not done else [min(done), *(b for b in every if b > -1 - min(done))]
+
+    def _rows(self, name: str, buckets: list[int] | None, but_batch: int | None) -> DataFrame:
+        chosen = self.buckets(name) if buckets is None else sorted({*buckets} & {*self.buckets(name)})
+        paths = [f"{self.path(name)}/slot_bucket={b}/batch={n}" for b in chosen for n in self._batches(name, b) if n != but_batch]
+        if not paths:
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).option("basePath", self.path(name)).parquet(*paths)
 
     def append(self, name: str, rows: DataFrame, batch: int) -> None:
-        """Write the rows of a batch; writing the same batch again replaces them."""
-        by = ["slot_bucket"] if name == "events" else []
-        writer = rows.drop("batch").write.mode("overwrite")
-        (writer.partitionBy(*by) if by else writer).parquet(f"{self.path(name)}/batch={batch}")
+        """Write the rows of a batch by slot; writing the same batch again replaces them."""
+        rows = rows.withColumn("slot_bucket", F.floor(F.col("slot") / S.SLOTS_PER_BUCKET).cast("long")).withColumn("batch", F.lit(batch).cast("long"))
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot_bucket", "batch").parquet(self.path(name))
+
+    def count(self, name: str, batch: int, buckets: list[int]) -> int:
+        """Rows of a batch, from the footers of its files."""
+        paths = [p for b in buckets if self._fs.exists(self._path(p := f"{self.path(name)}/slot_bucket={b}/batch={batch}"))]
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths).count() if paths else 0
 
-    def next_batch(self, name: str) -> int:
-        folders = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path(name))) if s.isDirectory()]
-        return max([int(f.split("=")[1]) for f in folders if f.startswith("batch=")], default=-1) + 1
+    def next_batch(self, name: str = "events") -> int:
+        last = [max(*x, *(-1 - n for n in x)) for b in self.buckets(name) if (x := self._folders(f"{self.path(name)}/slot_bucket={b}", "batch"))]
+        return max(last, default=-1) + 1
+
+    def compact(self, name: str, least: int = 8) -> int:
+        """Put the batches of each bucket with ``least`` of them into one folder; the number of buckets. Not beside a commit.
+
+        The new folder counts from the moment it is complete, and the old ones no longer; they are deleted after that.
+        """
+        done = 0
+        for bucket in self.buckets(name):
+            batches = self._batches(name, bucket)
+            if len(batches) < least:
+                continue
+            top = max(*batches, *(-1 - b for b in batches))
+            rows = self._rows(name, [bucket], None).drop("slot_bucket", "batch")
+            if name == "stream_slots":
+                rows = self.read(name, buckets=[bucket])
+            folder = f"{self.path(name)}/slot_bucket={bucket}"
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={-1 - top}")
+            for b in self._folders(folder, "batch"):
+                if -1 - top < b <= top:
+                    self._fs.delete(self._path(f"{folder}/batch={b}"), True)
+            done += 1
+        return done
+
+    # ---- reading, and snapshots of keyed tables ----
+
+    def read(self, name: str, buckets: list[int] | None = None, but_batch: int | None = None) -> DataFrame:
+        """A table; of an appended one only the buckets named, without a batch that is being written."""
+        if name == "stream_slots":
+            rows = self._rows(name, buckets, but_batch)
+            states = slots.merge_states(rows, "stream_name", order="batch")
+            first = rows.groupBy("stream_name", "slot").agg(F.min("first_seen_at").alias("first_seen_at"))
+            return states.join(first, ["stream_name", "slot"]).select(*S.STREAM_SLOTS.names)
+        if name in APPENDED:
+            return self._rows(name, buckets, but_batch)
+        n = self._current(name)
+        return self.spark.createDataFrame([], SCHEMAS[name]) if n is None else self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path(name)}/v={n}")
+
+    def _current(self, name: str) -> int | None:
+        """The last snapshot that is complete."""
+        every = self._folders(self.path(name), "v")
+        return next((n for n in reversed(every) if self._fs.exists(self._path(f"{self.path(name)}/v={n}/_SUCCESS"))), None)
 
     def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace a keyed table by ``change`` of it: new snapshot first, pointer last, then the snapshot before the last goes."""
+        """Replace a keyed table by ``change`` of it: a new snapshot, then the one before the last goes."""
         n = self._current(name)
         new = 0 if n is None else n + 1
-        rows = change(self.read(name))
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields]).write.mode("overwrite").parquet(f"{self.path(name)}/v={new}")
-        temporary = self._path(f"{self.path(name)}/_CURRENT.{new}")
-        stream = self._fs.create(temporary, True)
-        stream.writeUTF(str(new))
-        stream.close()
-        final = self._path(f"{self.path(name)}/_CURRENT")
-        self._fs.delete(final, False)
-        self._fs.rename(temporary, final)
-        if n is not None and n > 0:
-            self._fs.delete(self._path(f"{self.path(name)}/v={n - 1}"), True)
+        rows = change(self.read(name)).select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/v={new}")
+        for old in self._folders(self.path(name), "v"):
+            if old < new - 1:
+                self._fs.delete(self._path(f"{self.path(name)}/v={old}"), True)

@@ -11,6 +11,7 @@ KINDS = ("account", "block", "entry", "instruction", "slot", "transaction")
 STATUSES = ("processed", "confirmed", "finalized", "dead")
 U64 = T.DecimalType(20, 0)
 MAX_LONG = 2**63 - 1
+SLOTS_PER_BUCKET = 10_000  # of the tables' layout
 
 #: Identity fields of each kind in key order: name, type, whether it may be missing.
 IDENTITY_FIELDS: dict[str, tuple[tuple[str, str, bool], ...]] = {
@@ -30,7 +31,6 @@ IDENTITY = T.StructType(
 EVENT = T.StructType(IDENTITY.fields + [T.StructField("payload", T.StringType())])
 
 
-
 def _flat(fields: str) -> T.StructType:
     """A schema of plain types; unlike a DDL parse it needs no session."""
     kinds = {"string": T.StringType(), "long": T.LongType(), "short": T.ShortType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}

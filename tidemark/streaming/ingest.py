@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import Summary, commit
+from ..metrics import Metrics
+from ..plans.pipeline import BATCH_SIZE, Progress, Summary, commit
 from ..plans.tables import Tables
 
-Progress = Callable[[Summary], None]
+COMPACT_EVERY = 50  # batches
 
 
 @dataclass
@@ -23,22 +22,23 @@ class Ingest:
     stream_name: str
     advance_frontier: bool = True
     on_progress: Progress | None = None
+    metrics: Metrics | None = None
+    batch_size: int = BATCH_SIZE
     totals: Summary = field(default_factory=Summary)
-    latencies: list[float] = field(default_factory=list)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        began = time.time()
-        done = commit(self.tables, rows, self.stream_name, batch_id, self.advance_frontier)
+        done = commit(self.tables, rows, self.stream_name, batch_id, self.advance_frontier, self.batch_size)
         if not done.events_seen:
             return
-        self.latencies.append(time.time() - began)
-        for name in ("events_seen", "events_skipped", "conversion_skipped", "batches_written", "events_attempted", "events_inserted", "events_deduplicated"):
-            setattr(self.totals, name, getattr(self.totals, name) + getattr(done, name))
-        for name in ("last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot"):
-            new, old = getattr(done, name), getattr(self.totals, name)
-            setattr(self.totals, name, old if new is None else new if old is None else max(old, new))
+        self.totals.add(done)
+        if self.metrics:
+            self.metrics.observe_latency("events", done.write_seconds_last)
+            self.metrics.progress(self.totals)
         if self.on_progress:
             self.on_progress(self.totals)
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            for name in ("events", "stream_slots", "swaps"):
+                self.tables.compact(name)
 
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True, interval: str = "1 second") -> StreamingQuery:
         if self.on_progress:
