@@ -7,7 +7,7 @@ thresholds (hysteresis). The log-mel frames are stored the same way, BLOCK frame
 
 Defined cases: a null or empty text is one chunk of zeros (its payload is padded to a positive multiple of CHUNK);
 silence and constant sound have no segment; repeated rows and equal texts get equal values; a sound is processed whole,
-whatever its length; only the key and text columns are read.
+whatever its length; an empty table gives no rows; only the key and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations

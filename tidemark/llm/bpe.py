@@ -9,7 +9,8 @@ gives.
 
 Defined cases: a null text is treated as empty and has no ids; special tokens that occur in a text are
 matched as the tokenizers library does; ids decode to the text's own bytes, so every text comes back
-unless it holds lone surrogates, which Spark's UTF-8 strings can't; long texts are processed whole.
+unless it holds lone surrogates, which Spark's UTF-8 strings can't; long texts are processed whole; repeated rows get equal
+results; an empty table gives no rows; only the key and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -285,14 +286,15 @@ def tokenizer(path: str) -> PairIndexBpe:
 BATCH_CHARS = 6_000_000  # texts are encoded together up to so many characters, which bounds a worker's memory
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
     """``key``, n_tokens, ids (binary, little-endian unsigned 32-bit), decoded text; one row for each row of ``docs``.
 
-    ``ids=False`` returns ids_sha256 and decoded_sha256 instead of the ids and the text.
+    ``ids=False`` returns ids_sha256 and decoded_sha256 instead of the ids and the text. ``path`` is that of the vocabulary on the
+    machines that do the work; without one each looks up the public vocabulary for itself.
     """
 
     def run(batches):
-        bpe = tokenizer(path)
+        bpe = tokenizer(path or default_path())
         for batch in batches:
             keys, texts, start = batch.column(0), batch.column(1).to_pylist(), 0
             while start < len(texts):
@@ -326,10 +328,10 @@ def default_path() -> str:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read(spark, sf_dir, "documents"), default_path(), ids=False)
+    return encode(read(spark, sf_dir, "documents"), ids=False)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's count and digest of ids, and the digest of the text that they decode to."""
-    out = encode(docs, default_path(), ids=False)
+    out = encode(docs, ids=False)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -13,7 +13,9 @@ twenty is hit, and one at least.
 
 Defined cases: a null or empty text has no words, so nothing is hit; an item without words has no window; an item
 of a single word is matched by that word; repeated item rows count once; repeated document rows get equal results; with
-an empty benchmark nothing is hit; items without an id are ignored; only the named columns are read.
+an empty benchmark nothing is hit; an empty table gives no rows; items without an id are ignored; documents without an id
+are told from those with an empty one; other columns, whatever their names, pass through, but for those named like the
+figures that are added (the pipeline's stage adds none).
 """
 
 from __future__ import annotations
@@ -85,18 +87,28 @@ def candidates(docs: DataFrame, items: DataFrame, one: bool) -> DataFrame:
     return found.select("_id", "_h", aligned.alias("c")).where(F.size("c") > 0).groupBy("_id", "_h").agg(F.array_distinct(F.flatten(F.collect_set("c"))).alias("cands"))
 
 
+FIGURES = ("n_words", "n_hit", "items")
+
+
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """All columns of ``docs``, and n_words, n_hit, items (ids of the items hit, as sorted text); one row for each row."""
+    """All columns of ``docs``, and n_words, n_hit, items (ids of the items hit, as sorted text), in place of columns of these names."""
+    columns = [F.col(f"_doc.`{c}`").alias(c) for c in docs.columns if c.lower() not in FIGURES]
+    return _judged(docs, items, key, text, item, item_text).select(*columns, "_told.*")
+
+
+def _judged(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``_doc`` (the row) and ``_told`` (n_words, n_hit, items); one row for each row of ``docs``."""
     iw = with_words(items.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("x")), "x", "iw")
     iw = materialize(iw.where(F.col("item").isNotNull() & (F.size("iw") > 0)).select("item", "iw").distinct(), "items")
-    ident = [F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h")]
-    slim = docs.select(*ident, F.col(text).alias("text"))
+    text_of, key_of = F.col(f"`{text}`"), F.col(f"`{key}`")
+    ident = [F.when(key_of.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), key_of.cast("string"))).alias("_id"), F.xxhash64(F.coalesce(text_of, F.lit(""))).alias("_h")]
+    slim = docs.select(*ident, text_of.alias("text"))
     found = candidates(slim, iw, False)
     if not iw.where(F.size("iw") == 1).isEmpty():
         found = found.unionByName(candidates(slim, iw, True)).groupBy("_id", "_h").agg(F.flatten(F.collect_list("cands")).alias("cands"))
     found = materialize(found, "candidates")
     near = F.broadcast(found) if bounded(found, F.aggregate("cands", F.lit(1).cast("long"), lambda s, c: s + F.size(c["iw"]))) else found
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *ident, F.col(text).alias("_text"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *ident, text_of.alias("_text"))
     joined = with_words(own.join(near, ["_id", "_h"], "left"), "_text", "_w").withColumn("n_words", F.size("_w"))
 
     def occurrences(c: Column) -> Column:
@@ -124,12 +136,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         )
 
     # Told by a generator: a later filter on the figures is then not pushed below it, where it would compute all of them again.
-    out = joined.select("_doc", F.explode_outer(F.transform(F.array(hits), told)).alias("_told"))
-    return out.select("_doc.*", "_told.*")
+    return joined.select("_doc", F.explode_outer(F.transform(F.array(hits), told)).alias("_told"))
 
 
-def contaminated() -> Column:
-    return (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
+def contaminated(of: str = "") -> Column:
+    return (F.col(of + "n_hit") > 0) & (F.col(of + "n_hit") * SHARE >= F.col(of + "n_words"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,10 +150,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated, with the columns they came with."""
-    clash = {"n_words", "n_hit", "items"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"the input already has columns named {sorted(clash)}")
-    return contamination(docs, read(spark, sf_dir, "benchmark")).where(~contaminated()).select(*docs.columns)
+    clean = _judged(docs, read(spark, sf_dir, "benchmark")).where(~contaminated("_told."))
+    return clean.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
 
 
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

@@ -6,8 +6,9 @@ feed a two-state chain (main text or not) that is decoded by Viterbi. The chain
 ascent on the log-likelihood of labelled pages that ``labelled_pages`` lays out by rule in many templates.
 
 Defined cases: a null or empty page, and one without main text, give an empty text; unclosed and stray tags are taken
-as browsers do for paragraphs, list items and cells; very long pages and blocks are taken whole; repeated rows get equal results; only
-the named columns are read.
+as browsers do for paragraphs, list items and cells; very long pages and blocks are taken whole, and tags or quotes that never
+end cost linear time; embedded formulas, drawings and objects keep their text; repeated rows get equal results; an empty table
+gives no rows; only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -24,12 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read
 
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-SKIPPED = frozenset("script style noscript template textarea select button iframe object svg math canvas audio video".split())
+#: Elements whose content is never read as text: scripts, styles and form controls.
+SKIPPED = frozenset("script style noscript template textarea select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes an open element of these names, up to the nearest container.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 CONTAINERS = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table ul".split())
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<[!?][^>]*>""", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: What may change a tag's end: a quote that begins a value, or the end itself.
+_QUOTE = re.compile(r"""=\s*["']|>""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 #: Words of class and id attributes that name the same kind of part; they share a feature.
@@ -47,16 +52,95 @@ _HINT = {w: k for k, ws in HINTS.items() for w in ws.split()}
 
 
 class Block:
-    __slots__ = ("text", "path", "names", "linked")
+    """A run of text: the element it stands in, all open elements and the words of their names, how much of it is links."""
+
+    __slots__ = ("text", "tag", "path", "names", "linked")
+
+    def __init__(self, text: str, tag: str, path: frozenset[str], names: frozenset[str], linked: int):
+        self.text, self.tag, self.path, self.names, self.linked = text, tag, path, names, linked
+
+
+class Scanner:
+    """Tags in page order, in linear time: a stretch without an end is looked through once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.ends: dict[str, tuple[int, int]] = {}
+
+    def tag(self, pos: int) -> tuple[int, int, bool, str, str] | None:
+        """The next tag: start, end, whether it closes, lower-case name, attributes; comments and declarations have no name.
+
+        A quoted value may hold ``>``; one that never ends is none.
+        """
+        page, pos = self.page, self.page.find("<", pos)
+        while pos >= 0:
+            if page.startswith("<!--", pos):
+                end = page.find("-->", pos + 4)
+                return pos, len(page) if end < 0 else end + 3, False, "", ""
+            if page[pos + 1 : pos + 2] in ("!", "?"):
+                end = page.find(">", pos)
+                return (pos, end + 1, False, "", "") if end >= 0 else None
+            if m := _NAME.match(page, pos + 1 + (page[pos + 1 : pos + 2] == "/")):
+                at = m.end()
+                while q := _QUOTE.search(page, at):
+                    if q[0] == ">":
+                        return pos, q.end(), page[pos + 1] == "/", m[0].lower(), page[m.end() : q.start()]
+                    at = page.find(q[0][-1], q.end()) + 1 if q.end() <= self.last[q[0][-1]] else q.end()
+                return None  # no tag can end any more
+            pos = page.find("<", pos + 1)
+        return None
+
+    def after(self, name: str, pos: int) -> int:
+        """Where the element of this name ends."""
+        found = self.ends.get(name, (-1, -1))
+        if found[0] < pos:
+            m = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(self.page, pos)
+            found = self.ends[name] = m.span() if m else (len(self.page), len(self.page))
+        return found[1]
+
+
+class Stack:
+    """Open elements, with counts of their names and of the words that describe them."""
 
-    def __init__(self, text: str, path: tuple[str, ...], names: tuple[str, ...], linked: int):
-        self.text, self.path, self.names, self.linked = text, path, names, linked
+    def __init__(self) -> None:
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.tags: Counter[str] = Counter()
+        self.words: Counter[str] = Counter()
+
+    def push(self, name: str, words: tuple[str, ...]) -> None:
+        self.open.append((name, words))
+        self.tags[name] += 1
+        self.words.update(words)
+
+    def cut(self, size: int) -> None:
+        while len(self.open) > size:
+            name, words = self.open.pop()
+            for counts, keys in ((self.tags, (name,)), (self.words, words)):
+                for k in keys:
+                    counts[k] -= 1
+                    if not counts[k]:
+                        del counts[k]
+
+    def close(self, name: str) -> None:
+        if self.tags[name]:
+            self.cut(next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == name))
+
+    def start(self, name: str) -> None:
+        """Close what a start tag of this name closes, up to the nearest container."""
+        closed = CLOSES.get(name, {"p"})
+        while any(self.tags[c] for c in closed):
+            i = len(self.open) - 1
+            while i >= 0 and self.open[i][0] not in closed and self.open[i][0] not in CONTAINERS:
+                i -= 1
+            if i < 0 or self.open[i][0] not in closed:
+                break
+            self.cut(i)
 
 
 def leaf_blocks(page: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    parts: list[str] = []
+    stack, parts = Stack(), []
     linked, links, pos = 0, 0, 0
 
     def flush() -> None:
@@ -64,26 +148,26 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, tuple(t for t, _ in stack), tuple(n for _, ns in stack for n in ns), linked))
+                out.append(Block(text, stack.open[-1][0] if stack.open else "", frozenset(stack.tags), frozenset(stack.words), linked))
             parts.clear()
         linked = 0
 
-    while m := _TAG.search(page, pos):
-        if m.start() > pos:
-            parts.append(page[pos : m.start()])
+    scanner = Scanner(page)
+    while found := scanner.tag(pos):
+        start, end, closes, name, attributes = found
+        if start > pos:
+            parts.append(page[pos:start])
             if links:
-                linked += m.start() - pos
-        pos = m.end()
-        name = (m[2] or "").lower()
+                linked += start - pos
+        pos = end
         if not name:
             continue
         if name in SKIPPED:
-            if not m[1] and not m[3].endswith("/"):
-                end = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, pos)
-                pos = end.end() if end else len(page)
+            if not closes and not attributes.endswith("/"):
+                pos = scanner.after(name, pos)
             continue
         if name == "a":
-            links = 0 if m[1] else 1
+            links = 0 if closes else 1
             continue
         if name == "br":
             parts.append(" ")
@@ -92,20 +176,12 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         flush()
         links = 0
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+        if closes:
+            stack.close(name)
             continue
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in CLOSES.get(name, {"p"}):
-                del stack[i:]
-            elif stack[i][0] in CONTAINERS:
-                break
+        stack.start(name)
         if name not in VOID:
-            names = tuple(w for c in _NAMES.findall(m[3]) for w in _WORDS.findall("".join(c).lower()))
-            stack.append((name, names))
+            stack.push(name, tuple(w for c in _NAMES.findall(attributes) for w in _WORDS.findall("".join(c).lower())))
     if pos < len(page):
         parts.append(page[pos:])
         if links:
@@ -117,7 +193,7 @@ def leaf_blocks(page: str) -> list[Block]:
 def block_features(b: Block) -> list[str]:
     n = len(b.text)
     share = b.linked / max(n, 1)
-    out = ["bias", "tag:" + (b.path[-1] if b.path else ""), f"size:{min(7, int(math.log2(n + 1)))}", f"links:{0 if share < 0.05 else 1 if share < 0.5 else 2}"]
+    out = ["bias", "tag:" + b.tag, f"size:{min(7, int(math.log2(n + 1)))}", f"links:{0 if share < 0.05 else 1 if share < 0.5 else 2}"]
     out += {"in:" + t for t in b.path} | {"name:" + w for w in b.names} | {"hint:" + _HINT[w] for w in b.names if w in _HINT}
     if b.text[-1] in ".!?":
         out.append("sentence")

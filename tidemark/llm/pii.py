@@ -1,17 +1,21 @@
 """Personal data: base patterns, and a semi-Markov conditional random field that adds what they miss.
 
-The base finds e-mail addresses, IP addresses, card and phone numbers by fixed patterns. The field looks at the
-neighbourhood of every digit, at sign and secret-like word. It labels segments, not tokens: a candidate segment of up
-to MAX_LEN tokens is scored as a whole (its digits, shape, separators, checksum and the words on both sides), and
-dynamic programming over bounded segments chooses boundaries and types together. It is trained here, by gradient
-ascent on the log-likelihood of labelled sentences that ``examples`` makes by rule.
+The base finds e-mail addresses, IP addresses, card and phone numbers by fixed patterns. The field labels segments, not
+tokens: a candidate segment of up to MAX_LEN tokens is scored as a whole (its digits, shape, separators, checksum and the
+words on both sides), and dynamic programming over bounded segments chooses boundaries and types together. It is trained
+here, by gradient ascent on the log-likelihood of labelled sentences that ``examples`` makes by rule.
+
+A segment can only be personal data if it meets a digit, an at sign or a word like "token" (or what follows such a word
+closely), keeps to one line and overlaps nothing of the base. All other segments are single tokens of no type, so
+the best labelling of a whole text is that of its stretches around these marks, MAX_LEN tokens to either side, and only they are
+decoded; tests hold this against decoding every token.
 
 Spans are in code points, the end exclusive. Spans of the base always stay; a span of the field is added where it
 overlaps none of them.
 
 Defined cases: a null or empty text has no spans; overlapping kinds of the base are all kept, as the kinds are searched
-independently; long runs of digits or local characters take linear time; repeated rows get equal results; texts are
-searched whole; only the key and text columns are read.
+independently; long runs of digits or local characters take linear time; repeated rows get equal results; an empty table
+gives no rows; texts are searched whole; only the key and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -33,7 +37,6 @@ from .common import read
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: The contract's patterns (fixed values), with possessive runs: no shorter match can succeed where a run has failed.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -102,15 +105,15 @@ _DIGIT = re.compile(r"[0-9]")
 TYPES = ("none", *KINDS)
 MAX_LEN = 20  # tokens of a segment of personal data; other segments are single tokens
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]|[^\S\n]+|\n")
-_TRIGGER = re.compile(r"[0-9@]|\b(?:dot|token|secret|password|passwd|api[_-]?key)\b", re.I)
+_MARK = re.compile(r"[0-9@]+|\b(?:dot|token|secret|password|passwd|api[_ -]?key)\b", re.I)
+NEAR = 24  # code points behind a word that marks
 _WORD_NEAR = re.compile(r"[A-Za-z]+")
 CUES = {"mail": "email", "email": "email", "contact": "email", "ip": "ip", "host": "ip", "address": "ip", "server": "ip", "card": "card", "visa": "card", "credit": "card", "payment": "card", "phone": "phone", "call": "phone", "tel": "phone", "mobile": "phone", "fax": "phone", "token": "secret", "secret": "secret", "password": "secret", "passwd": "secret", "key": "secret", "api": "secret"}
 
 
 def _shape(s: str) -> str:
     """Classes of the characters, runs collapsed."""
-    out = re.sub(r"[0-9]+", lambda m: "9" if len(m[0]) < 3 else "999" if len(m[0]) < 5 else "99999", re.sub(r"[A-Za-z]+", "a", s))
-    return out[:24]
+    return re.sub(r"[0-9]+", lambda m: "9" if len(m[0]) < 3 else "999" if len(m[0]) < 5 else "99999", re.sub(r"[A-Za-z]+", "a", s))
 
 
 def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -> list[str]:
@@ -136,8 +139,10 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
     low = s.lower()
     if " at " in low and " dot " in low:
         out.append("spelled")
-        if text[b : b + 5].lower() == " dot ":
+        if text[b : b + 5].lower() == " dot " or low.endswith((" dot", " at")):
             out.append("spelledon")
+        if _SPELLED.match(low):
+            out.append("localpart")
     if _DOTTED.fullmatch(s):
         out.append("dotted4")
     if _NATIONAL.fullmatch(s):
@@ -152,17 +157,47 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
     return out
 
 
-def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[list[tuple[int, list[str]]]]:
-    """First token and features of each segment that may end at each token; none of several tokens holds a newline."""
+def marked(text: str, tokens: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> tuple[list[bool], list[bool]]:
+    """Which tokens meet a mark, and which the base has taken."""
+    if not tokens:
+        return [], []
+    first, last = tokens[0][0], tokens[-1][1]
+    zones = [(m.start(), m.end() + (NEAR if m[0][0].isalpha() else 0)) for m in _MARK.finditer(text, first, last)]
+    return _met(tokens, zones), _met(tokens, [(a, b) for a, _, b in base if a < last and b > first])
+
+
+def _met(tokens: list[tuple[int, int]], zones: list[tuple[int, int]]) -> list[bool]:
+    """Which tokens overlap a zone; both are in order of their starts."""
+    out, k, reach = [], 0, -1
+    for a, b in tokens:
+        while k < len(zones) and zones[k][0] < b:
+            reach = max(reach, zones[k][1])
+            k += 1
+        out.append(reach > a)
+    return out
+
+
+def candidates(text: str, tokens: list[tuple[int, int]], hot: list[bool], taken: list[bool]) -> Iterator[list[tuple[int, list[str], bool]]]:
+    """First token and features of each segment that may end at each token, and whether it can be personal data.
+
+    Those that can't are single tokens. None holds a newline, begins or ends blank, or holds a token that the base has taken.
+    """
     blank = [text[a].isspace() for a, _ in tokens]
-    first = 0
+    first, mark = 0, -1  # a segment begins after the last newline or taken token; the last marked token
     for j in range(1, len(tokens) + 1):
-        if text[tokens[j - 1][0]] == "\n":
+        if taken[j - 1] or text[tokens[j - 1][0]] == "\n":
             first = j
-        yield [(i, segment_features(text, tokens, i, j)) for i in range(min(j - 1, max(first, j - MAX_LEN)), j) if i == j - 1 or not (blank[i] or blank[j - 1])]
+        if hot[j - 1]:
+            mark = j - 1
+        low = max(first, j - MAX_LEN)
+        own = [(i, segment_features(text, tokens, i, j), True) for i in range(low, min(j, mark + 1)) if not (blank[i] or blank[j - 1])]
+        if not own or own[-1][0] != j - 1:
+            own.append((j - 1, segment_features(text, tokens, j - 1, j), False))
+        yield own
 
 
 _DOTTED = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+_SPELLED = re.compile(r"[a-z0-9._+-]+ at ")
 _NATIONAL = re.compile(r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}")
 
 
@@ -175,30 +210,30 @@ class SemiCrf:
         w = self.weights
         return sum(w.get((y, f), 0.0) for f in feats)
 
-    def lattice(self, candidates: Iterable[list[tuple[int, list[str]]]]):
+    def lattice(self, candidates: Iterable[list[tuple[int, list[str], bool]]]):
         """Scored segments that end at each token: (start, type, score, features)."""
         for j, own in enumerate(candidates, 1):
             here = []
-            for i, feats in own:
+            for i, feats, data in own:
                 if i == j - 1:
                     here.append((i, 0, self.score(0, feats), feats))
-                if "blankedge" not in feats and "newline" not in feats:
+                if data:
                     here += [(i, y, self.score(y, feats), feats) for y in range(1, len(TYPES))]
             yield here
 
-    def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        """Best segmentation: (first token, end token, type) of the segments that are personal data."""
+    def decode(self, text: str, tokens: list[tuple[int, int]], hot: list[bool], taken: list[bool]) -> list[tuple[int, int, int]]:
+        """Best segmentation: (first token, end token, type) of the segments that are personal data. A text goes on with no type."""
         best = np.full((len(tokens) + 1, len(TYPES)), -1e18)
         best[0, 0] = 0
         back: dict[tuple[int, int], tuple[int, int]] = {}
-        for j, here in enumerate(self.lattice(candidates(text, tokens)), 1):
+        for j, here in enumerate(self.lattice(candidates(text, tokens, hot, taken)), 1):
             for i, y, s, _ in here:
                 reach = best[i] + self.moves[:, y]
                 p = int(reach.argmax())
                 if reach[p] + s > best[j, y]:
                     best[j, y] = reach[p] + s
                     back[j, y] = (i, p)
-        out, j, y = [], len(tokens), int(best[-1].argmax())
+        out, j, y = [], len(tokens), int((best[-1] + self.moves[:, 0]).argmax())
         while j > 0:
             i, p = back[j, y]
             if y:
@@ -206,7 +241,7 @@ class SemiCrf:
             j, y = i, p
         return out[::-1]
 
-    def gradient(self, own: list[list[tuple[int, list[str]]]], gold: list[tuple[int, int, int]]):
+    def gradient(self, own: list[list[tuple[int, list[str], bool]]], gold: list[tuple[int, int, int]]):
         """Observed less expected features, and the same for moves; the log-likelihood."""
         lattice, n, k = list(self.lattice(own)), len(own), len(TYPES)
         fwd, bwd = np.full((n + 1, k), -1e18), np.full((n + 1, k), -1e18)
@@ -214,11 +249,11 @@ class SemiCrf:
         for j, here in enumerate(lattice, 1):
             for i, y, s, _ in here:
                 fwd[j, y] = np.logaddexp(fwd[j, y], np.logaddexp.reduce(fwd[i] + self.moves[:, y]) + s)
-        bwd[n] = 0
+        bwd[n] = self.moves[:, 0]
         for j in range(n, 0, -1):
             for i, y, s, _ in lattice[j - 1]:
                 bwd[i] = np.logaddexp(bwd[i], self.moves[:, y] + s + bwd[j, y])
-        z = np.logaddexp.reduce(fwd[n])
+        z = np.logaddexp.reduce(fwd[n] + self.moves[:, 0])
         grad: dict[tuple[int, str], float] = {}
         moves = np.zeros((k, k))
         observed = {(i, j): y for i, j, y in gold}
@@ -240,6 +275,8 @@ class SemiCrf:
             i, y = starts.get(i, (i + 1, 0))
             moves[last, y] += 1
             last = y
+        moves[last, 0] += 1
+        moves[:, 0] -= np.exp(np.minimum(fwd[n] + self.moves[:, 0] - z, 0))
         return grad, moves, z
 
 
@@ -294,7 +331,7 @@ def model(epochs: int = 4) -> SemiCrf:
         at, to = {a: i for i, (a, _) in enumerate(tokens)}, {b: i + 1 for i, (_, b) in enumerate(tokens)}
         gold = [(at[a], to[b], TYPES.index(k)) for a, b, k in spans if a in at and b in to and to[b] - at[a] <= MAX_LEN]
         if len(gold) == len(spans):
-            data.append((list(candidates(text, tokens)), gold))
+            data.append((list(candidates(text, tokens, *marked(text, tokens, []))), gold))
     for _ in range(epochs):
         for own, gold in data:
             grad, moves, _ = crf.gradient(own, gold)
@@ -307,40 +344,42 @@ def model(epochs: int = 4) -> SemiCrf:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], crf: SemiCrf) -> list[tuple[int, int, int]]:
-    """Spans that the field finds and that overlap none of the base's."""
+    """Spans that the field finds; they overlap none of the base's."""
     out: list[tuple[int, int, int]] = []
-    tokens: list[tuple[int, int]] = []
-    done = 0
-    for a, b in regions(text, base):
-        tokens = tokenize(text, max(a, done), b)
-        for i, j, y in crf.decode(text, tokens) if tokens else ():
-            s, e = tokens[i][0], tokens[j - 1][1]
-            if all(e <= x or s >= z for x, _, z in base):
-                out.append((s, y - 1, e))
-        done = b
+    for start, end in marked_lines(text):
+        tokens = tokenize(text, start, end)
+        hot, taken = marked(text, tokens, base)
+        for a, b in stretches([h and not t for h, t in zip(hot, taken, strict=True)]):
+            for i, j, y in crf.decode(text, tokens[a:b], hot[a:b], taken[a:b]):
+                out.append((tokens[a + i][0], y - 1, tokens[a + j - 1][1]))
     return out
 
 
-def regions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Stretches around triggers that the base has not covered, up to white space, merged where they touch."""
-    covered, k, merged = base, 0, []
-    for m in _TRIGGER.finditer(text):
-        p = m.start()
-        while k < len(covered) and covered[k][2] <= p:
-            k += 1
-        if k < len(covered) and covered[k][0] <= p:
-            continue
-        done = merged[-1][1] if merged else 0
-        a, b = max(0, p - 32), max(min(len(text), p + 48), done)
-        while a > done and not text[a - 1].isspace():
-            a -= 1
-        while b < len(text) and not text[b - 1].isspace() and not text[b].isspace():
-            b += 1
-        if merged and a <= done:
-            merged[-1] = (merged[-1][0], b)
-        else:
-            merged.append((a, b))
-    return merged
+def marked_lines(text: str) -> Iterator[tuple[int, int]]:
+    """Lines with a mark, and those that begin close behind a word that marks."""
+    done = -1
+    for m in _MARK.finditer(text):
+        reach = m.end() + (NEAR if m[0][0].isalpha() else 0)
+        at = max(m.start(), done + 1)
+        while at < min(reach, len(text)):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            if end > at:
+                yield max(text.rfind("\n", 0, at) + 1, done + 1), end
+            done, at = end, end + 1
+
+
+def stretches(hot: list[bool]) -> Iterator[tuple[int, int]]:
+    """Stretches of tokens outside which no segment can be personal data, with a token to spare."""
+    start = end = 0
+    for k in [*(k for k, h in enumerate(hot) if h), None]:
+        if k is None or k - MAX_LEN > end:
+            if end:
+                yield start, end
+            if k is None:
+                return
+            start = max(0, k - MAX_LEN)
+        end = min(len(hot), k + MAX_LEN + 1)
 
 
 def spans(text: str | None, crf: SemiCrf) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

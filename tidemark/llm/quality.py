@@ -5,12 +5,14 @@ STRIDE bytes across the whole document, each filter is max-pooled over all chunk
 combines the maxima into one probability.
 
 Training is on the driver, on a bounded sample of labelled rows: the ``max_rows`` rows of least hash of
-their id (a documented bound; every labelled row is used while there are fewer). Scoring covers every
-byte of every document.
+their id, as far as their texts come to ``max_bytes`` (documented bounds; every labelled row is used while there are
+fewer). Scoring covers every byte of every document.
 
 Defined cases: a null or empty text is one chunk of zero bytes and gets the probability learned for that;
-repeated rows get equal scores; without any labelled row of both classes every score is the share of
-label 1 (0.5 without labels); a null doc_id counts as not held out and is never trained on.
+repeated rows get equal scores, as scores are rounded to five places, beyond which a batch's order of sums shows;
+without any labelled row of both classes every score is the share of label 1 (0.5 without labels); an empty table gives no
+rows; a null doc_id counts as not held out and is never trained on; ``score`` replaces a column of that name, while the
+pipeline's stage returns all columns as they came, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from .common import read
 
 CHUNK, STRIDE, EMBED, FILTERS = 16, 8, 8, 16
 MAX_TRAIN_ROWS = 2500
+MAX_TRAIN_BYTES = 256 << 20
 EPOCHS = 14
 LEAST_STEPS = 600  # of training; a small set is gone through more often
 THRESHOLD = 0.3
@@ -123,31 +126,36 @@ def held_out(key: str = "doc_id", folds: int = HOLD_OUT):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", max_rows: int = MAX_TRAIN_ROWS) -> ByteCnn:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", max_rows: int = MAX_TRAIN_ROWS, max_bytes: int = MAX_TRAIN_BYTES) -> ByteCnn:
     """Train on the labelled rows outside the held-out fold, at most ``max_rows`` of them, chosen by a hash of the id."""
     known = labels.select(F.col(key).alias("_k"), F.col(label).alias("_y")).where(F.col("_y").isin(0, 1) & F.col("_k").isNotNull())
     order = F.xxhash64(F.col("_k").cast("string"))
     picked = known.where(~held_out("_k")).groupBy("_k").agg(F.max("_y").alias("_y")).orderBy(order, "_k").limit(max_rows)
     rows = F.broadcast(picked)  # max_rows rows at most
     mine = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(rows, "_k").groupBy("_k").agg(F.max(F.coalesce("_t", F.lit(""))).alias("_t"), F.max("_y").alias("_y"))
-    got = sorted(((r["_k"], r["_t"].encode(), r["_y"]) for r in mine.toLocalIterator()), key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
+    got, size = [], 0
+    for r in mine.orderBy(order, "_k").toLocalIterator():
+        got.append((r["_k"], r["_t"].encode(), r["_y"]))
+        size += len(got[-1][1])
+        if size > max_bytes:
+            break
+    got.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
     return train([r[1] for r in got], np.array([r[2] for r in got], np.float32))
 
 
 BATCH_BYTES = 300_000
 
 
-def score(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, and ``score``; one row for each row."""
+def _scored(docs: DataFrame, net: ByteCnn, text: str) -> DataFrame:
+    """``_doc`` (the row) and ``_score``; one row for each row of ``docs``."""
     model = docs.sparkSession.sparkContext.broadcast(net)
-    names = docs.columns
-    if "score" in names:
-        raise ValueError("the input already has a column named score")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    place = docs.columns.index(text)
 
     def run(batches):
         net = model.value
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(names.index(text)).to_pylist()]
+            texts = [(t or "").encode() for t in batch.column(0).field(place).to_pylist()]
             out, start = np.zeros(len(texts)), 0
             while start < len(texts):
                 stop, size = start, 0
@@ -156,9 +164,14 @@ def score(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text"
                     stop += 1
                 out[start:stop] = net.scores(texts[start:stop])
                 start = stop
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.round(out.astype(np.float64), 5))], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.round(out.astype(np.float64), 5))], ["_doc", "_score"])
+
+    return rows.mapInArrow(run, rows.select("_doc", F.lit(0.0).alias("_score")).schema)
 
-    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias("score")).schema)
+
+def score(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of ``docs``, and ``score`` (in place of a column of that name); one row for each row."""
+    return _scored(docs, net, text).select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns if c.lower() != "score"], F.col("_score").alias("score"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +182,5 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, with the columns they came with."""
-    kept = [c for c in docs.columns if c != "score"]
-    scored = score(docs.select(*kept), fit(docs, read(spark, sf_dir, "labels")))
-    return scored.where(F.col("score") >= THRESHOLD).drop("score")
+    kept = _scored(docs, fit(docs, read(spark, sf_dir, "labels")), "text").where(F.col("_score") >= THRESHOLD)
+    return kept.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -1,19 +1,20 @@
 """URL filters: a blocked Bloom filter in front of an exact hash join.
 
-A list holds canonical keys ``host/path-prefix``. A URL is looked up by its expressions, every host
-suffix crossed with every path prefix that a listed key can have, so the work for a URL depends on its
-own labels and on the distinct prefix lengths in the list, never on the list's size. The Bloom filter
-drops the expressions that are certainly not listed before anything is shuffled; what passes goes to an
-exact join with the list, so a false positive of the filter never reaches the result.
+A list holds keys ``host/path-prefix``: rules, which are matched as they stand, and entries, which are canonical. A
+URL is looked up by its expressions, every host suffix crossed with every path prefix that a listed key can have (of the URL
+as it stands and in canonical form), so the work for a URL depends on its own labels and on the distinct prefix lengths in the
+list, never on the list's size. The Bloom filter drops the expressions that are certainly not listed before anything
+is shuffled; what passes goes to an exact join with the list, so a false positive of the filter never reaches the result.
 
 Defined cases: a null URL and one without ``://`` have empty host and path and fit nothing; an empty
 list or table gives no hits; repeated listed keys count once; repeated rows of the input are judged
-each; columns of the input other than the URL are passed through untouched by ``judge_urls``.
+each; only the key and the URL are read, so other columns may have any name, and ``judge_urls`` returns none of them.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from urllib.parse import quote, unquote_to_bytes
 
 import numpy as np
 import xxhash
@@ -27,6 +28,8 @@ from .common import read
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Hosts of the synthetic tables that publish nothing but advertising; listed with all their pages.
 LISTED = ("spam-farm.example.org/", "spam-farm.example.com/", "spam-farm.example.net/", "cheap-pills.example.com/", "cheap-pills.example.org/", "cheap-pills.example.net/")
+#: Further entries of the default list, made by rule: hosts of their own, the odd ones with a path.
+GENERATED = 100_000
 BLOCK_WORDS = 4  # 64-bit words of a block: one 256-bit block holds all probes of a key
 PROBES = 6
 BITS_PER_KEY = 16
@@ -43,6 +46,23 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def canonical(host: str, path: str) -> tuple[str, str]:
+    """Host without user, port and trailing dots; path with percent codes in one form and dot segments resolved."""
+    host = host.rpartition("@")[2].lower()
+    if not host.endswith("]"):
+        host = host.partition(":")[0] if host.count(":") == 1 else host
+    host = host.strip(".")
+    out: list[str] = []
+    for part in path.split("/")[1:]:
+        if part == "..":
+            out = out[:-1]
+        elif part != ".":
+            out.append(quote(unquote_to_bytes(part), safe="-._~!$&'()*+,;=:@") if "%" in part else part)
+    if path.endswith(("/.", "/..")):
+        out.append("")
+    return host, "/" + "/".join(out) if path else "/"
+
+
 class BlockedBloom:
     """Each key sets PROBES bits within one block, so a lookup touches one cache line."""
 
@@ -92,9 +112,8 @@ def build_filter(listed: DataFrame) -> BlockedBloom:
 
         yield pd.DataFrame({"word": at.astype(np.int64), "bits": flat[at].view(np.int64)})
 
-    words = listed.select("key").mapInPandas(part, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    for row in words.toLocalIterator():
-        bloom.words.reshape(-1)[row["word"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
+    words = listed.select("key").mapInPandas(part, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # MAX_FILTER_BYTES twice at most
+    bloom.words.reshape(-1)[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return bloom
 
 
@@ -125,13 +144,14 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", key: str =
         for batch in batches:
             keys, at = [], []
             for i, (h, p) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                for k in expressions(h, p, lengths) if h else ():
-                    keys.append(k)
-                    at.append(i)
+                if h:
+                    own = [(k, "r") for k in expressions(h, p, lengths)] + [(k, "e") for k in expressions(*canonical(h, p), lengths)]
+                    keys += own
+                    at += [i] * len(own)
             hits: list[list[str]] = [[] for _ in range(batch.num_rows)]
             if keys:
-                for j in np.flatnonzero(filt.might_hold(_hashes(keys))):
-                    hits[at[j]].append(keys[j])
+                for j in np.flatnonzero(filt.might_hold(_hashes([k for k, _ in keys]))):
+                    hits[at[j]].append("".join(reversed(keys[j])))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.list_(pa.string()))], [key, "host", "path", "maybe"])
 
     shape = T.StructType([*base.schema.fields, T.StructField("maybe", T.ArrayType(T.StringType()))])
@@ -148,9 +168,10 @@ def _exact(probed: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     miss = probed.where(~maybe).select(key, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
     # A hot host is one distinct (host, hit list) however many of its pages there are: decide once for each.
     hit = probed.where(maybe)
-    groups = hit.select("maybe").groupBy("maybe").agg(F.lit(1).alias("one")).select("maybe", F.explode("maybe").alias("key"))
-    # The rule column is typed by is_rule; the longest rule wins, then a plain entry blocks.
-    found = groups.join(listed, "key").groupBy("maybe").agg(
+    groups = hit.select("maybe").groupBy("maybe").agg(F.lit(1).alias("one")).select("maybe", F.explode("maybe").alias("way"))
+    groups = groups.select("maybe", F.expr("substring(way, 2)").alias("key"), F.col("way").startswith("r").alias("is_rule"))
+    # Rules are met by the URL as it stands, entries by its canonical form; the longest rule wins, then an entry blocks.
+    found = groups.join(listed, ["key", "is_rule"]).groupBy("maybe").agg(
         F.max(F.when(F.col("is_rule"), F.struct(F.length("key").alias("n"), F.col("key"), F.col("verdict")))).alias("best"),
         F.bool_or(~F.col("is_rule")).alias("entry"),
     )
@@ -167,7 +188,8 @@ def _exact(probed: DataFrame, listed: DataFrame, key: str) -> DataFrame:
 
 def default_list(spark: SparkSession) -> DataFrame:
     rows = [(h, p, v, True) for h, p, v in RULES] + [(k[: k.index("/")], k[k.index("/") :], "block", False) for k in LISTED]
-    return spark.createDataFrame(rows, "host string, path string, verdict string, is_rule boolean")
+    made = spark.range(GENERATED).selectExpr("concat('listed-', id, '.example.', element_at(array('com', 'net', 'org'), cast(id % 3 as int) + 1)) AS host", "if(id % 2 = 1, concat('/p/', id % 50, '/'), '/') AS path", "'block' AS verdict", "false AS is_rule")
+    return spark.createDataFrame(rows, "host string, path string, verdict string, is_rule boolean").unionByName(made)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,13 +198,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HOST = "CASE WHEN strpos(url, '://') > 0 THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END"
 _PATH = "CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END"
+#: Entries are met by the host without user, port and trailing dots; the paths of the generated entries stand on hosts of their own.
+_CANONICAL = "trim(regexp_replace(regexp_replace(host, '^.*@', ''), '^([^:]*):[^:]*$', '\\1'), '.')"
 ORACLE_SQL = f"""
 WITH p AS (SELECT page_id, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages),
-rules(h, p, v, is_rule) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}', true)" for h, p, v in RULES)}, {", ".join(f"('{k[: k.index('/')]}', '{k[k.index('/') :]}', 'block', false)" for k in LISTED)}),
-fits AS (
-  SELECT page_id, host, path,
-    (SELECT max({{'n': length(h || r.p), 'rule': h || r.p, 'v': v}}) FROM rules r WHERE is_rule AND (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p)) AS best,
-    (SELECT count(*) FROM rules r WHERE NOT is_rule AND (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p)) AS entries
-  FROM p)
-SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, CASE WHEN entries > 0 THEN 'block' ELSE 'allow' END) AS verdict FROM fits
+c AS (SELECT *, {_CANONICAL} AS plain, CASE WHEN path = '' THEN '/' ELSE path END AS whole FROM p),
+rules(h, p, v) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)}),
+entries(h, p) AS (SELECT * FROM (VALUES {", ".join(f"('{k[: k.index('/')]}', '{k[k.index('/') :]}')" for k in LISTED)}) UNION ALL
+  SELECT 'listed-' || i || '.example.' || (['com', 'net', 'org'])[i % 3 + 1], CASE WHEN i % 2 = 1 THEN '/p/' || (i % 50) || '/' ELSE '/' END FROM range({GENERATED}) t(i)),
+parts AS (SELECT page_id, plain, whole, string_split(plain, '.') AS labels FROM c WHERE host <> ''),
+suffixes AS (SELECT page_id, whole, array_to_string(list_slice(labels, s, len(labels)), '.') AS h FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS s FROM parts)),
+listed AS (SELECT DISTINCT page_id FROM suffixes JOIN entries USING (h) WHERE starts_with(whole, p)),
+fits AS (SELECT page_id, host, path, (SELECT max({{'n': length(h || r.p), 'rule': h || r.p, 'v': v}}) FROM rules r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p)) AS best FROM c)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, CASE WHEN page_id IN (SELECT page_id FROM listed) THEN 'block' ELSE 'allow' END) AS verdict FROM fits
 """
