@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base58 import base58, base58_array
+from ..functions.base58 import base58_array
 from ..functions.identity import blank, invalid_field, wide
-from ..schema import STATUSES
+from ..schema import EVENT, STATUSES
 
 #: Required text of each raw kind, checked before the identity.
 REQUIRED = {"transaction": ("signature",), "account": ("account",), "instruction": ("signature", "program_id"), "block": ("blockhash",)}
@@ -37,13 +37,6 @@ def normalize(raw: DataFrame) -> DataFrame:
     return rows.withColumn("error", error)
 
 
-def _rows(df: DataFrame, kind: str, cluster: str, payload: list[Column], error: Column | None = None, **fields: Column) -> DataFrame:
-    body = F.to_json(F.struct(F.lit("live").alias("source"), "filters", *payload), {"ignoreNullFields": "false"})
-    keep = ["ordinal"] if "ordinal" in df.columns else []
-    out = df.select(F.lit(kind).alias("kind"), F.lit(cluster).alias("cluster"), *[c.alias(n) for n, c in fields.items()], body.alias("payload"), (error if error is not None else F.lit(None).cast("string")).alias("_update_error"), *keep)
-    return out
-
-
 def account_keys(transaction: str) -> Column:
     """Static keys, then loaded writable ones, then loaded read-only ones."""
     none = F.array().cast("array<binary>")
@@ -64,57 +57,66 @@ def flatten_instructions(updates: DataFrame, t: str = "transaction.transaction")
     return outer.unionByName(inner)
 
 
+_INSTRUCTIONS = "array<struct<program_id_index: bigint, accounts: binary, data: binary>>"
+_GROUPS = f"array<struct<index: bigint, instructions: {_INSTRUCTIONS}>>"
+
+
+def _row(kind: str, cluster: str, error: Column | None, payload: list[Column], **fields: Column) -> Column:
+    """One envelope row as a struct; all kinds have the same type."""
+    fields |= {"kind": F.lit(kind), "cluster": F.lit(cluster), "payload": F.to_json(F.struct(F.lit("live").alias("source"), "filters", *payload), {"ignoreNullFields": "false"})}
+    typed = [(fields[f.name] if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields]
+    return F.struct(*typed, (F.lit(None) if error is None else error).cast("string").alias("_update_error"))
+
+
+def _instructions(t: str = "transaction.transaction") -> Column:
+    """Outer and inner instructions with their places (``at``, ``inner``, ``ins``); null without message."""
+    outer = F.transform(F.coalesce(f"{t}.message.instructions", F.array().cast(_INSTRUCTIONS)), lambda x, i: F.struct(i.cast("long").alias("at"), F.lit(None).cast("long").alias("inner"), x.alias("ins")))
+    groups = F.coalesce(f"{t}.meta.inner_instructions", F.array().cast(_GROUPS))
+    inner = F.flatten(F.transform(groups, lambda g: F.transform(g["instructions"], lambda x, i: F.struct(g["index"].alias("at"), i.cast("long").alias("inner"), x.alias("ins")))))
+    return F.when(F.col(f"{t}.message").isNotNull(), F.concat(outer, inner))
+
+
 def normalize_updates(updates: DataFrame, cluster: str) -> DataFrame:
-    """Nested source updates (schema ``UPDATE``) to envelope rows with ``error``.
+    """Nested source updates (schema ``UPDATE``) to envelope rows with ``error``, in one pass over the source.
 
     Kinds without an event (ping, pong, block_meta, transaction_status) give no row; an update of no kind gives an error
     row. One instruction whose program index is out of range spoils all rows of its transaction.
     """
-    of = lambda k: updates.where(F.col("kind") == k)
-    a, s, b, e = of("account"), of("slot"), of("block"), of("entry")
-    text = lambda c: F.col(c)
-    parts = [
-        _rows(
-            a, "account", cluster,
-            [F.col("account.account.lamports").alias("lamports"), base58("account.account.owner").alias("owner"), F.col("account.account.executable").alias("executable"), F.col("account.account.rent_epoch").alias("rent_epoch"), F.octet_length("account.account.data").alias("data_len")],
-            F.when(F.col("account.account").isNull(), "missing account info"),
-            slot=F.col("account.slot"), account=base58("account.account.pubkey"), write_version=F.col("account.account.write_version"), txn_signature=base58("account.account.txn_signature"), is_startup=F.col("account.is_startup"),
-        ),
-        _rows(
-            s, "slot", cluster, [F.col("slot.parent").alias("parent"), F.col("slot.dead_error").alias("dead_error")],
-            F.when(F.col("slot.status").isin(*UNSUPPORTED_STATUS), F.concat(F.lit("unsupported slot status: "), F.col("slot.status").cast("string"))).when(~F.coalesce(F.col("slot.status").isin(*SLOT_STATUS), F.lit(False)), F.concat(F.lit("unknown slot status: "), F.coalesce(F.col("slot.status").cast("string"), F.lit("null")))),
-            slot=F.col("slot.slot"), status=reduce(lambda w, kv: w.when(F.col("slot.status") == kv[0], kv[1]), SLOT_STATUS.items(), F.when(F.lit(False), F.lit(""))),
-        ),
-        _rows(b, "block", cluster, [F.col(f"block.{n}").alias(n) for n in ("parent_slot", "parent_blockhash", "executed_transaction_count", "updated_account_count", "entries_count")], slot=F.col("block.slot"), blockhash=text("block.blockhash")),
-        _rows(e, "entry", cluster, [F.col("entry.num_hashes").alias("num_hashes"), base58("entry.hash").alias("hash"), F.col("entry.executed_transaction_count").alias("executed_transaction_count"), F.col("entry.starting_transaction_index").alias("starting_transaction_index")], slot=F.col("entry.slot"), index=F.col("entry.index")),
-    ]
-    # Transactions: resolve the keys once, judge all program indexes, then lay out the rows.
-    t = of("transaction").withColumn("keys", base58_array(account_keys("transaction.transaction"))).withColumn("sig", base58("transaction.transaction.signature"))
-    indexes = F.concat(
-        F.transform(F.coalesce("transaction.transaction.message.instructions", F.array().cast("array<struct<program_id_index: long, accounts: binary, data: binary>>")), lambda i: i["program_id_index"]),
-        F.flatten(F.transform(F.coalesce("transaction.transaction.meta.inner_instructions", F.array().cast("array<struct<index: long, instructions: array<struct<program_id_index: long, accounts: binary, data: binary>>>>")), lambda g: F.transform(g["instructions"], lambda i: i["program_id_index"]))),
-    )
-    bad = F.exists(indexes, lambda i: (i < 0) | (i >= F.size("keys"))) & F.col("transaction.transaction.message").isNotNull()
-    t = t.withColumn("bad", F.when(F.col("transaction.transaction").isNull(), "missing transaction info").when(bad, "program id index out of range"))
-    parts.append(_rows(t, "transaction", cluster, [F.col("transaction.transaction.is_vote").alias("is_vote")], F.col("bad"), slot=F.col("transaction.slot"), signature=F.col("sig"), index=F.col("transaction.transaction.index")))
-    i = flatten_instructions(t.where("bad is null"))
-    bytes_ = lambda c: F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda k: F.conv(F.hex(F.substring(c, k, F.lit(1))), 16, 10).cast("int"))
-    accounts = F.when(F.octet_length("ins.accounts") > 0, bytes_(F.col("ins.accounts"))).otherwise(F.array().cast("array<int>"))
-    program = F.get("keys", F.col("ins.program_id_index").cast("int"))
-    fits = (F.col("instruction_index") <= 65535) & (F.coalesce("inner_instruction_index", F.lit(0)) <= 65535)
-    parts.append(
-        _rows(
-            i, "instruction", cluster,
-            [F.col("ins.program_id_index").alias("program_id_index"), program.alias("program_id"), accounts.alias("accounts"), base58("ins.data").alias("data")],
-            F.when(~fits, "instruction index out of range"),
-            slot=F.col("transaction.slot"), signature=F.col("sig"), transaction_index=F.col("transaction.transaction.index"), instruction_index=F.col("instruction_index"), inner_instruction_index=F.col("inner_instruction_index"), program_id=program,
-        )
-    )
-    silent = ("account", "slot", "block", "entry", "transaction", "ping", "pong", "block_meta", "transaction_status")
-    nothing = updates.where(F.col("kind").isNull() | ~F.col("kind").isin(*silent))
-    parts.append(_rows(nothing, "unknown", cluster, [], F.lit("missing update"), slot=F.lit(None).cast("decimal(20,0)")))
-    every = reduce(lambda x, y: x.unionByName(y), [wide(p) for p in parts])
-    checked = normalize(every)
+    t, kind = "transaction.transaction", F.col("kind")
+    keep = ["ordinal"] if "ordinal" in updates.columns else []
+    binary = F.array(*[F.col(c) for c in ("account.account.owner", "account.account.pubkey", "account.account.txn_signature", "entry.hash", f"{t}.signature")])
+    own = updates.withColumn("_ins", F.when(kind == "transaction", _instructions(t)))
+    own = own.withColumn("_text", base58_array(binary)).withColumn("_keys", base58_array(F.when(kind == "transaction", account_keys(t)))).withColumn("_data", base58_array(F.transform("_ins", lambda i: i["ins"]["data"])))
+    owner, pubkey, txn_signature, entry_hash, sig = (F.get("_text", F.lit(i)) for i in range(5))
+    none = F.array().cast("array<int>")
+    bytes_ = lambda c: F.when(F.octet_length(c) > 0, F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda k: F.conv(F.hex(F.substring(c, k, F.lit(1))), 16, 10).cast("int"))).otherwise(none)
+    names = lambda of, *ns: [F.col(f"{of}.{n}").alias(n) for n in ns]
+    status = F.col("slot.status")
+    known = reduce(lambda w, kv: w.when(status == kv[0], kv[1]), SLOT_STATUS.items(), F.when(F.lit(False), F.lit("")))
+    bad_status = F.when(status.isin(*UNSUPPORTED_STATUS), F.concat(F.lit("unsupported slot status: "), status.cast("string"))).when(known.isNull(), F.concat(F.lit("unknown slot status: "), F.coalesce(status.cast("string"), F.lit("null"))))
+    out_of_range = F.exists("_ins", lambda i: (i["ins"]["program_id_index"] < 0) | (i["ins"]["program_id_index"] >= F.size("_keys")))
+    bad = F.when(F.col(t).isNull(), "missing transaction info").when(F.coalesce(out_of_range, F.lit(False)), "program id index out of range")
+
+    def instruction(i: Column, k: Column) -> Column:
+        program = F.get("_keys", i["ins"]["program_id_index"].cast("int"))
+        fits = (i["at"] <= 65535) & (F.coalesce(i["inner"], F.lit(0)) <= 65535)
+        payload = [i["ins"]["program_id_index"].alias("program_id_index"), program.alias("program_id"), bytes_(i["ins"]["accounts"]).alias("accounts"), F.get("_data", k).alias("data")]
+        return _row("instruction", cluster, F.when(~fits, "instruction index out of range"), payload, slot=F.col("transaction.slot"), signature=sig, transaction_index=F.col(f"{t}.index"), instruction_index=i["at"], inner_instruction_index=i["inner"], program_id=program)
+
+    account = _row(
+        "account", cluster, F.when(F.col("account.account").isNull(), "missing account info"),
+        [F.col("account.account.lamports").alias("lamports"), owner.alias("owner"), *names("account.account", "executable", "rent_epoch"), F.octet_length("account.account.data").alias("data_len")],
+        slot=F.col("account.slot"), account=pubkey, write_version=F.col("account.account.write_version"), txn_signature=txn_signature, is_startup=F.col("account.is_startup"),
+    )
+    slot = _row("slot", cluster, bad_status, names("slot", "parent", "dead_error"), slot=F.col("slot.slot"), status=known)
+    block = _row("block", cluster, None, names("block", "parent_slot", "parent_blockhash", "executed_transaction_count", "updated_account_count", "entries_count"), slot=F.col("block.slot"), blockhash=F.col("block.blockhash"))
+    entry = _row("entry", cluster, None, [*names("entry", "num_hashes"), entry_hash.alias("hash"), *names("entry", "executed_transaction_count", "starting_transaction_index")], slot=F.col("entry.slot"), index=F.col("entry.index"))
+    transaction = F.array(_row("transaction", cluster, bad, names(t, "is_vote"), slot=F.col("transaction.slot"), signature=sig, index=F.col(f"{t}.index")))
+    flat = F.when(bad.isNull() & F.col("_ins").isNotNull(), F.concat(transaction, F.transform("_ins", instruction))).otherwise(transaction)
+    nothing = F.filter(transaction, lambda _: F.lit(False))
+    rows = F.when(kind == "account", F.array(account)).when(kind == "slot", F.array(slot)).when(kind == "block", F.array(block)).when(kind == "entry", F.array(entry)).when(kind == "transaction", flat)
+    rows = rows.when(kind.isin("ping", "pong", "block_meta", "transaction_status"), nothing).otherwise(F.array(_row("unknown", cluster, F.lit("missing update"), [])))
+    checked = normalize(own.select(*keep, F.explode(rows).alias("_r")).select("_r.*", *keep))
     return checked.withColumn("error", F.coalesce("_update_error", "error")).drop("_update_error")
 
 

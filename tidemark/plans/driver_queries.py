@@ -10,13 +10,14 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import strict_json as J
 from ..functions.identity import account, canonical_key, event_id, event_rows, invalid_field, program_id, signature, wide
 from ..metrics import LATENCY_BOUNDS, ingest_counts, latency_histogram
 from ..operators import decode, dedup, normalize, slots
+from ..schema import UPDATE
 from ..sources.generate import synthetic_events, to_jsonl
 from ..sources.replay import parse_lines
 from . import api, pipeline
@@ -452,6 +453,150 @@ def transaction_account_filter(spark: SparkSession, sf: str) -> DataFrame:
     return a.where(normalize.transaction_filter(F.col("xs"), ["acct-1", "acct-2"], ["acct-3"], ["acct-4"])).select("slot")
 
 
+# ---- updates in a provider's layout ---------------------------------------------------------------------------------
+# Zero bytes are ones in base58, which SQL can write too.
+
+def _updates(df: DataFrame, kind, **parts) -> DataFrame:
+    """Updates of the full schema, with the parts given."""
+    shape = df.sparkSession.createDataFrame([], UPDATE).schema
+    given = {"filters": F.array(F.lit("f")), "kind": kind} | parts
+    return df.select("ordinal", *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+
+
+def _zeros(n: object) -> Column:
+    return F.expr(f"cast(repeat(decode(unhex('00'), 'utf-8'), cast({n} as int)) as binary)")
+
+
+@query("""SELECT o_orderkey AS ordinal, 'slot' AS kind, o_orderkey AS slot, CASE o_orderkey % 8 WHEN 0 THEN 'processed' WHEN 1 THEN 'confirmed' WHEN 2 THEN 'finalized' WHEN 6 THEN 'dead' END AS status,
+  '{"source":"live","filters":["f"],"parent":' || CASE WHEN o_custkey % 3 = 0 THEN 'null' ELSE o_custkey::VARCHAR END || ',"dead_error":' || CASE WHEN o_orderkey % 8 = 6 THEN '"x"' ELSE 'null' END || '}' AS payload,
+  CASE WHEN o_orderkey % 8 IN (3, 4, 5) THEN 'unsupported slot status: ' || (o_orderkey % 8) WHEN o_orderkey % 8 = 7 THEN 'unknown slot status: 7' END AS error FROM orders""")
+def update_slots(spark: SparkSession, sf: str) -> DataFrame:
+    o = _t(spark, sf, "orders").withColumn("ordinal", F.col("o_orderkey"))
+    status = (F.col("o_orderkey") % 8).cast("int")
+    slot = F.struct(F.col("o_orderkey").alias("slot"), F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("parent"), status.alias("status"), F.when(status == 6, "x").alias("dead_error"))
+    rows = normalize.normalize_updates(_updates(o, F.lit("slot"), slot=slot), "c")
+    return rows.select("ordinal", "kind", F.col("slot").cast("long").alias("slot"), "status", "payload", "error")
+
+
+@query("""SELECT c_custkey AS ordinal, c_custkey + 5 AS slot, CASE WHEN c_custkey % 10 <> 0 THEN repeat('1', (c_custkey % 4)::INT) END AS account, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey * 2 END AS write_version,
+  CASE WHEN c_custkey % 10 <> 0 AND c_custkey % 3 = 0 THEN '11' END AS txn_signature, c_custkey % 2 = 0 AS is_startup,
+  CASE WHEN c_custkey % 10 = 0 THEN '{"source":"live","filters":["f"],"lamports":null,"owner":null,"executable":null,"rent_epoch":null,"data_len":null}'
+    ELSE '{"source":"live","filters":["f"],"lamports":' || c_custkey || ',"owner":"1","executable":true,"rent_epoch":9,"data_len":' || (c_custkey % 7) || '}' END AS payload,
+  CASE WHEN c_custkey % 10 = 0 THEN 'missing account info' WHEN c_custkey % 4 = 0 THEN 'missing field: account' END AS error FROM customer""")
+def update_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    k, c = F.col("c_custkey"), _t(spark, sf, "customer").withColumn("ordinal", F.col("c_custkey"))
+    info = F.struct(_zeros("c_custkey % 4").alias("pubkey"), k.alias("lamports"), _zeros(1).alias("owner"), F.lit(True).alias("executable"), F.lit(9).alias("rent_epoch"), _zeros("c_custkey % 7").alias("data"), (k * 2).alias("write_version"), F.when(k % 3 == 0, _zeros(2)).alias("txn_signature"))
+    account_ = F.struct((k + 5).alias("slot"), (k % 2 == 0).alias("is_startup"), F.when(k % 10 != 0, info).alias("account"))
+    rows = normalize.normalize_updates(_updates(c, F.lit("account"), account=account_), "c")
+    return rows.select("ordinal", F.col("slot").cast("long").alias("slot"), "account", F.col("write_version").cast("long").alias("write_version"), "txn_signature", "is_startup", "payload", "error")
+
+
+@query("""SELECT s_suppkey AS ordinal, s_suppkey AS slot, CASE WHEN s_suppkey % 5 = 0 THEN ' ' ELSE 'hash-' || s_suppkey END AS blockhash,
+  '{"source":"live","filters":["f"],"parent_slot":' || (s_suppkey - 1) || ',"parent_blockhash":"p","executed_transaction_count":' || CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey::VARCHAR ELSE 'null' END || ',"updated_account_count":3,"entries_count":4}' AS payload,
+  CASE WHEN s_suppkey % 5 = 0 THEN 'missing field: blockhash' END AS error FROM supplier""")
+def update_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    k, s = F.col("s_suppkey"), _t(spark, sf, "supplier").withColumn("ordinal", F.col("s_suppkey"))
+    block = F.struct(k.alias("slot"), F.when(k % 5 == 0, " ").otherwise(F.concat(F.lit("hash-"), k.cast("string"))).alias("blockhash"), (k - 1).alias("parent_slot"), F.lit("p").alias("parent_blockhash"), F.when(k % 2 == 0, F.col("s_nationkey")).alias("executed_transaction_count"), F.lit(3).alias("updated_account_count"), F.lit(4).alias("entries_count"))
+    rows = normalize.normalize_updates(_updates(s, F.lit("block"), block=block), "c")
+    return rows.select("ordinal", F.col("slot").cast("long").alias("slot"), "blockhash", "payload", "error")
+
+
+@query("""SELECT p_partkey AS ordinal, p_partkey AS slot, p_partkey % 50 AS index, '{"source":"live","filters":["f"],"num_hashes":' || p_size || ',"hash":"' || repeat('1', (p_partkey % 6)::INT) || '","executed_transaction_count":2,"starting_transaction_index":null}' AS payload, NULL::VARCHAR AS error FROM part""")
+def update_entries(spark: SparkSession, sf: str) -> DataFrame:
+    k, p = F.col("p_partkey"), _t(spark, sf, "part").withColumn("ordinal", F.col("p_partkey"))
+    entry = F.struct(k.alias("slot"), (k % 50).alias("index"), F.col("p_size").alias("num_hashes"), _zeros("p_partkey % 6").alias("hash"), F.lit(2).alias("executed_transaction_count"), F.lit(None).alias("starting_transaction_index"))
+    rows = normalize.normalize_updates(_updates(p, F.lit("entry"), entry=entry), "c")
+    return rows.select("ordinal", F.col("slot").cast("long").alias("slot"), F.col("index").cast("long").alias("index"), "payload", "error")
+
+
+_TX = """x AS (SELECT o_orderkey AS k, o_orderkey % 6 AS n FROM orders), b AS (SELECT *, n = 5 AS bad, n = 4 AS bare FROM x),
+i AS (SELECT k, unnest(range(0, n + 1)) AS pos, NULL::BIGINT AS sub FROM b WHERE NOT bad AND NOT bare UNION ALL SELECT k, 0, unnest(range(0, 2)) FROM b WHERE n = 3)"""
+
+
+def _orders_as_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with none to four instructions; one kind names a program that is not there, one has no message."""
+    k, o = F.col("o_orderkey"), _t(spark, sf, "orders").withColumn("ordinal", F.col("o_orderkey")).withColumn("n", F.col("o_orderkey") % 6)
+    one = lambda i: F.struct(F.when(F.col("n") == 5, 9).otherwise(i % 2).cast("long").alias("program_id_index"), F.expr("unhex('0aff')").alias("accounts"), _zeros(2).alias("data"))
+    message = F.struct(F.array(_zeros(3)).alias("account_keys"), F.transform(F.sequence(F.lit(0).cast("long"), F.col("n")), one).alias("instructions"))
+    meta = F.struct(F.when(F.col("n") == 3, F.array(F.struct(F.lit(0).cast("long").alias("index"), F.transform(F.array(F.lit(0).cast("long"), F.lit(1).cast("long")), one).alias("instructions")))).alias("inner_instructions"), F.array(_zeros(4)).alias("loaded_writable_addresses"), F.array().cast("array<binary>").alias("loaded_readonly_addresses"))
+    t = F.struct(_zeros("o_orderkey % 5 + 1").alias("signature"), (k % 2 == 0).alias("is_vote"), (k % 100).alias("index"), F.when(F.col("n") != 4, message).alias("message"), meta.alias("meta"))
+    return _updates(o, F.lit("transaction"), transaction=F.struct(k.alias("slot"), t.alias("transaction")))
+
+
+@query(f"""WITH {_TX} SELECT k AS ordinal, 'transaction' AS kind, k AS slot, repeat('1', (k % 5 + 1)::INT) AS signature, k % 100 AS index, '{{"source":"live","filters":["f"],"is_vote":' || (k % 2 = 0) || '}}' AS payload, CASE WHEN bad THEN 'program id index out of range' END AS error FROM b""")
+def update_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = normalize.normalize_updates(_orders_as_transactions(spark, sf), "c").where("kind = 'transaction'")
+    return rows.select("ordinal", "kind", F.col("slot").cast("long").alias("slot"), "signature", F.col("index").cast("long").alias("index"), "payload", "error")
+
+
+@query(f"""WITH {_TX}, p AS (SELECT *, coalesce(sub, pos) % 2 AS x FROM i)
+SELECT k AS ordinal, k % 100 AS transaction_index, pos AS instruction_index, sub AS inner_instruction_index, repeat('1', (3 + x)::INT) AS program_id,
+  '{{"source":"live","filters":["f"],"program_id_index":' || x || ',"program_id":"' || repeat('1', (3 + x)::INT) || '","accounts":[10,255],"data":"11"}}' AS payload, NULL::VARCHAR AS error FROM p""")
+def update_instructions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = normalize.normalize_updates(_orders_as_transactions(spark, sf), "c").where("kind = 'instruction'")
+    longs = [F.col(n).cast("long").alias(n) for n in ("transaction_index", "instruction_index", "inner_instruction_index")]
+    return rows.select("ordinal", *longs, "program_id", "payload", "error")
+
+
+@query("""SELECT CASE event_id % 8 WHEN 0 THEN 'slot' WHEN 1 THEN 'block' WHEN 2 THEN 'entry' WHEN 3 THEN 'account' ELSE 'unknown' END AS kind,
+  CASE WHEN event_id % 8 = 3 THEN 'missing account info' WHEN event_id % 8 IN (6, 7) THEN 'missing update' END AS error, count(*) AS n FROM events WHERE event_id % 8 NOT IN (4, 5) GROUP BY 1, 2""")
+def update_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates of all kinds in one stream: some have no event, some are of no kind."""
+    i, e = F.col("event_id"), _t(spark, sf, "events").withColumn("ordinal", F.col("event_id"))
+    kind = F.element_at(F.array(*map(F.lit, ("slot", "block", "entry", "account", "ping", "block_meta", "other", None))), (i % 8 + 1).cast("int"))
+    slot = F.struct(i.alias("slot"), F.lit(None).alias("parent"), F.lit(2).alias("status"), F.lit(None).alias("dead_error"))
+    block = F.struct(i.alias("slot"), F.lit("h").alias("blockhash"), *[F.lit(None).alias(n) for n in ("parent_slot", "parent_blockhash", "executed_transaction_count", "updated_account_count", "entries_count")])
+    entry = F.struct(i.alias("slot"), i.alias("index"), *[F.lit(None).alias(n) for n in ("num_hashes", "hash", "executed_transaction_count", "starting_transaction_index")])
+    account_ = F.struct(i.alias("slot"), F.lit(False).alias("is_startup"), F.lit(None).alias("account"))
+    rows = normalize.normalize_updates(_updates(e, kind, slot=slot, block=block, entry=entry, account=account_), "c")
+    return rows.groupBy("kind", "error").agg(F.count("*").alias("n"))
+
+
+# ---- counters of ingestion ------------------------------------------------------------------------------------------
+
+@query("SELECT event_id AS ordinal, event_id % 4 = 0 AS skipped, CASE WHEN event_id % 4 <> 0 THEN event_id END AS slot FROM events")
+def conversion_skip(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots beyond the signed 64-bit range are left out of what is stored, and nothing else."""
+    i = F.col("event_id").cast("decimal(20,0)")
+    rows = _t(spark, sf, "events").select(F.col("event_id").alias("ordinal"), F.when(F.col("event_id") % 4 == 0, i + F.lit("9223372036854775808").cast("decimal(20,0)")).otherwise(i).cast("decimal(20,0)").alias("slot"))
+    stored = dedup.convertible(rows)
+    return rows.select("ordinal").join(stored, "ordinal", "left").select("ordinal", F.col("slot").isNull().alias("skipped"), "slot")
+
+
+@query("SELECT count(*) AS attempted, 0::BIGINT AS inserted, 0::BIGINT AS deduplicated, count(*) AS skipped FROM events")
+def nothing_convertible(spark: SparkSession, sf: str) -> DataFrame:
+    rows = ev(spark, sf).select(event_id().alias("event_id"), (F.col("slot") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("decimal(20,0)").alias("slot"))
+    return dedup.write_summary(rows)
+
+
+def _told(spark: SparkSession, done: pipeline.Summary) -> DataFrame:
+    names = ("events_seen", "events_skipped", "batches_written", "events_attempted", "events_inserted", "events_deduplicated", "last_persisted_slot")
+    return spark.createDataFrame([tuple(getattr(done, n) for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+@query(f"""WITH {EV}, a AS (SELECT * FROM ei WHERE slot <= 20), n AS (SELECT * FROM ei WHERE slot > 20), t AS (SELECT count(*) AS n, count(DISTINCT eid) AS d, max(slot)::BIGINT AS top FROM n)
+SELECT (SELECT count(*) FROM ei) AS events_seen, (SELECT count(*) FROM a) AS events_skipped, ceil(n / 500)::BIGINT AS batches_written, n AS events_attempted, d AS events_inserted, n - d AS events_deduplicated, top AS last_persisted_slot FROM t""")
+def replay_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """A replay after a first part has been stored: counters by batches of 500 in commits of 4,000 rows."""
+    tables = Tables(spark, _scratch(spark, "counters"))
+    rows = ev(spark, sf)
+    pipeline.replay(tables, rows.where("slot <= 20"), "s")
+    return _told(spark, pipeline.replay(tables, rows, "s", commit_rows=4000))
+
+
+@query(f"WITH {TB} {_SWAPS}")
+def stored_swaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with token balances, ingested; the swaps that were stored on the way."""
+    entry = F.to_json(F.struct("account", "mint", F.col("pre_amount").alias("pre"), F.col("post_amount").alias("post")))
+    keys = ("slot", "signature", "program_id")
+    grouped = tb(spark, sf).groupBy(*keys).agg(F.concat(F.lit('{"token_balances":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("payload"))
+    zero = F.lit(0)
+    rows = wide(grouped.select(F.lit("instruction").alias("kind"), F.lit("c").alias("cluster"), *keys, zero.alias("transaction_index"), zero.alias("instruction_index"), "payload", F.col("slot").alias("ordinal")))
+    tables = Tables(spark, _scratch(spark, "swaps"))
+    pipeline.replay(tables, rows, "s")
+    return tables.read("swaps").select(*keys, "token_in", "token_in_amount", "token_out", "token_out_amount")
+
+
 # ---- generator and streams ------------------------------------------------------------------------------------------
 
 @query("""WITH g AS (SELECT i, i // 100 + 1 AS slot, i % 100 AS n, 'sig-' || printf('%016x', i // 100 + 1) || '-' || printf('%08x', i) AS sig FROM range(20000) t(i)),
@@ -471,7 +616,12 @@ def generator_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-")
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
