@@ -33,7 +33,7 @@ def test_names_match():
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-QUICK = ["normalize_events", "canonical_keys", "dedup_first_wins", "incremental_write_summary", "logical_batches", "slot_state_merge", "finalized_frontier", "frontier_fork", "open_gaps", "recent_events_by_type", "swap_inference", "instruction_flatten", "latency_histogram_counts", "cursor_upsert"]
+QUICK = ["normalize_events", "canonical_keys", "dedup_first_wins", "incremental_write_summary", "logical_batches", "slot_state_merge", "finalized_frontier", "frontier_fork", "open_gaps", "recent_events_by_type", "swap_inference", "instruction_flatten", "latency_histogram_counts", "cursor_upsert", "update_accounts", "update_instructions", "update_dispatch", "conversion_skip"]
 
 
 @pytest.mark.parametrize("name", QUICK)
@@ -56,4 +56,5 @@ def test_core_stands_without_the_llm_folders(tmp_path):
     shutil.copytree(f"{root}/tidemark", tmp_path / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""}, check=True)
-    assert out.stdout.split() == ["44", "44"], out
+    queries, checked = map(int, out.stdout.split())
+    assert queries == checked >= 55, out

@@ -58,6 +58,9 @@ class Subscription:
 TRANSPORTS: dict[str, Callable[[dict, int], Iterator[str]]] = {}
 
 
+LINES_PER_TASK = 1000
+
+
 @dataclass
 class _Range(InputPartition):
     start: int
@@ -100,7 +103,8 @@ class LiveReader(DataSourceStreamReader):
                     raise RuntimeError("the transport no longer holds updates that were not committed")
                 self.held[p] = line
             self.at = max(self.at, end["position"])
-        return [_Range(start["position"], end["position"], [self.held[p] for p in range(start["position"], end["position"])])]
+        edges = [*range(start["position"], end["position"], LINES_PER_TASK), end["position"]]
+        return [_Range(a, b, [self.held[p] for p in range(a, b)]) for a, b in zip(edges, edges[1:], strict=False)]
 
     def read(self, partition: _Range):
         for i, line in enumerate(partition.lines):
