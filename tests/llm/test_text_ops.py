@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -96,15 +97,29 @@ def test_simhash_bands_meet():
         assert any(u & m == v & m for m in masks)
 
 
-def test_simhash_large_cells(spark, documents, monkeypatch):
-    monkeypatch.setattr(simhash, "MAX_CELL", 30)
+@pytest.mark.parametrize("most", [30, 3])
+def test_simhash_large_cells(spark, monkeypatch, most):
+    """Cells that are cut into parts (30), and those that are then split into blocks (3)."""
+    monkeypatch.setattr(simhash, "MAX_CELL", most)
+    monkeypatch.setattr(simhash, "SMALL_RUN", 2)
     r = random.Random(3)
     base = r.getrandbits(63)
-    points = sorted({base ^ sum(1 << b for b in r.sample(range(63), 2)) for _ in range(150)} | {base})
+    points = sorted({base ^ sum(1 << b for b in r.sample(range(63), 2)) for _ in range(150)} | {base} | {r.getrandbits(63) for _ in range(20)})
     df = spark.createDataFrame([(p,) for p in points], "fp long")
     roots = {x["node"]: x["root"] for x in connected_components(simhash.links(df)).collect()}
     want = brute_components({p: p for p in points})
-    assert len({roots[p] for p in points if p in roots}) == len({want[p] for p in points if sum(1 for q in want if want[q] == want[p]) > 1})
+    groups = lambda of: {frozenset(p for p in points if of(p) == c) for c in {of(p) for p in points}}
+    assert groups(lambda p: roots.get(p, p)) == groups(want.__getitem__)
+
+
+def test_simhash_search_hands_large_cells_back_in_parts(monkeypatch):
+    monkeypatch.setattr(simhash, "MAX_CELL", 50)
+    cell, fp = np.repeat(np.arange(6), [3, 40, 500, 1, 51, 7]), np.arange(602) * 1001
+    batches = [pa.RecordBatch.from_arrays([pa.array(cell[i : i + 37]), pa.array(fp[i : i + 37])], ["cell", "fp"]) for i in range(0, 602, 37)]
+    out = list(simhash._search(iter(batches)))
+    assert max(b.num_rows for b in out if b.num_rows and b.column(3)[0].as_py()) <= 50 + 37
+    handed = [x for b in out for x in b.to_pylist() if x["large"]]
+    assert sorted((x["cell"], x["a"]) for x in handed) == [(int(c), int(f)) for c, f in zip(cell, fp, strict=True) if c in (2, 4)]
 
 
 def test_components_of_paths(spark):
@@ -125,6 +140,10 @@ def test_simhash_stage_keeps_one_of_each_group(spark, documents):
     assert sorted((x["doc_id"] for x in kept.collect()), key=str) == [5, 6, 9, None]
     twice = docs.where("doc_id = 5").union(docs.where("doc_id = 5"))
     assert simhash.stage(spark, twice, "").count() == 1
+    other = docs.where("doc_id = 6").selectExpr("5L AS doc_id", "text", "lang", "source", "n_chars").union(docs.where("doc_id = 5"))
+    assert simhash.stage(spark, other, "").count() == 2  # unrelated texts under one id
+    odd = docs.selectExpr("doc_id", "text", "1 AS h", "2 AS `set`", "3 AS `a.b`", "4 AS _doc", "5 AS stays")
+    assert simhash.stage(spark, odd, "").columns == odd.columns and simhash.stage(spark, odd, "").count() == 4
     assert simhash.stage(spark, docs.where("doc_id = 99"), "").count() == 0
 
 
@@ -258,6 +277,32 @@ def test_contamination_without_benchmark(spark, documents):
     assert decontam.stage(spark, docs, path).columns == docs.columns
 
 
+def test_stages_keep_columns_of_any_name(spark, documents):
+    """Columns named like figures, with dots, or like inner names; and ids that are null or empty."""
+    r = random.Random(3)
+    item, line = prose(r, 20), prose(r, 8)
+    path = documents([], benchmark=([(1, item)], "item_id long, text string"))
+    rows = [(None, line + "\nnull id"), ("", line + "\nempty id"), ("a", item), ("b", line), ("b", line), ("c", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").selectExpr("doc_id", "text", "7 AS n_lines", "8 AS n_removed", "9 AS n_words", "10 AS n_hit", "11 AS items", "12 AS `a.b`", "13 AS _doc", "14 AS _h", "15 AS _i", "16 AS lid")
+    lines = linededup.stage(spark, docs, path)
+    assert lines.columns == docs.columns
+    assert sorted((str(x["doc_id"]), x["text"]) for x in lines.collect()) == [("", "empty id"), ("None", line + "\nnull id"), ("a", item), ("b", ""), ("b", ""), ("c", None)]
+    assert {tuple(x)[2:] for x in lines.collect()} == {tuple(range(7, 17))}
+    clean = decontam.stage(spark, docs, path)
+    assert clean.columns == docs.columns and sorted(str(x["doc_id"]) for x in clean.collect()) == ["", "None", "b", "b", "c"]
+    assert linededup.dedup_lines(docs).columns[-2:] == ["n_lines", "n_removed"] and decontam.contamination(docs, spark.read.parquet(path + "/benchmark.parquet")).where("n_hit > 0").count() == 1
+
+
+def test_lines_of_a_family_of_near_copies(spark, documents):
+    """Variants of one line, most of them too far from each other to be linked, in documents of random order."""
+    r = random.Random(21)
+    words = [r.choice(WORDS) for _ in range(12)]
+    family = [" ".join(w if r.random() > 0.08 else r.choice([w[:-1], w + "s", r.choice(WORDS)]) for w in words) for _ in range(160)]
+    texts = ["\n".join(r.sample(family, 2)) for _ in range(120)]
+    docs = spark.read.parquet(documents(texts) + "/documents.parquet").select("doc_id", "text")
+    assert {x["doc_id"]: x["text"] for x in linededup.dedup_lines(docs).collect()} == dict(enumerate(brute_lines(texts)))
+
+
 SPELT = ["", "a<|endoftext|>b  c<|endoftext|>", "aaaaaaa aaaa", "\u0085 \x1c\x1d x", "don't  we'll　x 'S 'sa", "日本語 ½²٣", "😀👍🏽 é", "\x00\x00", " " * 50 + "x", "1234567890" * 40]
 
 

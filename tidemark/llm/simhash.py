@@ -9,7 +9,9 @@ Manhattan bound are dropped and the rest is verified exactly.
 
 Equal fingerprints are one point. Within a cell only a spanning forest of its links is kept, found by
 search from linked points to those not reached yet, so a large group of near copies makes as many links as it
-has members. A cell beyond MAX_CELL points is split into blocks whose pairs are searched in separate tasks.
+has members. A cell beyond MAX_CELL points is handed back while it is read and cut once more: its points differ in the other
+bands only, which are dealt into four parts, one of which linked points must agree in. What is still too large is split into
+blocks whose pairs are searched in separate tasks.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; a null doc_id takes part
 but never names a component unless no id is in it (then null); repeated rows get equal results; an empty
@@ -28,13 +30,12 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, materialize, read
 from .components import connected_components
-from .similar import similar_components
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BANDS = 6
-MAX_CELL = 30_000
+MAX_CELL = 10_000
 SMALL_RUN = 8
 
 
@@ -48,10 +49,14 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     line = b" ".join(words)
     ends = list(itertools.accumulate(len(w) + 1 for w in words))
     starts = [0, *ends[: len(words) - width]]
-    hashes = np.array([h(line[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :], strict=True)], np.uint64)
+    return majority(np.array([h(line[a : b - 1], SEED) for a, b in zip(starts, ends[width - 1 :], strict=True)], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Each bit as in over half of the hashes; zero without any."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 4096):
-        counts += np.unpackbits(hashes[i : i + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        counts += np.unpackbits(np.ascontiguousarray(hashes[i : i + 4096]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
@@ -67,11 +72,29 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     return base.mapInArrow(run, f"`{key}` {base.schema[key].dataType.simpleString()}, fp long")
 
 
-def band_masks() -> list[int]:
-    """One mask for each choice of half of the bands; a band is a run of whole two-bit segments."""
+def _segments(numbers: list[int]) -> int:
+    return sum(3 << 2 * s for s in numbers)
+
+
+def _bands() -> list[list[int]]:
+    """Runs of whole two-bit segments."""
     cut = [round(i * 32 / BANDS) for i in range(BANDS + 1)]
-    band = [sum(3 << 2 * s for s in range(cut[i], cut[i + 1])) for i in range(BANDS)]
-    return [sum(band[i] for i in c) for c in itertools.combinations(range(BANDS), BANDS - DISTANCE)]
+    return [list(range(cut[i], cut[i + 1])) for i in range(BANDS)]
+
+
+def band_masks() -> list[int]:
+    """One mask for each choice of half of the bands."""
+    return [sum(_segments(_bands()[i]) for i in c) for c in itertools.combinations(range(BANDS), BANDS - DISTANCE)]
+
+
+def part_masks() -> list[list[int]]:
+    """For each choice the masks of DISTANCE + 1 parts of the other bands."""
+    out = []
+    for c in itertools.combinations(range(BANDS), BANDS - DISTANCE):
+        rest = [s for i in range(BANDS) if i not in c for s in _bands()[i]]
+        cut = [round(i * len(rest) / (DISTANCE + 1)) for i in range(DISTANCE + 2)]
+        out.append([_segments(rest[a:b]) for a, b in itertools.pairwise(cut)])
+    return out
 
 
 def _signed(x: int) -> int:
@@ -118,48 +141,65 @@ def forest(points: np.ndarray, d: int = DISTANCE) -> list[tuple[int, int]]:
     return out
 
 
-def _search(batches):
-    """Links within each run of equal cells of a partition sorted by cell; cells that are too large are handed back."""
+_NAMES = ["a", "b", "cell", "large"]
+
+
+def _large(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(fp), pa.array(fp), pa.array(cell), pa.array(np.ones(len(fp), bool))], _NAMES)
+
+
+def _runs(c: np.ndarray, f: np.ndarray):
+    """Links within each run of equal cells; runs that are too large are handed back."""
+    start = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
+    size = np.diff(np.append(start, len(c)))
+    small = np.repeat(size <= SMALL_RUN, size)
     none = np.zeros(0, np.int64)
-    hold_c, hold_f = [], []
-
-    def runs(c, f):
-        start = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-        size = np.diff(np.append(start, len(c)))
-        small = np.repeat(size <= SMALL_RUN, size)
-        u, a, b = f.view(np.uint64), [], []
-        for lag in range(1, SMALL_RUN):
-            if len(c) <= lag:
-                break
-            i = np.flatnonzero((c[lag:] == c[:-lag]) & small[lag:])
-            i = i[near(u[i], u[i + lag])]
-            a.append(f[i])
-            b.append(f[i + lag])
-        for s, n in zip(start[size > SMALL_RUN].tolist(), size[size > SMALL_RUN].tolist(), strict=True):
-            if n > MAX_CELL:
-                yield pa.RecordBatch.from_arrays([pa.array(f[s : s + n]), pa.array(f[s : s + n]), pa.array(c[s : s + n]), pa.array(np.ones(n, bool))], ["a", "b", "cell", "large"])
-            elif links := forest(u[s : s + n]):
-                x = np.array(links, np.uint64).view(np.int64)
-                a.append(x[:, 0])
-                b.append(x[:, 1])
-        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64)), pa.array(np.zeros(len(a), bool))], ["a", "b", "cell", "large"])
+    u, a, b = f.view(np.uint64), [none], [none]
+    for lag in range(1, SMALL_RUN):
+        if len(c) <= lag:
+            break
+        i = np.flatnonzero((c[lag:] == c[:-lag]) & small[lag:])
+        i = i[near(u[i], u[i + lag])]
+        a.append(f[i])
+        b.append(f[i + lag])
+    for s, n in zip(start[size > SMALL_RUN].tolist(), size[size > SMALL_RUN].tolist(), strict=True):
+        if n > MAX_CELL:
+            yield _large(c[s : s + n], f[s : s + n])
+        elif links := forest(u[s : s + n]):
+            x = np.array(links, np.uint64).view(np.int64)
+            a.append(x[:, 0])
+            b.append(x[:, 1])
+    x, y = np.concatenate(a), np.concatenate(b)
+    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.zeros(len(x), np.int64)), pa.array(np.zeros(len(x), bool))], _NAMES)
+
 
+def _search(batches):
+    """Links within the cells of a partition sorted by cell. At most MAX_CELL points and a batch are held."""
+    cells, points, held, given = [], [], 0, None  # ``given``: a cell that is being handed back
     for batch in batches:
         c, f = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if given is not None and len(c):
+            n = int(np.searchsorted(c, given, side="right"))
+            if n:
+                yield _large(c[:n], f[:n])
+            c, f = c[n:], f[n:]
         if not len(c):
             continue
         last = int(np.searchsorted(c, c[-1]))
-        if last == 0 and hold_c and hold_c[0][0] != c[0]:
-            yield from runs(np.concatenate(hold_c), np.concatenate(hold_f))
-            hold_c, hold_f = [], []
-        if last:
-            yield from runs(np.concatenate([*hold_c, c[:last]]), np.concatenate([*hold_f, f[:last]]))
-            hold_c, hold_f = [], []
-        hold_c.append(c[last:])
-        hold_f.append(f[last:])
-    if hold_c:
-        yield from runs(np.concatenate(hold_c), np.concatenate(hold_f))
+        if held and (last or cells[0][0] != c[0]):
+            yield from _runs(np.concatenate([*cells, c[:last]]), np.concatenate([*points, f[:last]]))
+            cells, points, held = [], [], 0
+        elif last:
+            yield from _runs(c[:last], f[:last])
+        cells.append(c[last:])
+        points.append(f[last:])
+        held += len(c) - last
+        given = None
+        if held > MAX_CELL:
+            yield _large(np.concatenate(cells), np.concatenate(points))
+            cells, points, held, given = [], [], 0, c[-1]
+    if held:
+        yield from _runs(np.concatenate(cells), np.concatenate(points))
 
 
 _LINKS = "a long, b long, cell long, large boolean"
@@ -168,18 +208,24 @@ _LINKS = "a long, b long, cell long, large boolean"
 def links(points: DataFrame) -> DataFrame:
     """``a``, ``b``: links that connect all fingerprints of ``points`` (distinct ``fp``) within DISTANCE of each other."""
     masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(m)).alias("m")) for i, m in enumerate(band_masks())])
-    cells = points.select("fp", F.explode(masks).alias("k"), grid_point(F.col("fp")).alias("g")).select(F.xxhash64("k.i", F.col("g").bitwiseAND(F.col("k.m"))).alias("cell"), "fp")
-    found = materialize(cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_search, _LINKS), "links")
-    large = found.where("large").select("cell", F.col("a").alias("fp"))
-    out = found.where("not large").select("a", "b")
-    if large.isEmpty():
-        return out.distinct()
-    # Blocks of at most about half of MAX_CELL points; each pair of blocks is searched on its own.
-    blocks = large.groupBy("cell").agg(F.ceil(F.count("*") / (MAX_CELL / 3)).cast("int").alias("n"))
-    dealt = large.join(blocks, "cell").withColumn("r", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("n")).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    paired = dealt.select(F.xxhash64("cell", F.least("r", "s"), F.greatest("r", "s")).alias("cell"), "fp")
-    rest = paired.repartition("cell").sortWithinPartitions("cell").mapInArrow(_search, _LINKS)
-    return out.union(rest.where("not large").select("a", "b")).distinct()
+    # A cell's number ends in that of its choice of bands.
+    numbered = lambda i, *of: F.xxhash64(i, *of).bitwiseAND(F.lit(~31)).bitwiseOR(i)
+    cells = points.select("fp", F.explode(masks).alias("k"), grid_point(F.col("fp")).alias("g")).select(numbered(F.col("k.i"), F.col("g").bitwiseAND(F.col("k.m"))).alias("cell"), "fp")
+    search = lambda df: materialize(df.repartition("cell").sortWithinPartitions("cell").mapInArrow(_search, _LINKS), "links")
+    found = search(cells)
+    out, large = found.where("not large").select("a", "b"), found.where("large").select("cell", F.col("a").alias("fp"))
+    if not large.isEmpty():
+        parts = F.array(*[F.array(*[F.struct(F.lit(j).alias("j"), F.lit(_signed(m)).alias("m")) for j, m in enumerate(own)]) for own in part_masks()])
+        cut = large.select("cell", "fp", grid_point(F.col("fp")).alias("g"), F.explode(F.get(parts, F.col("cell").bitwiseAND(F.lit(31)).cast("int"))).alias("k"))
+        found = search(cut.select(F.xxhash64("cell", "k.j", F.col("g").bitwiseAND(F.col("k.m"))).alias("cell"), "fp"))
+        out, large = out.union(found.where("not large").select("a", "b")), found.where("large").select("cell", F.col("a").alias("fp"))
+    if not large.isEmpty():
+        # Blocks of at most about a third of MAX_CELL points; each pair of blocks is searched on its own.
+        blocks = large.groupBy("cell").agg(F.ceil(F.count("*") / (MAX_CELL / 3)).cast("int").alias("n"))
+        dealt = large.join(blocks, "cell").withColumn("r", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("n")).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        paired = dealt.select(F.xxhash64("cell", F.least("r", "s"), F.greatest("r", "s")).alias("cell"), "fp").distinct()
+        out = out.union(search(paired).where("not large").select("a", "b"))
+    return out.distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,13 +246,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of similar ones, and any without an id; repeated rows of one id count once."""
-    found = similar_components(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if again.isEmpty():
-        return kept.select(*docs.columns)
-    again = materialize(again, "repeated")
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """The document of smallest id of each group of near copies, and any without an id; rows equal in id and text count once."""
+    from .similar import without_copies  # which builds on this module
+
+    return without_copies(docs)

@@ -1,43 +1,95 @@
-"""Near-duplicate stage: an exact join of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near-duplicate groups: SimHash links first, completed by an exact join at a five-word Jaccard similarity of 0.8 or more.
 
-Shingles have one order for all documents (frequent ones last, then by hash). Two similar sets share a shingle
-among the first n - ceil(0.8 n) + 1 of each, so every similar pair meets in the cell of such a shingle; pairs whose sizes or
-places rule the similarity out are dropped, and the others are verified by their texts.
+Every document gets the SimHash fingerprint and the set of its five-word shingles. Fingerprints within three bits of each
+other, found by the segment-popcount grid of ``simhash``, are candidates. A prefix-filtered join finds what lies farther
+apart: shingles have one order for all documents (frequent ones last, then by hash), two similar sets share a shingle among
+the first n - ceil(0.8 n) + 1 of each, so every similar pair meets in the cell of such a shingle; pairs whose sizes or
+places rule the similarity out are dropped. All candidates are verified by the exact similarity of their texts.
 
-Equal sets are one. Each cell first links its members to its smallest; then only pairs that these links have not
-connected yet are compared, so a large group of near copies makes about as many pairs as it has members.
+Equal sets are one. Each cell first links its members to its smallest, next to the SimHash links; then only pairs that these
+links have not connected yet are compared, so a large group of near copies makes about as many pairs as it has members.
 
 A text of fewer than five words is one shingle; texts without words are equal. Shingles are compared by 64-bit hash.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, discard, materialize, release_shuffles
+from .common import LOWER, discard, materialize
 from .components import connected_components
+from .simhash import links, majority
 
 WIDTH = 5
 #: What counts as frequent, and how many such shingles are known to all tasks. Both only order shingles; any order is right.
 FREQUENT, MAX_FREQUENT = 32, 100_000
 MAX_PAIRS, MAX_ROWS = 1 << 18, 1 << 18  # that a task holds before it hands them on; a cell is never divided
+CHUNK_BYTES = 1 << 20  # of texts whose shingles are cut together
+PAIRS_PER_BATCH = 200  # whose texts are verified together, which bounds a worker's memory
+MAX_BROADCAST_ROWS = 200_000
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and their inverses."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        _POWERS[:] = [np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(32))
+
+
+def all_shingles(texts: list[str | None]) -> list[np.ndarray]:
+    """For each text the hashes of its shingles, repeats included."""
+    out: list[np.ndarray] = []
+    raw, size = [], 0
+    for i, t in enumerate(texts):
+        raw.append((t or "").encode().translate(LOWER))
+        size += len(raw[-1])
+        if size > CHUNK_BYTES or i == len(texts) - 1:
+            out += _shingles(raw)
+            raw, size = [], 0
+    return out
+
+
+def _shingles(raw: list[bytes]) -> list[np.ndarray]:
+    line = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
+    blank = _IS_SPACE[line]
+    starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    power, inverse = _powers(len(line) + 1)
+    # A word's hash is a difference of sums over bytes and places, moved to place 0.
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((line.astype(np.uint64) + np.uint64(1)) * power[: len(line)])))
+    words = _mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    if len(words) >= WIDTH:
+        rows = len(words) - WIDTH + 1
+        wide = _mixed(sum((words[k : k + rows] * power[k + 1] for k in range(1, WIDTH)), words[:rows] * power[0]))
+    first = np.searchsorted(starts, np.cumsum([1] + [len(r) + 1 for r in raw]))
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= WIDTH:
+            out.append(wide[a : b - WIDTH + 1])
+        else:
+            short = words[a:b]
+            out.append(_mixed(np.sum(short * power[1 : b - a + 1], keepdims=True) + np.uint64(b - a)) if b > a else short)
+    return out
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Hashes of the distinct shingles, in order."""
-    words = (text or "").encode().translate(LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    line, width = b" ".join(words), min(WIDTH, len(words))
-    ends = list(itertools.accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends[: len(words) - width]]
-    return np.unique(np.array([xxhash.xxh64_intdigest(line[a : b - 1], 42) for a, b in zip(starts, ends[width - 1 :], strict=True)], np.uint64))
+    return np.unique(all_shingles([text])[0])
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -45,24 +97,46 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
+def in_slices(batches, rows: int = 512):
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def prefixes(docs: DataFrame, text: str) -> DataFrame:
+    """``h``, ``n``: how often each shingle stands in a prefix by hash alone; summed within parts of a task."""
+
+    def run(batches):
+        for batch in in_slices(batches, 2048):
+            sets = [np.unique(s) for s in all_shingles(batch.column(0).to_pylist())]
+            h, n = np.unique(np.concatenate([s[: len(s) - -(-4 * len(s) // 5) + 1] for s in sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
 def sketches(docs: DataFrame, key: str, text: str, frequent: np.ndarray) -> DataFrame:
-    """``key``, ``set`` (hash of the set), ``n`` (its size), ``prefix``, ``text``; one row for each row of ``docs``."""
-    base = docs.select(key, text)
+    """``key``, ``h`` (the text's identity), ``set`` (hash of the set), ``n`` (its size), ``fp``, ``prefix``, ``text``; one row for each row."""
+    base = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        for batch in batches:
-            ids, sizes, prefixes = [], [], []
-            for t in batch.column(1).to_pylist():
-                s = shingles(t)
+        for batch in in_slices(batches):
+            texts = batch.column(1).to_pylist()
+            own, ids, sizes, fps, prefixes = [], [], [], [], []
+            for t, every in zip(texts, all_shingles(texts), strict=True):
+                s = np.unique(every)
+                own.append(xxhash.xxh3_64_intdigest((t or "").encode()))
                 ids.append(xxhash.xxh64_intdigest(s.tobytes(), 1))
                 sizes.append(len(s))
+                fps.append(majority(every))
                 late = np.isin(s, known.value, assume_unique=True)
                 ordered = np.concatenate((s[~late], s[late]))
                 prefixes.append(ordered[: len(s) - -(-4 * len(s) // 5) + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), batch.column(1)], ["key", "set", "n", "prefix", "text"])
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (own, ids, fps)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), longs[0], longs[1], pa.array(sizes, pa.int32()), longs[2], pa.array(prefixes, pa.list_(pa.int64())), batch.column(1)], ["key", "h", "set", "n", "fp", "prefix", "text"])
 
-    return base.mapInArrow(run, f"key {base.schema[key].dataType.simpleString()}, set long, n int, prefix array<long>, text string")
+    return base.mapInArrow(run, f"key {base.schema['key'].dataType.simpleString()}, h long, set long, n int, fp long, prefix array<long>, text string")
 
 
 def meetings(first: bool):
@@ -122,47 +196,75 @@ def meetings(first: bool):
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs of similar sets."""
     ids = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    texts = materialize(rows.join(ids, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text")), "texts")
+    texts = materialize(rows.select("set", "text").join(ids, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text")), "texts")
     both = pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("set").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches):
-        for batch in batches:
-            ok = [similar(shingles(x), shingles(y)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        for batch in in_slices(batches, PAIRS_PER_BATCH):
+            sets = [[np.unique(s) for s in all_shingles(batch.column(i).to_pylist())] for i in (2, 3)]
+            ok = [similar(x, y) for x, y in zip(*sets, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    out = materialize(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    out = materialize(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links", PAIRS_PER_BATCH)
     discard(texts)
-    release_shuffles(pairs.sparkSession)
     return out
 
 
+def by_fingerprint(sets: DataFrame) -> DataFrame:
+    """Pairs of sets whose fingerprints are equal or linked, as many as connect them."""
+    points = materialize(sets.groupBy("fp").agg(F.min("set").alias("first")), "points")
+    equal = sets.join(points, "fp").where("set <> first").select(F.least("set", "first").alias("a"), F.greatest("set", "first").alias("b"))
+    of = lambda side: points.select(F.col("fp").alias(side), F.col("first").alias("f" + side))
+    near = links(points.select("fp")).join(of("a"), "a").join(of("b"), "b")
+    return equal.union(near.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")))
+
+
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``component_id`` (smallest key reachable over similar pairs); one row for each row of ``docs``."""
-    spark = docs.sparkSession
-    drawn = sketches(docs, key, text, np.zeros(0, np.uint64)).select(F.explode("prefix").alias("h")).groupBy("h").count().where(F.col("count") > FREQUENT)
-    frequent = drawn.orderBy(F.desc("count"), "h").limit(MAX_FREQUENT).select("h").toArrow().column(0).to_numpy()
+    """``key``, ``h`` (the text's identity), ``first`` (smallest key and h that similar pairs lead to; nulls last); one row for each row."""
+    frequent = prefixes(docs, text).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).select("h").toArrow().column(0).to_numpy()
     rows = materialize(sketches(docs, key, text, np.sort(frequent.astype(np.int64).view(np.uint64))), "sketches")
-    sets = materialize(rows.groupBy("set").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "sets")
-    release_shuffles(spark)
+    # Nulls go behind all ids, so they name a group only where it has no other.
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "h")
+    sets = materialize(rows.groupBy("set").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")), "sets")
 
     def pairs(first: bool, members: DataFrame) -> DataFrame:
         cells = members.select("set", "n", "label", F.posexplode("prefix").alias("at", "cell")).select("cell", "set", "n", "at", "label")
-        met = cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), "a long, b long")
-        out = materialize(met.distinct(), "pairs")
-        release_shuffles(spark)
-        return out
-
-    near = pairs(True, sets.withColumn("label", F.col("set")))
-    links = verified(near, rows)
-    roots = connected_components(links)
+        return cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), "a long, b long")
+
+    near = materialize(pairs(True, sets.withColumn("label", F.col("set"))).union(by_fingerprint(sets)).distinct(), "pairs")
+    found = verified(near, rows)
+    roots = connected_components(found)
     labelled = sets.join(roots, sets["set"] == roots["node"], "left").select("set", "n", "prefix", F.coalesce("root", "set").alias("label"))
-    more = materialize(pairs(False, labelled).join(near, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(verified(more, rows))
-    roots = connected_components(links)
+    more = materialize(pairs(False, labelled).distinct().join(near, ["a", "b"], "left_anti"), "pairs")
+    roots = connected_components(found.unionByName(verified(more, rows)))
     named = materialize(sets.join(roots, sets["set"] == roots["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "least"), "named")
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = materialize(named.join(smallest, "root").select("set", "component_id"), "classes")
-    out = materialize(rows.select("key", "set").join(classes, "set").select(F.col("key").alias(key), "component_id"), "components")
-    for old in (rows, sets, near, more, named, classes):
-        discard(old)
+    smallest = named.groupBy("root").agg(F.min("least").alias("first"))
+    classes = materialize(named.join(smallest, "root").select("set", F.struct("first.key", "first.h").alias("first")), "classes")
+    out = materialize(rows.select("key", "h", "set").join(classes, "set").select("key", "h", "first"), "components")
+    discard(rows, sets, near, found, more, named, classes)
     return out
+
+
+def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of similar texts the one of smallest id, and every row without an id.
+
+    Rows are told apart by id and text, so unrelated texts that share an id both stay; of rows equal in both one stays.
+    """
+    found = similar_components(docs, key, text)
+    ident = found.groupBy("key", "h").agg(F.count("*").alias("n"), F.bool_or(F.struct("key", "h") == F.col("first")).alias("stays")).where("key is not null and (n > 1 or not stays)")
+    ident = materialize(ident.select(F.col("key").alias("_k"), F.col("h").alias("_h"), "stays"), "copies")
+    discard(found)
+    few = ident.count() <= MAX_BROADCAST_ROWS
+
+    def identity(batches):
+        for batch in in_slices(batches):
+            h = np.array([xxhash.xxh3_64_intdigest((t or "").encode()) for t in batch.column(batch.schema.get_field_index("_t")).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(h.view(np.int64))], [*batch.schema.names[:-1], "_h"])
+
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t"))
+    marked = whole.mapInArrow(identity, whole.select("_doc", "_k", F.lit(0).cast("long").alias("_h")).schema)
+    joined = marked.join(F.broadcast(ident) if few else ident, ["_k", "_h"], "left")
+    kept = joined.where("stays is null").select("_doc")
+    if not ident.where("stays").isEmpty():  # rows equal in id and text
+        kept = kept.union(joined.where("stays").dropDuplicates(["_k", "_h"]).select("_doc"))
+    return kept.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
