@@ -110,6 +110,14 @@ def test_frontier(spark, links, anchor, want):
     assert slots.finalized_frontier(states(spark, links), anchors).first()["contiguous"] == want
 
 
+@pytest.mark.parametrize("links,anchor", [([(10, 9), (11, 10), (13, 12), (14, 13)], 10), ([(5, 4)], 20), ([(21, 20), (22, 21), (24, 22)], 20), ([(7, 6), (8, 7)], None), ([(9, 8), (10, 9), (12, 10), (12, 10)], 9)])
+def test_long_streams_go_by_joins(spark, tmp_path, links, anchor):
+    saved = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    anchors = None if anchor is None else spark.createDataFrame([("s", anchor)], "stream_name string, anchor long")
+    both = [sorted(map(tuple, slots.finalized_frontier(states(spark, links), anchors, most, saved).select("stream_name", "contiguous", "head").collect())) for most in (0, 100)]
+    assert both[0] == both[1]
+
+
 def test_frontier_of_nothing(spark):
     assert slots.finalized_frontier(states(spark, []).where("slot > 0")).count() == 0
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import strict_json as J
+from ..schema import SLOTS_PER_BUCKET
 
 
 def slot_states(events: DataFrame) -> DataFrame:
@@ -50,15 +51,25 @@ def reachable_max(links: list[tuple[int, int]], seed: int) -> int:
 
 
 _FRONTIER = "stream_name string, contiguous long, head long"
+MOST_WALKED = 2_000_000  # finalized slots above the anchor that one task walks; longer streams go by joins
 
 
-def finalized_frontier(states: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
+def finalized_frontier(states: DataFrame, anchors: DataFrame | None = None, most: int = MOST_WALKED, checkpoint=None) -> DataFrame:
     """stream_name, contiguous, head: how far proven ancestry reaches from the anchor (else the smallest finalized slot).
 
-    The walk is one task for each stream, over the finalized slots from the anchor on only: links lead upward, so
-    nothing below matters. Finalized counts even where the slot is also dead. Streams without anchor and finalized
-    slot are absent.
+    Links lead upward, so only the finalized slots from the anchor on matter. A stream of up to ``most`` of them is walked by one
+    task, a longer one by pointer doubling, with the same result. Finalized counts even where the slot is also dead. Streams without
+    anchor and finalized slot are absent.
     """
+    sizes = states.where("finalized").groupBy("stream_name").agg(F.count("*").alias("n"), F.max("slot").alias("top"))
+    long = [r["stream_name"] for r in sizes.where(F.col("n") > most).select("stream_name").collect()]  # a handful of streams
+    if not long:
+        return _walked(states, anchors)
+    own, others = F.col("stream_name").isin(long), ~F.col("stream_name").isin(long)
+    return _walked(states.where(others), None if anchors is None else anchors.where(others)).unionByName(finalized_frontier_doubling(states.where(own), checkpoint, None if anchors is None else anchors.where(own)))
+
+
+def _walked(states: DataFrame, anchors: DataFrame | None) -> DataFrame:
     final = states.where("finalized").select("stream_name", "slot", "parent_slot")
     if anchors is None:
         anchored = final.withColumn("anchor", F.lit(None).cast("long"))
@@ -81,27 +92,30 @@ def finalized_frontier(states: DataFrame, anchors: DataFrame | None = None) -> D
     return known.join(walked, "stream_name", "left").select("stream_name", F.coalesce("contiguous", "anchor").alias("contiguous"), F.coalesce("top", "head").alias("head"))
 
 
-def finalized_frontier_doubling(states: DataFrame, checkpoint=None) -> DataFrame:
-    """The same without anchors by pointer doubling: for a stream too long for one task.
+def finalized_frontier_doubling(states: DataFrame, checkpoint=None, anchors: DataFrame | None = None) -> DataFrame:
+    """The same by pointer doubling: for a stream too long for one task.
 
     Every finalized slot points at its finalized parent, the seed and slots without one at themselves; squaring the
-    pointers reaches the roots in logarithmically many joins.
+    pointers reaches the roots in logarithmically many joins. A pointer that has reached its root takes no part any more, so no
+    join gathers rows on a common root.
     """
     cut = checkpoint or (lambda df: df.checkpoint())
     final = states.where("finalized").groupBy("stream_name", "slot").agg(F.max("parent_slot").alias("parent_slot"))
-    bounds = final.groupBy("stream_name").agg(F.min("slot").alias("seed"), F.max("slot").alias("head"))
-    known = final.select("stream_name", F.col("slot").alias("parent_slot"), F.lit(True).alias("known"))
-    linked = final.join(known, ["stream_name", "parent_slot"], "left").join(bounds.select("stream_name", "seed"), "stream_name")
-    up = (F.col("known") == True) & (F.col("parent_slot") < F.col("slot")) & (F.col("slot") != F.col("seed"))  # noqa: E712
-    pointers = cut(linked.select("stream_name", "slot", F.when(up, F.col("parent_slot")).otherwise(F.col("slot")).alias("root")))
-    while True:
-        roots = pointers.select("stream_name", F.col("slot").alias("root"), F.col("root").alias("next"))
-        doubled = cut(pointers.join(roots, ["stream_name", "root"]).select("stream_name", "slot", "root", "next"))
-        if doubled.where("root <> next").isEmpty():
-            break
-        pointers = doubled.select("stream_name", "slot", F.col("next").alias("root"))
-    reached = pointers.join(bounds, "stream_name").where("root = seed")
-    return reached.groupBy("stream_name").agg(F.max("slot").alias("contiguous"), F.max("head").alias("head"))
+    bounds = final.groupBy("stream_name").agg(F.min("slot").alias("least"), F.max("slot").alias("top"))
+    seeds = bounds.withColumn("anchor", F.lit(None).cast("long")) if anchors is None else bounds.join(anchors.select("stream_name", F.col("anchor").cast("long")), "stream_name", "full")
+    seeds = cut(seeds.select("stream_name", F.coalesce("anchor", "least").alias("seed"), F.coalesce("top", "anchor").alias("head")))
+    above = final.join(seeds.select("stream_name", "seed"), "stream_name").where("slot > seed")
+    known = above.select("stream_name", "slot").union(seeds.select("stream_name", "seed"))
+    linked = above.join(known.select("stream_name", F.col("slot").alias("parent_slot"), F.lit(True).alias("known")), ["stream_name", "parent_slot"], "left")
+    up = F.coalesce(F.col("known") & (F.col("parent_slot") < F.col("slot")), F.lit(False))
+    # ``done``: the pointer leads to the seed, or to a slot that leads nowhere.
+    pointers = cut(linked.select("stream_name", "slot", F.when(up, F.col("parent_slot")).otherwise(F.col("slot")).alias("root"), (~up | (F.col("parent_slot") == F.col("seed"))).alias("done")))
+    while not (open_ := pointers.where("not done")).isEmpty():
+        onward = pointers.select("stream_name", F.col("slot").alias("root"), F.col("root").alias("next"), F.col("done").alias("there"))
+        moved = open_.select("stream_name", "slot", "root").join(onward, ["stream_name", "root"]).select("stream_name", "slot", F.col("next").alias("root"), F.col("there").alias("done"))
+        pointers = cut(pointers.where("done").unionByName(moved))
+    reached = pointers.groupBy("stream_name", "root").agg(F.max("slot").alias("far"))
+    return seeds.join(reached, (seeds["stream_name"] == reached["stream_name"]) & (seeds["seed"] == reached["root"]), "left").select(seeds["stream_name"], F.coalesce("far", "seed").alias("contiguous"), "head")
 
 
 def advance_min_child(links: dict[int, list[int]], head: int) -> int:
@@ -115,9 +129,15 @@ def advance_min_child(links: dict[int, list[int]], head: int) -> int:
 
 
 def open_gaps(states: DataFrame) -> DataFrame:
-    """Finalized slots whose parent is not finalized: stream_name, slot, parent_slot, above (nearest finalized slot below)."""
-    final = states.where("finalized").select("stream_name", "slot", "parent_slot")
-    below = final.withColumn("above", F.lag("slot").over(Window.partitionBy("stream_name").orderBy("slot")))
+    """Finalized slots whose parent is not finalized: stream_name, slot, parent_slot, above (nearest finalized slot below).
+
+    The slot below is looked up within ranges of slots, then among the last slots of the ranges below: no task orders a whole stream.
+    """
+    final = states.where("finalized").select("stream_name", "slot", "parent_slot", F.floor(F.col("slot") / SLOTS_PER_BUCKET).alias("_r"))
+    tops = final.groupBy("stream_name", "_r").agg(F.max("slot").alias("_top"))
+    tops = tops.withColumn("_below", F.max("_top").over(Window.partitionBy("stream_name").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
+    below = final.withColumn("_lag", F.lag("slot").over(Window.partitionBy("stream_name", "_r").orderBy("slot"))).join(tops, ["stream_name", "_r"])
+    below = below.withColumn("above", F.coalesce("_lag", "_below"))
     known = final.select("stream_name", F.col("slot").alias("parent_slot"))
     return below.where("parent_slot is not null and above is not null").join(known, ["stream_name", "parent_slot"], "left_anti").select("stream_name", "slot", "parent_slot", "above")
 

@@ -306,7 +306,7 @@ def finalized_frontier(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_sl_sql()}, {_WALK}")
 def finalized_frontier_doubling(spark: SparkSession, sf: str) -> DataFrame:
-    return slots.finalized_frontier_doubling(sl(spark, sf), checkpoint=lambda df: _saved(spark, df))
+    return slots.finalized_frontier_doubling(sl(spark, sf), lambda df: _saved(spark, df))
 
 
 @query(f"WITH RECURSIVE {_sl_sql('true')}, {_WALK}")
