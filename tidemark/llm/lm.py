@@ -57,7 +57,7 @@ END = 0xFF
 DEEPEST = 48  # bits of a code
 FOLDS, HELD = 7, 2
 BLOCK_BYTES = 8 << 20  # texts that ask for counts together
-BATCH_BYTES = 4 << 20  # texts that are counted and mixed together, which bounds a worker's memory
+BATCH_BYTES = 3 << 20  # texts that are counted and mixed together, which bounds a worker's memory
 SLICE_BITS = 1 << 21  # laid out at a time
 PASSAGE = 3 << 20
 PLACE_BITS = 22  # of a place among the texts mixed together

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, read
+from .common import LOWER, discard, materialize, read
 from .components import connected_components
 
 SHINGLE = 3
@@ -234,9 +234,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     points = materialize(fps.groupBy("fp").agg(F.min(key).alias("least")), "points")
     roots = connected_components(links(points))
     named = points.join(roots, points["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    linked = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    # Fingerprints linked with none keep their own smallest id; the others look theirs up.
-    by_fp = materialize(named.join(materialize(linked, "smallest"), "root").select("fp", "component_id"), "classes")
+    linked = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    by_fp = materialize(named.join(linked, "root").select("fp", "component_id"), "classes")
+    discard(points, linked)
     return fps.join(by_fp, "fp").select(key, "fp", "component_id")
 
 
