@@ -142,8 +142,8 @@ def open_gaps(states: DataFrame) -> DataFrame:
     return below.where("parent_slot is not null and above is not null").join(known, ["stream_name", "parent_slot"], "left_anti").select("stream_name", "slot", "parent_slot", "above")
 
 
-def merge_cursor(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Cursors only grow; missing values count as nothing."""
+def merge_cursor(old: DataFrame, new: DataFrame, few: bool = False) -> DataFrame:
+    """Cursors only grow; missing values count as nothing. ``few`` rows are merged in one task, without a shuffle."""
     columns = ("last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot")
     both = old.select("stream_name", *columns).unionByName(new.select("stream_name", *columns))
-    return both.groupBy("stream_name").agg(*[F.max(c).alias(c) for c in columns]).withColumn("last_persisted_slot", F.coalesce("last_persisted_slot", F.lit(0)))
+    return (both.coalesce(1) if few else both).groupBy("stream_name").agg(*[F.max(c).alias(c) for c in columns]).withColumn("last_persisted_slot", F.coalesce("last_persisted_slot", F.lit(0)))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, fields
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import event_rows
@@ -17,6 +17,8 @@ from ..schema import MAX_LONG, SLOTS_PER_BUCKET
 from .tables import Tables
 
 BATCH_SIZE = 500
+#: Batches of so few rows are put into one partition, which saves their shuffles.
+SMALL = 20_000
 #: Rows of one commit of a replay. Logical batches of BATCH_SIZE only set the counters; a Spark job for each would be all overhead.
 COMMIT_ROWS = 1_000_000
 
@@ -90,16 +92,17 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int, advanc
     try:
         fits = F.col("slot") <= F.lit(MAX_LONG).cast("decimal(20,0)")
         bucket = F.when(fits, F.floor(F.col("slot") / SLOTS_PER_BUCKET).cast("long"))
-        told = rows.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.collect_set(bucket).alias("buckets")).first()
+        told = rows.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.collect_set(bucket).alias("buckets"), F.bool_or(F.col("payload").contains("token_balances")).alias("balances")).first()
         if not told["n"]:
             return Summary()
-        fresh = dedup.convertible(rows).withColumn("slot_bucket", dedup.slot_bucket())
+        fresh = dedup.convertible(rows if told["n"] > SMALL else rows.coalesce(1)).withColumn("slot_bucket", dedup.slot_bucket())
         fresh = dedup.first_wins(fresh.select(*[c for c in fresh.columns if c not in ("kind", "status")]))
         now = F.current_timestamp()
         out = dedup.new_rows(fresh, tables.read("events", told["buckets"], batch)).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now)
-        tables.append("events", out, batch)
-        inserted = tables.count("events", batch, told["buckets"])
-        swaps = write_swaps(tables, batch, told["buckets"]) if inserted else 0
+        written = Observation()
+        tables.append("events", out.observe(written, F.count(F.lit(1)).alias("n")), batch)
+        inserted = written.get["n"]
+        swaps = write_swaps(tables, batch, told["buckets"]) if inserted and told["balances"] else 0
         if told["top"] > MAX_LONG:
             raise ValueError("cursor slot exceeds the signed 64-bit range")
         save_cursor(tables, stream_name, int(told["top"]))
@@ -115,7 +118,7 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int, advanc
 def save_cursor(tables: Tables, stream_name: str, persisted: int | None, contiguous: int | None = None, finalized: int | None = None) -> None:
     """Raise a stream's markers; none goes back."""
     new = tables.spark.createDataFrame([(stream_name, persisted, contiguous, finalized)], "stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long")
-    tables.rewrite("stream_cursors", lambda old: slots.merge_cursor(old, new).withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}")))
+    tables.rewrite("stream_cursors", lambda old: slots.merge_cursor(old, new, True).withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}")))
 
 
 def write_swaps(tables: Tables, batch: int, buckets: list[int]) -> int:
