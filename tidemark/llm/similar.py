@@ -4,7 +4,8 @@ Every document gets the SimHash fingerprint and the set of its five-word shingle
 other, found by the segment-popcount grid of ``simhash``, are candidates. A prefix-filtered join finds what lies farther
 apart: shingles have one order for all documents (frequent ones last, then by hash), two similar sets share a shingle among
 the first n - ceil(0.8 n) + 1 of each, so every similar pair meets in the cell of such a shingle; pairs whose sizes or
-places rule the similarity out are dropped. All candidates are verified by the exact similarity of their texts.
+places rule the similarity out are dropped, and so are those whose sketches differ in more bits than similar sets can differ in
+shingles. All candidates are verified by the exact similarity of their texts.
 
 Equal sets are one. Each cell first links its members to its smallest, next to the SimHash links; then only pairs that these
 links have not connected yet are compared, so a large group of near copies makes about as many pairs as it has members.
@@ -97,6 +98,15 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
+SKETCH = 4  # words of 64 bits
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """For each of 256 hash values whether an odd number of shingles has it; two sets differ in as many shingles at least as in bits."""
+    odd = np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def in_slices(batches, rows: int = 512):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -116,27 +126,28 @@ def prefixes(docs: DataFrame, text: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, key: str, text: str, frequent: np.ndarray) -> DataFrame:
-    """``key``, ``h`` (the text's identity), ``set`` (hash of the set), ``n`` (its size), ``fp``, ``prefix``, ``text``; one row for each row."""
+    """``key``, ``h`` (the text's identity), ``set`` (hash of the set), ``n`` (its size), ``fp``, ``bits``, ``prefix``, ``text``; one row for each row."""
     base = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         for batch in in_slices(batches):
             texts = batch.column(1).to_pylist()
-            own, ids, sizes, fps, prefixes = [], [], [], [], []
+            own, ids, sizes, fps, bits, prefixes = [], [], [], [], [], []
             for t, every in zip(texts, all_shingles(texts), strict=True):
                 s = np.unique(every)
                 own.append(xxhash.xxh3_64_intdigest((t or "").encode()))
                 ids.append(xxhash.xxh64_intdigest(s.tobytes(), 1))
                 sizes.append(len(s))
                 fps.append(majority(every))
+                bits.append(sketch(s))
                 late = np.isin(s, known.value, assume_unique=True)
                 ordered = np.concatenate((s[~late], s[late]))
                 prefixes.append(ordered[: len(s) - -(-4 * len(s) // 5) + 1].view(np.int64))
             longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (own, ids, fps)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), longs[0], longs[1], pa.array(sizes, pa.int32()), longs[2], pa.array(prefixes, pa.list_(pa.int64())), batch.column(1)], ["key", "h", "set", "n", "fp", "prefix", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), longs[0], longs[1], pa.array(sizes, pa.int32()), longs[2], pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())), batch.column(1)], ["key", "h", "set", "n", "fp", "bits", "prefix", "text"])
 
-    return base.mapInArrow(run, f"key {base.schema['key'].dataType.simpleString()}, h long, set long, n int, fp long, prefix array<long>, text string")
+    return base.mapInArrow(run, f"key {base.schema['key'].dataType.simpleString()}, h long, set long, n int, fp long, bits array<long>, prefix array<long>, text string")
 
 
 def meetings(first: bool):
@@ -146,7 +157,7 @@ def meetings(first: bool):
         parts, rows = [], 0
         for batch in batches:
             if batch.num_rows:
-                parts.append([batch.column(i).to_numpy() for i in range(5)])
+                parts.append([batch.column(i).to_numpy() for i in range(batch.num_columns)])
                 rows += batch.num_rows
             if rows > MAX_ROWS:
                 columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
@@ -158,7 +169,7 @@ def meetings(first: bool):
             yield from within([np.concatenate(x) for x in zip(*parts, strict=True)])
 
     def within(columns):
-        cell, own, n, at, label = columns
+        cell, own, n, at, label, *bits = columns
         start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         held, size = [], 0
 
@@ -179,6 +190,10 @@ def meetings(first: bool):
             low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
             rest = 1 + np.minimum(n[i] - at[i] - 1, n[j] - at[j] - 1)
             ok = (5 * low >= 4 * high) & (9 * rest >= 4 * (low + high)) & (first | (label[i] != label[j]))
+            if bits:
+                i_, j_ = i[ok], j[ok]
+                differ = sum(np.bitwise_count(b[i_] ^ b[j_]).astype(np.int64) for b in bits)
+                ok[ok] = 9 * differ <= n[i_] + n[j_]
             held.append(np.column_stack([np.minimum(own[i], own[j])[ok], np.maximum(own[i], own[j])[ok]]))
             size += int(ok.sum())
             if size > MAX_PAIRS:
@@ -225,16 +240,17 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = materialize(sketches(docs, key, text, np.sort(frequent.astype(np.int64).view(np.uint64))), "sketches")
     # Nulls go behind all ids, so they name a group only where it has no other.
     place = F.struct(F.col("key").isNull().alias("none"), "key", "h")
-    sets = materialize(rows.groupBy("set").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")), "sets")
+    sets = materialize(rows.groupBy("set").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "sets")
 
     def pairs(first: bool, members: DataFrame) -> DataFrame:
-        cells = members.select("set", "n", "label", F.posexplode("prefix").alias("at", "cell")).select("cell", "set", "n", "at", "label")
+        more = [] if first else [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(SKETCH)]
+        cells = members.select("set", "n", "label", *more, F.posexplode("prefix").alias("at", "cell")).select("cell", "set", "n", "at", "label", *[f"b{k}" for k in range(len(more))])
         return cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), "a long, b long")
 
     near = materialize(pairs(True, sets.withColumn("label", F.col("set"))).union(by_fingerprint(sets)).distinct(), "pairs")
     found = verified(near, rows)
     roots = connected_components(found)
-    labelled = sets.join(roots, sets["set"] == roots["node"], "left").select("set", "n", "prefix", F.coalesce("root", "set").alias("label"))
+    labelled = sets.join(roots, sets["set"] == roots["node"], "left").select("set", "n", "bits", "prefix", F.coalesce("root", "set").alias("label"))
     more = materialize(pairs(False, labelled).distinct().join(near, ["a", "b"], "left_anti"), "pairs")
     roots = connected_components(found.unionByName(verified(more, rows)))
     named = materialize(sets.join(roots, sets["set"] == roots["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "least"), "named")
