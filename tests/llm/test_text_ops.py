@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from tidemark.llm import bpe, decontam, linededup, simhash
+from tidemark.llm import bpe, decontam, linededup, simhash, similar
 from tidemark.llm.components import connected_components
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -171,6 +171,16 @@ def test_simhash_stage_against_brute_force(spark, documents):
     assert any(root[i] == root[j] and (fps[i] ^ fps[j]).bit_count() > 3 for i, j in itertools.combinations(range(len(texts)), 2))
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 40, 500):
+        for share in (0.5, 0.95, 1):
+            a = np.unique(r.integers(0, 2**63, size=n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+            b = np.unique(np.concatenate((a[r.random(len(a)) < share], r.integers(0, 2**63, size=n // 20).astype(np.uint64))))
+            bits = np.bitwise_count(similar.sketch(a).view(np.uint64) ^ similar.sketch(b).view(np.uint64)).sum()
+            assert bits <= len(np.setxor1d(a, b)) and (share < 1 or n // 20 or bits == 0)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

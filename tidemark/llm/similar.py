@@ -192,7 +192,7 @@ def meetings(first: bool):
             ok = (5 * low >= 4 * high) & (9 * rest >= 4 * (low + high)) & (first | (label[i] != label[j]))
             if bits:
                 i_, j_ = i[ok], j[ok]
-                differ = sum(np.bitwise_count(b[i_] ^ b[j_]).astype(np.int64) for b in bits)
+                differ = sum(np.bitwise_count((b[i_] ^ b[j_]).view(np.uint64)).astype(np.int64) for b in bits)  # of signed numbers it counts the absolute value's
                 ok[ok] = 9 * differ <= n[i_] + n[j_]
             held.append(np.column_stack([np.minimum(own[i], own[j])[ok], np.maximum(own[i], own[j])[ok]]))
             size += int(ok.sum())
