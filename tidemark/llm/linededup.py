@@ -190,15 +190,19 @@ def within(a: Column, b: Column, whole: bool = True) -> Column:
 def near(line: Column, other: Column, length: Column, other_length: Column) -> Column:
     """Whether two lines are within THRESHOLD edits.
 
-    Lines that part early are told apart by the characters around the first difference; the others are compared whole.
+    What the lines begin and end with alike, in whole parts of the shorter one, is left out. Lines that part early are told apart by
+    the characters around the first difference; the others are compared whole.
     """
     shorter = F.least(length, other_length)
-    prefix = lambda i: (shorter * i / PREFIXES).cast("int")
-    equal = F.size(F.filter(F.sequence(F.lit(1), F.lit(PREFIXES - 1)), lambda i: F.substring(line, F.lit(1), prefix(i)) == F.substring(other, F.lit(1), prefix(i))))
+    part = lambda i: (shorter * i / PREFIXES).cast("int")
+    alike = lambda most, cut: F.size(F.filter(F.sequence(F.lit(0), most), lambda i: (i > 0) & (cut(line, part(i)) == cut(other, part(i)))))
+    ahead = alike(F.lit(PREFIXES - 1), lambda x, n: F.substring(x, F.lit(1), n))
+    # Bound by lambdas, so that each step is taken once for a pair wherever Spark moves the condition. One part is always left.
+    begun = F.transform(F.array(ahead), lambda i: F.struct(i.alias("i"), alike(PREFIXES - 1 - i, F.right).alias("j")))
+    middle = lambda x, n, c: F.slice(F.split(x, ""), part(c["i"]) + 1, n - part(c["i"]) - part(c["j"]))
+    rest = F.transform(begun, lambda c: F.struct(middle(line, length, c).alias("a"), middle(other, other_length, c).alias("b")))
     reach = (shorter / PREFIXES).cast("int") + 24
-    # The characters are bound by a lambda, so they are split once for a pair wherever Spark moves the condition.
-    bound = F.array(F.struct(F.split(line, "").alias("a"), F.split(other, "").alias("b"), prefix(equal).alias("p"), reach.alias("n")))
-    return F.exists(bound, lambda x: within(F.slice(x["a"], x["p"] + 1, x["n"] + THRESHOLD), F.slice(x["b"], x["p"] + 1, x["n"]), whole=False) & within(x["a"], x["b"]))
+    return F.exists(rest, lambda x: within(F.slice(x["a"], F.lit(1), reach + THRESHOLD), F.slice(x["b"], F.lit(1), reach), whole=False) & within(x["a"], x["b"]))
 
 
 def later_of_linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
