@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, simhash, urlfilter
+    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, resample, simhash, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
@@ -21,10 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_decontaminate": decontam.op9_decontaminate,
         "op10_url_filter": urlfilter.op10_url_filter,
+        "op13_resample": resample.op13_resample,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontam, linededup, urlfilter
+    from . import decontam, linededup, resample, urlfilter
 
-    return {"op8_line_dedup": linededup.ORACLE_SQL, "op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}
+    return {"op8_line_dedup": linededup.ORACLE_SQL, "op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL, "op13_resample": resample.ORACLE_SQL}
