@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, resample, simhash, urlfilter
+    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, resample, simhash, treebpe, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_decontaminate": decontam.op9_decontaminate,
         "op10_url_filter": urlfilter.op10_url_filter,
+        "op11_byte_bpe": treebpe.op11_byte_bpe,
         "op13_resample": resample.op13_resample,
     }
 
