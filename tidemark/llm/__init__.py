@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import audio, bpe, decontam, html, linededup, lm, pii, quality, resample, simhash, treebpe, urlfilter
+    from . import audio, bpe, decontam, html, linededup, lm, pii, pq, quality, resample, simhash, treebpe, urlfilter
 
     return {
         "op1_simhash": simhash.op1_simhash,
@@ -22,11 +22,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontaminate": decontam.op9_decontaminate,
         "op10_url_filter": urlfilter.op10_url_filter,
         "op11_byte_bpe": treebpe.op11_byte_bpe,
+        "op12_vector_codes": pq.op12_vector_codes,
         "op13_resample": resample.op13_resample,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontam, linededup, resample, urlfilter
+    from . import decontam, linededup, pq, resample, urlfilter
 
-    return {"op8_line_dedup": linededup.ORACLE_SQL, "op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL, "op13_resample": resample.ORACLE_SQL}
+    return {"op8_line_dedup": linededup.ORACLE_SQL, "op9_decontaminate": decontam.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL, "op12_vector_codes": pq.ORACLE_SQL, "op13_resample": resample.ORACLE_SQL}
