@@ -11,6 +11,8 @@ import time
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from . import serve
 from .config import EXIT_CODES, Config, ConfigError
 from .metrics import Metrics, ingest_counts
 from .plans import pipeline
+from .plans.commits import now_ms
 from .plans.tables import Tables
 from .sources.live import TRANSPORTS, Subscription
 from .sources.replay import ReplayError, read_jsonl
@@ -67,9 +70,7 @@ class App:
             for r in ingest_counts(rows.select(F.col("kind").alias("event_type"), "slot"), "replay").collect():
                 self.metrics.add("ingest_events_total", r["n"], r["source"], r["event_type"])
             last = rows.agg(F.max_by("slot", "ordinal")).first()[0]
-        except ReplayError as e:
-            return self._failed("replay", e)
-        except Exception as e:
+        except (ReplayError, AnalysisException, Py4JJavaError) as e:  # a bad line, or a file that can't be read
             return self._failed("replay", e)
         self.metrics.slots(int(last or 0), 0)
         try:
@@ -107,16 +108,8 @@ class App:
 
     def _log_run(self, run_id: str, status: str) -> None:
         """One row for each run, updated at its end."""
-        new = self.spark.createDataFrame([(run_id, status, hashlib.sha256(repr(self.config).encode()).hexdigest())], "run_id string, status string, config_hash string")
-        now, none = F.current_timestamp(), F.lit(None).cast("timestamp")
-        ended = F.lit(status != "running")
-        row = new.select("run_id", now.alias("started_at"), F.when(ended, now).otherwise(none).alias("stopped_at"), "status", F.lit(None).cast("string").alias("git_sha"), "config_hash")
-
-        def change(old):
-            first = old.where(F.col("run_id") == run_id).select("run_id", F.col("started_at").alias("began"))
-            return old.where(F.col("run_id") != run_id).unionByName(row.join(first, "run_id", "left").withColumn("started_at", F.coalesce("began", "started_at")).drop("began"))
-
-        self.tables.rewrite("ingestion_runs", change)
+        told = {"status": status, "config_hash": hashlib.sha256(repr(self.config).encode()).hexdigest()}
+        self.tables.log_run(run_id, **told, **{"started_at" if status == "running" else "stopped_at": now_ms()})
 
 
 def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None, spark: SparkSession | None = None) -> int:

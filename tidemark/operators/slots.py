@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import strict_json as J
@@ -19,12 +19,13 @@ def slot_states(events: DataFrame) -> DataFrame:
     return rows.select("slot", F.when(parent <= F.lit(2**63 - 1).cast("decimal(20,0)"), parent.cast("long")).alias("parent_slot"), (F.col("status") == "finalized").alias("finalized"), (F.col("status") == "dead").alias("dead"), "ordinal")
 
 
-def merge_states(states: DataFrame, *keys: str, order: str = "ordinal") -> DataFrame:
-    """One state for each slot: flags are or-ed, the parent is the last that is not null by ``order``."""
+def merge_states(states: DataFrame, *keys: str, order: str = "ordinal", also: dict[str, Column] | None = None) -> DataFrame:
+    """One state for each slot: flags are or-ed, the parent is the last that is not null by ``order``. ``also``: further aggregates by name."""
     return states.groupBy(*keys, "slot").agg(
         F.max_by("parent_slot", F.when(F.col("parent_slot").isNotNull(), F.col(order))).alias("parent_slot"),
         F.bool_or("finalized").alias("finalized"),
         F.bool_or("dead").alias("dead"),
+        *[c.alias(n) for n, c in (also or {}).items()],
     )
 
 

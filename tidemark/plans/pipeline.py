@@ -1,24 +1,26 @@
-"""Batch ingestion: rows to tables in the commit order events, swaps, cursor, slot states, frontier."""
+"""Batch ingestion: events, slot states and the cursor by one entry of the log, then the swaps and the frontier that follow from them."""
 
 from __future__ import annotations
 
 import time
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, fields
+from dataclasses import asdict, dataclass, fields
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import event_rows
 from ..operators import decode, dedup, slots
-from ..schema import MAX_LONG, SLOTS_PER_BUCKET
-from .tables import Tables
+from ..schema import MAX_LONG
+from .commits import Clash
+from .tables import APPENDED, BY_VALUE, Tables, marks, overlaps
 
 BATCH_SIZE = 500
 #: Batches of so few rows are put into one partition, which saves their shuffles.
 SMALL = 20_000
+COMPACT_AT = 24  # small folders of a table that are put together
 #: Rows of one commit of a replay. Logical batches of BATCH_SIZE only set the counters; a Spark job for each would be all overhead.
 COMMIT_ROWS = 1_000_000
 
@@ -81,79 +83,144 @@ def logical_batches(rows: DataFrame, size: int = BATCH_SIZE, order: str = "ordin
     return batches.withColumn("cursor", F.max("max_slot").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int, advance_frontier: bool = False, batch_size: int = BATCH_SIZE) -> Summary:
-    """Write one batch of envelope rows (with ``ordinal``). Running it again for the same batch changes nothing.
+def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None = None, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, writer: str | None = None) -> Summary:
+    """Write one batch of envelope rows (with ``ordinal``).
 
-    Order: events, swaps, cursor, slot states, frontier. A crash in between leaves earlier steps done, and each is idempotent.
-    Stored events are only looked up in the buckets of the batch's own slots, so the work does not grow with the history.
+    Events, slot states and the cursor take effect together, by one entry of the log; swaps and the frontier follow from what is stored
+    (see ``settle``), so a crash at any place leaves nothing that the next commit or run does not make good. A ``writer`` that numbers
+    its batches gets the answer of the first time for one that it repeats.
     """
     began = time.monotonic()
+    if writer is not None and batch is not None and (known := tables.state().writers.get(writer)) and batch <= known[0]:
+        done = Summary(**known[1]) if batch == known[0] else Summary()
+        done.add(settle(tables, stream_name, advance_frontier))
+        return done
     rows = event_rows(rows, "ordinal", "kind", "status").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fits = F.col("slot") <= F.lit(MAX_LONG).cast("decimal(20,0)")
-        bucket = F.when(fits, F.floor(F.col("slot") / SLOTS_PER_BUCKET).cast("long"))
-        told = rows.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.collect_set(bucket).alias("buckets"), F.bool_or(F.col("payload").contains("token_balances")).alias("balances")).first()
+        marked = fits & (F.col("kind") == "slot") & F.col("status").isin("finalized", "dead")
+        # The ids of a batch of up to BY_VALUE rows; of a larger one some, which are not used.
+        some = F.slice(F.collect_set(F.when(fits & (F.col("_place") < BY_VALUE), F.col("event_id"))), 1, BY_VALUE)
+        placed = rows.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))  # within a partition
+        told = placed.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.min("slot").alias("low"), F.max(F.when(fits, F.col("slot"))).alias("high"), F.bool_or(F.col("payload").contains("token_balances")).alias("balances"), F.count_if(marked).alias("marked"), some.alias("ids")).first()
         if not told["n"]:
-            return Summary()
-        fresh = dedup.convertible(rows if told["n"] > SMALL else rows.coalesce(1)).withColumn("slot_bucket", dedup.slot_bucket())
-        fresh = dedup.first_wins(fresh.select(*[c for c in fresh.columns if c not in ("kind", "status")]))
-        now = F.current_timestamp()
-        out = dedup.new_rows(fresh, tables.read("events", told["buckets"], batch)).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now)
-        written = Observation()
-        tables.append("events", out.observe(written, F.count(F.lit(1)).alias("n")), batch)
-        inserted = written.get["n"]
-        swaps = write_swaps(tables, batch, told["buckets"]) if inserted and told["balances"] else 0
-        if told["top"] > MAX_LONG:
+            return settle(tables, stream_name, advance_frontier)
+        top, bad = int(told["top"]), told["n"] - told["ok"]
+        while True:
+            seen = tables.state().version
+            inserted, new = 0, {}
+            if told["ok"] and (events := write_new(tables, rows, told)):
+                inserted, new["events"] = events[1]["rows"], {events[0]: events[1] | {"balances": bool(told["balances"])}}
+            if advance_frontier and told["marked"] and (states := write_states(tables, rows, stream_name, seen)):
+                new["stream_slots"] = {states[0]: states[1] | {"stream": stream_name}}
+            done = Summary(told["n"], bad, 0, bad, -(-told["n"] // batch_size), told["ok"] or bad, inserted, told["ok"] - inserted, 0, top)
+            entry: dict = {"add": new}
+            if top <= MAX_LONG:
+                entry["cursors"] = {stream_name: marks(persisted=top)}
+                if writer is not None and batch is not None:
+                    entry["writers"] = {writer: [batch, asdict(done)]}
+            try:
+                tables.put(entry, lambda s: not any(p["v"] > seen and overlaps(p, int(told["low"]), int(told["high"] or 0)) for p in s.parts.get("events", {}).values()))
+                break
+            except Clash:  # others stored events of the same slots meanwhile, which may be the same events
+                for name, parts in new.items():
+                    for folder in parts:
+                        tables.remove(name, folder)
+        done.add(settle(tables, stream_name, advance_frontier))
+        if top > MAX_LONG:
             raise ValueError("cursor slot exceeds the signed 64-bit range")
-        save_cursor(tables, stream_name, int(told["top"]))
-        frontier = (None, None)
-        if advance_frontier and write_states(tables, rows, stream_name, batch):
-            frontier = advance(tables, stream_name)
-        bad, took = told["n"] - told["ok"], time.monotonic() - began
-        return Summary(told["n"], bad, 0, bad, -(-told["n"] // batch_size), told["ok"] or bad, inserted, told["ok"] - inserted, swaps, int(told["top"]), *frontier, took, took, took)
+        done.write_seconds_total = done.write_seconds_max = done.write_seconds_last = time.monotonic() - began
+        return done
     finally:
         rows.unpersist()
 
 
-def save_cursor(tables: Tables, stream_name: str, persisted: int | None, contiguous: int | None = None, finalized: int | None = None) -> None:
-    """Raise a stream's markers; none goes back."""
-    new = tables.spark.createDataFrame([(stream_name, persisted, contiguous, finalized)], "stream_name string, last_persisted_slot long, last_contiguous_finalized_slot long, last_finalized_slot long")
-    tables.rewrite("stream_cursors", lambda old: slots.merge_cursor(old, new, True).withColumn("updated_at", F.current_timestamp()).withColumn("metadata", F.lit("{}")))
-
+def write_new(tables: Tables, rows: DataFrame, told: Row) -> tuple[str, dict] | None:
+    """The first row of each event id that the tables don't hold, in a folder of its own.
 
-def write_swaps(tables: Tables, batch: int, buckets: list[int]) -> int:
-    """Swaps of the events that a batch inserted, in a folder of the same batch; how many."""
-    keys = ("event_id", "slot", "signature", "program_id")
-    new = tables.read("events", buckets).where((F.col("batch") == batch) & F.col("payload").contains("token_balances"))
-    found = decode.swap_rows(decode.infer_swaps(decode.balance_deltas(new, *keys), *keys), *keys).drop("event_id").withColumn("inferred_at", F.current_timestamp())
-    tables.append("swaps", found, batch)
-    return tables.count("swaps", batch, buckets)
+    Stored ids are looked up in folders whose slots reach those of the batch: by value for a small batch, by a join that leaves the table
+    where it is for one that fits a broadcast (its rows were counted), and by shuffles beyond.
+    """
+    fresh = dedup.convertible(rows if told["n"] > SMALL else rows.coalesce(1))
+    fresh = dedup.first_wins(fresh.select(*[c for c in fresh.columns if c not in ("kind", "status")]))
+    low, high, now = int(told["low"]), int(told["high"]), F.current_timestamp()
+    add = lambda held: tables.write("events", (fresh if held is None else fresh.join(held, "event_id", "left_anti")).withColumn("observed_at", now).withColumn("inserted_at", now))
+    if not tables.parts("events", low, high):
+        return add(None)
+    if told["n"] <= BY_VALUE:
+        with tables.by_value():
+            return add(F.broadcast(tables.known_ids(told["ids"], low, high)))
+    held = tables.read("events", low, high).select("event_id")
+    if told["n"] <= SMALL:
+        held = F.broadcast(held.join(F.broadcast(fresh.select("event_id")), "event_id", "left_semi"))
+    return add(held)
+
+
+def write_states(tables: Tables, rows: DataFrame, stream_name: str, seen: int) -> tuple[str, dict] | None:
+    """The slot states of a batch, in a folder of their own."""
+    new = slots.merge_states(slots.slot_states(dedup.convertible(rows).coalesce(1)), order="ordinal")
+    return tables.write("stream_slots", new.withColumn("stream_name", F.lit(stream_name)).withColumn("first_seen_at", F.current_timestamp()).withColumn("batch", F.lit(seen)))
+
+
+def settle(tables: Tables, stream_name: str, advance_frontier: bool = True) -> Summary:
+    """What follows from stored rows and is not stored yet: swaps of all undecoded events, and the stream's frontier."""
+    done = Summary(swaps_written=decode_pending(tables))
+    if advance_frontier:
+        done.last_contiguous_finalized_slot, done.last_finalized_slot = advance(tables, stream_name)
+    return done
+
+
+def decode_pending(tables: Tables) -> int:
+    """Swaps of the events stored since the last decoding, whoever stored them; how many.
+
+    The swaps and the number up to which entries are decoded are one entry of the log: no event is decoded twice and none is left out.
+    """
+    while True:
+        state = tables.state()
+        decoded, upto = state.decoded, state.version
+        pending = [k for k, p in state.parts.get("events", {}).items() if p.get("balances") and p["v"] > decoded]
+        if not pending:
+            return 0
+        keys = ("event_id", "slot", "signature", "program_id")
+        rows = tables.rows("events", pending).where(F.col("payload").contains("token_balances"))
+        found = decode.swap_rows(decode.infer_swaps(decode.balance_deltas(rows, *keys), *keys), *keys).withColumn("inferred_at", F.current_timestamp())
+        part = tables.write("swaps", found)
+        try:
+            tables.put({"decoded": upto, "add": {"swaps": {part[0]: part[1]}} if part else {}}, lambda s: s.decoded == decoded)  # noqa: B023
+            return part[1]["rows"] if part else 0
+        except Clash:
+            if part:
+                tables.remove("swaps", part[0])
 
 
-def write_states(tables: Tables, rows: DataFrame, stream_name: str, batch: int) -> bool:
-    """Append the slot states of a batch; whether any is finalized."""
-    new = slots.merge_states(slots.slot_states(rows), order="ordinal").withColumn("stream_name", F.lit(stream_name)).withColumn("slot", F.col("slot").cast("long"))
-    flags = new.agg(F.count("*").alias("n"), F.count_if("finalized").alias("f")).first()
-    if flags["n"]:
-        tables.append("stream_slots", new.withColumn("first_seen_at", F.current_timestamp()), batch)
-    return bool(flags["f"])
+def save_cursor(tables: Tables, stream_name: str, persisted: int | None, contiguous: int | None = None, finalized: int | None = None) -> None:
+    """Raise a stream's markers; none goes back."""
+    tables.save_cursor(stream_name, persisted, contiguous, finalized)
 
 
 def advance(tables: Tables, stream_name: str) -> tuple[int | None, int | None]:
-    """Walk the frontier on from its stored place and store it; it never goes back. Buckets below it are not read."""
-    spark = tables.spark
-    row = tables.read("stream_cursors").where(F.col("stream_name") == stream_name).select("last_contiguous_finalized_slot", "last_finalized_slot").first()
-    anchor = row["last_contiguous_finalized_slot"] if row else None
-    low = None if anchor is None else anchor // SLOTS_PER_BUCKET
-    states = tables.read("stream_slots", None if low is None else [b for b in tables.buckets("stream_slots") if b >= low]).where(F.col("stream_name") == stream_name)
-    anchors = spark.createDataFrame([(stream_name, anchor)], "stream_name string, anchor long").where("anchor is not null")
+    """Walk the frontier on from its stored place over states that came since, and store it; it never goes back.
+
+    Only folders with slots from the frontier on are read, and none if the stream has no new states.
+    """
+    state = tables.state()
+    upto, cursor = state.version, state.cursors.get(stream_name, {})
+    anchor, head = cursor.get("contiguous"), cursor.get("finalized")
+    if not any(p["v"] > state.walked.get(stream_name, -1) for p in tables.parts("stream_slots", stream=stream_name).values()):
+        return anchor, head
+    states = tables.read("stream_slots", anchor, stream=stream_name)
+    anchors = tables.spark.createDataFrame([(stream_name, anchor)], "stream_name string, anchor long").where("anchor is not null")
     found = slots.finalized_frontier(states, anchors).first()
-    if found is None:
-        return None, None
-    head = max(x for x in (found["head"], row["last_finalized_slot"] if row else None, -1) if x is not None)
-    head = head if head >= 0 else None
-    save_cursor(tables, stream_name, None, found["contiguous"], head)
-    return found["contiguous"], head
+    contiguous, top = (found["contiguous"], found["head"]) if found else (None, None)
+    head = max((x for x in (top, head) if x is not None), default=None)
+    tables.save_cursor(stream_name, None, contiguous, head, walked={stream_name: upto})
+    return contiguous if found else anchor, head
+
+
+def maintain(tables: Tables, every: int = COMPACT_AT) -> None:
+    """Compact the tables that have ``every`` small folders or more."""
+    for name in APPENDED:
+        tables.compact(name, every)
 
 
 def cuts(tables: Tables, rows: DataFrame, n: int, size: int) -> Iterable[DataFrame]:
@@ -176,17 +243,19 @@ def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_res
 
     ``on_progress`` is called before, after each commit and at the end. ``stop`` is asked between commits.
     """
-    after = tables.read("stream_cursors").where(F.col("stream_name") == stream_name).agg(F.max("last_persisted_slot")).first()[0] if use_resume else None
+    after = tables.state().cursors.get(stream_name, {}).get("persisted") if use_resume else None
     total = Summary(last_persisted_slot=after)
     tell = on_progress or (lambda _: None)
     tell(total)
+    total.add(settle(tables, stream_name, advance_frontier))  # what a run that died has left
     left = resume(rows, after)
     n = left.count()
     if after is not None:
         total.resume_skipped = total.events_skipped = total.events_seen = rows.count() - n
     for part in cuts(tables, left, n, max(batch_size, commit_rows // batch_size * batch_size)) if n else ():
-        total.add(commit(tables, part, stream_name, tables.next_batch(), advance_frontier, batch_size))
+        total.add(commit(tables, part, stream_name, None, advance_frontier, batch_size))
         tell(total)
+        maintain(tables)
         if stop and stop():
             break
     tell(total)

@@ -1,27 +1,41 @@
-"""Parquet tables: idempotent appends laid out by slot, small keyed tables by snapshot, and compaction.
+"""Parquet tables under a log of commits: data folders that never change, listed with their ranges of slots; compaction.
 
-Rows that belong to a slot go to ``slot_bucket=<b>/batch=<id>``, so a batch looks at the buckets of its own slots only, however
-long the history is; a retry of a batch replaces its folders. Slot states are appended alike and merged when read.
-A compacted bucket has a folder of a negative number, -1 - n, that stands for all batches up to n.
+Rows go to a folder of their own for each commit, sorted by slot within its files. The log (see ``commits``) names the folders that count, each with its
+lowest and highest slot, so a reader opens only those that can hold its slots, and Parquet's own statistics prune within them. Cursors
+and runs are few and live in the log itself. Slot states are appended and merged when read.
 
-Cursors are few and rewritten as a whole to a new snapshot folder. A folder counts once Spark has marked it complete, so a crash
-at any place leaves the last complete snapshot in force.
+Any number of writers may share the tables. A writer that finds another's entry in the way checks it against what it has read, and either puts its
+own after it or begins again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+import uuid
+from collections.abc import Callable, Iterable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators import slots
+from .commits import Clash, Log, State, now_ms
 
-_PLACE = [T.StructField("slot_bucket", T.LongType()), T.StructField("batch", T.LongType())]
-SCHEMAS = {"events": T.StructType([*S.EVENTS.fields, *_PLACE]), "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": T.StructType([*S.STREAM_SLOTS.fields, *_PLACE]), "swaps": T.StructType([*S.SWAPS.fields, *_PLACE])}
+#: ``batch`` orders the states of a stream's slots: the entry that their writer had seen last.
+_ORDER = [T.StructField("batch", T.LongType())]
+SCHEMAS = {"events": S.EVENTS, "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": T.StructType([*S.STREAM_SLOTS.fields, *_ORDER]), "swaps": S.SWAPS}
 APPENDED = ("events", "stream_slots", "swaps")
+FULL = 2_000_000  # rows of a folder that compaction leaves alone
+FILE_ROWS = 1_000_000  # of a compacted file
+#: So many ids are looked up by value, which a compacted file's Bloom filter answers without reading rows.
+BY_VALUE = 1000
+_IN = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+
+def overlaps(part: dict, low: int | None, high: int | None) -> bool:
+    return (low is None or part["high"] >= low) and (high is None or part["low"] <= high)
 
 
 class Tables:
@@ -30,99 +44,192 @@ class Tables:
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-        for name in SCHEMAS:
+        for name in APPENDED:
             self._fs.mkdirs(self._path(f"{self.root}/{name}"))
+        self.log = Log(spark, self.root)
+        self._state, self._guard = self.log.load(), threading.RLock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _folders(self, path: str, prefix: str) -> list[int]:
-        """Numbers of the folders ``prefix=<number>``."""
-        if not self._fs.exists(self._path(path)):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(path)) if s.isDirectory()]
-        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}="))
-
-    # ---- appended tables ----
+    def state(self) -> State:
+        """The log as it stands now. Another thread may move it on; take what is needed at once."""
+        with self._guard:
+            self._state = self.log.follow(self._state)
+            return self._state
 
-    def buckets(self, name: str) -> list[int]:
-        return self._folders(self.path(name), "slot_bucket")
+    # ---- writing ----
 
-    def _batches(self, name: str, bucket: int) -> list[int]:
-        """The folders of a bucket that count: the latest compaction and what came after it."""
-        every = self._folders(f"{self.path(name)}/slot_bucket={bucket}", "batch")
-        done = [b for b in every if b < 0 and self._fs.exists(self._path(f"{self.path(name)}/slot_bucket={bucket}/batch={b}/_SUCCESS"))]
-        return every if not done else [min(done), *(b for b in every if b > -1 - min(done))]
+    def write(self, name: str, rows: DataFrame, options: dict | None = None) -> tuple[str, dict] | None:
+        """Rows in a folder of their own, sorted by slot within each file: its name and range; None if there are none.
 
-    def _rows(self, name: str, buckets: list[int] | None, but_batch: int | None) -> DataFrame:
-        chosen = self.buckets(name) if buckets is None else sorted({*buckets} & {*self.buckets(name)})
-        paths = [f"{self.path(name)}/slot_bucket={b}/batch={n}" for b in chosen for n in self._batches(name, b) if n != but_batch]
+        No reader sees it before an entry of the log names it.
+        """
+        told = Observation()
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
+        rows = rows.observe(told, F.count(F.lit(1)).alias("rows"), F.min("slot").alias("low"), F.max("slot").alias("high")).sortWithinPartitions("slot")
+        folder = f"{now_ms():013d}-{uuid.uuid4().hex}"
+        rows.write.options(**(options or {})).parquet(f"{self.path(name)}/{folder}")
+        part = dict(told.get)
+        if not part.get("rows"):
+            self.remove(name, folder)
+            return None
+        return folder, part
+
+    def remove(self, name: str, folder: str) -> None:
+        self._fs.delete(self._path(f"{self.path(name)}/{folder}"), True)
+
+    def put(self, entry: dict, stands: Callable[[State], bool] | None = None) -> int:
+        """Add an entry to the log; its number. ``stands`` is asked with the state before it, and Clash is raised where it says no."""
+        with self._guard:
+            while True:
+                state = self.state()
+                if stands and not stands(state):
+                    raise Clash
+                if self.log.append(state, entry):
+                    return state.version
+
+    def save_cursor(self, stream: str, persisted: int | None = None, contiguous: int | None = None, finalized: int | None = None, **more) -> None:
+        """Raise a stream's markers; none goes back."""
+        self.put({"cursors": {stream: marks(persisted, contiguous, finalized)}, **more})
+
+    def log_run(self, run_id: str, **told) -> None:
+        self.put({"runs": {run_id: told}})
+
+    # ---- reading ----
+
+    def parts(self, name: str, low: int | None = None, high: int | None = None, stream: str | None = None) -> dict[str, dict]:
+        """The folders of a table that can hold slots from ``low`` to ``high``, and rows of a stream."""
+        with self._guard:
+            every = self.state().parts.get(name, {})
+            return {k: p for k, p in every.items() if overlaps(p, low, high) and (stream is None or p.get("stream", stream) == stream)}
+
+    def rows(self, name: str, folders: Iterable[str]) -> DataFrame:
+        paths = [f"{self.path(name)}/{f}" for f in folders]
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).option("basePath", self.path(name)).parquet(*paths)
-
-    def append(self, name: str, rows: DataFrame, batch: int) -> None:
-        """Write the rows of a batch by slot; writing the same batch again replaces them."""
-        rows = rows.withColumn("slot_bucket", F.floor(F.col("slot") / S.SLOTS_PER_BUCKET).cast("long")).withColumn("batch", F.lit(batch).cast("long"))
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot_bucket", "batch").parquet(self.path(name))
-
-    def count(self, name: str, batch: int, buckets: list[int]) -> int:
-        """Rows of a batch, from the footers of its files."""
-        paths = [p for b in buckets if self._fs.exists(self._path(p := f"{self.path(name)}/slot_bucket={b}/batch={batch}"))]
-        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths).count() if paths else 0
-
-    def next_batch(self, name: str = "events") -> int:
-        last = [max(*x, *(-1 - n for n in x)) for b in self.buckets(name) if (x := self._folders(f"{self.path(name)}/slot_bucket={b}", "batch"))]
-        return max(last, default=-1) + 1
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
+
+    def read(self, name: str, low: int | None = None, high: int | None = None, stream: str | None = None) -> DataFrame:
+        """A table; of an appended one only the slots named, where that is asked."""
+        if name == "stream_cursors":
+            with self._guard:
+                kept = [(s, m.get("persisted") or 0, m.get("contiguous"), m.get("finalized"), _time(m["at"]), "{}") for s, m in self.state().cursors.items()]
+            return self.spark.createDataFrame(kept, SCHEMAS[name])
+        if name == "ingestion_runs":
+            with self._guard:
+                kept = [(r, _time(m.get("started_at")), _time(m.get("stopped_at")), m.get("status"), m.get("git_sha"), m.get("config_hash")) for r, m in self.state().runs.items()]
+            return self.spark.createDataFrame(kept, SCHEMAS[name])
+        found = self.rows(name, self.parts(name, low, high, stream))
+        for bound, inside in ((low, F.col("slot") >= F.lit(low)), (high, F.col("slot") <= F.lit(high))):
+            found = found if bound is None else found.where(inside)
+        if name != "stream_slots":
+            return found
+        found = found if stream is None else found.where(F.col("stream_name") == stream)
+        return merged(found).select(*S.STREAM_SLOTS.names)
+
+    def known_ids(self, ids: list[str], low: int, high: int) -> DataFrame:
+        """Which of at most ``BY_VALUE`` event ids are stored, by filters that reach the files' statistics and Bloom filters."""
+        return self.read("events", low, high).where(F.col("event_id").isin(ids)).select("event_id")
+
+    def by_value(self):
+        """While it is open, filters on as many values as ``known_ids`` takes are handed to Parquet."""
+        return _Setting(self.spark, _IN, str(BY_VALUE))
+
+    def newest(self, name: str, top: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
+        """``top`` of a table, which takes the ``limit`` rows of the highest slots: the folders with the highest slots first, twice as many each time,
+        until the limit is full and no other folder reaches the last slot taken.
+        """
+        order = sorted(self.parts(name).items(), key=lambda x: -x[1]["high"])
+        n = 1
+        while True:
+            found = top(self.rows(name, [k for k, _ in order[:n]]))
+            taken = found.collect()
+            if n >= len(order) or len(taken) >= limit and taken[-1]["slot"] > order[n][1]["high"]:
+                out = self.spark.createDataFrame(taken, found.schema)
+                out._folders = min(n, len(order))
+                return out
+            n *= 2
+
+    # ---- upkeep ----
 
     def compact(self, name: str, least: int = 8) -> int:
-        """Put the batches of each bucket with ``least`` of them into one folder; the number of buckets. Not beside a commit.
+        """Put ``least`` or more neighbouring small folders into one, sorted by slot; the number of new folders.
 
-        The new folder counts from the moment it is complete, and the old ones no longer; they are deleted after that.
+        Readers and writers go on meanwhile: the entry swaps the folders at once. The old ones are left to ``vacuum``, as a reader may be in them.
         """
         done = 0
-        for bucket in self.buckets(name):
-            batches = self._batches(name, bucket)
-            if len(batches) < least:
-                continue
-            top = max(*batches, *(-1 - b for b in batches))
-            rows = self._rows(name, [bucket], None).drop("slot_bucket", "batch")
+        for group in self._groups(name, least):
+            rows, n = self.rows(name, group), sum(p["rows"] for p in group.values())
+            options = {}
             if name == "stream_slots":
-                rows = self.read(name, buckets=[bucket])
-            folder = f"{self.path(name)}/slot_bucket={bucket}"
-            rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={-1 - top}")
-            for b in self._folders(folder, "batch"):
-                if -1 - top < b <= top:
-                    self._fs.delete(self._path(f"{folder}/batch={b}"), True)
-            done += 1
+                rows = merged(rows)
+            if name == "events":
+                options = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.expected.ndv#event_id": str(max(64, min(n, FILE_ROWS)))}
+            rows = rows.coalesce(1) if n <= FILE_ROWS else rows.repartitionByRange(-(-n // FILE_ROWS), "slot")
+            new = self.write(name, rows, options)
+            marks = {k: v for k, v in next(iter(group.values())).items() if k == "stream"}
+            try:
+                self.put({"drop": {name: [*group]}, "add": {name: {new[0]: new[1] | marks}}}, lambda s: all(g in s.parts.get(name, {}) for g in group))
+                done += 1
+            except Clash:
+                self.remove(name, new[0])
         return done
 
-    # ---- reading, and snapshots of keyed tables ----
-
-    def read(self, name: str, buckets: list[int] | None = None, but_batch: int | None = None) -> DataFrame:
-        """A table; of an appended one only the buckets named, without a batch that is being written."""
-        if name == "stream_slots":
-            rows = self._rows(name, buckets, but_batch)
-            states = slots.merge_states(rows, "stream_name", order="batch")
-            first = rows.groupBy("stream_name", "slot").agg(F.min("first_seen_at").alias("first_seen_at"))
-            return states.join(first, ["stream_name", "slot"]).select(*S.STREAM_SLOTS.names)
-        if name in APPENDED:
-            return self._rows(name, buckets, but_batch)
-        n = self._current(name)
-        return self.spark.createDataFrame([], SCHEMAS[name]) if n is None else self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path(name)}/v={n}")
-
-    def _current(self, name: str) -> int | None:
-        """The last snapshot that is complete."""
-        every = self._folders(self.path(name), "v")
-        return next((n for n in reversed(every) if self._fs.exists(self._path(f"{self.path(name)}/v={n}/_SUCCESS"))), None)
-
-    def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace a keyed table by ``change`` of it: a new snapshot, then the one before the last goes."""
-        n = self._current(name)
-        new = 0 if n is None else n + 1
-        rows = change(self.read(name)).select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/v={new}")
-        for old in self._folders(self.path(name), "v"):
-            if old < new - 1:
-                self._fs.delete(self._path(f"{self.path(name)}/v={old}"), True)
+    def _groups(self, name: str, least: int) -> list[dict[str, dict]]:
+        with self._guard:
+            state = self.state()
+            small = [(k, dict(p)) for k, p in state.parts.get(name, {}).items() if p["rows"] < FULL and not (p.get("balances") and p["v"] > state.decoded)]
+        groups: list[dict[str, dict]] = []
+        held, size = {}, 0
+        for k, p in sorted(small, key=lambda x: (x[1].get("stream", ""), x[1]["low"])):
+            if held and (size >= FULL or next(iter(held.values())).get("stream") != p.get("stream")):
+                groups.append(held)
+                held, size = {}, 0
+            held[k] = p
+            size += p["rows"]
+        return [g for g in [*groups, held] if len(g) >= max(2, least)]
+
+    def vacuum(self, older_ms: int = 24 * 3600 * 1000) -> int:
+        """Delete folders that no entry names any more (compacted, or of a writer that died) and that are older than that; the number.
+
+        The age protects commits that are under way and readers of folders that were compacted. Old entries of the log go too.
+        """
+        gone, before = 0, now_ms() - older_ms
+        with self._guard:
+            live = {name: {*self.state().parts.get(name, {})} for name in APPENDED}
+        for name in APPENDED:
+            for s in self._fs.listStatus(self._path(self.path(name))):
+                folder = s.getPath().getName()
+                if folder not in live[name] and s.getModificationTime() <= before:
+                    self.remove(name, folder)
+                    gone += 1
+        self.log.trim(older_ms)
+        return gone
+
+
+class _Setting:
+    """A setting of the session for a while."""
+
+    def __init__(self, spark: SparkSession, key: str, value: str):
+        self.spark, self.key, self.value = spark, key, value
+
+    def __enter__(self) -> None:
+        self.before = self.spark.conf.get(self.key)
+        self.spark.conf.set(self.key, self.value)
+
+    def __exit__(self, *_) -> None:
+        self.spark.conf.set(self.key, self.before)
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """One state for each slot of a stream out of all that were stored."""
+    return slots.merge_states(rows, "stream_name", order="batch", also={"first_seen_at": F.min("first_seen_at"), "batch": F.max("batch")})
+
+
+def marks(persisted: int | None = None, contiguous: int | None = None, finalized: int | None = None) -> dict:
+    return {"persisted": persisted, "contiguous": contiguous, "finalized": finalized, "at": now_ms()}
+
+
+def _time(ms: int | None) -> datetime | None:
+    return None if ms is None else datetime.fromtimestamp(ms / 1000, timezone.utc)

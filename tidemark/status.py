@@ -45,10 +45,10 @@ class Service:
             return 500, {"error": "storage query failed"}
 
     def recent_events(self, event_type: str | None = None, limit: int | None = None) -> tuple[int, object]:
-        return self._rows(lambda: api.recent_events(self.tables.read("events"), event_type, limit))
+        return self._rows(lambda: self.tables.newest("events", lambda rows: api.recent_events(rows, event_type, limit), api.clamp(limit)))
 
     def recent_swaps(self, program_id: str | None = None, limit: int | None = None) -> tuple[int, object]:
-        return self._rows(lambda: api.recent_swaps(self.tables.read("swaps"), program_id, limit))
+        return self._rows(lambda: self.tables.newest("swaps", lambda rows: api.recent_swaps(rows, program_id, limit), api.clamp(limit)))
 
     def stream_lag(self, name: str) -> tuple[int, object]:
         code, rows = self._rows(lambda: api.stream_lag(self.tables.read("stream_cursors"), name))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from abc import ABC, abstractmethod
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import dedup, slots
 from .plans import pipeline
-from .plans.tables import Tables
+from .plans.commits import Clash
+from .plans.tables import Tables, overlaps
 from .sources.replay import read_jsonl
 
 
@@ -72,24 +75,48 @@ class FrameSource(EventSource):
 
 
 class TableStores:
-    """One of each over ``Tables``."""
-
-    def __init__(self, tables: Tables):
-        self.events, self.cursors, self.slots, self.swaps = TableEvents(tables), TableCursors(tables), TableSlots(tables), TableSwaps(tables)
-
-
-class TableEvents(EventWriter):
-    def __init__(self, tables: Tables):
-        self.tables = tables
-
+    """One of each over ``Tables``. ``writer`` names them in the log: with the same name, batches are known again after a restart."""
+
+    def __init__(self, tables: Tables, writer: str | None = None):
+        writer = writer or uuid.uuid4().hex
+        self.events, self.cursors, self.slots, self.swaps = TableEvents(tables, writer), TableCursors(tables), TableSlots(tables, writer), TableSwaps(tables, writer)
+
+
+class _Appender:
+    def __init__(self, tables: Tables, writer: str):
+        self.tables, self.writer = tables, writer
+
+    def _once(self, name: str, batch: int, write: Callable[[], tuple[str, dict] | None], low: int | None = None, high: int | None = None, **more) -> int:
+        """Rows that a batch added to a table; nothing is written for a batch that is known already."""
+        writer = f"{name}:{self.writer}"
+        while True:
+            state = self.tables.state()
+            seen, known = state.version, state.writers.get(writer)
+            if known and batch <= known[0]:
+                return known[1]["rows"] if batch == known[0] else 0
+            part = write()
+            entry = {"writers": {writer: [batch, {"rows": part[1]["rows"] if part else 0}]}, "add": {name: {part[0]: part[1] | more}} if part else {}}
+            try:
+                self.tables.put(entry, lambda s: name != "events" or not any(p["v"] > seen and overlaps(p, low, high) for p in s.parts.get(name, {}).values()))  # noqa: B023
+                return part[1]["rows"] if part else 0
+            except Clash:
+                if part:
+                    self.tables.remove(name, part[0])
+
+
+class TableEvents(_Appender, EventWriter):
     def write(self, rows: DataFrame, batch: int) -> int:
-        fresh = dedup.convertible(rows).withColumn("slot_bucket", dedup.slot_bucket())
-        buckets = [r[0] for r in fresh.select("slot_bucket").distinct().collect()]
-        fresh = dedup.first_wins(fresh)
+        fresh = dedup.first_wins(dedup.convertible(rows))
+        low, high, balances = fresh.agg(F.min("slot"), F.max("slot"), F.bool_or(F.col("payload").contains("token_balances"))).first()
         now = F.current_timestamp()
-        out = dedup.new_rows(fresh, self.tables.read("events", buckets, batch)).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now)
-        self.tables.append("events", out, batch)
-        return self.tables.count("events", batch, buckets)
+
+        def write():
+            if low is None:
+                return None
+            held = self.tables.read("events", low, high)
+            return self.tables.write("events", dedup.new_rows(fresh, held).drop("ordinal").withColumn("observed_at", now).withColumn("inserted_at", now))
+
+        return self._once("events", batch, write, low, high, balances=bool(balances))
 
 
 class TableCursors(CursorStore):
@@ -97,29 +124,22 @@ class TableCursors(CursorStore):
         self.tables = tables
 
     def load(self, stream_name: str) -> int | None:
-        return self.tables.read("stream_cursors").where(F.col("stream_name") == stream_name).agg(F.max("last_persisted_slot")).first()[0]
+        return self.tables.state().cursors.get(stream_name, {}).get("persisted")
 
     def save(self, stream_name: str, slot: int) -> None:
-        pipeline.save_cursor(self.tables, stream_name, persisted=slot)
-
+        self.tables.save_cursor(stream_name, persisted=slot)
 
-class TableSlots(SlotStore):
-    def __init__(self, tables: Tables):
-        self.tables = tables
 
+class TableSlots(_Appender, SlotStore):
     def save(self, states: DataFrame, stream_name: str, batch: int) -> None:
-        merged = slots.merge_states(states, order="ordinal") if "ordinal" in states.columns else states
-        self.tables.append("stream_slots", merged.withColumn("stream_name", F.lit(stream_name)).withColumn("first_seen_at", F.current_timestamp()), batch)
+        states = slots.merge_states(states, order="ordinal") if "ordinal" in states.columns else states
+        new = lambda: states.withColumn("stream_name", F.lit(stream_name)).withColumn("first_seen_at", F.current_timestamp()).withColumn("batch", F.lit(self.tables.state().version))
+        self._once("stream_slots", batch, lambda: self.tables.write("stream_slots", new()), stream=stream_name)
 
     def advance(self, stream_name: str) -> tuple[int | None, int | None]:
         return pipeline.advance(self.tables, stream_name)
 
 
-class TableSwaps(SwapWriter):
-    def __init__(self, tables: Tables):
-        self.tables = tables
-
+class TableSwaps(_Appender, SwapWriter):
     def write(self, swaps: DataFrame, batch: int) -> int:
-        buckets = [r[0] for r in swaps.select(dedup.slot_bucket().alias("b")).distinct().collect()]
-        self.tables.append("swaps", swaps.withColumn("inferred_at", F.current_timestamp()), batch)
-        return self.tables.count("swaps", batch, buckets)
+        return self._once("swaps", batch, lambda: self.tables.write("swaps", swaps.withColumn("inferred_at", F.current_timestamp())))

@@ -1,18 +1,17 @@
-"""Streaming ingestion: foreachBatch commits in the batch pipeline's order, idempotent by batch id."""
+"""Streaming ingestion: foreachBatch commits, idempotent by the query's id and batch id."""
 
 from __future__ import annotations
 
+from concurrent.futures import Future
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..metrics import Metrics
-from ..plans.pipeline import BATCH_SIZE, Progress, Summary, commit
+from ..plans.pipeline import BATCH_SIZE, Progress, Summary, commit, maintain
 from ..plans.tables import Tables
 
-COMPACT_EVERY = 50  # batches
-
 
 @dataclass
 class Ingest:
@@ -25,9 +24,11 @@ class Ingest:
     metrics: Metrics | None = None
     batch_size: int = BATCH_SIZE
     totals: Summary = field(default_factory=Summary)
+    query: Future = field(default_factory=Future)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        done = commit(self.tables, rows, self.stream_name, batch_id, self.advance_frontier, self.batch_size)
+        # The query's id lives in its checkpoint, so a batch is known again after a restart and never taken for another query's.
+        done = commit(self.tables, rows, self.stream_name, batch_id, self.advance_frontier, self.batch_size, writer=f"query:{self.query.result()}")
         if not done.events_seen:
             return
         self.totals.add(done)
@@ -36,15 +37,16 @@ class Ingest:
             self.metrics.progress(self.totals)
         if self.on_progress:
             self.on_progress(self.totals)
-        if batch_id and batch_id % COMPACT_EVERY == 0:
-            for name in ("events", "stream_slots", "swaps"):
-                self.tables.compact(name)
+        maintain(self.tables)
 
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True, interval: str = "1 second") -> StreamingQuery:
         if self.on_progress:
             self.on_progress(self.totals)
+        self.query = Future()
         writer = stream.writeStream.foreachBatch(self.write).option("checkpointLocation", checkpoint)
-        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
+        started = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
+        self.query.set_result(started.id)
+        return started
 
     def run(self, stream: DataFrame, checkpoint: str) -> Summary:
         """Process what there is, then return the totals. A source error surfaces after the batches before it are committed."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..metrics import Metrics
 from ..operators.normalize import normalize_updates
-from ..plans.pipeline import Progress, Summary, commit
+from ..plans.pipeline import Progress, Summary, commit, maintain, settle
 from ..plans.tables import Tables
 from ..schema import UPDATE
 from ..sources.live import TRANSPORTS, Subscription
@@ -62,6 +62,7 @@ class LiveLoop:
 
     def run(self) -> Summary:
         self._tell()
+        settle(self.tables, self.stream_name)  # what a run that died has left
         try:
             reconnect_loop(self._attempt, self.backoff, self.sleep or (lambda ms: self.stopped.wait(ms / 1000)), self.clock, self._reconnecting)
         finally:
@@ -70,7 +71,7 @@ class LiveLoop:
 
     def from_slot(self) -> int | None:
         """The contiguous frontier; the cursor would hide what is missing below it."""
-        return self.tables.read("stream_cursors").where(F.col("stream_name") == self.stream_name).agg(F.max("last_contiguous_finalized_slot")).first()[0]
+        return self.tables.state().cursors.get(self.stream_name, {}).get("contiguous")
 
     def _reconnecting(self, attempt: int, delay: int, error: SourceError) -> None:
         self.status.reconnecting(attempt, delay, self.from_slot(), error)
@@ -149,7 +150,8 @@ class LiveLoop:
             if bad := sum(r["n"] for r in told if r["bad"]):
                 self.metrics.add("decode_errors_total", bad)
                 self.status.decode_errors_total += bad
-            done = commit(self.tables, rows.where("error is null").drop("error"), self.stream_name, self.tables.next_batch(), True, self.batch_size)
+            done = commit(self.tables, rows.where("error is null").drop("error"), self.stream_name, None, True, self.batch_size)
+            maintain(self.tables)
         finally:
             rows.unpersist()
         if done.events_seen:
