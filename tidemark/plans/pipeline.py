@@ -6,9 +6,10 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, fields
+from functools import cache
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import event_rows
@@ -97,12 +98,7 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None
         return done
     rows = event_rows(rows, "ordinal", "kind", "status").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = F.col("slot") <= F.lit(MAX_LONG).cast("decimal(20,0)")
-        marked = fits & (F.col("kind") == "slot") & F.col("status").isin("finalized", "dead")
-        # The ids of a batch of up to BY_VALUE rows; of a larger one some, which are not used.
-        some = F.slice(F.collect_set(F.when(fits & (F.col("_place") < BY_VALUE), F.col("event_id"))), 1, BY_VALUE)
-        placed = rows.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))  # within a partition
-        told = placed.agg(F.count("*").alias("n"), F.max("slot").alias("top"), F.count_if(fits).alias("ok"), F.min("slot").alias("low"), F.max(F.when(fits, F.col("slot"))).alias("high"), F.bool_or(F.col("payload").contains("token_balances")).alias("balances"), F.count_if(marked).alias("marked"), some.alias("ids")).first()
+        told = rows.withColumn("_place", F.expr(f"monotonically_increasing_id() & {(1 << 33) - 1}")).agg(*_asked()).first()
         if not told["n"]:
             return settle(tables, stream_name, advance_frontier)
         top, bad = int(told["top"]), told["n"] - told["ok"]
@@ -135,6 +131,26 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None
         rows.unpersist()
 
 
+@cache
+def _asked() -> tuple[Column, ...]:
+    """What a commit asks about its batch before it writes."""
+    fits = f"slot <= {MAX_LONG}BD"
+    return tuple(
+        F.expr(e)
+        for e in (
+            "count(1) AS n",
+            "max(slot) AS top",
+            f"count_if({fits}) AS ok",
+            "min(slot) AS low",
+            f"max(CASE WHEN {fits} THEN slot END) AS high",
+            "bool_or(contains(payload, 'token_balances')) AS balances",
+            f"count_if({fits} AND kind = 'slot' AND status IN ('finalized', 'dead')) AS marked",
+            # The ids of a batch of up to BY_VALUE rows; of a larger one some, which are not used.
+            f"slice(collect_set(CASE WHEN {fits} AND _place < {BY_VALUE} THEN event_id END), 1, {BY_VALUE}) AS ids",
+        )
+    )
+
+
 def write_new(tables: Tables, rows: DataFrame, told: Row) -> tuple[str, dict] | None:
     """The first row of each event id that the tables don't hold, in a folder of its own.
 
