@@ -114,8 +114,46 @@ def test_frontier(spark, links, anchor, want):
 def test_long_streams_go_by_joins(spark, tmp_path, links, anchor):
     saved = lambda df: spark.createDataFrame(df.collect(), df.schema)
     anchors = None if anchor is None else spark.createDataFrame([("s", anchor)], "stream_name string, anchor long")
-    both = [sorted(map(tuple, slots.finalized_frontier(states(spark, links), anchors, most, saved).select("stream_name", "contiguous", "head").collect())) for most in (0, 100)]
-    assert both[0] == both[1]
+    shown = lambda df: sorted(map(tuple, df.select("stream_name", "contiguous", "head").collect()))
+    assert shown(slots.finalized_frontier(states(spark, links), anchors, saved)) == shown(slots.finalized_frontier_doubling(states(spark, links), saved, anchors))
+
+
+@pytest.mark.parametrize("per_bucket", [1, 4, 16])
+def test_contracted_chains_equal_a_walk(spark, monkeypatch, per_bucket):
+    """Random forests with gaps, forks, missing parents and anchors, over many small buckets."""
+    monkeypatch.setattr(slots, "SLOTS_PER_BUCKET", per_bucket)
+    r, rows, anchors, want = random.Random(per_bucket), [], [], {}
+    for stream in range(8):
+        known = {r.randrange(5): None}
+        for s in range(max(known) + 1, 90):
+            if r.random() < 0.85:
+                known[s] = r.choice([*known][-3:]) if r.random() < 0.93 else r.choice([s, s + 3, 95, None])
+        name = f"s{stream}"
+        rows += [(name, s, p, r.random() < 0.97, False) for s, p in known.items()]
+        final = {s: p for n, s, p, f, _ in rows if n == name and f}
+        seed = min(final)
+        if stream % 2:
+            seed = r.randrange(100)
+            anchors.append((name, seed))
+        reached = {seed}
+        for s in sorted(final):
+            if s > seed and final[s] in reached and final[s] < s:
+                reached.add(s)
+        want[name] = (max(reached), max(final))
+    df = spark.createDataFrame(rows, "stream_name string, slot long, parent_slot long, finalized boolean, dead boolean")
+    got = slots.finalized_frontier(df, spark.createDataFrame(anchors, "stream_name string, anchor long")).collect()
+    assert {x["stream_name"]: (x["contiguous"], x["head"]) for x in got} == want
+
+
+def test_a_prefix_scan_in_blocks_equals_a_running_sum(spark):
+    r = random.Random(8)
+    data = [(i * 3, r.randrange(-50, 50)) for i in range(200)]
+    df = spark.createDataFrame(data, "at long, value long").repartition(5)
+    for inclusive in (False, True):
+        got = {x["at"]: (x["a"], x["b"]) for x in pipeline.scanned(pipeline.scanned(df, "at", "value", F.sum, "a", inclusive, 7), "at", "value", F.max, "b", inclusive, 5, 3).collect()}
+        for k, (at, _) in enumerate(data):
+            before = [v for _, v in data[: k + inclusive]]
+            assert got[at] == ((sum(before), max(before)) if before else (None, None))
 
 
 def test_frontier_of_nothing(spark):

@@ -41,7 +41,7 @@ def test_replay_in_counted_batches(spark, tmp_path):
     tables = Tables(spark, f"{tmp_path}/d")
     rest = pipeline.replay(tables, rows, "s", batch_size=2, commit_rows=2)
     assert (rest.resume_skipped, rest.events_inserted, rest.batches_written, tables.read("events").count()) == (2, 3, 2, 5)
-    assert not list((tmp_path / "d/_staged").glob("*"))
+    assert not list((tmp_path / "d/_scratch").glob("*"))
 
 
 def test_duplicates_across_commits_and_history(spark, tmp_path):

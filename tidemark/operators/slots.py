@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,66 +36,58 @@ def upsert_states(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
     return merge_states(both, *keys)
 
 
-def reachable_max(links: list[tuple[int, int]], seed: int) -> int:
-    """Largest slot reachable from ``seed`` over all branches of (parent, child) links; children are larger than parents."""
-    children = defaultdict(list)
-    for parent, child in links:
-        if parent < child and child != seed:
-            children[parent].append(child)
-    best, todo, seen = seed, [seed], {seed}
-    while todo:
-        for c in children.get(todo.pop(), ()):
-            if c not in seen:
-                seen.add(c)
-                todo.append(c)
-                best = max(best, c)
-    return best
+def _seeds(final: DataFrame, anchors: DataFrame | None) -> DataFrame:
+    """stream_name, seed (the anchor, else the smallest finalized slot), head."""
+    bounds = final.groupBy("stream_name").agg(F.min("slot").alias("least"), F.max("slot").alias("top"))
+    seeds = bounds.withColumn("anchor", F.lit(None).cast("long")) if anchors is None else bounds.join(anchors.select("stream_name", F.col("anchor").cast("long")), "stream_name", "full")
+    return seeds.select("stream_name", F.coalesce("anchor", "least").alias("seed"), F.coalesce("top", "anchor").alias("head"))
 
 
-_FRONTIER = "stream_name string, contiguous long, head long"
-MOST_WALKED = 2_000_000  # finalized slots above the anchor that one task walks; longer streams go by joins
+_CHAINS = "stream_name string, slot long, root long, open long, seed long"
 
 
-def finalized_frontier(states: DataFrame, anchors: DataFrame | None = None, most: int = MOST_WALKED, checkpoint=None) -> DataFrame:
-    """stream_name, contiguous, head: how far proven ancestry reaches from the anchor (else the smallest finalized slot).
+def _contract(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Each slot of a bucket with the first slot of its chain within the bucket, and that one's parent below (-1: it leads nowhere)."""
+    known = pdf.groupby("slot")["parent_slot"].max()
+    slot, parent, seed = known.index.to_numpy(), known.to_numpy(), int(pdf["seed"].iloc[0])
+    linked = (parent >= seed) & (parent < slot)
+    at = np.minimum(np.searchsorted(slot, parent), len(slot) - 1)
+    up = np.where(linked & (slot[at] == parent), at, np.arange(len(slot)))
+    while (further := up[up]).tolist() != up.tolist():
+        up = further
+    return pd.DataFrame({"stream_name": pdf["stream_name"].iloc[0], "slot": slot, "root": slot[up], "open": np.where(linked[up], parent[up], -1), "seed": seed})
 
-    Links lead upward, so only the finalized slots from the anchor on matter. A stream of up to ``most`` of them is walked by one
-    task, a longer one by pointer doubling, with the same result. Finalized counts even where the slot is also dead. Streams without
-    anchor and finalized slot are absent.
-    """
-    sizes = states.where("finalized").groupBy("stream_name").agg(F.count("*").alias("n"), F.max("slot").alias("top"))
-    long = [r["stream_name"] for r in sizes.where(F.col("n") > most).select("stream_name").collect()]  # a handful of streams
-    if not long:
-        return _walked(states, anchors)
-    own, others = F.col("stream_name").isin(long), ~F.col("stream_name").isin(long)
-    return _walked(states.where(others), None if anchors is None else anchors.where(others)).unionByName(finalized_frontier_doubling(states.where(own), checkpoint, None if anchors is None else anchors.where(own)))
 
+def finalized_frontier(states: DataFrame, anchors: DataFrame | None = None, cut: Callable[[DataFrame], DataFrame] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """stream_name, contiguous, head: how far proven ancestry reaches from the anchor (else the smallest finalized slot).
+
+    Chains are contracted within buckets of slots first, whose groups hold ``SLOTS_PER_BUCKET`` slots at most; what is left of a bucket is
+    a segment for each slot in it whose parent lies below it or is missing, as a rule one. Segments then point at the segment of their
+    parent, and squaring these pointers leads each to the seed or nowhere in logarithmically many joins. A pointer that has arrived
+    takes no part any more. Finalized counts even where the slot is also dead. Streams without anchor and finalized slot are absent.
 
-def _walked(states: DataFrame, anchors: DataFrame | None) -> DataFrame:
+    ``keep`` holds a frame that is used again (persist, if not given); ``cut`` also cuts its lineage (checkpoint), once for each such join.
+    """
+    keep, cut = keep or (lambda df: df.persist()), cut or (lambda df: df.checkpoint())
     final = states.where("finalized").select("stream_name", "slot", "parent_slot")
-    if anchors is None:
-        anchored = final.withColumn("anchor", F.lit(None).cast("long"))
-    else:
-        anchored = final.join(anchors.select("stream_name", F.col("anchor").cast("long")), "stream_name", "left").where("anchor is null or slot >= anchor")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        anchor = pdf["anchor"].iloc[0]
-        seed = int(pdf["slot"].min()) if pd.isna(anchor) else int(anchor)
-        linked = pdf[pdf["parent_slot"].notna()]
-        best = reachable_max(list(zip(linked["parent_slot"].astype("int64").tolist(), linked["slot"].tolist(), strict=True)), seed)
-        return pd.DataFrame({"stream_name": [pdf["stream_name"].iloc[0]], "contiguous": [best], "head": [int(pdf["slot"].max())]})
-
-    walked = anchored.groupBy("stream_name").applyInPandas(walk, _FRONTIER)
-    if anchors is None:
-        return walked
-    # A stream whose finalized slots all lie below its anchor stays where it is.
-    head = final.groupBy("stream_name").agg(F.max("slot").alias("top"))
-    known = anchors.select("stream_name", F.col("anchor").cast("long")).join(head, "stream_name", "full")
-    return known.join(walked, "stream_name", "left").select("stream_name", F.coalesce("contiguous", "anchor").alias("contiguous"), F.coalesce("top", "head").alias("head"))
+    seeds = keep(_seeds(final, anchors))
+    above = final.join(seeds.select("stream_name", "seed"), "stream_name").where("slot > seed")
+    bucket = F.floor(F.col("slot") / SLOTS_PER_BUCKET).alias("bucket")
+    chains = keep(above.select("stream_name", "slot", F.coalesce("parent_slot", F.lit(-1)).alias("parent_slot"), "seed", bucket).groupBy("stream_name", "bucket").applyInPandas(_contract, _CHAINS))
+    segments = chains.groupBy("stream_name", "root").agg(F.max("slot").alias("far"), F.max("open").alias("open"), F.max("seed").alias("seed"))
+    known = chains.select("stream_name", F.col("slot").alias("open"), F.col("root").alias("up"))
+    home = F.col("open") == F.col("seed")
+    pointers = keep(segments.join(known, ["stream_name", "open"], "left").select("stream_name", "root", "far", F.col("up"), (home | F.col("up").isNull()).alias("done"), home.alias("reached")))
+    while not (under_way := pointers.where("not done")).isEmpty():
+        onward = pointers.select("stream_name", F.col("root").alias("up"), F.col("up").alias("next"), F.col("done").alias("there"), F.col("reached").alias("home"))
+        moved = under_way.select("stream_name", "root", "far", "up").join(onward, ["stream_name", "up"]).select("stream_name", "root", "far", F.col("next").alias("up"), F.col("there").alias("done"), F.col("home").alias("reached"))
+        pointers = cut(pointers.where("done").unionByName(moved))
+    reached = pointers.where("reached").groupBy("stream_name").agg(F.max("far").alias("far"))
+    return seeds.join(reached, "stream_name", "left").select("stream_name", F.coalesce("far", "seed").alias("contiguous"), "head")
 
 
 def finalized_frontier_doubling(states: DataFrame, checkpoint=None, anchors: DataFrame | None = None) -> DataFrame:
-    """The same by pointer doubling: for a stream too long for one task.
+    """The same by pointer doubling over slots, without contraction.
 
     Every finalized slot points at its finalized parent, the seed and slots without one at themselves; squaring the
     pointers reaches the roots in logarithmically many joins. A pointer that has reached its root takes no part any more, so no
@@ -102,9 +95,7 @@ def finalized_frontier_doubling(states: DataFrame, checkpoint=None, anchors: Dat
     """
     cut = checkpoint or (lambda df: df.checkpoint())
     final = states.where("finalized").groupBy("stream_name", "slot").agg(F.max("parent_slot").alias("parent_slot"))
-    bounds = final.groupBy("stream_name").agg(F.min("slot").alias("least"), F.max("slot").alias("top"))
-    seeds = bounds.withColumn("anchor", F.lit(None).cast("long")) if anchors is None else bounds.join(anchors.select("stream_name", F.col("anchor").cast("long")), "stream_name", "full")
-    seeds = cut(seeds.select("stream_name", F.coalesce("anchor", "least").alias("seed"), F.coalesce("top", "anchor").alias("head")))
+    seeds = cut(_seeds(final, anchors))
     above = final.join(seeds.select("stream_name", "seed"), "stream_name").where("slot > seed")
     known = above.select("stream_name", "slot").union(seeds.select("stream_name", "seed"))
     linked = above.join(known.select("stream_name", F.col("slot").alias("parent_slot"), F.lit(True).alias("known")), ["stream_name", "parent_slot"], "left")

@@ -301,7 +301,7 @@ SELECT stream_name, max(slot) AS contiguous, (SELECT max(slot) FROM fin WHERE fi
 
 @query(f"WITH RECURSIVE {_sl_sql()}, {_WALK}")
 def finalized_frontier(spark: SparkSession, sf: str) -> DataFrame:
-    return slots.finalized_frontier(sl(spark, sf))
+    return slots.finalized_frontier(sl(spark, sf), None, lambda df: _saved(spark, df))
 
 
 @query(f"WITH RECURSIVE {_sl_sql()}, {_WALK}")
@@ -311,7 +311,7 @@ def finalized_frontier_doubling(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_sl_sql('true')}, {_WALK}")
 def frontier_after_gap_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return slots.finalized_frontier(sl(spark, sf, gaps=False))
+    return slots.finalized_frontier(sl(spark, sf, gaps=False), None, lambda df: _saved(spark, df))
 
 
 @query(f"""WITH RECURSIVE {_sl_sql()}, s AS (SELECT stream_name, min(slot) + 100 AS slot FROM fin GROUP BY 1),
@@ -319,14 +319,14 @@ r AS (SELECT * FROM s UNION ALL SELECT f.stream_name, f.slot FROM r JOIN fin f O
 SELECT stream_name, max(slot) AS contiguous, (SELECT max(slot) FROM fin WHERE fin.stream_name = r.stream_name) AS head FROM r GROUP BY stream_name""")
 def frontier_from_anchor(spark: SparkSession, sf: str) -> DataFrame:
     states = sl(spark, sf)
-    return slots.finalized_frontier(states, states.where("finalized").groupBy("stream_name").agg((F.min("slot") + 100).alias("anchor")))
+    return slots.finalized_frontier(states, states.where("finalized").groupBy("stream_name").agg((F.min("slot") + 100).alias("anchor")), lambda df: _saved(spark, df))
 
 
 @query(f"WITH RECURSIVE {_sl_sql('true', back='CASE WHEN k % 5 = 0 THEN (SELECT max(x.k) FROM fk x WHERE x.s = fk.s AND x.st = chr(70) AND x.k < fk.prev) ELSE prev END')}, {_WALK}")
 def frontier_fork(spark: SparkSession, sf: str) -> DataFrame:
     states = sl(spark, sf, gaps=False).where("finalized")
     w = Window.partitionBy("stream_name").orderBy("slot")
-    return slots.finalized_frontier(states.withColumn("parent_slot", F.when(F.col("slot") % 5 == 0, F.lag("slot", 2).over(w)).otherwise(F.col("parent_slot"))))
+    return slots.finalized_frontier(states.withColumn("parent_slot", F.when(F.col("slot") % 5 == 0, F.lag("slot", 2).over(w)).otherwise(F.col("parent_slot"))), None, lambda df: _saved(spark, df))
 
 
 @query(f"WITH {_sl_sql()} SELECT stream_name, slot, parent_slot, (SELECT max(b.slot) FROM fin b WHERE b.stream_name = f.stream_name AND b.slot < f.slot) AS above FROM fin f WHERE parent_slot IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fin p WHERE p.stream_name = f.stream_name AND p.slot = f.parent_slot) AND above IS NOT NULL")

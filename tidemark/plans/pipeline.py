@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, fields
 from functools import cache
@@ -65,6 +64,24 @@ def resume(rows: DataFrame, after: int | None) -> DataFrame:
     return rows if after is None else rows.where(F.col("slot") > after)
 
 
+def scanned(rows: DataFrame, at: str, value: str, of: Callable[[str], Column], name: str, inclusive: bool, block: int = 4096, levels: int = 2) -> DataFrame:
+    """Add the running aggregate ``of`` (F.sum or F.max) of ``value`` in the order of the whole numbers ``at``; ``inclusive`` of the row's own.
+
+    A blocked prefix scan: running values within blocks of numbers, the blocks' totals scanned alike, and what came before a block put on its
+    rows. Only the totals of the last level stand in one task, a row for ``block`` to the power of ``levels`` numbers.
+    """
+    last = 0 if inclusive else -1
+    if not levels:
+        return rows.withColumn(name, of(value).over(Window.orderBy(at).rowsBetween(Window.unboundedPreceding, last)))
+    number, inside, before, total = (f"_{x}{levels}" for x in ("block", "inside", "before", "total"))
+    blocked = rows.withColumn(number, F.floor(F.col(at) / block))
+    totals = scanned(blocked.groupBy(number).agg(of(value).alias(total)), number, total, of, before, False, block, levels - 1).drop(total)
+    within = of(value).over(Window.partitionBy(number).orderBy(at).rowsBetween(Window.unboundedPreceding, last))
+    both = blocked.withColumn(inside, within).join(totals, number)
+    whole = F.greatest(inside, before) if of is F.max else F.coalesce(F.col(inside) + F.col(before), inside, before)
+    return both.withColumn(name, whole).drop(number, inside, before)
+
+
 def numbered(rows: DataFrame, size: int, order: str = "ordinal") -> DataFrame:
     """All columns and ``batch_no``: rows in arrival order cut by count.
 
@@ -73,15 +90,15 @@ def numbered(rows: DataFrame, size: int, order: str = "ordinal") -> DataFrame:
     """
     width = max(size * 64, 1)
     ranged = rows.withColumn("_r", F.floor(F.col(order) / width))
-    starts = ranged.groupBy("_r").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    starts = scanned(ranged.groupBy("_r").agg(F.count("*").alias("_n")), "_r", "_n", F.sum, "_first", False).select("_r", F.coalesce("_first", F.lit(0)).alias("_first"))
     place = F.row_number().over(Window.partitionBy("_r").orderBy(order))
-    return ranged.withColumn("_p", place).join(starts, "_r").withColumn("batch_no", F.floor((F.col("before") + F.col("_p") - 1) / size).cast("long")).drop("_r", "_p", "before")
+    return ranged.withColumn("_p", place).join(starts, "_r").withColumn("batch_no", F.floor((F.col("_first") + F.col("_p") - 1) / size).cast("long")).drop("_r", "_p", "_first")
 
 
 def logical_batches(rows: DataFrame, size: int = BATCH_SIZE, order: str = "ordinal") -> DataFrame:
     """batch_no, n_events, max_slot, cursor: rows in arrival order cut by count, and the running maximum slot."""
     batches = numbered(rows.select(order, "slot"), size, order).groupBy("batch_no").agg(F.count("*").alias("n_events"), F.max("slot").alias("max_slot"))
-    return batches.withColumn("cursor", F.max("max_slot").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0)))
+    return scanned(batches, "batch_no", "max_slot", F.max, "cursor", True)
 
 
 def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None = None, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, writer: str | None = None) -> Summary:
@@ -226,7 +243,11 @@ def advance(tables: Tables, stream_name: str) -> tuple[int | None, int | None]:
         return anchor, head
     states = tables.read("stream_slots", anchor, stream=stream_name)
     anchors = tables.spark.createDataFrame([(stream_name, anchor)], "stream_name string, anchor long").where("anchor is not null")
-    found = slots.finalized_frontier(states, anchors).first()
+    kept: list[DataFrame] = []
+    with tables.scratch() as cut:
+        found = slots.finalized_frontier(states, anchors, cut, lambda df: kept.append(df.persist()) or kept[-1]).first()
+    for df in kept:
+        df.unpersist()
     contiguous, top = (found["contiguous"], found["head"]) if found else (None, None)
     head = max((x for x in (top, head) if x is not None), default=None)
     tables.save_cursor(stream_name, None, contiguous, head, walked={stream_name: upto})
@@ -244,14 +265,10 @@ def cuts(tables: Tables, rows: DataFrame, n: int, size: int) -> Iterable[DataFra
     if n <= size:
         yield rows
         return
-    path = f"{tables.root}/_staged/{uuid.uuid4().hex}"
-    try:
-        numbered(rows, size).write.partitionBy("batch_no").parquet(path)
-        laid = tables.spark.read.schema(rows.schema.add("batch_no", "long")).parquet(path)
+    with tables.scratch("batch_no") as cut:
+        laid = cut(numbered(rows, size))
         for k in range(-(-n // size)):
             yield laid.where(F.col("batch_no") == k).drop("batch_no")
-    finally:
-        tables._fs.delete(tables._path(path), True)
 
 
 def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_resume: bool = True, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, commit_rows: int = COMMIT_ROWS, on_progress: Progress | None = None, stop: Callable[[], bool] | None = None) -> Summary:

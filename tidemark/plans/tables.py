@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -154,6 +155,21 @@ class Tables:
 
     # ---- upkeep ----
 
+    @contextmanager
+    def scratch(self, *by: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+        """While it is open: a function that writes a frame beside the tables and reads it back, which cuts its lineage."""
+        path = f"{self.root}/_scratch/{uuid.uuid4().hex}"
+
+        def cut(df: DataFrame) -> DataFrame:
+            own = f"{path}/{uuid.uuid4().hex}"
+            df.write.partitionBy(*by).parquet(own)
+            return self.spark.read.schema(df.schema).parquet(own)
+
+        try:
+            yield cut
+        finally:
+            self._fs.delete(self._path(path), True)
+
     def compact(self, name: str, least: int = 8) -> int:
         """Put ``least`` or more neighbouring small folders into one, sorted by slot; the number of new folders.
 
