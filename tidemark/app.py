@@ -11,19 +11,16 @@ import time
 import uuid
 from collections.abc import Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from . import serve
 from .config import EXIT_CODES, Config, ConfigError
-from .metrics import Metrics, ingest_counts
+from .metrics import Metrics
 from .plans import pipeline
 from .plans.commits import now_ms
 from .plans.tables import Tables
 from .sources.live import TRANSPORTS, Subscription
-from .sources.replay import ReplayError, read_jsonl
+from .sources.replay import Parsed, ReplaySourceError
 from .status import Service
 from .streaming.live import LiveLoop, file_transport
 from .streaming.recovery import Backoff, LiveStatus, SourceError
@@ -38,6 +35,7 @@ class App:
         self.live = LiveStatus() if config.run_mode == "live" else None
         self.service = Service(self.tables, config.stream_name, config.run_mode, self.metrics, self.live)
         self.loop: LiveLoop | None = None
+        self.waiting = 0
 
     def stop(self, *_) -> None:
         self.stopped.set()
@@ -66,19 +64,19 @@ class App:
     def _replay(self) -> int:
         c = self.config
         try:
-            rows = read_jsonl(self.spark, c.replay_path)
-            for r in ingest_counts(rows.select(F.col("kind").alias("event_type"), "slot"), "replay").collect():
-                self.metrics.add("ingest_events_total", r["n"], r["source"], r["event_type"])
-            last = rows.agg(F.max_by("slot", "ordinal")).first()[0]
-        except (ReplayError, AnalysisException, Py4JJavaError) as e:  # a bad line, or a file that can't be read
+            pipeline.replay_file(self.tables, c.replay_path, c.stream_name, on_parsed=self._parsed, batch_size=c.batch_size, on_progress=self._progress, stop=self.stopped.is_set)
+        except ReplaySourceError as e:
             return self._failed("replay", e)
-        self.metrics.slots(int(last or 0), 0)
-        try:
-            pipeline.replay(self.tables, rows, c.stream_name, batch_size=c.batch_size, on_progress=self._progress, stop=self.stopped.is_set)
         except Exception as e:
             return self._failed("pipeline", e)
         return 0
 
+    def _parsed(self, parsed: Parsed) -> None:
+        for kind, n in parsed.kinds.items():
+            self.metrics.add("ingest_events_total", n, "replay", kind)
+        self.metrics.slots(parsed.last_slot or 0, 0)
+        self.waiting = parsed.lines - parsed.bad
+
     def _follow(self) -> int:
         c = self.config
         request = Subscription(c.subscriptions, "processed", None, c.account_include, c.account_exclude, c.account_required)
@@ -99,6 +97,8 @@ class App:
     def _progress(self, summary: pipeline.Summary) -> None:
         self.service.update(summary)
         self.metrics.progress(summary)
+        if self.config.run_mode == "replay":  # what is parsed and not yet written waits, as far as the channel goes
+            self.metrics.channel(self.config.stream_name, max(0, min(self.waiting - summary.events_seen, self.config.channel_capacity)), self.config.channel_capacity)
         if summary.write_seconds_last and self.config.run_mode == "replay":
             self.metrics.observe_latency("events", summary.write_seconds_last)
 

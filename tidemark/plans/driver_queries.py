@@ -19,7 +19,7 @@ from ..metrics import LATENCY_BOUNDS, ingest_counts, latency_histogram
 from ..operators import decode, dedup, normalize, slots
 from ..schema import UPDATE
 from ..sources.generate import synthetic_events, to_jsonl
-from ..sources.replay import parse_lines
+from ..sources.replay import parse_lines, parse_once
 from . import api, pipeline
 from .tables import Tables
 
@@ -204,6 +204,12 @@ def kind_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT event_id AS ordinal, CASE WHEN event_id % 10 = 0 THEN 'empty line' WHEN event_id % 10 IN (1, 2, 3, 4) THEN 'invalid JSON' WHEN event_id % 10 = 5 THEN 'invalid identity: signature' END AS parse_error,
   CASE WHEN event_id % 10 > 5 THEN event_id END AS slot, CASE WHEN event_id % 10 > 5 THEN user_id END AS index FROM events""")
 def replay_parse(spark: SparkSession, sf: str) -> DataFrame:
+    rows = parse_lines(_lines(spark, sf).withColumnRenamed("event_id", "ordinal"))
+    return _parsed(rows)
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """event_id and ``value``: a replay line of each event, four in ten good, the others bad in six ways."""
     e, m = _t(spark, sf, "events"), F.col("event_id") % 10
     line = lambda slot, sig, tail: F.concat(F.lit('{"identity":{"kind":"transaction","cluster":"c","slot":'), slot, F.lit(f',"signature":{sig},"index":'), F.col("user_id").cast("string"), F.lit(f"}}{tail}}}"))
     n = F.col("event_id").cast("string")
@@ -211,11 +217,40 @@ def replay_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.when(m == 0, "   ").when(m == 1, "not json").when(m == 2, line(F.concat(F.lit('"'), n, F.lit('"')), '"s"', ',"payload":1')).when(m == 3, line(n, "5", ',"payload":1'))
         .when(m == 4, line(n, '"s"', "")).when(m == 5, line(n, '" "', ',"payload":1')).when(m == 6, line(n, '"s"', ',"payload":null')).otherwise(line(n, '"s"', ',"payload":{"x":[1]},"more":2'))
     )
-    rows = parse_lines(e.select(F.col("event_id").alias("ordinal"), value.alias("value")))
+    return e.select("event_id", value.alias("value"))
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
     ok = F.col("parse_error").isNull()
     return rows.select("ordinal", "parse_error", F.when(ok, F.col("slot").cast("long")).alias("slot"), F.when(ok, F.col("index").cast("long")).alias("index"))
 
 
+def _written(spark: SparkSession, sf: str) -> str:
+    """The lines in files, with carriage returns, the files' names and their lines in the order of events."""
+    path = _scratch(spark, "lines")
+    _lines(spark, sf).repartitionByRange("event_id").sortWithinPartitions("event_id").select(F.concat("value", F.lit("\r")).alias("value")).write.text(path)
+    return path
+
+
+@query("""SELECT row_number() OVER (ORDER BY event_id) - 1 AS ordinal, CASE WHEN event_id % 10 = 0 THEN 'empty line' WHEN event_id % 10 IN (1, 2, 3, 4) THEN 'invalid JSON' WHEN event_id % 10 = 5 THEN 'invalid identity: signature' END AS parse_error,
+  CASE WHEN event_id % 10 > 5 THEN event_id END AS slot, CASE WHEN event_id % 10 > 5 THEN user_id END AS index FROM events""")
+def replay_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of files with carriage returns, numbered in file order by the pass that parses them."""
+    return _parsed(parse_once(spark, _written(spark, sf), lambda df: _saved(spark, df)).rows)
+
+
+@query("""WITH l AS (SELECT event_id % 10 AS m, event_id AS n, '{"identity":{"kind":"transaction","cluster":"c","slot":' AS head, ',"index":' || user_id || '}' AS tail FROM events)
+SELECT 's' AS stream_name, CASE WHEN m = 0 THEN 'empty line' WHEN m = 5 THEN 'invalid identity: signature' ELSE 'invalid JSON' END AS reason,
+  CASE m WHEN 0 THEN '   ' WHEN 1 THEN 'not json' WHEN 2 THEN head || '"' || n || '","signature":"s"' || tail || ',"payload":1}' WHEN 3 THEN head || n || ',"signature":5' || tail || ',"payload":1}' WHEN 4 THEN head || n || ',"signature":"s"' || tail || '}' ELSE head || n || ',"signature":" "' || tail || ',"payload":1}' END || chr(13) AS line
+FROM l WHERE m < 6""")
+def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with bad lines, replayed twice: what was put aside, once."""
+    tables, path = Tables(spark, _scratch(spark, "letters")), _written(spark, sf)
+    for _ in range(2):
+        pipeline.replay_file(tables, path, "s", "divert")
+    return tables.read("dead_letters").select("stream_name", "reason", "line")
+
+
 @query("""SELECT event_id AS ordinal, CASE event_id % 6 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'DECIMAL' WHEN 2 THEN 'DOUBLE' WHEN 3 THEN 'STRING' WHEN 4 THEN 'VOID' ELSE 'ARRAY' END AS kind, CASE WHEN event_id % 6 = 0 THEN event_id END AS number FROM events""")
 def payload_type_checks(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("event_id").cast("string")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import event_rows
 from ..operators import decode, dedup, slots
 from ..schema import MAX_LONG
+from ..sources.replay import Parsed, parse_once
 from .commits import Clash
 from .tables import APPENDED, BY_VALUE, Tables, marks, overlaps
 
@@ -101,12 +102,12 @@ def logical_batches(rows: DataFrame, size: int = BATCH_SIZE, order: str = "ordin
     return scanned(batches, "batch_no", "max_slot", F.max, "cursor", True)
 
 
-def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None = None, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, writer: str | None = None) -> Summary:
+def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None = None, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, writer: str | None = None, dead: DataFrame | None = None) -> Summary:
     """Write one batch of envelope rows (with ``ordinal``).
 
     Events, slot states and the cursor take effect together, by one entry of the log; swaps and the frontier follow from what is stored
     (see ``settle``), so a crash at any place leaves nothing that the next commit or run does not make good. A ``writer`` that numbers
-    its batches gets the answer of the first time for one that it repeats.
+    its batches gets the answer of the first time for one that it repeats. ``dead``: rows of dead letters that come with the batch.
     """
     began = time.monotonic()
     if writer is not None and batch is not None and (known := tables.state().writers.get(writer)) and batch <= known[0]:
@@ -116,7 +117,10 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None
     rows = event_rows(rows, "ordinal", "kind", "status").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         told = rows.withColumn("_place", F.expr(f"monotonically_increasing_id() & {(1 << 33) - 1}")).agg(*_asked()).first()
+        letters = {} if dead is None or not (part := tables.write("dead_letters", dead)) else {"dead_letters": {part[0]: part[1]}}
         if not told["n"]:
+            if letters:
+                tables.put({"add": letters})
             return settle(tables, stream_name, advance_frontier)
         top, bad = int(told["top"]), told["n"] - told["ok"]
         while True:
@@ -127,7 +131,7 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None
             if advance_frontier and told["marked"] and (states := write_states(tables, rows, stream_name, seen)):
                 new["stream_slots"] = {states[0]: states[1] | {"stream": stream_name}}
             done = Summary(told["n"], bad, 0, bad, -(-told["n"] // batch_size), told["ok"] or bad, inserted, told["ok"] - inserted, 0, top)
-            entry: dict = {"add": new}
+            entry: dict = {"add": new | letters}
             if top <= MAX_LONG:
                 entry["cursors"] = {stream_name: marks(persisted=top)}
                 if writer is not None and batch is not None:
@@ -293,3 +297,25 @@ def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_res
             break
     tell(total)
     return total
+
+
+def replay_file(tables: Tables, path: str, stream_name: str = "replay", bad: str = "strict", on_parsed: Callable[[Parsed], None] | None = None, **how) -> Summary:
+    """Replay a file or folder of JSON lines, each parsed once; ``how`` as for ``replay``.
+
+    ``bad``: a bad line ends a "strict" replay before anything is stored (ReplayError); "divert" puts bad lines into the dead letters with their
+    reason and place, once however often the source is replayed, and goes on; "skip" leaves them out.
+    """
+    if bad not in ("strict", "divert", "skip"):
+        raise ValueError(f"no such way with bad lines: {bad}")
+    with tables.scratch() as cut:
+        parsed = parse_once(tables.spark, path, cut)
+        if bad == "strict":
+            parsed.check()
+        if on_parsed:
+            on_parsed(parsed)
+        if bad == "divert" and parsed.bad:
+            letters = parsed.rows.where("parse_error is not null").select(F.lit(stream_name).alias("stream_name"), "source", "line_number", F.col("parse_error").alias("reason"), "line", F.current_timestamp().alias("seen_at"))
+            letters = letters.join(tables.read("dead_letters").where(F.col("stream_name") == stream_name).select("source", "line_number"), ["source", "line_number"], "left_anti")
+            if part := tables.write("dead_letters", letters):
+                tables.put({"add": {"dead_letters": {part[0]: part[1]}}})
+        return replay(tables, parsed.good, stream_name, **how)

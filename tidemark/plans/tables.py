@@ -26,8 +26,9 @@ from .commits import Clash, Log, State, now_ms
 
 #: ``batch`` orders the states of a stream's slots: the entry that their writer had seen last.
 _ORDER = [T.StructField("batch", T.LongType())]
-SCHEMAS = {"events": S.EVENTS, "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": T.StructType([*S.STREAM_SLOTS.fields, *_ORDER]), "swaps": S.SWAPS}
-APPENDED = ("events", "stream_slots", "swaps")
+SCHEMAS = {"events": S.EVENTS, "stream_cursors": S.STREAM_CURSORS, "ingestion_runs": S.INGESTION_RUNS, "stream_slots": T.StructType([*S.STREAM_SLOTS.fields, *_ORDER]), "swaps": S.SWAPS, "dead_letters": S.DEAD_LETTERS}
+APPENDED = ("events", "stream_slots", "swaps", "dead_letters")
+BY_SLOT = APPENDED[:3]
 FULL = 2_000_000  # rows of a folder that compaction leaves alone
 FILE_ROWS = 1_000_000  # of a compacted file
 #: So many ids are looked up by value, which a compacted file's Bloom filter answers without reading rows.
@@ -68,7 +69,9 @@ class Tables:
         """
         told = Observation()
         rows = rows.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in SCHEMAS[name].fields])
-        rows = rows.observe(told, *[F.expr(e) for e in ("count(1) AS rows", "min(slot) AS low", "max(slot) AS high")]).sortWithinPartitions("slot")
+        slot = "slot" if name in BY_SLOT else "0L"
+        rows = rows.observe(told, *[F.expr(e) for e in ("count(1) AS rows", f"min({slot}) AS low", f"max({slot}) AS high")])
+        rows = rows.sortWithinPartitions("slot") if name in BY_SLOT else rows
         folder = f"{now_ms():013d}-{uuid.uuid4().hex}"
         rows.write.options(**(options or {})).parquet(f"{self.path(name)}/{folder}")
         part = dict(told.get)
@@ -183,7 +186,7 @@ class Tables:
                 rows = merged(rows)
             if name == "events":
                 options = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.expected.ndv#event_id": str(max(64, min(n, FILE_ROWS)))}
-            rows = rows.coalesce(1) if n <= FILE_ROWS else rows.repartitionByRange(-(-n // FILE_ROWS), "slot")
+            rows = rows.coalesce(1) if n <= FILE_ROWS or name not in BY_SLOT else rows.repartitionByRange(-(-n // FILE_ROWS), "slot")
             new = self.write(name, rows, options)
             marks = {k: v for k, v in next(iter(group.values())).items() if k == "stream"}
             try:

@@ -44,6 +44,7 @@ STREAM_CURSORS = _flat("stream_name string, last_persisted_slot long, last_conti
 INGESTION_RUNS = _flat("run_id string, started_at timestamp, stopped_at timestamp, status string, git_sha string, config_hash string")
 STREAM_SLOTS = _flat("stream_name string, slot long, parent_slot long, finalized boolean, dead boolean, first_seen_at timestamp")
 SWAPS = _flat("slot long, signature string, program_id string, token_in string, token_in_amount long, token_out string, token_out_amount long, inferred_at timestamp")
+DEAD_LETTERS = _flat("stream_name string, source string, line_number long, reason string, line string, seen_at timestamp")
 
 #: Nested source updates, as a provider's messages lay them out (DDL).
 _INSTRUCTION = "struct<program_id_index: long, accounts: binary, data: binary>"

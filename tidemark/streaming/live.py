@@ -150,7 +150,7 @@ class LiveLoop:
             if bad := sum(r["n"] for r in told if r["bad"]):
                 self.metrics.add("decode_errors_total", bad)
                 self.status.decode_errors_total += bad
-            done = commit(self.tables, rows.where("error is null").drop("error"), self.stream_name, None, True, self.batch_size)
+            done = commit(self.tables, rows.where("error is null").drop("error"), self.stream_name, None, True, self.batch_size, dead=self._letters(rows, frame) if bad else None)
             maintain(self.tables)
         finally:
             rows.unpersist()
@@ -161,6 +161,11 @@ class LiveLoop:
             self.status.persisted(self.clock())
         self._tell(bool(done.events_seen))
 
+    def _letters(self, rows: DataFrame, lines: DataFrame) -> DataFrame:
+        """Bad updates of a batch with their reason and text."""
+        reasons = rows.where("error is not null").groupBy("ordinal").agg(F.min("error").alias("reason"))
+        return lines.join(reasons, "ordinal").select(F.lit(self.stream_name).alias("stream_name"), F.lit(self.transport).alias("source"), F.lit(None).cast("long").alias("line_number"), "reason", F.col("value").alias("line"), F.current_timestamp().alias("seen_at"))
+
     def _tell(self, always: bool = True) -> None:
         if self.on_progress and (always or self.throttle.ready(self.clock())):
             self.on_progress(self.totals)
