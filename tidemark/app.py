@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 
 from . import serve
@@ -22,6 +23,8 @@ from .plans.tables import Tables
 from .sources.live import TRANSPORTS, Subscription
 from .sources.replay import Parsed, ReplaySourceError
 from .status import Service
+from .streaming.feed import updates
+from .streaming.ingest import Ingest
 from .streaming.live import LiveLoop, file_transport
 from .streaming.recovery import Backoff, LiveStatus, SourceError
 
@@ -77,8 +80,27 @@ class App:
         self.metrics.slots(parsed.last_slot or 0, 0)
         self.waiting = parsed.lines - parsed.bad
 
+    def _files(self) -> int:
+        """Follow a folder of files of updates, which executors read."""
+        c = self.config
+        sink = Ingest(self.tables, c.stream_name, on_progress=self._progress, metrics=self.metrics, batch_size=c.batch_size, cluster=c.cluster, status=self.live)
+        try:
+            query = sink.start(updates(self.spark, c.endpoint), f"{self.tables.root}/_checkpoints/{c.stream_name}", available_now=False)
+            while not self.stopped.wait(0.2):
+                if query.awaitTermination(0):
+                    return 0
+            query.processAllAvailable()  # what has arrived is written first
+            query.stop()
+        except StreamingQueryException as e:
+            return self._failed("pipeline", e)
+        finally:
+            sink.close()
+        return 0
+
     def _follow(self) -> int:
         c = self.config
+        if c.transport == "files":
+            return self._files()
         request = Subscription(c.subscriptions, "processed", None, c.account_include, c.account_exclude, c.account_required)
         self.loop = LiveLoop(
             self.tables, c.stream_name, request, c.transport, c.cluster, c.batch_size, c.channel_capacity, metrics=self.metrics, status=self.live, on_progress=self._progress,

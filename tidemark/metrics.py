@@ -25,6 +25,9 @@ FAMILIES = (
     ("slot_lag", "gauge", (), "Observed less persisted slot."),
     ("reconnect_attempts_total", "counter", (), "Reconnection attempts."),
     ("decode_errors_total", "counter", (), "Malformed updates skipped."),
+    ("source_backlog_files", "gauge", ("stream_name",), "Files of a running query's source that wait."),
+    ("source_backlog_bytes", "gauge", ("stream_name",), "Bytes of a running query's source that wait."),
+    ("source_rows_per_second", "gauge", ("stream_name", "side"), "Rows that arrived and rows that were processed in a running query."),
 )
 
 

@@ -65,7 +65,7 @@ def resume(rows: DataFrame, after: int | None) -> DataFrame:
     return rows if after is None else rows.where(F.col("slot") > after)
 
 
-def scanned(rows: DataFrame, at: str, value: str, of: Callable[[str], Column], name: str, inclusive: bool, block: int = 4096, levels: int = 2) -> DataFrame:
+def scanned(rows: DataFrame, at: str, value: str, of: Callable[[str], Column], name: str, inclusive: bool, block: int = 4096, levels: int = 1) -> DataFrame:
     """Add the running aggregate ``of`` (F.sum or F.max) of ``value`` in the order of the whole numbers ``at``; ``inclusive`` of the row's own.
 
     A blocked prefix scan: running values within blocks of numbers, the blocks' totals scanned alike, and what came before a block put on its

@@ -29,6 +29,31 @@ def decoded(lines: DataFrame, cluster: str) -> DataFrame:
     return normalize_updates(updates, cluster)
 
 
+def commit_updates(tables: Tables, lines: DataFrame, stream_name: str, source: str, cluster: str, metrics: Metrics, status: LiveStatus, clock: Callable[[], int], batch: int | None = None, batch_size: int = 500, writer: str | None = None) -> Summary:
+    """Decode a batch of lines (``ordinal``, ``value``) and commit it: events, and bad updates as dead letters with their reason and text, in one entry."""
+    rows = decoded(lines, cluster).persist()
+    try:
+        told = rows.groupBy("kind", F.col("error").isNotNull().alias("bad")).agg(F.count("*").alias("n"), F.max_by("slot", "ordinal").alias("slot"), F.max("ordinal").alias("at")).collect()
+        for r in sorted((r for r in told if not r["bad"]), key=lambda r: r["at"]):
+            metrics.observed("live", r["kind"], int(r["slot"]), r["n"])
+            status.observed(int(r["slot"]), clock())
+        dead = None
+        if bad := sum(r["n"] for r in told if r["bad"]):
+            metrics.add("decode_errors_total", bad)
+            status.decode_errors_total += bad
+            reasons = rows.where("error is not null").groupBy("ordinal").agg(F.min("error").alias("reason"))
+            dead = lines.join(reasons, "ordinal").select(F.lit(stream_name).alias("stream_name"), F.lit(source).alias("source"), F.lit(None).cast("long").alias("line_number"), "reason", F.col("value").alias("line"), F.current_timestamp().alias("seen_at"))
+        done = commit(tables, rows.where("error is null").drop("error"), stream_name, batch, True, batch_size, writer, dead)
+        maintain(tables)
+    finally:
+        rows.unpersist()
+    if done.events_seen:
+        metrics.observe_latency("events", done.write_seconds_last)
+        metrics.progress(done)
+        status.persisted(clock())
+    return done
+
+
 @dataclass
 class LiveLoop:
     """Reads ``transport`` until it is stopped or fails for good.
@@ -140,32 +165,12 @@ class LiveLoop:
 
     def _write(self, lines: list[str], depth: int) -> None:
         frame = self.tables.spark.createDataFrame(list(enumerate(lines)), "ordinal long, value string")
-        rows = decoded(frame, self.cluster).persist()
-        try:
-            told = rows.groupBy("kind", F.col("error").isNotNull().alias("bad")).agg(F.count("*").alias("n"), F.max_by("slot", "ordinal").alias("slot"), F.max("ordinal").alias("at")).collect()
-            for r in sorted((r for r in told if not r["bad"]), key=lambda r: r["at"]):
-                self.metrics.observed("live", r["kind"], int(r["slot"]), r["n"])
-                self.status.observed(int(r["slot"]), self.clock())
-            self.metrics.channel(self.stream_name, depth, self.capacity)
-            if bad := sum(r["n"] for r in told if r["bad"]):
-                self.metrics.add("decode_errors_total", bad)
-                self.status.decode_errors_total += bad
-            done = commit(self.tables, rows.where("error is null").drop("error"), self.stream_name, None, True, self.batch_size, dead=self._letters(rows, frame) if bad else None)
-            maintain(self.tables)
-        finally:
-            rows.unpersist()
+        self.metrics.channel(self.stream_name, depth, self.capacity)
+        done = commit_updates(self.tables, frame, self.stream_name, self.transport, self.cluster, self.metrics, self.status, self.clock, batch_size=self.batch_size)
         if done.events_seen:
             self.totals.add(done)
-            self.metrics.observe_latency("events", done.write_seconds_last)
-            self.metrics.progress(self.totals)
-            self.status.persisted(self.clock())
         self._tell(bool(done.events_seen))
 
-    def _letters(self, rows: DataFrame, lines: DataFrame) -> DataFrame:
-        """Bad updates of a batch with their reason and text."""
-        reasons = rows.where("error is not null").groupBy("ordinal").agg(F.min("error").alias("reason"))
-        return lines.join(reasons, "ordinal").select(F.lit(self.stream_name).alias("stream_name"), F.lit(self.transport).alias("source"), F.lit(None).cast("long").alias("line_number"), "reason", F.col("value").alias("line"), F.current_timestamp().alias("seen_at"))
-
     def _tell(self, always: bool = True) -> None:
         if self.on_progress and (always or self.throttle.ready(self.clock())):
             self.on_progress(self.totals)
