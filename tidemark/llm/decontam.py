@@ -1,12 +1,11 @@
 """Benchmark decontamination: a prefix-filtered set join, in DataFrame functions only.
 
-Every item is cut into windows of WINDOW consecutive words (a shorter item is one window). The shingles of a window
+Every item is cut into windows of WINDOW consecutive words (a shorter item is one window); equal windows count once. The shingles of a window
 are its pairs of neighbouring words, ordered by rarity: by their counts over the whole corpus. A document that
 contains a window exactly must contain all its shingles, so the necessary prefix of a window is one shingle, its
-rarest. Documents and windows join on prefix shingles alone, which leaves nearly true matches only. The shingle's
-places in item and document give the alignment; an alignment is dropped unless a window of it fits into the
-document (length and positional bounds). What is left is verified word by word, window by window, on the
-document's own words.
+rarest. Documents and windows join on prefix shingles alone, which leaves nearly true matches only. The shingle's place gives
+the window's start; it must fit into the document (length and positional bounds). What is left is verified word by word on the
+document's own words. The work is in proportion to the places where a window's rarest shingle stands, also in repetitive texts.
 
 A word is hit if it lies in any occurrence of any window; a document is contaminated if at least one word in
 twenty is hit, and one at least.
@@ -49,42 +48,72 @@ def single(w: str) -> Column:
     return F.transform(F.col(w), lambda a: F.xxhash64(a))
 
 
-def bounded(df: DataFrame, words: Column) -> bool:
-    return (df.agg(F.sum(words)).first()[0] or 0) <= MAX_BROADCAST_WORDS
+def near(df: DataFrame, words: Column | None = None) -> DataFrame:
+    """A materialized table as the side of a join: broadcast if it holds at most ``MAX_BROADCAST_WORDS`` words (or rows, if these are of a few numbers)."""
+    size = df.count() if words is None else df.agg(F.sum(words.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= MAX_BROADCAST_WORDS else df
 
 
-def prefix_table(docs: DataFrame, items: DataFrame, one: bool) -> DataFrame:
-    """``token``, ``cands``: each prefix shingle with the items it leads to (item, its words, the shingle's place, bounds).
+def windows(items: DataFrame) -> DataFrame:
+    """``wid``, ``win`` (its words), ``of`` (the items that have it): each distinct window once, so a repetitive item has few.
 
-    ``one`` gives the table for items of a single word, whose only token is that word.
+    ``wid`` is a hash; two windows that share one are told apart by their words in the end.
     """
-    tok = single if one else shingles
     starts = F.sequence(F.lit(0), F.greatest(F.size("iw") - WINDOW, F.lit(0)))
-    cut = items.where((F.size("iw") == 1) if one else (F.size("iw") > 1)).withColumn("tokens", tok("iw"))
-    per = F.least(F.size("tokens"), F.lit(WINDOW - (0 if one else 1)))
-    wins = cut.select("item", "iw", "tokens", per.alias("per"), F.explode(starts).alias("start"))
-    placed = wins.select("item", "iw", "start", "per", F.posexplode(F.slice("tokens", F.col("start") + 1, F.col("per"))).alias("off", "token"))
+    cut = items.select("item", "iw", F.explode(starts).alias("s")).select("item", F.slice("iw", F.col("s") + 1, WINDOW).alias("win"))
+    return cut.groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("of")).select(F.xxhash64("win").alias("wid"), "win", "of")
+
+
+def prefixes(docs: DataFrame, wins: DataFrame, one: bool) -> DataFrame:
+    """``token``, ``wid``, ``off``, ``size``: the rarest shingle of each window and its first place there; windows with one that no document has are out.
+
+    ``one`` gives those of a single word, whose only token is that word.
+    """
+    tok = single if one else shingles
+    placed = wins.where((F.size("win") == 1) if one else (F.size("win") > 1)).select("wid", F.size("win").alias("size"), F.posexplode(tok("win")).alias("off", "token"))
     vocabulary = placed.select("token").distinct()
-    near = F.broadcast(vocabulary) if vocabulary.count() <= MAX_BROADCAST_WORDS else vocabulary
-    counts = with_words(docs, "text").select(F.explode_outer(tok("w")).alias("token")).join(near, "token").groupBy("token").agg(F.count("*").alias("n"))
-    ranked = placed.join(counts, "token", "left").groupBy("item", "iw", "start", "per").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "off")).alias("b"))
-    # A shingle that no document has rules its window out.
-    kept = ranked.where("b.n > 0").select("item", "iw", "b.token", (F.col("start") + F.col("b.off")).alias("p"), F.col("b.off").alias("off"), (F.col("per") - F.col("b.off")).alias("tail"))
-    spots = kept.groupBy("token", "item", "iw", "p").agg(F.min("off").alias("off"), F.min("tail").alias("tail"))
-    return spots.groupBy("token").agg(F.collect_list(F.struct("item", "iw", "p", "off", "tail")).alias("cands"))
-
-
-def candidates(docs: DataFrame, items: DataFrame, one: bool) -> DataFrame:
-    """``_id``, ``_h``, ``cands``: the alignments (item, its words, place of its first word) that each document may hold."""
-    table = materialize(prefix_table(docs, items, one), "prefix")
-    near = F.broadcast(table) if bounded(table, F.aggregate("cands", F.lit(0).cast("long"), lambda s, c: s + F.size(c["iw"]))) else table
+    counts = with_words(docs, "text").select(F.explode_outer(tok("w")).alias("token")).join(near(vocabulary), "token").groupBy("token").agg(F.count("*").alias("n"))
+    ranked = placed.join(counts, "token", "left").groupBy("wid", "size").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "off")).alias("b"))
+    return ranked.where("b.n > 0").select("b.token", "wid", "b.off", "size")
+
+
+def candidates(docs: DataFrame, wins: DataFrame, one: bool) -> DataFrame:
+    """``_id``, ``_h``, ``start``, ``wid``: where a window may stand in a document; its prefix does stand there, and it fits in."""
+    table = materialize(prefixes(docs, wins, one), "prefix")
     keyed = with_words(docs, "text").withColumn("t", (single if one else shingles)("w"))
     # The size is taken before the array is laid out, or every row would carry the array; and the outer form is used, as
     # for the other one Spark adds a filter on the array's size that computes the words once more. The join drops nulls.
-    found = keyed.select("_id", "_h", F.size("t").alias("n"), "t").select("_id", "_h", "n", F.posexplode_outer("t").alias("at", "token")).join(near, "token")
-    fits = F.filter("cands", lambda c: (F.col("at") >= c["off"]) & (F.col("n") - F.col("at") >= c["tail"]))
-    aligned = F.transform(fits, lambda c: F.struct(c["item"].alias("item"), c["iw"].alias("iw"), (F.col("at") - c["p"]).alias("diag")))
-    return found.select("_id", "_h", aligned.alias("c")).where(F.size("c") > 0).groupBy("_id", "_h").agg(F.array_distinct(F.flatten(F.collect_set("c"))).alias("cands"))
+    found = keyed.select("_id", "_h", F.size("w").alias("n"), "t").select("_id", "_h", "n", F.posexplode_outer("t").alias("at", "token")).join(near(table), "token")
+    return found.where("at >= off and at - off + size <= n").select("_id", "_h", (F.col("at") - F.col("off")).alias("start"), "size", "wid")
+
+
+def occurrences(slim: DataFrame, wins: DataFrame) -> DataFrame:
+    """``_id``, ``_h``, ``start``, ``size``, ``of``: where windows do stand, word by word on the document's own words."""
+    found = candidates(slim, wins, False)
+    if not wins.where(F.size("win") == 1).isEmpty():
+        found = found.unionByName(candidates(slim, wins, True))
+    per = found.groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "size", "wid")).alias("c"))
+    per = materialize(per, "candidates")
+    # Only documents with candidates are cut into words here, each once.
+    own = with_words(slim, "text").join(near(per, F.size("c")), ["_id", "_h"])
+    spots = own.select("_id", "_h", F.explode(F.transform("c", lambda x: F.struct(x["start"].alias("start"), x["size"].alias("size"), x["wid"].alias("wid"), F.slice(F.col("w"), x["start"] + 1, x["size"]).alias("own")))).alias("x")).select("_id", "_h", "x.*")
+    return spots.join(near(wins, F.size("win")), "wid").where(F.col("own") == F.col("win")).select("_id", "_h", "start", "size", "of")
+
+
+def figures(found: DataFrame) -> DataFrame:
+    """``_id``, ``_h``, ``n_hit`` (words inside any occurrence), ``items``.
+
+    Overlapping occurrences are merged in order of their starts, so a word counts once and a long repetitive text takes one sort.
+    """
+    start = lambda x: F.struct(x["start"].alias("at"), (x["start"] + x["size"]).alias("end"))
+    merged = F.aggregate(
+        F.array_sort(F.transform("spots", start)),
+        F.struct(F.lit(0).alias("hit"), F.lit(0).alias("end")),
+        lambda s, x: F.struct((s["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["at"], s["end"]))).alias("hit"), F.greatest(s["end"], x["end"]).alias("end")),
+        lambda s: s["hit"],
+    )
+    per = found.groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "size")).alias("spots"), F.collect_set("of").alias("of"))
+    return per.select("_id", "_h", merged.cast("long").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten("of"))).alias("items"))
 
 
 FIGURES = ("n_words", "n_hit", "items")
@@ -99,44 +128,15 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 def _judged(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``_doc`` (the row) and ``_told`` (n_words, n_hit, items); one row for each row of ``docs``."""
     iw = with_words(items.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("x")), "x", "iw")
-    iw = materialize(iw.where(F.col("item").isNotNull() & (F.size("iw") > 0)).select("item", "iw").distinct(), "items")
+    wins = materialize(windows(iw.where(F.col("item").isNotNull() & (F.size("iw") > 0)).select("item", "iw")), "windows")
     text_of, key_of = F.col(f"`{text}`"), F.col(f"`{key}`")
     ident = [F.when(key_of.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), key_of.cast("string"))).alias("_id"), F.xxhash64(F.coalesce(text_of, F.lit(""))).alias("_h")]
-    slim = docs.select(*ident, text_of.alias("text"))
-    found = candidates(slim, iw, False)
-    if not iw.where(F.size("iw") == 1).isEmpty():
-        found = found.unionByName(candidates(slim, iw, True)).groupBy("_id", "_h").agg(F.flatten(F.collect_list("cands")).alias("cands"))
-    found = materialize(found, "candidates")
-    near = F.broadcast(found) if bounded(found, F.aggregate("cands", F.lit(1).cast("long"), lambda s, c: s + F.size(c["iw"]))) else found
+    hit = materialize(figures(occurrences(docs.select(*ident, text_of.alias("text")), wins)), "hit")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *ident, text_of.alias("_text"))
-    joined = with_words(own.join(near, ["_id", "_h"], "left"), "_text", "_w").withColumn("n_words", F.size("_w"))
-
-    def occurrences(c: Column) -> Column:
-        """Places where a window of the item stands on this alignment."""
-        size = F.least(F.size(c["iw"]), F.lit(WINDOW))
-        first = F.greatest(F.lit(0), -c["diag"])
-        last = F.least(F.size(c["iw"]) - size, F.col("n_words") - size - c["diag"])
-        return F.when(
-            first <= last,
-            F.filter(F.sequence(first, F.greatest(first, last)), lambda s: F.slice(F.col("_w"), c["diag"] + s + 1, size) == F.slice(c["iw"], s + 1, size)),
-        ).otherwise(F.array().cast("array<int>"))
-
-    none = F.array().cast(found.schema["cands"].dataType)
-    hits = F.filter(
-        F.transform(F.coalesce("cands", none), lambda c: F.struct(c["item"].alias("item"), F.transform(occurrences(c), lambda s: c["diag"] + s).alias("at"), F.least(F.size(c["iw"]), F.lit(WINDOW)).alias("size"))),
-        lambda x: F.size(x["at"]) > 0,
-    )
-
-    def told(h: Column) -> Column:
-        places = F.flatten(F.transform(h, lambda x: F.flatten(F.transform(x["at"], lambda a: F.sequence(a, a + x["size"] - 1)))))
-        return F.struct(
-            F.col("n_words").cast("long").alias("n_words"),
-            F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
-            F.sort_array(F.array_distinct(F.transform(h, lambda x: x["item"]))).alias("items"),
-        )
-
+    joined = with_words(own.join(near(hit, F.size("items") + 1), ["_id", "_h"], "left"), "_text", "_w")
+    told = lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     # Told by a generator: a later filter on the figures is then not pushed below it, where it would compute all of them again.
-    return joined.select("_doc", F.explode_outer(F.transform(F.array(hits), told)).alias("_told"))
+    return joined.select("_doc", F.explode_outer(F.transform(F.array("_w"), told)).alias("_told"))
 
 
 def contaminated(of: str = "") -> Column:
