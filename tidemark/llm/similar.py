@@ -151,7 +151,11 @@ def sketches(docs: DataFrame, key: str, text: str, frequent: np.ndarray) -> Data
 
 
 def meetings(first: bool):
-    """Pairs of each run of equal cells: with its first member only, or all whose labels differ."""
+    """Pairs of each run of equal cells: with its first member only, or all whose labels differ.
+
+    In the latter case two members with the same shingle just before this one have met in its cell, where every bound is looser, so
+    they are left out here: a pair is made once for each run of shared shingles, not once for each shared shingle.
+    """
 
     def run(batches):
         parts, rows = [], 0
@@ -170,6 +174,7 @@ def meetings(first: bool):
 
     def within(columns):
         cell, own, n, at, label, *bits = columns
+        before = None if first else bits.pop(0)
         start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         held, size = [], 0
 
@@ -190,6 +195,8 @@ def meetings(first: bool):
             low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
             rest = 1 + np.minimum(n[i] - at[i] - 1, n[j] - at[j] - 1)
             ok = (5 * low >= 4 * high) & (9 * rest >= 4 * (low + high)) & (first | (label[i] != label[j]))
+            if before is not None:
+                ok &= (before[i] != before[j]) | (at[i] == 0) | (at[j] == 0)
             if bits:
                 i_, j_ = i[ok], j[ok]
                 differ = sum(np.bitwise_count((b[i_] ^ b[j_]).view(np.uint64)).astype(np.int64) for b in bits)  # of signed numbers it counts the absolute value's
@@ -242,9 +249,12 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "h")
     sets = materialize(rows.groupBy("set").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "sets")
 
+    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), "prefix"), 1, F.size("prefix")).alias("before")
+
     def pairs(first: bool, members: DataFrame) -> DataFrame:
         more = [] if first else [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(SKETCH)]
-        cells = members.select("set", "n", "label", *more, F.posexplode("prefix").alias("at", "cell")).select("cell", "set", "n", "at", "label", *[f"b{k}" for k in range(len(more))])
+        cells = members.select("set", "n", "label", *more, F.posexplode("prefix").alias("at", "cell")) if first else members.select("set", "n", "label", *more, F.posexplode(F.arrays_zip("prefix", before)).alias("at", "c")).select("*", F.col("c.prefix").alias("cell"), "c.before")
+        cells = cells.select("cell", "set", "n", "at", "label", *([] if first else ["before"]), *[f"b{k}" for k in range(len(more))])
         return cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), "a long, b long")
 
     near = materialize(pairs(True, sets.withColumn("label", F.col("set"))).union(by_fingerprint(sets)).distinct(), "pairs")
