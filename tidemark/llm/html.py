@@ -18,6 +18,7 @@ import math
 import random
 import re
 from collections import Counter
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -51,13 +52,22 @@ HINTS = {
 _HINT = {w: k for k, ws in HINTS.items() for w in ws.split()}
 
 
+class Level:
+    """An open element over the one that it stands in: the features that no element below it has, so a path's features are those of its levels."""
+
+    __slots__ = ("below", "new", "inside")
+
+    def __init__(self, below: Level | None, new: tuple[str, ...], inside: bool):
+        self.below, self.new, self.inside = below, new, inside
+
+
 class Block:
-    """A run of text: the element it stands in, all open elements and the words of their names, how much of it is links."""
+    """A run of text: the element it stands in, the level of the page's open elements, how much of it is links."""
 
-    __slots__ = ("text", "tag", "path", "names", "linked")
+    __slots__ = ("text", "tag", "level", "linked")
 
-    def __init__(self, text: str, tag: str, path: frozenset[str], names: frozenset[str], linked: int):
-        self.text, self.tag, self.path, self.names, self.linked = text, tag, path, names, linked
+    def __init__(self, text: str, tag: str, level: Level | None, linked: int):
+        self.text, self.tag, self.level, self.linked = text, tag, level, linked
 
 
 class Scanner:
@@ -101,40 +111,50 @@ class Scanner:
 
 
 class Stack:
-    """Open elements, with counts of their names and of the words that describe them."""
+    """Open elements, with counts of their features, and the places of each name and of the containers."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, tuple[str, ...]]] = []
-        self.tags: Counter[str] = Counter()
-        self.words: Counter[str] = Counter()
-
-    def push(self, name: str, words: tuple[str, ...]) -> None:
-        self.open.append((name, words))
-        self.tags[name] += 1
-        self.words.update(words)
+        self.open: list[tuple[str, tuple[str, ...], Level]] = []
+        self.counts: Counter[str] = Counter()
+        self.places: dict[str, list[int]] = {}
+        self.containers: list[int] = []
+
+    @property
+    def level(self) -> Level | None:
+        return self.open[-1][2] if self.open else None
+
+    def push(self, name: str, words: list[str]) -> None:
+        own = tuple(dict.fromkeys(["in:" + name, *["name:" + w for w in words], *["hint:" + _HINT[w] for w in words if w in _HINT]]))
+        below = self.level
+        level = Level(below, tuple(f for f in own if f not in self.counts), bool(below and below.inside) or name in ("article", "main"))
+        self.counts.update(own)
+        self.places.setdefault(name, []).append(len(self.open))
+        if name in CONTAINERS:
+            self.containers.append(len(self.open))
+        self.open.append((name, own, level))
 
     def cut(self, size: int) -> None:
         while len(self.open) > size:
-            name, words = self.open.pop()
-            for counts, keys in ((self.tags, (name,)), (self.words, words)):
-                for k in keys:
-                    counts[k] -= 1
-                    if not counts[k]:
-                        del counts[k]
+            name, own, _ = self.open.pop()
+            self.places[name].pop()
+            if name in CONTAINERS:
+                self.containers.pop()
+            for f in own:
+                self.counts[f] -= 1
+                if not self.counts[f]:
+                    del self.counts[f]
+
+    def last(self, name: str) -> int:
+        return places[-1] if (places := self.places.get(name)) else -1
 
     def close(self, name: str) -> None:
-        if self.tags[name]:
-            self.cut(next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == name))
+        if (i := self.last(name)) >= 0:
+            self.cut(i)
 
     def start(self, name: str) -> None:
         """Close what a start tag of this name closes, up to the nearest container."""
         closed = CLOSES.get(name, {"p"})
-        while any(self.tags[c] for c in closed):
-            i = len(self.open) - 1
-            while i >= 0 and self.open[i][0] not in closed and self.open[i][0] not in CONTAINERS:
-                i -= 1
-            if i < 0 or self.open[i][0] not in closed:
-                break
+        while (i := max(map(self.last, closed))) >= 0 and (not self.containers or i >= self.containers[-1]):
             self.cut(i)
 
 
@@ -148,7 +168,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, stack.open[-1][0] if stack.open else "", frozenset(stack.tags), frozenset(stack.words), linked))
+                out.append(Block(text, stack.open[-1][0] if stack.open else "", stack.level, linked))
             parts.clear()
         linked = 0
 
@@ -181,7 +201,7 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         stack.start(name)
         if name not in VOID:
-            stack.push(name, tuple(w for c in _NAMES.findall(attributes) for w in _WORDS.findall("".join(c).lower())))
+            stack.push(name, [w for c in _NAMES.findall(attributes) for w in _WORDS.findall("".join(c).lower())])
     if pos < len(page):
         parts.append(page[pos:])
         if links:
@@ -190,20 +210,28 @@ def leaf_blocks(page: str) -> list[Block]:
     return out
 
 
-def block_features(b: Block) -> list[str]:
+def own_features(b: Block) -> list[str]:
+    """The features of a block but for those of its path."""
     n = len(b.text)
     share = b.linked / max(n, 1)
     out = ["bias", "tag:" + b.tag, f"size:{min(7, int(math.log2(n + 1)))}", f"links:{0 if share < 0.05 else 1 if share < 0.5 else 2}"]
-    out += {"in:" + t for t in b.path} | {"name:" + w for w in b.names} | {"hint:" + _HINT[w] for w in b.names if w in _HINT}
     if b.text[-1] in ".!?":
         out.append("sentence")
     if "©" in b.text:
         out.append("copyright")
-    if "article" not in b.path and "main" not in b.path:
+    if not (b.level and b.level.inside):
         out.append("outside")
     return out
 
 
+def block_features(b: Block) -> list[str]:
+    out, level = own_features(b), b.level
+    while level:
+        out += level.new
+        level = level.below
+    return out
+
+
 MAIN, REST = 1, 0
 
 
@@ -214,14 +242,30 @@ class ChainCrf:
         self.weights: dict[str, float] = {}
         self.moves = [[0.0, 0.0], [0.0, 0.0]]
 
-    def score(self, feats: list[str]) -> float:
+    def score(self, feats: Iterable[str]) -> float:
         w = self.weights
         return sum(w.get(f, 0.0) for f in feats)
 
-    def decode(self, chain: list[list[str]]) -> list[int]:
+    def scores(self, blocks: list[Block]) -> list[float]:
+        """The score of each block; what blocks share of their paths is added up once."""
+        known: dict[Level | None, float] = {None: 0.0}
+        out = []
+        for b in blocks:
+            level, more = b.level, []
+            while level not in known:
+                more.append(level)
+                level = level.below
+            total = known[level]
+            for level in reversed(more):
+                total = known[level] = total + self.score(level.new)
+            out.append(self.score(own_features(b)) + total)
+        return out
+
+    def decode(self, scores: list[float]) -> list[int]:
+        """The best states of a chain of blocks with these scores."""
         best, back = (0.0, 0.0), []
-        for k, feats in enumerate(chain):
-            s, new, way = self.score(feats), [], []
+        for k, s in enumerate(scores):
+            new, way = [], []
             for y in (REST, MAIN):
                 a, b = (best[0] + self.moves[0][y], best[1] + self.moves[1][y]) if k else (0.0, -1e-9)
                 way.append(int(b > a))
@@ -357,7 +401,7 @@ def main_text(page: str | None, crf: ChainCrf) -> str:
     blocks = leaf_blocks(page or "")
     if not blocks:
         return ""
-    return "\n\n".join(b.text for b, y in zip(blocks, crf.decode([block_features(b) for b in blocks]), strict=True) if y == MAIN)
+    return "\n\n".join(b.text for b, y in zip(blocks, crf.decode(crf.scores(blocks)), strict=True) if y == MAIN)
 
 
 def extract(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), html: str = "html") -> DataFrame:
