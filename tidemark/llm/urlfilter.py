@@ -2,8 +2,8 @@
 
 A list holds keys ``host/path-prefix``: rules, which are matched as they stand, and entries, which are canonical. A
 URL is looked up by its expressions, every host suffix crossed with every path prefix that a listed key can have (of the URL
-as it stands and in canonical form), so the work for a URL depends on its own labels and on the distinct prefix lengths in the
-list, never on the list's size. The Bloom filter drops the expressions that are certainly not listed before anything
+as it stands and in canonical form), so the work for a URL depends on its own length and on the distinct numbers of labels and prefix lengths in the
+list, never on the list's size; a host of very many labels costs no more than its length for each listed number. The Bloom filter drops the expressions that are certainly not listed before anything
 is shuffled; what passes goes to an exact join with the list, so a false positive of the filter never reaches the result.
 
 Defined cases: a null URL and one without ``://`` have empty host and path and fit nothing; an empty
@@ -117,10 +117,10 @@ def build_filter(listed: DataFrame) -> BlockedBloom:
     return bloom
 
 
-def expressions(host: str, path: str, prefix_lengths: list[int]) -> list[str]:
-    """Keys under which a URL can be listed: each host suffix with each prefix of the path of a listed length (in order)."""
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
+def expressions(host: str, path: str, prefix_lengths: list[int], label_counts: list[int]) -> list[str]:
+    """Keys under which a URL can be listed: the host's suffixes of a listed number of labels, each with each prefix of the path of a listed length (both in order)."""
+    labels = host.rsplit(".", label_counts[-1]) if label_counts else []
+    hosts = [".".join(labels[-n:]) if n < len(labels) else host for n in label_counts if n <= len(labels)]
     fits = prefix_lengths[: bisect_right(prefix_lengths, len(path))]
     return [h + path[:n] for h in hosts for n in fits]
 
@@ -132,8 +132,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", key: str =
     """
     spark = pages.sparkSession
     # Rules and entries are matched alike; a rule's key may also be listed as an entry.
-    listed = listed.select(F.concat("host", "path").alias("key"), F.length("path").alias("path_n"), "verdict", F.col("is_rule").cast("boolean").alias("is_rule")).where("key is not null").dropDuplicates(["key", "is_rule"])
-    lengths = sorted(r[0] for r in listed.select("path_n").distinct().collect())
+    listed = listed.select(F.concat("host", "path").alias("key"), F.length("path").alias("path_n"), F.size(F.split("host", r"\.")).alias("labels"), "verdict", F.col("is_rule").cast("boolean").alias("is_rule")).where("key is not null").dropDuplicates(["key", "is_rule"])
+    shape = listed.select("is_rule", "path_n", "labels").distinct().collect()
+    ways = [(kind, *(sorted({r[k] for r in shape if r["is_rule"] == is_rule}) for k in ("path_n", "labels"))) for kind, is_rule in (("r", True), ("e", False))]
     bloom = spark.sparkContext.broadcast(build_filter(listed))
     base = pages.select(F.col(key), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
 
@@ -145,7 +146,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, url: str = "url", key: str =
             keys, at = [], []
             for i, (h, p) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 if h:
-                    own = [(k, "r") for k in expressions(h, p, lengths)] + [(k, "e") for k in expressions(*canonical(h, p), lengths)]
+                    own = [(k, kind) for kind, lengths, counts in ways for k in expressions(*((h, p) if kind == "r" else canonical(h, p)), lengths, counts)]
                     keys += own
                     at += [i] * len(own)
             hits: list[list[str]] = [[] for _ in range(batch.num_rows)]
