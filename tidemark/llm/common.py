@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,13 +16,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A temporary one is made only for a single-machine session that names none."""
+    """The folder that driver and executors share: the one that the cluster names, else one in the warehouse."""
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not path:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = tempfile.mkdtemp(prefix="tidemark-")
+    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
