@@ -6,7 +6,6 @@ Derivations (both engines): EV makes account events of ``events``, RAW raw event
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +17,7 @@ from ..functions.identity import account, canonical_key, event_id, event_rows, i
 from ..metrics import LATENCY_BOUNDS, ingest_counts, latency_histogram
 from ..operators import decode, dedup, normalize, slots
 from ..schema import UPDATE
-from ..sources.generate import synthetic_events, to_jsonl
+from ..sources.generate import events_by_rule, to_jsonl
 from ..sources.replay import parse_lines, parse_once
 from . import api, pipeline
 from .tables import Tables
@@ -634,30 +633,31 @@ def stored_swaps(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- generator and streams ------------------------------------------------------------------------------------------
 
-@query("""WITH g AS (SELECT i, i // 100 + 1 AS slot, i % 100 AS n, 'sig-' || printf('%016x', i // 100 + 1) || '-' || printf('%08x', i) AS sig FROM range(20000) t(i)),
+@query("""WITH g AS (SELECT i, i // 100 + 1 AS slot, i % 100 AS n, 'sig-' || printf('%016x', i // 100 + 1) || '-' || printf('%08x', i) AS sig FROM (SELECT event_id AS i FROM events)),
 k AS (SELECT *, CASE WHEN i % 4 = 1 THEN 'instruction' WHEN i % 4 = 2 THEN 'account' WHEN i % 4 = 3 AND n = 99 THEN 'slot' ELSE 'transaction' END AS kind FROM g)
 SELECT i AS ordinal, kind, slot, CASE WHEN kind <> 'slot' THEN sig END AS signature, CASE WHEN kind = 'account' THEN 'acct-' || printf('%016x', slot) || '-' || printf('%04x', n) END AS account,
   CASE WHEN kind = 'instruction' THEN ['11111111111111111111111111111111', 'TokenkegQfeZyiNwAJbNbGKPFXCWuBvf9Ss623VQ5DA', 'ATokenGPvbdGVxr1b2hvZbsiqW5xWH25efTNsLJA8knL'][i % 3 + 1] END AS program_id, '{"index":' || i || '}' AS payload FROM k""")
 def synthetic_generator(spark: SparkSession, sf: str) -> DataFrame:
-    g = synthetic_events(spark, 20_000)
+    """The generator's rule on the numbers of the events table."""
+    g = events_by_rule(_t(spark, sf, "events").select(F.col("event_id").alias("ordinal"), F.col("event_id").alias("i")))
     return g.select("ordinal", "kind", F.col("slot").cast("long").alias("slot"), signature().alias("signature"), account().alias("account"), program_id().alias("program_id"), "payload")
 
 
-@query("SELECT i AS ordinal, i // 100 + 1 AS slot, NULL::VARCHAR AS parse_error FROM range(20000) t(i)")
+@query("SELECT i AS ordinal, i // 100 + 1 AS slot, NULL::VARCHAR AS parse_error FROM (SELECT event_id AS i FROM events)")
 def generator_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Generated events written as replay lines and parsed again."""
-    g = synthetic_events(spark, 20_000)
+    g = events_by_rule(_t(spark, sf, "events").select(F.col("event_id").alias("ordinal"), F.col("event_id").alias("i")))
     return parse_lines(to_jsonl(g, "ordinal")).select("ordinal", F.col("slot").cast("long").alias("slot"), "parse_error")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder where driver and executors share one, deleted when the application ends."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def _saved(spark: SparkSession, df: DataFrame) -> DataFrame:

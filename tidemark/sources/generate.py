@@ -23,12 +23,17 @@ def synthetic_events(spark: SparkSession, count: int, events_per_slot: int = 100
     hit = (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < 1 - 2.718281828459045**-duplicate_ratio
     source = F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(max(count, 1)))
     base = spark.range(count).select(F.col("id").alias("ordinal"), F.when(hit, source).otherwise(F.col("id")).alias("i") if duplicate_ratio else F.col("id").alias("i"))
+    return events_by_rule(base, events_per_slot)
+
+
+def events_by_rule(numbers: DataFrame, events_per_slot: int = 100) -> DataFrame:
+    """The event that the rule makes of each number ``i``, with its ``ordinal``."""
     slot, index = F.floor(F.col("i") / events_per_slot).cast("long") + 1, F.col("i") % events_per_slot
     sig = F.concat(F.lit("sig-"), _hex(slot, 16), F.lit("-"), _hex(F.col("i"), 8))
     turn = F.col("i") % 4
     kind = F.when(turn == 1, "instruction").when(turn == 2, "account").when((turn == 3) & (index == events_per_slot - 1), "slot").otherwise("transaction")
     is_ = lambda *k: F.col("kind").isin(*k)
-    rows = base.select("ordinal", "i", slot.alias("slot"), index.alias("n"), sig.alias("sig"), kind.alias("kind"))
+    rows = numbers.select("ordinal", "i", slot.alias("slot"), index.alias("n"), sig.alias("sig"), kind.alias("kind"))
     return wide(
         rows.select(
             "ordinal",
