@@ -13,11 +13,16 @@ from ..functions import strict_json as J
 from ..schema import SLOTS_PER_BUCKET
 
 
+def parent_slot() -> Column:
+    """The parent named in a slot event's payload; null if it is none or too large."""
+    parent = J.as_u64(J.at(J.parse(F.col("payload")), "$.parent"))
+    return F.when(parent <= F.lit(2**63 - 1).cast("decimal(20,0)"), parent.cast("long"))
+
+
 def slot_states(events: DataFrame) -> DataFrame:
     """slot, parent_slot, finalized, dead, ordinal of the finalized and dead slot events; other events are dropped."""
-    parent = J.as_u64(J.at(J.parse(F.col("payload")), "$.parent"))
     rows = events.where((F.col("kind") == "slot") & F.col("status").isin("finalized", "dead"))
-    return rows.select("slot", F.when(parent <= F.lit(2**63 - 1).cast("decimal(20,0)"), parent.cast("long")).alias("parent_slot"), (F.col("status") == "finalized").alias("finalized"), (F.col("status") == "dead").alias("dead"), "ordinal")
+    return rows.select("slot", parent_slot().alias("parent_slot"), (F.col("status") == "finalized").alias("finalized"), (F.col("status") == "dead").alias("dead"), "ordinal")
 
 
 def merge_states(states: DataFrame, *keys: str, order: str = "ordinal", also: dict[str, Column] | None = None) -> DataFrame:

@@ -666,15 +666,20 @@ def _saved(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _dropped(rows: DataFrame, path: str) -> None:
+    """The rows as three files, one after the other, as they arrive."""
+    low, high = rows.agg(F.min("ordinal"), F.max("ordinal")).first()
+    for part in range(3):
+        third = F.floor((F.col("ordinal") - F.lit(low)) * 3 / F.lit((high or 0) - (low or 0) + 1))
+        rows.where(third == part).coalesce(1).write.mode("append").parquet(path)
+
+
 def _streamed(spark: SparkSession, sf: str, rows: DataFrame, frontier: bool) -> Tables:
     """Drop the rows as files, and ingest them as a stream in micro-batches of one file."""
     from ..streaming.ingest import Ingest
 
     root = _scratch(spark, "stream")
-    low, high = rows.agg(F.min("ordinal"), F.max("ordinal")).first()
-    for part in range(3):  # one after the other, as they arrive
-        third = F.floor((F.col("ordinal") - F.lit(low)) * 3 / F.lit((high or 0) - (low or 0) + 1))
-        rows.where(third == part).coalesce(1).write.mode("append").parquet(f"{root}/drop")
+    _dropped(rows, f"{root}/drop")
     tables = Tables(spark, f"{root}/tables")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
     Ingest(tables, "s", frontier).run(stream, f"{root}/checkpoint")
@@ -691,10 +696,12 @@ def streaming_cursor(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, ev(spark, sf), False).read("stream_cursors").select("stream_name", "last_persisted_slot")
 
 
-@query("""WITH RECURSIVE f AS (SELECT o_orderkey AS slot, max(o_orderkey) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent_slot FROM orders WHERE o_orderstatus = 'F'), fin AS (SELECT * FROM f WHERE slot % 1000 <> 7),
+_FRONTIER_SQL = """WITH RECURSIVE f AS (SELECT o_orderkey AS slot, max(o_orderkey) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent_slot FROM orders WHERE o_orderstatus = 'F'), fin AS (SELECT * FROM f WHERE slot % 1000 <> 7),
 r AS (SELECT min(slot) AS slot FROM fin UNION ALL SELECT fin.slot FROM r JOIN fin ON fin.parent_slot = r.slot AND fin.slot > r.slot)
-SELECT 's' AS stream_name, (SELECT max(slot) FROM fin)::BIGINT AS last_persisted_slot, max(slot) AS last_contiguous_finalized_slot, (SELECT max(slot) FROM fin) AS last_finalized_slot FROM r""")
-def streaming_frontier(spark: SparkSession, sf: str) -> DataFrame:
+SELECT 's' AS stream_name, (SELECT max(slot) FROM fin)::BIGINT AS last_persisted_slot, max(slot) AS last_contiguous_finalized_slot, (SELECT max(slot) FROM fin) AS last_finalized_slot FROM r"""
+
+
+def _linked_slots(spark: SparkSession, sf: str) -> DataFrame:
     f = _t(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("slot"))
     # Links within ranges of keys, then the last key of each range below: no global window over the table.
     ranged = f.withColumn("r", F.floor(F.col("slot") / 10_000))
@@ -702,4 +709,28 @@ def streaming_frontier(spark: SparkSession, sf: str) -> DataFrame:
     linked = ranged.withColumn("p", F.lag("slot").over(Window.partitionBy("r").orderBy("slot"))).join(tops, "r").select("slot", F.coalesce("p", "below").alias("p")).where("slot % 1000 <> 7")
     payload = F.when(F.col("p").isNotNull(), F.concat(F.lit('{"parent":'), F.col("p").cast("string"), F.lit("}"))).otherwise("{}")
     rows = wide(linked.select(F.col("slot").alias("ordinal"), F.lit("slot").alias("kind"), F.lit("c").alias("cluster"), "slot", F.lit("finalized").alias("status"), payload.alias("payload")))
-    return _streamed(spark, sf, rows, True).read("stream_cursors").select("stream_name", "last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot")
+    return rows
+
+
+@query(_FRONTIER_SQL)
+def streaming_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf, _linked_slots(spark, sf), True).read("stream_cursors").select("stream_name", "last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot")
+
+
+@query(_FRONTIER_SQL)
+def streaming_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same markers from the keyed state of a query over files that arrive one after the other."""
+    from ..streaming import state
+
+    root, rows = _scratch(spark, "state"), _linked_slots(spark, sf)
+    _dropped(rows, f"{root}/drop")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
+    before = spark.conf.get(state.STORE[0])
+    state.use_store(spark)
+    try:
+        save = lambda df, batch: df.write.mode("append").parquet(f"{root}/told")
+        state.markers(stream, "s").writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(state.STORE[0], before)
+    told = spark.read.schema(state.MARKERS).parquet(f"{root}/told")
+    return told.groupBy("stream_name").agg(*[F.max(c).alias(c) for c in ("last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot")])
