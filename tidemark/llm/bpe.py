@@ -283,7 +283,7 @@ def tokenizer(path: str) -> PairIndexBpe:
     return _LOADED[path]
 
 
-BATCH_CHARS = 6_000_000  # texts are encoded together up to so many characters, which bounds a worker's memory
+BATCH_CHARS = 2_000_000  # texts are encoded together up to so many characters, which bounds a worker's memory
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
