@@ -86,8 +86,8 @@ class App:
         sink = Ingest(self.tables, c.stream_name, on_progress=self._progress, metrics=self.metrics, batch_size=c.batch_size, cluster=c.cluster, status=self.live)
         try:
             query = sink.start(updates(self.spark, c.endpoint), f"{self.tables.root}/_checkpoints/{c.stream_name}", available_now=False)
-            while not self.stopped.wait(0.2):
-                if query.awaitTermination(0):
+            while not self.stopped.is_set():
+                if query.awaitTermination(1):
                     return 0
             query.processAllAvailable()  # what has arrived is written first
             query.stop()
