@@ -14,8 +14,10 @@ edits, the diagonals within the band that are reachable, and one step handles al
 Equal lines are one line before the join, counted with their first place, so a line that millions of documents
 share is joined once. A line needs one earlier linked line only, so families of near copies take two rounds. In the
 first, every line that shares a key meets that key's leader, its earliest indexed line: as many pairs as there are
-lines. In the second, lines that are still not removed meet the other lines of their keys; a key shared by many is split there
-by the letter counts of the lines, cut into so many parts that two linked lines agree in one of them. Nothing is capped.
+lines. In the second, lines that are still not removed meet the other lines of their keys: in families of up to MAX_FAMILY
+indexed lines those that agree in one part of their letter counts, cut into so many parts that two linked lines agree in one; in larger
+ones by a second partition into pieces of PIECE characters. Of two linked lines, any THRESHOLD + 1 pieces of one include a piece that
+stands unchanged in the other, so each line is met by its pieces that are rarest in the family only. Nothing is capped.
 
 Equality of lines is by two hashes of 64 bits with different seeds; everything after that goes by the line's number.
 
@@ -45,6 +47,9 @@ GROUPS = MAX_COUNTS_APART + 1
 #: An edit takes away two pairs of neighbouring characters and makes two at most, each of which flips one bit of a sketch.
 MAX_FLIPS = 4 * THRESHOLD
 PREFIXES = 16
+#: Families of more indexed lines than this are cut by rarest pieces; both ways find the same links.
+MAX_FAMILY = 256
+PIECE = 5
 MAX_BROADCAST_LINES = 500_000  # 8 MB of line numbers; more of them are joined by shuffle
 
 
@@ -221,14 +226,48 @@ def sub_keys(rows: DataFrame, about: DataFrame) -> DataFrame:
     return rows.join(about, "lid").select("*", F.explode(subs).alias("sub"))
 
 
+def pieces(line: Column, offsets: range) -> Column:
+    """Hashes of the stretches of PIECE characters that begin at these offsets from a multiple of PIECE, with the number of the piece.
+
+    The number is that of the multiple next to the beginning, which a piece moved by up to PIECE / 2 characters keeps.
+    """
+    def cut(offset: int) -> Column:
+        found = F.regexp_extract_all(F.substring(line, offset + 1, 2**31 - 1), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0))
+        return F.transform(found, lambda x, k: F.xxhash64(x, k + int(offset > PIECE // 2)))
+
+    return F.concat(*[cut(o) for o in offsets])
+
+
+def pairs_of_large(members: DataFrame, late: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) of lines of a large family (``key``, ``lid``, ``own``) that share a piece which is among the rarest of one.
+
+    One of a pair is not ``late``. Pieces that all share are counted by partial sums, and only rare ones have two sides in the join.
+    """
+    def cut(rows: DataFrame, offsets: range) -> DataFrame:
+        lines = texts.select("lid", "len", "sig", "sketch", pieces(F.col("line"), offsets).alias("_pieces"))
+        return rows.join(lines, "lid").select("lid", "key", "own", "len", "sig", "sketch", F.explode("_pieces").alias("_p")).withColumn("sub", F.xxhash64("key", "_p")).drop("_p")
+
+    aligned = cut(members, range(1))
+    often = materialize(aligned.groupBy("sub").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    ranked = aligned.join(often, "sub", "left").groupBy("key", "lid").agg(
+        *[F.first(c).alias(c) for c in ("own", "len", "sig", "sketch")], F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "sub"))).alias("subs"))
+    rarest = ranked.select("lid", "own", "len", "sig", "sketch", F.explode(F.slice("subs", 1, THRESHOLD + 1)["sub"]).alias("sub"))
+    probes = cut(members.join(late, "lid", "left_anti"), range(PIECE))
+    met = (F.col("u.sub") == F.col("v.sub")) & (F.col("u.lid") != F.col("v.lid")) & (F.col("u.own") | F.col("v.own")) & may_link("u", "v")
+    pairs = probes.alias("u").join(rarest.alias("v"), met).select(F.least("u.lid", "v.lid").alias("a"), F.greatest("u.lid", "v.lid").alias("b"))
+    out = materialize(pairs.distinct(), "pairs")
+    discard(often)
+    return out
+
+
 def later_lines(lines: DataFrame) -> DataFrame:
     """``lid`` of the lines that are linked to an earlier one."""
     long = lines.where(F.col("len") >= MIN_CHARS)
     # Only hashes and numbers are shuffled to find candidates.
     leaders = index_rows(long).groupBy("key").agg(F.min(F.struct("id", "lid")).alias("first"), F.count("*").alias("n"))
-    leaders = leaders.select("key", F.col("first.lid").alias("lead"), (F.col("n") > 1).alias("many"))
+    leaders = leaders.select("key", F.col("first.lid").alias("lead"), (F.col("n") > 1).alias("many"), (F.col("n") > MAX_FAMILY).alias("large"))
     met = probe_rows(long).join(leaders, "key").where(F.col("many") | ((F.col("who") != F.col("lead")) & (F.col("who") != F.bitwise_not("lead"))))
-    met = materialize(met.select("key", F.greatest("who", F.bitwise_not("who")).alias("lid"), (F.col("who") < 0).alias("own"), "lead", "many"), "met")
+    met = materialize(met.select("key", F.greatest("who", F.bitwise_not("who")).alias("lid"), (F.col("who") < 0).alias("own"), "lead", "many", "large"), "met")
     pairs = materialize(met.where("lid <> lead").select(F.least("lid", "lead").alias("a"), F.greatest("lid", "lead").alias("b")).distinct(), "pairs")
     # Texts are fetched only for lines that met one: by their numbers where these are few, else by one shuffle of the lines.
     ids = materialize(met.select("lid").union(met.select("lead")).distinct(), "ids")
@@ -237,8 +276,8 @@ def later_lines(lines: DataFrame) -> DataFrame:
     late = later_of_linked(pairs, texts)
     # Where a key has one indexed line, that is its leader, and all its pairs have been compared by now.
     about = texts.select("lid", "pos", "len", "sig", "sketch")
-    probes = met.where("many").select("key", "lid", "lead").distinct()
-    indexed = met.where("many and own").select("key", "lid", "lead").distinct()
+    probes = met.where("many and not large").select("key", "lid", "lead").distinct()
+    indexed = met.where("many and not large and own").select("key", "lid", "lead").distinct()
     open_ = lambda rows: sub_keys(rows.join(late, "lid", "left_anti"), about)
     earlier = (F.col("v.pos") < F.col("u.pos")) & may_link("u", "v")
     found = []
@@ -246,9 +285,11 @@ def later_lines(lines: DataFrame) -> DataFrame:
         left, right = (open_(own), sub_keys(others, about))
         not_leaders = (F.col("v.lid") != F.col("v.lead")) & (F.col("u.lid") != F.col("v.lid")) & ((F.col("u.lid") != F.col("u.lead")) if own is indexed else F.lit(True))
         found.append(left.alias("u").join(right.alias("v"), (F.col("u.sub") == F.col("v.sub")) & (F.col("u.key") == F.col("v.key")) & not_leaders & earlier).select(F.least("u.lid", "v.lid").alias("a"), F.greatest("u.lid", "v.lid").alias("b")))
-    more = materialize(found[0].union(found[1]).distinct(), "pairs")
+    members = met.where("large").groupBy("key", "lid").agg(F.max("own").alias("own"))
+    split = pairs_of_large(members, late, texts)
+    more = materialize(found[0].union(found[1]).union(split).distinct(), "pairs")
     out = materialize(late.union(later_of_linked(more, texts)).distinct(), "late")
-    discard(met, pairs, ids, texts, late, more)
+    discard(met, pairs, ids, texts, late, split, more)
     return out
 
 
