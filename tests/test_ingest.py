@@ -199,3 +199,11 @@ def test_wide_rows_without_slots(spark, tmp_path):
     empty = wide(spark.createDataFrame([], "kind string, cluster string, slot long, signature string, index long, payload string, ordinal long"))
     assert pipeline.commit(Tables(spark, str(tmp_path / "t")), empty, "s", 0).events_seen == 0
     assert pipeline.replay(Tables(spark, str(tmp_path / "t")), empty.where(F.lit(True)), "s").batches_written == 0
+
+
+def test_batches_of_any_size_are_numbered_in_ranges_of_one_width(spark):
+    rows = spark.range(200_000).select(F.col("id").alias("ordinal"))
+    laid = pipeline.numbered(rows, 90_000)
+    assert [tuple(r) for r in laid.groupBy("batch_no").count().orderBy("batch_no").collect()] == [(0, 90_000), (1, 90_000), (2, 20_000)]
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    assert f"/ {float(pipeline.RANGE)}" in plan and pipeline.RANGE < 90_000

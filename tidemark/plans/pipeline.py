@@ -24,6 +24,8 @@ SMALL = 20_000
 COMPACT_AT = 24  # small folders of a table that are put together
 #: Rows of one commit of a replay. Logical batches of BATCH_SIZE only set the counters; a Spark job for each would be all overhead.
 COMMIT_ROWS = 1_000_000
+#: Numbers of the order in which one task counts rows, whatever the size of a batch.
+RANGE = 32_000
 
 
 @dataclass
@@ -87,10 +89,9 @@ def numbered(rows: DataFrame, size: int, order: str = "ordinal") -> DataFrame:
     """All columns and ``batch_no``: rows in arrival order cut by count.
 
     Two passes instead of one global sort: ranges of the order are counted, then each row's number is its range's start
-    plus its place in the range.
+    plus its place in the range. A range is as wide for large batches as for small ones, so no task holds more than its rows.
     """
-    width = max(size * 64, 1)
-    ranged = rows.withColumn("_r", F.floor(F.col(order) / width))
+    ranged = rows.withColumn("_r", F.floor(F.col(order) / RANGE))
     starts = scanned(ranged.groupBy("_r").agg(F.count("*").alias("_n")), "_r", "_n", F.sum, "_first", False).select("_r", F.coalesce("_first", F.lit(0)).alias("_first"))
     place = F.row_number().over(Window.partitionBy("_r").orderBy(order))
     return ranged.withColumn("_p", place).join(starts, "_r").withColumn("batch_no", F.floor((F.col("_first") + F.col("_p") - 1) / size).cast("long")).drop("_r", "_p", "_first")
