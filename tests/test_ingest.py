@@ -207,3 +207,37 @@ def test_batches_of_any_size_are_numbered_in_ranges_of_one_width(spark):
     assert [tuple(r) for r in laid.groupBy("batch_no").count().orderBy("batch_no").collect()] == [(0, 90_000), (1, 90_000), (2, 20_000)]
     plan = laid._jdf.queryExecution().optimizedPlan().toString()
     assert f"/ {float(pipeline.RANGE)}" in plan and pipeline.RANGE < 90_000
+
+
+def test_small_commits_are_prepared_together(spark, tmp_path, monkeypatch):
+    slot = lambda n: json.dumps({"identity": {"kind": "slot", "cluster": "c", "slot": n, "status": "finalized"}, "payload": {"parent": n - 1}})
+    lines = [x for i in range(12) for x in (tx(1 + i, f"s{i % 9}", payload=balances(("x", 10, 0), ("y", 0, 7 + i))), slot(1 + i))] + [tx(1, "s0", payload=balances(("x", 10, 0), ("y", 0, 7)))]
+    rows, jobs, alone = events(spark, lines), [], []
+    write_by, commit = Tables.write_by, pipeline.commit
+    monkeypatch.setattr(Tables, "write_by", lambda self, name, *a: jobs.append(name) or write_by(self, name, *a))
+    monkeypatch.setattr(pipeline, "commit", lambda *a, **k: alone.append(1) or commit(*a, **k))
+    tables, told = Tables(spark, str(tmp_path / "a")), []
+    done = pipeline.replay(tables, rows, "s", batch_size=2, commit_rows=2, advance_frontier=True, on_progress=lambda s: told.append(s.events_seen))
+    assert jobs == ["events", "stream_slots"] and not alone
+    assert told == [0, *range(2, 25, 2), 25, 25] and tables.state().version >= 13
+    one = Tables(spark, str(tmp_path / "b"))
+    want = pipeline.replay(one, rows, "s", batch_size=2, advance_frontier=True)
+    for k in ("events_seen", "batches_written", "events_inserted", "events_deduplicated", "swaps_written", "last_persisted_slot", "last_contiguous_finalized_slot", "last_finalized_slot"):
+        assert getattr(done, k) == getattr(want, k), k
+    for name, columns in (("events", ["event_id"]), ("stream_slots", ["slot", "parent_slot", "finalized"]), ("swaps", ["slot", "token_in_amount", "token_out_amount"])):
+        assert sorted(map(tuple, tables.read(name).select(*columns).collect())) == sorted(map(tuple, one.read(name).select(*columns).collect())), name
+    # Another writer stores events of the same slots between the entries: what is left is committed one by one, and nothing is stored twice.
+    busy, other = Tables(spark, str(tmp_path / "c")), []
+
+    def meddle(summary):
+        if summary.events_seen == 4 and not other:
+            other.append(commit(Tables(spark, str(tmp_path / "c")), events(spark, [lines[6], lines[8]]), "t"))
+
+    pipeline.replay(busy, rows, "s", batch_size=2, commit_rows=2, on_progress=meddle)
+    assert other and alone
+    stored = [r[0] for r in busy.read("events").select("event_id").collect()]
+    assert len(stored) == len({*stored}) == want.events_inserted
+    live = {f for f in busy.parts("events")}
+    assert len(live) >= 1 and not list((tmp_path / "c/_scratch").glob("*/*"))
+
+

@@ -19,10 +19,10 @@ def parent_slot() -> Column:
     return F.when(parent <= F.lit(2**63 - 1).cast("decimal(20,0)"), parent.cast("long"))
 
 
-def slot_states(events: DataFrame) -> DataFrame:
-    """slot, parent_slot, finalized, dead, ordinal of the finalized and dead slot events; other events are dropped."""
+def slot_states(events: DataFrame, *keep: str) -> DataFrame:
+    """slot, parent_slot, finalized, dead, ordinal (and ``keep``) of the finalized and dead slot events; other events are dropped."""
     rows = events.where((F.col("kind") == "slot") & F.col("status").isin("finalized", "dead"))
-    return rows.select("slot", parent_slot().alias("parent_slot"), (F.col("status") == "finalized").alias("finalized"), (F.col("status") == "dead").alias("dead"), "ordinal")
+    return rows.select("slot", parent_slot().alias("parent_slot"), (F.col("status") == "finalized").alias("finalized"), (F.col("status") == "dead").alias("dead"), "ordinal", *keep)
 
 
 def merge_states(states: DataFrame, *keys: str, order: str = "ordinal", also: dict[str, Column] | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
+from contextlib import closing
 from dataclasses import asdict, dataclass, fields
 from functools import cache
 
@@ -265,15 +266,92 @@ def maintain(tables: Tables, every: int = COMPACT_AT) -> None:
         tables.compact(name, every)
 
 
-def cuts(tables: Tables, rows: DataFrame, n: int, size: int) -> Iterable[DataFrame]:
-    """The rows in arrival order, ``size`` at a time. More than one part is laid down first, so the source is read once."""
+def commits(tables: Tables, rows: DataFrame, n: int, size: int, stream_name: str, advance_frontier: bool, batch_size: int) -> Iterator[Summary]:
+    """Commit the rows in arrival order, ``size`` at a time. More than one part is laid down first, so the source is read once.
+
+    Small commits are prepared together, as many as have ``COMMIT_ROWS`` rows, so the number of Spark jobs grows with the rows and not with the commits.
+    """
+    if not n:
+        return
     if n <= size:
-        yield rows
+        yield commit(tables, rows, stream_name, None, advance_frontier, batch_size)
         return
-    with tables.scratch("batch_no") as cut:
-        laid = cut(numbered(rows, size))
-        for k in range(-(-n // size)):
-            yield laid.where(F.col("batch_no") == k).drop("batch_no")
+    several = max(1, COMMIT_ROWS // size)
+    with tables.scratch("_group") as cut:
+        laid = cut(numbered(rows, size).withColumn("_group", F.floor(F.col("batch_no") / several)))
+        for g in range(-(-n // (size * several))):
+            part = laid.where(F.col("_group") == g).drop("_group")
+            if several == 1:
+                yield commit(tables, part.drop("batch_no"), stream_name, None, advance_frontier, batch_size)
+            else:
+                yield from commit_together(tables, part, stream_name, advance_frontier, batch_size)
+
+
+def commit_together(tables: Tables, rows: DataFrame, stream_name: str, advance_frontier: bool = False, batch_size: int = BATCH_SIZE) -> Iterator[Summary]:
+    """Commits by ``batch_no``, in its order: the folders of all are written at once, then each takes effect by its own entry of the log.
+
+    An event is new in the first commit that has it. Swaps and the frontier follow after the last commit (see ``settle``). Where another writer
+    stores events of the same slots meanwhile, or a slot is too large, the commits that are left are made one by one.
+    """
+    began, left, new, states = time.monotonic(), [], {}, {}
+    envelopes = event_rows(rows, "ordinal", "kind", "status", "batch_no").persist(StorageLevel.MEMORY_AND_DISK)
+    one = lambda k: commit(tables, rows.where(F.col("batch_no") == k).drop("batch_no"), stream_name, None, advance_frontier, batch_size)
+    try:
+        seen = tables.state().version
+        left = sorted(envelopes.groupBy("batch_no").agg(*_asked()[:-1]).collect(), key=lambda t: t["batch_no"])
+        if any(t["ok"] < t["n"] for t in left):
+            while left:
+                yield one(left.pop(0)["batch_no"])
+            return
+        low, high = int(min(t["low"] for t in left)), int(max(t["high"] for t in left))
+        new = tables.write_by("events", _fresh(tables, envelopes, low, high), "batch_no")
+        if advance_frontier and any(t["marked"] for t in left):
+            marked = slots.merge_states(slots.slot_states(dedup.convertible(envelopes), "batch_no"), "batch_no", order="ordinal")
+            order = F.lit(seen) + F.col("batch_no") - F.lit(left[0]["batch_no"])
+            states = tables.write_by("stream_slots", marked.withColumn("stream_name", F.lit(stream_name)).withColumn("first_seen_at", F.current_timestamp()).withColumn("batch", order), "batch_no")
+        share, own = (time.monotonic() - began) / len(left), {folder for folder, _ in new.values()}
+        while left:
+            began, t = time.monotonic(), left[0]
+            k, bottom, top = t["batch_no"], int(t["low"]), int(t["top"])
+            entry: dict = {"add": {}, "cursors": {stream_name: marks(persisted=top)}}
+            if k in new:
+                entry["add"]["events"] = {new[k][0]: new[k][1] | {"balances": bool(t["balances"])}}
+            if k in states:
+                entry["add"]["stream_slots"] = {states[k][0]: states[k][1] | {"stream": stream_name}}
+            try:
+                tables.put(entry, lambda s: not any(p["v"] > seen and f not in own and overlaps(p, bottom, top) for f, p in s.parts.get("events", {}).items()))  # noqa: B023
+            except Clash:
+                break
+            inserted = new.pop(k)[1]["rows"] if k in new else 0
+            states.pop(k, None)
+            left.pop(0)
+            done = Summary(t["n"], 0, 0, 0, -(-t["n"] // batch_size), t["n"], inserted, t["n"] - inserted, 0, top)
+            if not left:
+                done.add(settle(tables, stream_name, advance_frontier))
+            took = share + time.monotonic() - began
+            done.write_seconds_total = done.write_seconds_max = done.write_seconds_last = took
+            yield done
+        _forget(tables, new, states)
+        while left:
+            yield one(left.pop(0)["batch_no"])
+    finally:
+        _forget(tables, new, states)
+        envelopes.unpersist()
+
+
+def _forget(tables: Tables, new: dict, states: dict) -> None:
+    """Delete folders that no entry names."""
+    for name, parts in (("events", new), ("stream_slots", states)):
+        while parts:
+            tables.remove(name, parts.popitem()[1][0])
+
+
+def _fresh(tables: Tables, rows: DataFrame, low: int, high: int) -> DataFrame:
+    """The first row of each event id that the tables don't hold, by a join with what they hold of these slots."""
+    fresh = dedup.first_wins(dedup.convertible(rows).drop("kind", "status"))
+    if tables.parts("events", low, high):
+        fresh = fresh.join(tables.read("events", low, high).select("event_id"), "event_id", "left_anti")
+    return fresh.withColumn("observed_at", F.current_timestamp()).withColumn("inserted_at", F.current_timestamp())
 
 
 def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_resume: bool = True, advance_frontier: bool = False, batch_size: int = BATCH_SIZE, commit_rows: int = COMMIT_ROWS, on_progress: Progress | None = None, stop: Callable[[], bool] | None = None) -> Summary:
@@ -290,12 +368,19 @@ def replay(tables: Tables, rows: DataFrame, stream_name: str = "replay", use_res
     n = left.count()
     if after is not None:
         total.resume_skipped = total.events_skipped = total.events_seen = rows.count() - n
-    for part in cuts(tables, left, n, max(batch_size, commit_rows // batch_size * batch_size)) if n else ():
-        total.add(commit(tables, part, stream_name, None, advance_frontier, batch_size))
-        tell(total)
-        maintain(tables)
-        if stop and stop():
-            break
+    size = max(batch_size, commit_rows // batch_size * batch_size)
+    made, every = 0, size * max(1, COMMIT_ROWS // size)  # compaction comes between groups of commits, never within one
+    with closing(commits(tables, left, n, size, stream_name, advance_frontier, batch_size)) as under_way:
+        for done in under_way:
+            total.add(done)
+            tell(total)
+            made += done.events_seen
+            if made >= min(n, every):
+                made = 0
+                maintain(tables)
+            if stop and stop():
+                total.add(settle(tables, stream_name, advance_frontier))
+                break
     tell(total)
     return total
 

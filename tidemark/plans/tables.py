@@ -80,6 +80,23 @@ class Tables:
             return None
         return folder, part
 
+    def write_by(self, name: str, rows: DataFrame, by: str) -> dict[int, tuple[str, dict]]:
+        """The same for many folders at once: rows with a whole number ``by`` in a folder for each number; which numbers have rows is in the answer."""
+        own = f"{now_ms():013d}-{uuid.uuid4().hex}"
+        path = f"{self.root}/_scratch/{own}"
+        slot = "slot" if name in BY_SLOT else "0L"
+        typed = rows.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in SCHEMAS[name].fields], f"CAST(`{by}` AS BIGINT) AS `{by}`")
+        typed.repartition(by).sortWithinPartitions(by, F.expr(slot)).write.partitionBy(by).parquet(path)
+        laid = self.spark.read.schema(T.StructType([*SCHEMAS[name].fields, T.StructField(by, T.LongType())])).parquet(path)
+        told = laid.groupBy(by).agg(F.count("*").alias("rows"), F.expr(f"min({slot})").alias("low"), F.expr(f"max({slot})").alias("high")).collect()
+        out = {}
+        for t in told:
+            out[t[by]] = f"{own}-{t[by]}", {k: t[k] for k in ("rows", "low", "high")}
+            if not self._fs.rename(self._path(f"{path}/{by}={t[by]}"), self._path(f"{self.path(name)}/{own}-{t[by]}")):
+                raise OSError(f"cannot move {path}/{by}={t[by]}")
+        self._fs.delete(self._path(path), True)
+        return out
+
     def remove(self, name: str, folder: str) -> None:
         self._fs.delete(self._path(f"{self.path(name)}/{folder}"), True)
 
