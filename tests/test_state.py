@@ -1,7 +1,9 @@
 """Markers as keyed state: gaps that fill, restarts from the checkpoint, streams apart, silence."""
 
+import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_core import slot_event, tx
@@ -64,3 +66,75 @@ def test_a_silent_stream_is_told(spark, tmp_path):
 ])
 def test_steps(known, anchor, want):
     assert state.steps(anchor, known) == want
+
+
+class Kept:
+    """A state of either form, as the state store has it; counts its reads."""
+
+    def __init__(self):
+        self.value, self.items, self.reads = None, {}, 0
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def iterator(self):
+        return iter([*self.items.items()])
+
+    def getValue(self, key):  # noqa: N802
+        self.reads += 1
+        return self.items[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.items[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.items[key]
+
+
+class Handle(dict):
+    def getValueState(self, name, *_):  # noqa: N802
+        return self.setdefault(name, Kept())
+
+    getMapState = getValueState  # noqa: N815
+
+
+def fed(of, rows, chunk=7):
+    frame = pd.DataFrame(rows, columns=["ordinal", "slot", "parent_slot", "finalized", "marked"])
+    (out,) = of.handleInputRows(("s",), iter([frame[i : i + chunk] for i in range(0, len(frame), chunk)]), None)
+    return tuple(int(x) if pd.notna(x) else None for x in out.iloc[0, 1:4])
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_packed_state_keeps_to_the_rule(seed, monkeypatch):
+    monkeypatch.setattr(state, "BUCKET", 1 + seed % 9)
+    draw, handle, of = random.Random(seed), Handle(), state.Markers(None)
+    of.init(handle)
+    persisted = anchor = head = None
+    known = {}
+    for _ in range(6):
+        rows = [(i, s := draw.randrange(40), draw.choice([-1, s, s - 1, s - 1, s - 1, s - 2, draw.randrange(40)]), draw.random() < 0.8, draw.random() < 0.9) for i in range(draw.randrange(1, 25))]
+        rows = [(i, s, max(p, -1), f, m) for i, s, p, f, m in rows]
+        for _, s, p, f, m in rows:
+            persisted = max(s, -1 if persisted is None else persisted)
+            if m:
+                old = known.get(s, (None, False))
+                known[s] = (old[0] if p < 0 else p, old[1] or f)
+                head = max(s, -1 if head is None else head) if f else head
+        anchor = state.steps(anchor, known)
+        known = {s: x for s, x in known.items() if anchor is None or s > anchor}
+        draw.shuffle(rows)
+        assert fed(of, rows) == (persisted, anchor, head)
+
+
+def test_open_slots_above_a_gap_are_not_read_again():
+    handle, of = Handle(), state.Markers(None)
+    of.init(handle)
+    fed(of, [(0, 1, 0, True, True)])
+    before = handle["packed"].reads
+    for n in range(1, 21):
+        low = n * 50_000
+        assert fed(of, [(i, low + i, low + i - 1, True, True) for i in range(30_000)], 10_000) == (low + 29_999, 1, low + 29_999)
+    assert handle["packed"].reads == before and sum(len(v[0]) for v in handle["packed"].items.values()) == 17 * 600_000
