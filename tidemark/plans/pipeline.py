@@ -130,7 +130,7 @@ def commit(tables: Tables, rows: DataFrame, stream_name: str, batch: int | None
             inserted, new = 0, {}
             if told["ok"] and (events := write_new(tables, rows, told)):
                 inserted, new["events"] = events[1]["rows"], {events[0]: events[1] | {"balances": bool(told["balances"])}}
-            if advance_frontier and told["marked"] and (states := write_states(tables, rows, stream_name, seen)):
+            if advance_frontier and told["marked"] and (states := write_states(tables, rows, stream_name, seen, told["n"] > SMALL)):
                 new["stream_slots"] = {states[0]: states[1] | {"stream": stream_name}}
             done = Summary(told["n"], bad, 0, bad, -(-told["n"] // batch_size), told["ok"] or bad, inserted, told["ok"] - inserted, 0, top)
             entry: dict = {"add": new | letters}
@@ -195,9 +195,9 @@ def write_new(tables: Tables, rows: DataFrame, told: Row) -> tuple[str, dict] |
     return add(held)
 
 
-def write_states(tables: Tables, rows: DataFrame, stream_name: str, seen: int) -> tuple[str, dict] | None:
-    """The slot states of a batch, in a folder of their own."""
-    new = slots.merge_states(slots.slot_states(dedup.convertible(rows).coalesce(1)), order="ordinal")
+def write_states(tables: Tables, rows: DataFrame, stream_name: str, seen: int, many: bool = False) -> tuple[str, dict] | None:
+    """The slot states of a batch, in a folder of their own; those of ``many`` rows are parsed and merged by all tasks."""
+    new = slots.merge_states(slots.slot_states(dedup.convertible(rows if many else rows.coalesce(1))), order="ordinal")
     return tables.write("stream_slots", new.withColumn("stream_name", F.lit(stream_name)).withColumn("first_seen_at", F.current_timestamp()).withColumn("batch", F.lit(seen)))
 
 
@@ -240,13 +240,23 @@ def save_cursor(tables: Tables, stream_name: str, persisted: int | None, contigu
 def advance(tables: Tables, stream_name: str) -> tuple[int | None, int | None]:
     """Walk the frontier on from its stored place over states that came since, and store it; it never goes back.
 
-    Only folders with slots from the frontier on are read, and none if the stream has no new states.
+    Only folders with slots from the frontier on are read, and none if the stream has no new states. A frontier stays where no state names it as
+    parent, however much is stored above the gap; that is asked of the states as they were written, which is cheaper than the walk.
     """
     state = tables.state()
     upto, cursor = state.version, state.cursors.get(stream_name, {})
     anchor, head = cursor.get("contiguous"), cursor.get("finalized")
-    if not any(p["v"] > state.walked.get(stream_name, -1) for p in tables.parts("stream_slots", stream=stream_name).values()):
+    parts, walked = tables.parts("stream_slots", stream=stream_name), state.walked.get(stream_name, -1)
+    if not any(p["v"] > walked for p in parts.values()):
         return anchor, head
+    # A compacted folder is newer than the states in it, so its states count as new once more: none is left out.
+    if anchor is not None:
+        new = tables.rows("stream_slots", [k for k, p in parts.items() if p["v"] > walked]).where(F.col("stream_name") == stream_name)
+        if tables.rows("stream_slots", [k for k, p in parts.items() if overlaps(p, anchor, None)]).where((F.col("stream_name") == stream_name) & (F.col("slot") > anchor) & (F.col("parent_slot") == anchor)).isEmpty():
+            top = new.where("finalized").agg(F.max("slot")).first()[0]
+            head = max((x for x in (top, head) if x is not None), default=None)
+            tables.save_cursor(stream_name, None, None, head, walked={stream_name: upto})
+            return anchor, head
     states = tables.read("stream_slots", anchor, stream=stream_name)
     anchors = tables.spark.createDataFrame([(stream_name, anchor)], "stream_name string, anchor long").where("anchor is not null")
     kept: list[DataFrame] = []
