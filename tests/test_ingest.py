@@ -241,3 +241,26 @@ def test_small_commits_are_prepared_together(spark, tmp_path, monkeypatch):
     assert len(live) >= 1 and not list((tmp_path / "c/_scratch").glob("*/*"))
 
 
+
+
+def test_a_frontier_at_a_gap_is_not_walked_again(spark, tmp_path, monkeypatch):
+    slot = lambda n, p: json.dumps({"identity": {"kind": "slot", "cluster": "c", "slot": n, "status": "finalized"}, "payload": {"parent": p}})
+    walks, walk = [], pipeline.slots.finalized_frontier
+    monkeypatch.setattr(pipeline.slots, "finalized_frontier", lambda *a: walks.append(1) or walk(*a))
+    tables = Tables(spark, str(tmp_path / "t"))
+    marks = lambda i, *lines: (lambda d: (d.last_contiguous_finalized_slot, d.last_finalized_slot))(pipeline.commit(tables, events(spark, [*lines]), "s", i, True))
+    assert marks(0, slot(1, 0), slot(2, 1)) == (2, 2) and len(walks) == 1
+    assert marks(1, slot(5, 4), slot(6, 5)) == (2, 6) and marks(2, slot(9, 8)) == (2, 9) and len(walks) == 1
+    assert marks(3, slot(4, 3), slot(3, 2)) == (6, 9) and len(walks) == 2
+
+
+def test_dropped_files_are_bounded_and_in_order(spark, tmp_path, monkeypatch):
+    from tidemark.plans import driver_queries as D
+
+    monkeypatch.setattr(D, "FILE_ROWS", 100)
+    monkeypatch.setattr(D, "BATCH_ROWS", 250)
+    path = str(tmp_path / "drop")
+    files = D._dropped(spark, spark.range(1000).select((F.col("id") + 5).alias("ordinal")), path)
+    told = spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.min("ordinal").alias("low"), F.first("_metadata.file_modification_time").alias("at")).orderBy("at").collect()
+    assert files == 3 and len(told) == 12 and max(t["n"] for t in told) <= 100
+    assert [(t["low"] - 5) // 250 for t in told] == [k for k in range(4) for _ in range(3)]

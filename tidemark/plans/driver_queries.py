@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import strict_json as J
 from ..functions.identity import account, canonical_key, event_id, event_rows, invalid_field, program_id, signature, wide
@@ -666,22 +667,36 @@ def _saved(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _dropped(rows: DataFrame, path: str) -> None:
-    """The rows as three files, one after the other, as they arrive."""
-    low, high = rows.agg(F.min("ordinal"), F.max("ordinal")).first()
-    for part in range(3):
-        third = F.floor((F.col("ordinal") - F.lit(low)) * 3 / F.lit((high or 0) - (low or 0) + 1))
-        rows.where(third == part).coalesce(1).write.mode("append").parquet(path)
+#: Rows of a file that is dropped, and of a micro-batch, at most (ordinals without gaps).
+FILE_ROWS, BATCH_ROWS = 125_000, 2_000_000
+
+
+def _dropped(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """The rows as files in the order of their ordinals, three batches or more, one after the other, as they arrive; the number of files of a batch.
+
+    A batch has as many files as its rows ask for, so no task writes or reads more than a file's rows, and no batch grows with the table.
+    """
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min("ordinal"), F.max("ordinal")).first()
+    batches = max(3, -(-n // BATCH_ROWS))
+    files = max(1, -(-n // (batches * FILE_ROWS)))
+    part = F.floor((F.col("ordinal") - F.lit(low)) * batches / F.lit((high or 0) - (low or 0) + 1))
+    laid_at = _scratch(spark, "laid")
+    # By hash into 200 partitions at most, which Spark writes without sorting or holding rows; each has some files' rows.
+    rows.withColumn("_batch", part.cast("int")).repartition(min(200, batches * files), "_batch", F.col("ordinal") % files).write.partitionBy("_batch").parquet(laid_at)
+    laid = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_batch", T.IntegerType())])).parquet(laid_at)
+    for k in range(batches):
+        laid.where(F.col("_batch") == k).drop("_batch").repartition(files, "ordinal").write.mode("append").parquet(path)
+    return files
 
 
 def _streamed(spark: SparkSession, sf: str, rows: DataFrame, frontier: bool) -> Tables:
-    """Drop the rows as files, and ingest them as a stream in micro-batches of one file."""
+    """Drop the rows as files, and ingest them as a stream, a batch of files at a time."""
     from ..streaming.ingest import Ingest
 
     root = _scratch(spark, "stream")
-    _dropped(rows, f"{root}/drop")
+    files = _dropped(spark, rows, f"{root}/drop")
     tables = Tables(spark, f"{root}/tables")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/drop")
     Ingest(tables, "s", frontier).run(stream, f"{root}/checkpoint")
     return tables
 
@@ -723,8 +738,8 @@ def streaming_markers(spark: SparkSession, sf: str) -> DataFrame:
     from ..streaming import state
 
     root, rows = _scratch(spark, "state"), _linked_slots(spark, sf)
-    _dropped(rows, f"{root}/drop")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
+    files = _dropped(spark, rows, f"{root}/drop")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/drop")
     before = spark.conf.get(state.STORE[0])
     state.use_store(spark)
     try:
