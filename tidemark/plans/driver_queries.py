@@ -667,14 +667,14 @@ def _saved(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a file that is dropped, and of a micro-batch, at most (ordinals without gaps).
+#: About the most rows of a file that is dropped, and of a micro-batch (files are cut by hash, batches by ranges of ordinals).
 FILE_ROWS, BATCH_ROWS = 125_000, 2_000_000
 
 
 def _dropped(spark: SparkSession, rows: DataFrame, path: str) -> int:
     """The rows as files in the order of their ordinals, three batches or more, one after the other, as they arrive; the number of files of a batch.
 
-    A batch has as many files as its rows ask for, so no task writes or reads more than a file's rows, and no batch grows with the table.
+    A batch has as many files as its rows ask for, so the rows of a task or a batch do not grow with the table.
     """
     n, low, high = rows.agg(F.count(F.lit(1)), F.min("ordinal"), F.max("ordinal")).first()
     batches = max(3, -(-n // BATCH_ROWS))
