@@ -8,7 +8,7 @@ A line of MIN_CHARS or more is cut into THRESHOLD + 1 segments of nearly equal l
 THRESHOLD edits, the shorter has a segment that stands unchanged in the longer, near its own place: the index
 holds each line's segments by its length, and each line probes it, for every length from its own down to THRESHOLD
 less, with the substrings at the places that remain possible (shifts bounded by the edits left on either side).
-Candidate pairs are verified by a banded bit-parallel edit distance: one machine word holds, for each number of
+Candidate pairs are verified by Spark's edit distance, long lines by a banded bit-parallel one: one machine word holds, for each number of
 edits, the diagonals within the band that are reachable, and one step handles all of them for a character.
 
 Equal lines are one line before the join, counted with their first place, so a line that millions of documents
@@ -29,8 +29,6 @@ text; other columns, whatever their names, pass through, but for those named lik
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +45,8 @@ GROUPS = MAX_COUNTS_APART + 1
 #: An edit takes away two pairs of neighbouring characters and makes two at most, each of which flips one bit of a sketch.
 MAX_FLIPS = 4 * THRESHOLD
 PREFIXES = 16
+#: Longer lines are compared by bands; both ways give the same distance.
+MAX_PLAIN = 2_000
 #: Families of more indexed lines than this are cut by rarest pieces; both ways find the same links.
 MAX_FAMILY = 256
 PIECE = 5
@@ -66,22 +66,43 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return materialize(grouped.select(F.monotonically_increasing_id().alias("lid"), "pos", "line", F.length("line").alias("len")), "lines")
 
 
-def segments(length: Column) -> list[tuple[Column, Column]]:
-    """Start (from 0) and length of each of THRESHOLD + 1 segments; the last ones take the remainder."""
+def segment(length: Column, i: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of the i-th of THRESHOLD + 1 segments; the last ones take the remainder."""
     k = THRESHOLD + 1
-    base, more = F.floor(length / k).cast("int"), (length % k).cast("int")
-    out, start = [], F.lit(0)
-    for i in range(k):
-        size = base + F.when(F.lit(i) >= k - more, 1).otherwise(0)
-        out.append((start, size))
-        start = start + size
+    base = F.call_function("div", length, F.lit(k)).cast("int")
+    plain = k - length % k  # so many segments without a character of the remainder
+    return i * base + F.greatest(i - plain, F.lit(0)), base + (i >= plain).cast("int")
+
+
+def probes() -> list[tuple[int, int, int]]:
+    """How much shorter the indexed line is, the number of its segment, and how far to the right of its own place the segment may stand."""
+    out = []
+    for shorter in range(THRESHOLD + 1):
+        for i in range(THRESHOLD + 1):
+            # i edits may lie to the left of segment i (from 0), THRESHOLD - i to its right, and the lengths differ by `shorter`.
+            low, high = max(-i, shorter - (THRESHOLD - i)), min(i, shorter + (THRESHOLD - i))
+            out += [(shorter, i, shift) for shift in range(low, high + 1)]
     return out
 
 
+def segment_keys(lines: DataFrame, places: list[tuple[int, int, int]], *kept: Column) -> DataFrame:
+    """``kept`` and ``key``, once for each place (as in ``probes``): a hash of the indexed line's length, the segment's number and its text.
+
+    The places are rows, so what is compiled is one key. Where all characters of a line are single bytes its segments are cut out as bytes, without
+    counting characters; the hash of a string is that of its bytes, so both ways give the same keys.
+    """
+    each = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("shorter", "i", "shift"), p, strict=True)]) for p in places])
+    rows = lines.select("lid", "pos", "line", F.col("line").cast("binary").alias("bytes"), "len", (F.octet_length("line") == F.col("len")).alias("single"))
+    rows = rows.select("*", F.explode(each).alias("p")).withColumn("length", F.col("len") - F.col("p.shorter")).where(F.col("length") >= MIN_CHARS)
+    start, size = segment(F.col("length"), F.col("p.i"))
+    rows = rows.select("*", (start + F.col("p.shift") + 1).alias("start"), size.alias("size"))
+    key = lambda text: F.xxhash64("length", "p.i", F.substring(text, F.col("start"), F.col("size")))
+    return rows.select(*kept, F.when(F.col("single"), key(F.col("bytes"))).otherwise(key(F.col("line"))).alias("key"))
+
+
 def index_rows(lines: DataFrame) -> DataFrame:
-    """``key`` of each segment: a hash of the line's length, the segment's number and its text."""
-    parts = by_width(lambda line: F.array(*[F.xxhash64("len", F.lit(i), F.substring(line, s + 1, n)) for i, (s, n) in enumerate(segments(F.col("len")))]))
-    return lines.select("lid", F.col("pos.id").alias("id"), F.explode(parts).alias("key"))
+    """``key`` of each segment."""
+    return segment_keys(lines, [(0, i, 0) for i in range(THRESHOLD + 1)], F.col("lid"), F.col("pos.id").alias("id"))
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:
@@ -89,30 +110,8 @@ def probe_rows(lines: DataFrame) -> DataFrame:
 
     ``who`` is the line's number, or its complement where the substring is the line's own segment.
     """
-    def keys(line: Column) -> Column:
-        out = []
-        for shorter in range(THRESHOLD + 1):
-            length = F.col("len") - shorter
-            for i, (s, n) in enumerate(segments(length)):
-                # i edits may lie to the left of segment i (from 0), THRESHOLD - i to its right, and the lengths differ by `shorter`.
-                low, high = max(-i, shorter - (THRESHOLD - i)), min(i, shorter + (THRESHOLD - i))
-                for shift in range(low, high + 1):
-                    start = s + shift
-                    ok = (length >= MIN_CHARS) & (start >= 0) & (start + n <= F.col("len"))
-                    key = F.when(ok, F.xxhash64(length, F.lit(i), F.substring(line, start + 1, n)))
-                    out.append(F.struct(F.lit(shorter == 0 == shift).alias("own"), key.alias("key")))
-        return F.array(*out)
-
-    rows = lines.select("lid", F.explode(by_width(keys)).alias("k")).where("k.key is not null")
-    return rows.select(F.when(F.col("k.own"), F.bitwise_not("lid")).otherwise(F.col("lid")).alias("who"), F.col("k.key").alias("key"))
-
-
-def by_width(keys: Callable[[Column], Column]) -> Column:
-    """Keys of a line; where all its characters are single bytes they are cut out as bytes, without counting characters.
-
-    The hash of a string is that of its bytes, so both ways give the same keys.
-    """
-    return F.when(F.octet_length("line") == F.col("len"), keys(F.col("line").cast("binary"))).otherwise(keys(F.col("line")))
+    own = (F.col("p.shorter") == 0) & (F.col("p.shift") == 0)
+    return segment_keys(lines, probes(), F.when(own, F.bitwise_not("lid")).otherwise(F.col("lid")).alias("who"))
 
 
 def letter_counts(line: Column) -> Column:
@@ -193,7 +192,13 @@ def within(a: Column, b: Column, whole: bool = True) -> Column:
 
 
 def near(line: Column, other: Column, length: Column, other_length: Column) -> Column:
-    """Whether two lines are within THRESHOLD edits.
+    """Whether two lines are within THRESHOLD edits: by Spark's own distance up to a limit, whose time grows with the square of the length, else by bands."""
+    short = F.greatest(length, other_length) <= MAX_PLAIN
+    return F.when(short, F.levenshtein(line, other, THRESHOLD) >= 0).otherwise(near_by_bands(line, other, length, other_length))
+
+
+def near_by_bands(line: Column, other: Column, length: Column, other_length: Column) -> Column:
+    """Whether two lines are within THRESHOLD edits, in time that grows with their length.
 
     What the lines begin and end with alike, in whole parts of the shorter one, is left out. Lines that part early are told apart by
     the characters around the first difference; the others are compared whole.
@@ -217,6 +222,19 @@ def later_of_linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialize(both.where(near(F.col("x.line"), F.col("y.line"), F.col("x.len"), F.col("y.len"))).select(late.alias("lid")).distinct(), "late")
 
 
+def open_families(met: DataFrame, late: DataFrame) -> DataFrame:
+    """``key``, ``lid``, ``own``, ``open`` (not late): the lines of keys in which an open line still has another to meet.
+
+    A leader has met all lines of its key, so it is left out: a family of copies of its leader is done after the first round, however large.
+    """
+    rows = met.where("lid <> lead").groupBy("key", "lid").agg(F.max("own").alias("own"))
+    rows = materialize(rows.join(late.withColumn("late", F.lit(True)), "lid", "left").select("key", "lid", "own", F.col("late").isNull().alias("open")), "marked")
+    keys = rows.groupBy("key").agg(F.max("own").alias("indexed"), F.max("open").alias("any"), F.count("*").alias("n")).where("indexed and any and n > 1")
+    out = materialize(rows.join(keys.select("key"), "key", "left_semi"), "family")
+    discard(rows)
+    return out
+
+
 def sub_keys(rows: DataFrame, about: DataFrame) -> DataFrame:
     """Rows of a key, once for each group of letters: ``sub`` also tells the counts of that group."""
     cut = [round(i * len(LETTERS) / GROUPS) for i in range(GROUPS + 1)]
@@ -276,20 +294,19 @@ def later_lines(lines: DataFrame) -> DataFrame:
     late = later_of_linked(pairs, texts)
     # Where a key has one indexed line, that is its leader, and all its pairs have been compared by now.
     about = texts.select("lid", "pos", "len", "sig", "sketch")
-    probes = met.where("many and not large").select("key", "lid", "lead").distinct()
-    indexed = met.where("many and not large and own").select("key", "lid", "lead").distinct()
-    open_ = lambda rows: sub_keys(rows.join(late, "lid", "left_anti"), about)
+    family = open_families(met.where("many and not large"), late)
+    open_ = family.where("open")
     earlier = (F.col("v.pos") < F.col("u.pos")) & may_link("u", "v")
     found = []
-    for own, others in ((probes, indexed), (indexed, probes)):  # the leader has met every probe
-        left, right = (open_(own), sub_keys(others, about))
-        not_leaders = (F.col("v.lid") != F.col("v.lead")) & (F.col("u.lid") != F.col("v.lid")) & ((F.col("u.lid") != F.col("u.lead")) if own is indexed else F.lit(True))
-        found.append(left.alias("u").join(right.alias("v"), (F.col("u.sub") == F.col("v.sub")) & (F.col("u.key") == F.col("v.key")) & not_leaders & earlier).select(F.least("u.lid", "v.lid").alias("a"), F.greatest("u.lid", "v.lid").alias("b")))
+    for left, right in ((open_, family.where("own")), (open_.where("own"), family.where("not own"))):
+        same = (F.col("u.sub") == F.col("v.sub")) & (F.col("u.key") == F.col("v.key")) & (F.col("u.lid") != F.col("v.lid"))
+        met_too = sub_keys(left, about).alias("u").join(sub_keys(right, about).alias("v"), same & earlier)
+        found.append(met_too.select(F.least("u.lid", "v.lid").alias("a"), F.greatest("u.lid", "v.lid").alias("b")))
     members = met.where("large").groupBy("key", "lid").agg(F.max("own").alias("own"))
     split = pairs_of_large(members, late, texts)
     more = materialize(found[0].union(found[1]).union(split).distinct(), "pairs")
     out = materialize(late.union(later_of_linked(more, texts)).distinct(), "late")
-    discard(met, pairs, ids, texts, late, split, more)
+    discard(met, pairs, ids, texts, late, family, split, more)
     return out
 
 
