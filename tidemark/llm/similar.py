@@ -8,7 +8,8 @@ places rule the similarity out are dropped, and so are those whose sketches diff
 shingles. All candidates are verified by the exact similarity of their texts.
 
 Equal sets are one. Each cell first links its members to its smallest, next to the SimHash links; then only pairs that these
-links have not connected yet are compared, so a large group of near copies makes about as many pairs as it has members.
+links have not connected yet are compared, so a large group of near copies makes about as many pairs as it has members. Most shingles stand in
+one set only; the first round hands on the places of the others, and only these are shuffled again.
 
 A text of fewer than five words is one shingle; texts without words are equal. Shingles are compared by 64-bit hash.
 """
@@ -32,6 +33,7 @@ MAX_PAIRS, MAX_ROWS = 1 << 18, 1 << 18  # that a task holds before it hands them
 CHUNK_BYTES = 1 << 20  # of texts whose shingles are cut together
 PAIRS_PER_BATCH = 200  # whose texts are verified together, which bounds a worker's memory
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_SETS = 2_000_000  # 16 MB of hashes; more of them are joined by shuffle
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -153,10 +155,17 @@ def sketches(docs: DataFrame, key: str, text: str, frequent: np.ndarray) -> Data
 def meetings(first: bool):
     """Pairs of each run of equal cells: with its first member only, or all whose labels differ.
 
+    The former also hands on the members of each run of two or more, as rows of ``a`` (the set) and ``at`` (its place in the prefix).
     In the latter case two members with the same shingle just before this one have met in its cell, where every bound is looser, so
     they are left out here: a pair is made once for each run of shared shingles, not once for each shared shingle.
     """
 
+    def batch_of(a, b, at=None):
+        columns = [pa.array(a), pa.array(b)]
+        if first:
+            columns.append(pa.nulls(len(a), pa.int32()) if at is None else pa.array(at.astype(np.int32)))
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "at"][: len(columns)])
+
     def run(batches):
         parts, rows = [], 0
         for batch in batches:
@@ -173,17 +182,21 @@ def meetings(first: bool):
             yield from within([np.concatenate(x) for x in zip(*parts, strict=True)])
 
     def within(columns):
-        cell, own, n, at, label, *bits = columns
-        before = None if first else bits.pop(0)
+        cell, own, n, at, *more = columns
+        label, before, *bits = (None, None) if first else more
         start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         held, size = [], 0
 
         def flush():
             pairs = np.unique(np.concatenate(held), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            return batch_of(pairs[:, 0], pairs[:, 1])
 
         i, lag = np.arange(len(cell)), 1
-        head = np.repeat(start, np.diff(np.append(start, len(cell))))
+        size_of = np.diff(np.append(start, len(cell)))
+        head = np.repeat(start, size_of)
+        if first:
+            shared = np.repeat(size_of > 1, size_of)
+            yield batch_of(own[shared], own[shared], at[shared])
         while len(i):
             if first:
                 i = np.flatnonzero(head != i)
@@ -194,9 +207,9 @@ def meetings(first: bool):
                 j = i + lag
             low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
             rest = 1 + np.minimum(n[i] - at[i] - 1, n[j] - at[j] - 1)
-            ok = (5 * low >= 4 * high) & (9 * rest >= 4 * (low + high)) & (first | (label[i] != label[j]))
-            if before is not None:
-                ok &= (before[i] != before[j]) | (at[i] == 0) | (at[j] == 0)
+            ok = (5 * low >= 4 * high) & (9 * rest >= 4 * (low + high))
+            if not first:
+                ok &= (label[i] != label[j]) & ((before[i] != before[j]) | (at[i] == 0) | (at[j] == 0))
             if bits:
                 i_, j_ = i[ok], j[ok]
                 differ = sum(np.bitwise_count((b[i_] ^ b[j_]).view(np.uint64)).astype(np.int64) for b in bits)  # of signed numbers it counts the absolute value's
@@ -218,7 +231,9 @@ def meetings(first: bool):
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs of similar sets."""
     ids = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    texts = materialize(rows.select("set", "text").join(ids, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text")), "texts")
+    ids = materialize(ids, "ids")
+    few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_SETS else ids
+    texts = materialize(rows.select("set", "text").join(few, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text")), "texts")
     both = pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("set").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches):
@@ -228,7 +243,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     out = materialize(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links", PAIRS_PER_BATCH)
-    discard(texts)
+    discard(texts, ids)
     return out
 
 
@@ -249,25 +264,26 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "h")
     sets = materialize(rows.groupBy("set").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "sets")
 
-    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), "prefix"), 1, F.size("prefix")).alias("before")
-
-    def pairs(first: bool, members: DataFrame) -> DataFrame:
-        more = [] if first else [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(SKETCH)]
-        cells = members.select("set", "n", "label", *more, F.posexplode("prefix").alias("at", "cell")) if first else members.select("set", "n", "label", *more, F.posexplode(F.arrays_zip("prefix", before)).alias("at", "c")).select("*", F.col("c.prefix").alias("cell"), "c.before")
-        cells = cells.select("cell", "set", "n", "at", "label", *([] if first else ["before"]), *[f"b{k}" for k in range(len(more))])
-        return cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), "a long, b long")
+    def meet(first: bool, cells: DataFrame, out: str) -> DataFrame:
+        return cells.repartition("cell").sortWithinPartitions("cell", "set").mapInArrow(meetings(first), out)
 
-    near = materialize(pairs(True, sets.withColumn("label", F.col("set"))).union(by_fingerprint(sets)).distinct(), "pairs")
+    cells = sets.select("set", "n", F.posexplode("prefix").alias("at", "cell")).select("cell", "set", "n", "at")
+    met = materialize(meet(True, cells, "a long, b long, at int"), "met")
+    near = materialize(met.where("at is null").select("a", "b").union(by_fingerprint(sets)).distinct(), "pairs")
     found = verified(near, rows)
     roots = connected_components(found)
     labelled = sets.join(roots, sets["set"] == roots["node"], "left").select("set", "n", "bits", "prefix", F.coalesce("root", "set").alias("label"))
-    more = materialize(pairs(False, labelled).distinct().join(near, ["a", "b"], "left_anti"), "pairs")
+    shared = met.where("at is not null").groupBy(F.col("a").alias("set")).agg(F.collect_list("at").alias("places"))
+    places = labelled.join(shared, "set").select("set", "n", "label", "bits", "prefix", F.explode("places").alias("at"))
+    before = F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(0).cast("long")).alias("before")
+    cells = places.select(F.get("prefix", F.col("at")).alias("cell"), "set", "n", "at", "label", before, *[F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(SKETCH)])
+    more = materialize(meet(False, cells, "a long, b long").distinct().join(near, ["a", "b"], "left_anti"), "pairs")
     roots = connected_components(found.unionByName(verified(more, rows)))
     named = materialize(sets.join(roots, sets["set"] == roots["node"], "left").select("set", F.coalesce("root", "set").alias("root"), "least"), "named")
     smallest = named.groupBy("root").agg(F.min("least").alias("first"))
     classes = materialize(named.join(smallest, "root").select("set", F.struct("first.key", "first.h").alias("first")), "classes")
     out = materialize(rows.select("key", "h", "set").join(classes, "set").select("key", "h", "first"), "components")
-    discard(rows, sets, near, found, more, named, classes)
+    discard(rows, sets, met, near, found, more, named, classes)
     return out
 
 
